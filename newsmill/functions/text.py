@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: the Unicode whitespace class of ECMAScript, spelled out because
 # Java's \s is ASCII only.
-WHITESPACE = r"[\s\x0B   -     　﻿]"
+WHITESPACE = r"[\s\x0B\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 
 
 def collapse_whitespace(text: Column) -> Column:
