@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,26 +55,34 @@ def save_sent(included: DataFrame, root: str, date: str, mode: str = "overwrite"
     included.select("id").write.mode(mode).parquet(f"{root}/sent_date={date}")
 
 
-def send_decisions(days: DataFrame, lookback: int = LOOKBACK_DAYS) -> DataFrame:
+def send_decisions(days: DataFrame, lookback: int = LOOKBACK_DAYS, carry: Sequence[str] = ()) -> DataFrame:
     """Replay the daily seen check over many days in one shuffle.
 
     ``days`` holds (id, run_date, included). For each appearance the result
     tells whether the id counted as seen and whether it was sent. An id is
     seen when it was *sent* at most ``lookback`` days earlier, so the fold
     carries the last send, not the last appearance. The array per id has one
-    entry per date, whatever the number of copies.
+    entry per date, whatever the number of copies. Counts named in ``carry``
+    are summed per id and date.
     """
-    daily = days.groupBy("id", "run_date").agg(F.max("included").alias("included"))
-    visits = F.array_sort(F.collect_list(F.struct("run_date", "included")))
+    sums = [F.sum(c).alias(c) for c in carry]
+    daily = days.groupBy("id", "run_date").agg(F.max("included").alias("included"), *sums)
+    visits = F.array_sort(F.collect_list(F.struct("run_date", "included", *carry)))
+    extra = "".join(f",{c}:bigint" for c in carry)
     empty = F.struct(
         F.lit(None).cast("date").alias("last"),
-        F.array().cast("array<struct<run_date:date,seen:boolean,sent:boolean>>").alias("out"),
+        F.array().cast(f"array<struct<run_date:date,seen:boolean,sent:boolean{extra}>>").alias("out"),
     )
 
     def step(acc, visit):
         seen = F.coalesce(F.date_diff(visit["run_date"], acc["last"]) <= lookback, F.lit(False))
         sent = visit["included"] & ~seen
-        entry = F.struct(visit["run_date"].alias("run_date"), seen.alias("seen"), sent.alias("sent"))
+        entry = F.struct(
+            visit["run_date"].alias("run_date"),
+            seen.alias("seen"),
+            sent.alias("sent"),
+            *[visit[c].alias(c) for c in carry],
+        )
         return F.struct(
             F.when(sent, visit["run_date"]).otherwise(acc["last"]).alias("last"),
             F.concat(acc["out"], F.array(entry)).alias("out"),

@@ -26,8 +26,8 @@ XML_OPTIONS = {"columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSI
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Landed documents: files below ``path/<source name>/``, one body each.
 
-    The scrape time is the file's modification time; documents of one source
-    are numbered by nothing, so they must not be larger than one fetch.
+    The scrape time is the file's modification time. ``from_registry`` numbers
+    the documents.
     """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     parent = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
@@ -35,10 +35,19 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
         F.url_decode(parent).alias("source_name"),
         F.col("value").alias("body"),
         F.col("_metadata.file_modification_time").alias("scraped_at"),
-        F.lit(0).cast("bigint").alias("doc_pos"),
     )
 
 
+def from_registry(landed: DataFrame, sources: DataFrame) -> DataFrame:
+    """Documents of the given registry entries, numbered in registry order.
+
+    No size is assumed for the registry: Spark broadcasts it when the measured
+    size allows, and splits a hot source otherwise.
+    """
+    entries = sources.select(F.col("name").alias("source_name"), F.col("registry_pos").cast("bigint").alias("doc_pos"))
+    return landed.select("source_name", "body", "scraped_at").join(entries, "source_name")
+
+
 def root_element(body: Column) -> Column:
     """Name of the first element of an XML document."""
     skip = r"(?s)\A(?:[\s\x{FEFF}]++|<\?.*?\?>|<!--.*?-->|<![A-Z][^>]*+>)*+"
@@ -125,12 +134,3 @@ def feed_errors(landed: DataFrame) -> DataFrame:
             F.concat("source_name", F.lit(": "), "_reason").alias("error"),
         )
     )
-
-
-def enabled_only(landed: DataFrame, sources: DataFrame) -> DataFrame:
-    """Landed documents of enabled registry entries.
-
-    No size is assumed for the registry: Spark broadcasts it when the measured
-    size allows, and splits a hot source otherwise.
-    """
-    return landed.join(sources.select(F.col("name").alias("source_name")).distinct(), "source_name", "left_semi")
