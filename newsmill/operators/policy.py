@@ -29,11 +29,16 @@ SEVERITY_NAMES = tuple(row[0] for row in SEVERITIES)
 CATEGORY_NAMES = tuple(row[0] for row in CATEGORIES)
 
 
+def _literal(value: Any) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(int(value))
+
+
 def constant_table(spark: SparkSession, names: Sequence[str], rows: Iterable[Sequence[Any]]) -> DataFrame:
-    """A table of literals; the optimizer sees its exact, constant size."""
-    rows = list(rows)
-    marks = ", ".join("(" + ", ".join("?" * len(names)) + ")" for _ in rows)
-    return spark.sql(f"SELECT * FROM VALUES {marks} AS t({', '.join(names)})", args=[v for r in rows for v in r])
+    """A table of text and integer literals; its size is constant and known."""
+    values = ", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
 def severity_dim(spark: SparkSession) -> DataFrame:

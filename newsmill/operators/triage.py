@@ -111,7 +111,8 @@ def parse_replies(df: DataFrame) -> DataFrame:
         F.schema_of_variant(field("relevance_score")).rlike(r"\A(?:BIGINT|DOUBLE|DECIMAL)"),
         F.try_variant_get("_reply", "$.relevance_score", "double"),
     )
-    score = F.coalesce(F.floor(F.greatest(F.lit(0.0), F.least(F.lit(100.0), score)) + 0.5).cast("int"), F.lit(0))
+    clamped = F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.coalesce(score, F.lit(0.0))))
+    score = F.floor(clamped + 0.5).cast("int")
     products = F.coalesce(
         F.transform(
             F.filter(

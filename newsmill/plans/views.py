@@ -280,5 +280,5 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table as a file stream."""
-    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parquet")
+    """The table as a file stream; as a pattern, the path may be a file or a folder."""
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{{{name}.parquet}}")
