@@ -1,10 +1,11 @@
 """Exact ranks inside groups of any size, and fixed-size pages of ranked rows.
 
-A plain ``row_number()`` per group sends the whole group to one task. Here the
-rank is the sum of three parts: rows under earlier sort keys, rows of the same
-key in earlier blocks of input positions, and the place inside the block. Only
-the last part needs the rows themselves, and a block holds at most
-``2 ** block_bits`` of them because input positions are unique.
+A plain ``row_number()`` per group sends the whole group to one task. Here rows
+are counted per sort key and block of input positions, the counts (not the
+rows) are summed up in order, and only the place inside a block needs the rows.
+Input positions are unique, so a block holds at most ``2 ** block_bits`` rows.
+Blocks are summed up inside coarse blocks of ``2 ** block_bits`` blocks, and
+coarse blocks inside the group, so no task sees more counts than that either.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
-BLOCK_BITS = 16
+BLOCK_BITS = 20
 PAGE_SIZE = 500
 
 
@@ -30,38 +32,48 @@ def rank_in_groups(
 
     ``order`` holds numeric sort keys with few values each (descending ones
     are passed negated); ``ordinal`` is the unique input position that breaks
-    ties. The input is read twice, so it should be a table or a narrow plan
-    over one.
+    ties. Rows with a NULL key are left out. The input is read twice, first
+    only its keys, so it should be a table or a projection of one.
     """
+    groups = [f"_g{i}" for i in range(len(group))]
     keys = [f"_k{i}" for i in range(len(order))]
-    rows = df.withColumns(
-        {**dict(zip(keys, order)), "_ordinal": ordinal}
-    ).withColumn("_block", F.shiftright("_ordinal", block_bits))
+    rows = df.withColumns({**dict(zip(keys, order)), "_ordinal": ordinal})
+    rows = rows.na.drop(subset=[*group, *keys, "_ordinal"])
+    # Keys that cannot be NULL: joins then add no filter of their own, both
+    # uses of the counts have one plan, and Spark computes them once.
+    never_null = {g: F.coalesce(F.col(c).cast("string"), F.lit("")) for g, c in zip(groups, group)}
+    never_null |= {k: F.coalesce(k, F.lit(0)) for k in keys}
+    never_null["_block"] = F.coalesce(F.shiftright("_ordinal", block_bits), F.lit(0))
+    rows = rows.withColumns(never_null)
 
-    blocks = rows.groupBy(*group, *keys, "_block").agg(F.count("*").alias("_n"))
-    before = (Window.unboundedPreceding, -1)
-    in_key = Window.partitionBy(*group, *keys).orderBy("_block").rowsBetween(*before)
-    blocks = blocks.withColumn("_block_start", F.coalesce(F.sum("_n").over(in_key), F.lit(0)))
-    if keys:
-        in_group = Window.partitionBy(*group).orderBy(*keys).rowsBetween(*before)
-        starts = (
-            blocks.groupBy(*group, *keys)
-            .agg(F.sum("_n").alias("_key_n"))
-            .withColumn("_key_start", F.coalesce(F.sum("_key_n").over(in_group), F.lit(0)))
-            .drop("_key_n")
-        )
-        blocks = blocks.join(starts, [*group, *keys])
-    else:
-        blocks = blocks.withColumn("_key_start", F.lit(0))
-
-    place = F.row_number().over(Window.partitionBy(*group, *keys, "_block").orderBy("_ordinal"))
+    coarse = F.shiftright("_block", block_bits).alias("_coarse")
+    blocks = rows.groupBy(*groups, *keys, "_block").agg(F.count("*").alias("_n")).select("*", coarse)
+    in_coarse = Window.partitionBy(*groups, *keys, "_coarse").orderBy("_block")
+    in_group = Window.partitionBy(*groups).orderBy(*keys, "_coarse")
+    coarse_starts = (
+        blocks.groupBy(*groups, *keys, "_coarse")
+        .agg(F.sum("_n").alias("_n"))
+        .withColumn("_coarse_start", _sum_before(in_group))
+        .drop("_n")
+    )
+    starts = (
+        blocks.withColumn("_block_start", _sum_before(in_coarse))
+        .join(coarse_starts, [*groups, *keys, "_coarse"])
+        .select(*groups, *keys, "_block", (F.col("_coarse_start") + F.col("_block_start")).alias("_start"))
+    )
+    place = F.row_number().over(Window.partitionBy(*groups, *keys, "_block").orderBy("_ordinal"))
     return (
-        rows.join(blocks.drop("_n"), [*group, *keys, "_block"])
-        .withColumn(name, (F.col("_key_start") + F.col("_block_start") + place).cast("bigint"))
+        rows.join(starts, [*groups, *keys, "_block"])
+        .withColumn(name, (F.col("_start") + place).cast("bigint"))
         .select(*df.columns, name)
     )
 
 
+def _sum_before(window: WindowSpec) -> Column:
+    """Sum of the counts that come before this one."""
+    return F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def collect_pages(
     df: DataFrame,
     group: Sequence[str],

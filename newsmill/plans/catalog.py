@@ -12,7 +12,7 @@ from newsmill.functions.dates import iso_millis, recent, run_date
 from newsmill.functions.text import article_id, paper_url, strip_html
 from newsmill.operators import digest, metrics, policy, retention, seen, stats, triage
 from newsmill.operators.dedup import dedup_first
-from newsmill.plans import views
+from newsmill.plans import daily, views
 from newsmill.session import configure, work_dir
 from newsmill.sources import cves, feeds, papers, registry, tables
 from newsmill.streaming import alarms, ingest
@@ -216,6 +216,14 @@ def seen_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.seen_backfill(appearances(spark, sf_dir).filter("included"))
 
 
+def backfill_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = daily.backfill_digests(rated(spark, sf_dir), AS_OF, ["id", "title"])
+    return pages.select(
+        "digest_date", "page", "total_scraped", "total_included",
+        F.array_join(F.transform("articles", lambda a: a["title"]), ",").alias("articles"),
+    )
+
+
 def retention_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = views.articles(spark, sf_dir)
     parts = {"raw": articles, "processed": views.analyzed_of(articles), "digests": included(spark, sf_dir)}
@@ -333,6 +341,7 @@ REGISTERED: dict[str, Query] = {
     "seen_window": seen_window,
     "unseen_articles": unseen_articles,
     "seen_backfill": seen_backfill,
+    "backfill_digests": backfill_digests,
     "retention_expired": retention_expired,
     "build_prompts": build_prompts,
     "parse_triage": parse_triage,

@@ -352,6 +352,21 @@ select run_date, cast(sum(copies) as bigint) raw, count(*) "unique", count(*) fi
        count(*) filter (included and not seen) included, count(*) filter (not included and not seen) excluded,
        count(*) filter (seen) already_sent
 from seen group by 1"""
+    sql["backfill_digests"] = _with(ANALYZED, CANDIDATES_FIRST, SENDS, recursive=True) + """,
+uniq as (
+  select * from (
+    select *, row_number() over (partition by id, run_date order by source_ord, pos) n from rated) where n = 1),
+fresh as (
+  select *, exists (select 1 from sends s where s.id = u.id and s.d = u.run_date) sent from uniq u
+  where not exists (select 1 from sends s where s.id = u.id and s.d between u.run_date - 7 and u.run_date - 1)),
+placed as (
+  select *, row_number() over (partition by run_date order by rank5 desc, score desc, source_ord, pos) "rank"
+  from fresh where sent),
+pages as (
+  select run_date, ("rank" - 1) // 500 page, string_agg(title, ',' order by "rank") articles from placed group by 1, 2)
+select t.run_date digest_date, coalesce(page, 0) page, total_scraped, total_included, coalesce(articles, '') articles
+from (select run_date, count(*) total_scraped, count(*) filter (sent) total_included from fresh group by 1) t
+left join pages p on p.run_date = t.run_date"""
     errors = """,
 errors as (select source_type, source || ': ' || triage_status error, pos from parsed where triage_status <> 'parsed')
 """
