@@ -11,12 +11,10 @@ from newsmill.functions.text import trim_unicode
 # (the weekday is not checked: feeds get it wrong).
 FEED_LAYOUTS = (
     "d MMM yyyy HH:mm:ss Z",
-    "d MMM yyyy HH:mm:ss z",
     "d MMM yyyy HH:mm:ss",
     "d MMM yyyy HH:mm Z",
-    "d MMM yyyy HH:mm z",
+    "d MMM yyyy HH:mm",
     "d MMM yy HH:mm:ss Z",
-    "d MMM yy HH:mm:ss z",
     "d MMM yyyy",
     "MMM d, yyyy",
     "MMMM d, yyyy",
@@ -25,6 +23,16 @@ FEED_LAYOUTS = (
     "yyyy/MM/dd",
 )
 
+# Zone names of RFC 822, which do not follow daylight saving.
+ZONE_OFFSETS = (
+    ("UT|UTC|GMT|Z", "+0000"),
+    ("EDT", "-0400"),
+    ("EST|CDT", "-0500"),
+    ("CST|MDT", "-0600"),
+    ("MST|PDT", "-0700"),
+    ("PST", "-0800"),
+)
+
 
 def parse_iso(text: Column) -> Column:
     """Timestamp of an ISO 8601 string, NULL when it is not one."""
@@ -35,7 +43,8 @@ def parse_iso(text: Column) -> Column:
 def parse_lenient(text: Column, fallback: Column) -> Column:
     """Timestamp of a feed date; missing or unreadable dates give ``fallback``."""
     bare = F.regexp_replace(trim_unicode(text), r"(?i)\A(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
-    bare = F.regexp_replace(bare, r"(?i) (?:UT|Z)\z", " UTC")
+    for names, offset in ZONE_OFFSETS:
+        bare = F.regexp_replace(bare, rf"(?i) (?:{names})\z", f" {offset}")
     tries = [parse_iso(text)] + [F.try_to_timestamp(bare, F.lit(p)) for p in FEED_LAYOUTS]
     return F.coalesce(*tries, fallback)
 

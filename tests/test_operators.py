@@ -1,0 +1,237 @@
+import datetime as dt
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from newsmill.operators import policy, retention, seen, stats
+from newsmill.operators.dedup import dedup_first
+from newsmill.operators.digest import rank_articles
+from newsmill.operators.quantile import exact_quantile
+from newsmill.operators.ranking import collect_pages, rank_in_groups
+
+DAY = dt.date(2026, 4, 1)
+
+# category, severities that pass at any score above the floor, floor
+MATRIX = {
+    "BEDROCK_AGENTCORE": ({"CRITICAL", "HIGH", "MEDIUM", "LOW", "INFO"}, 0),
+    "AI_GENERAL": ({"CRITICAL", "HIGH", "MEDIUM"}, 30),
+    "AWS_SECURITY": ({"CRITICAL", "HIGH"}, 50),
+    "OTHER": ({"CRITICAL"}, 0),
+}
+
+
+def test_policy_matrix(spark):
+    rows = [
+        (severity, category, score, severity in passing and score >= floor)
+        for category, (passing, floor) in MATRIX.items()
+        for severity in ("CRITICAL", "HIGH", "MEDIUM", "LOW", "INFO")
+        for score in (0, 29, 30, 49, 50, 100)
+    ]
+    rows += [("EXTREME", "OTHER", 90, False), ("CRITICAL", "NONE", 90, False), (None, None, None, False)]
+    df = spark.createDataFrame(rows, "severity string, category string, score int, expected boolean")
+    rated = policy.with_policy(df)
+    assert rated.count() == len(rows)
+    assert rated.filter("included <> expected").count() == 0
+    counts = policy.include_counts(df.withColumn("day", F.lit(1)), ["day"]).first()
+    assert counts.total == len(rows) == counts.included + counts.excluded
+
+
+def test_policy_rules_can_be_replaced(spark):
+    df = spark.createDataFrame([("INFO", "O'Brien\\", 1)], "severity string, category string, score int")
+    assert policy.policy_filter(df, [("O'Brien\\", "X", "#000", 1, 1)]).count() == 1
+
+
+def numbered(spark, ids, source_ord=0):
+    rows = [(i, source_ord, pos, f"{source_ord}/{pos}") for pos, i in enumerate(ids)]
+    return spark.createDataFrame(rows, "id string, source_ord int, pos bigint, content string")
+
+
+def test_dedup_keeps_the_first_by_input_order(spark):
+    later = numbered(spark, ["b", "a", "z"], source_ord=1)
+    first = numbered(spark, ["a", "b", "a", "c"])
+    unique = dedup_first(later.union(first))
+    assert {r.id: r.content for r in unique.collect()} == {"a": "0/0", "b": "0/1", "c": "0/3", "z": "1/2"}
+    assert sorted(dedup_first(unique).collect()) == sorted(unique.collect())
+    assert dedup_first(first.limit(0)).count() == 0
+
+
+def test_dedup_reduces_before_the_shuffle(spark):
+    plan = dedup_first(numbered(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
+    partial = plan.index("Partial")
+    assert plan.index("Exchange") < partial, "the partial limit runs below the exchange"
+
+
+def random_ranked(spark, n, seed, hot=0.4):
+    rng = random.Random(seed)
+    rows = []
+    for pos in rng.sample(range(10 * n), n):
+        day = DAY if rng.random() < hot else DAY + dt.timedelta(days=rng.randrange(4))
+        tied = rng.random() < hot
+        rows.append((day, 5 if tied else rng.randrange(1, 6), 50 if tied else rng.randrange(101), rng.randrange(4), pos))
+    df = spark.createDataFrame(rows, "digest_date date, severity_rank int, score int, source_ord int, pos bigint")
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[0]].append(row)
+    expected = {}
+    for group in groups.values():
+        for rank, row in enumerate(sorted(group, key=lambda r: (-r[1], -r[2], r[3], r[4])), 1):
+            expected[row] = rank
+    return df, expected
+
+
+@pytest.mark.parametrize("bits", [2, 5, 20])
+def test_rank_equals_a_sort_per_group(spark, bits):
+    df, expected = random_ranked(spark, 1500, seed=bits)
+    ordinal = F.shiftleft(F.col("source_ord").cast("bigint"), 60) + F.col("pos")
+    ranked = rank_in_groups(
+        df, ["digest_date"], [-F.col("severity_rank"), -F.col("score")], ordinal, block_bits=bits
+    )
+    assert {tuple(r[:5]): r.rank for r in ranked.collect()} == expected
+
+
+def test_rank_articles(spark):
+    df, expected = random_ranked(spark, 400, seed=1)
+    assert {tuple(r[:5]): r.rank for r in rank_articles(df).collect()} == expected
+
+
+def test_rank_counts_are_computed_once(spark):
+    df, _ = random_ranked(spark, 50, seed=2)
+    ranked = rank_articles(df)
+    ranked.collect()
+    assert "ReusedExchange" in ranked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_hold_everything_in_order(spark):
+    df = spark.range(1, 24).select(F.lit("g").alias("g"), F.col("id").alias("rank"))
+    pages = collect_pages(df, ["g"], F.col("rank") * 10, page_size=5).orderBy("page").collect()
+    assert [p.page for p in pages] == [0, 1, 2, 3, 4]
+    assert [x for p in pages for x in p["items"]] == [10 * i for i in range(1, 24)]
+    assert max(len(p["items"]) for p in pages) == 5
+
+
+@pytest.mark.parametrize("small", [0, 100, 10**6])
+def test_exact_quantile(spark, small):
+    rng = random.Random(small)
+    rows = [("hot", rng.choice([1.0, rng.gauss(10, 5), rng.random() * 1e6])) for _ in range(30_000)]
+    rows += [("small", float(x)) for x in range(37)] + [("one", 4.0), ("flat", 2.0), ("flat", 2.0), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(8)
+    if small == 0:
+        df = df.filter("g = 'hot' or g = 'flat'")
+    expected = {r.g: r.p for r in df.groupBy("g").agg(F.percentile("v", 0.95).alias("p")).collect() if r.p is not None}
+    actual = {r.g: r.p for r in exact_quantile(df, ["g"], "v", 0.95, "p", small_group=small).collect()}
+    assert actual == pytest.approx(expected, rel=1e-12)
+
+
+def sent_table(spark):
+    rows = [("a", "2026-04-18"), ("b", "2026-04-17"), ("a", "2026-04-17"), ("c", "2026-04-12"), ("d", "2026-04-11"),
+            ("e", "2026-04-19")]
+    return spark.createDataFrame(rows, "id string, d string").select("id", F.col("d").cast("date").alias("sent_date"))
+
+
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def test_seen_window(spark):
+    sent = sent_table(spark)
+    assert ids(seen.seen_window(sent, "2026-04-19")) == ["a", "b", "c"]
+    assert ids(seen.seen_window(sent, "2026-04-19", lookback=2)) == ["a", "b"]
+    assert ids(seen.seen_window(sent, "2026-05-19")) == []
+    every = seen.seen_windows(sent)
+    for day in ("2026-04-19", "2026-04-13", "2026-04-26"):
+        one = every.filter(F.col("run_date") == F.lit(day).cast("date"))
+        assert ids(one) == ids(seen.seen_window(sent, day))
+
+
+def test_unseen(spark):
+    articles = spark.createDataFrame([("a",), ("d",), ("z",)], "id string")
+    assert ids(seen.unseen(articles, seen.seen_window(sent_table(spark), "2026-04-19"))) == ["d", "z"]
+
+
+def test_save_sent_replaces_the_day(spark, tmp_path):
+    root = str(tmp_path / "sent")
+    assert seen.read_sent(spark, root).count() == 0
+    one, two = (spark.createDataFrame([(x,)], "id string") for x in "ab")
+    seen.save_sent(one, root, "2026-04-17")
+    seen.save_sent(one, root, "2026-04-18")
+    seen.save_sent(two, root, "2026-04-18")
+    read = lambda: sorted((r.id, str(r.sent_date)) for r in seen.read_sent(spark, root).collect())
+    assert read() == [("a", "2026-04-17"), ("b", "2026-04-18")]
+    seen.save_sent(one, root, "2026-04-18", mode="append")
+    assert read() == [("a", "2026-04-17"), ("a", "2026-04-18"), ("b", "2026-04-18")]
+    seen.save_sent(one.limit(0), root, "2026-04-18")
+    assert read() == [("a", "2026-04-17")]
+    pruned = seen.seen_window(seen.read_sent(spark, root), "2026-04-19")
+    assert "PartitionFilters: [isnotnull(sent_date" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def replay_loop(visits, lookback=7):
+    """Day by day with a sent set per day: (seen, sent) per visit."""
+    sent_on, out = defaultdict(set), {}
+    for day in sorted({d for _, d in visits}):
+        before = set().union(*(sent_on[day - dt.timedelta(days=k)] for k in range(1, lookback + 1)))
+        for (key, when), included in visits.items():
+            if when == day:
+                out[key, day] = (key in before, included and key not in before)
+        sent_on[day] = {k for (k, d), (_, sent) in out.items() if d == day and sent}
+    return out
+
+
+def test_send_decisions_equal_the_daily_loop(spark):
+    rng = random.Random(5)
+    visits = {
+        (f"id{rng.randrange(40)}", DAY + dt.timedelta(days=rng.randrange(45))): rng.random() < 0.6 for _ in range(900)
+    }
+    rows = [(k, d, inc) for (k, d), inc in visits.items()]
+    df = spark.createDataFrame(rows + rows[:50], "id string, run_date date, included boolean")
+    actual = {(r.id, r.run_date): (r.seen, r.sent) for r in seen.send_decisions(df).collect()}
+    assert actual == replay_loop(visits)
+    sends = {(r.id, r.sent_date) for r in seen.seen_backfill(df).collect()}
+    assert sends == {k for k, (_, sent) in actual.items() if sent}
+
+
+def test_reappearance_does_not_extend_the_window(spark):
+    days = [DAY, DAY + dt.timedelta(days=4), DAY + dt.timedelta(days=8)]
+    df = spark.createDataFrame([("a", d, True) for d in days], "id string, run_date date, included boolean")
+    assert sorted(r.sent_date for r in seen.seen_backfill(df).collect()) == [days[0], days[2]]
+
+
+def test_funnel_adds_up(spark):
+    rng = random.Random(3)
+    rows = [
+        (f"id{rng.randrange(30)}", DAY + dt.timedelta(days=rng.randrange(12)), rng.random() < 0.5, 0, pos)
+        for pos in range(400)
+    ]
+    df = spark.createDataFrame(rows, "id string, run_date date, included boolean, source_ord int, pos bigint")
+    first = {}
+    for key, day, included, _, _ in rows:
+        first.setdefault((key, day), included)
+    decided = replay_loop(first)
+    raw = Counter(r[1] for r in rows)
+    for r in stats.run_funnel(df).collect():
+        mine = [v for (_, d), v in decided.items() if d == r.run_date]
+        assert (r.raw, r.unique) == (raw[r.run_date], len(mine))
+        assert r.unseen == sum(not s for s, _ in mine) == r.included + r.excluded
+        assert r.included == sum(sent for _, sent in mine)
+        assert r.already_sent == r.unique - r.unseen
+
+
+def test_source_stats_and_errors(spark):
+    articles = spark.createDataFrame([("rss",), ("rss",), ("nvd",)], "source_type string")
+    errors = spark.createDataFrame(
+        [("rss", "A: HTTP 500", 1), ("arxiv", "off", 0), ("rss", "B: bad", 0), ("rss", "C: bad", 7)],
+        "source_type string, error string, pos bigint",
+    )
+    found = {r.source_type: (r.article_count, r.error_count) for r in stats.source_stats(articles, errors).collect()}
+    assert found == {"rss": (2, 3), "nvd": (1, 0), "arxiv": (0, 1)}
+    pages = {(r.source_type, r.page): r.errors for r in stats.error_pages(errors, page_size=2).collect()}
+    assert pages == {("rss", 0): ["B: bad", "A: HTTP 500"], ("rss", 1): ["C: bad"], ("arxiv", 0): ["off"]}
+
+
+def test_retention(spark):
+    days = spark.range(100).select(F.date_sub(F.lit("2026-04-19").cast("date"), F.col("id").cast("int")).alias("run_date"))
+    expired = retention.expired_partitions({"raw": days, "processed": days, "digests": days}, "2026-04-19")
+    assert Counter(r.dataset for r in expired.collect()) == {"raw": 92, "processed": 69, "digests": 9}
+    assert retention.retained(days, "raw", "2026-04-19").count() == 8
