@@ -49,15 +49,20 @@ def digest_totals(rated: DataFrame) -> DataFrame:
     )
 
 
-def _paged(rated: DataFrame, item: Column, page_size: int) -> DataFrame:
+def _paged(rated: DataFrame, item: Column, page_size: int, ranked: DataFrame | None) -> DataFrame:
     """Pages of ``item`` with the totals of their date; empty dates included.
 
     The item is computed before rows are shuffled, so only it travels.
     """
     totals = digest_totals(rated)
-    slim = rated.filter("included").select("digest_date", "severity_rank", "score", "source_ord", "pos",
-                                           item.alias("_item"))
-    pages = collect_pages(rank_articles(slim), ["digest_date"], F.col("_item"), page_size=page_size)
+    if ranked is None:
+        slim = rated.filter("included").select(
+            "digest_date", "severity_rank", "score", "source_ord", "pos", item.alias("_item")
+        )
+        slim = rank_articles(slim)
+    else:
+        slim = ranked.select("digest_date", "rank", item.alias("_item"))
+    pages = collect_pages(slim, ["digest_date"], F.col("_item"), page_size=page_size)
     filled = pages.join(totals, "digest_date")
     empty = totals.filter("total_included = 0").withColumns(
         {"page": F.lit(0).cast("bigint"), "items": F.array().cast(pages.schema["items"].dataType)}
@@ -66,13 +71,20 @@ def _paged(rated: DataFrame, item: Column, page_size: int) -> DataFrame:
     return filled.unionByName(empty).withColumn("last_page", last.cast("bigint"))
 
 
-def digest_pages(rated: DataFrame, generated_at: str, fields: Sequence[str], page_size: int = PAGE_SIZE) -> DataFrame:
+def digest_pages(
+    rated: DataFrame,
+    generated_at: str,
+    fields: Sequence[str],
+    page_size: int = PAGE_SIZE,
+    ranked: DataFrame | None = None,
+) -> DataFrame:
     """Digest records: totals of a date and its ranked articles.
 
     A date with more than ``page_size`` articles continues on further pages
-    (0 to ``last_page``); all of them together are the digest.
+    (0 to ``last_page``); all of them together are the digest. ``ranked`` is a
+    stored result of ``rank_articles``, when several outputs need it.
     """
-    paged = _paged(rated, F.struct(*fields), page_size)
+    paged = _paged(rated, F.struct(*fields), page_size, ranked)
     return paged.select(
         "digest_date",
         "page",
@@ -108,7 +120,11 @@ def _published() -> Column:
 
 
 def render_text(
-    rated: DataFrame, title: str = TITLE, footer: Sequence[str] = FOOTER, page_size: int = PAGE_SIZE
+    rated: DataFrame,
+    title: str = TITLE,
+    footer: Sequence[str] = FOOTER,
+    page_size: int = PAGE_SIZE,
+    ranked: DataFrame | None = None,
 ) -> DataFrame:
     """Plain-text body per date, as (digest_date, page, last_page, body)."""
     lines = F.concat_ws(
@@ -128,7 +144,7 @@ def render_text(
     )
     foot = F.lit("\n".join(["", "-" * 60, title, *footer]))
     items = F.array_join(F.transform("items", lambda x: F.concat(F.lit("\n"), x)), "")
-    paged = _paged(rated, lines, page_size)
+    paged = _paged(rated, lines, page_size, ranked)
     return paged.select("digest_date", "page", "last_page", _part(head, items, foot).alias("body"))
 
 
@@ -140,7 +156,11 @@ ROW_SEPARATOR = "<tr><td><hr></td></tr>"
 
 
 def render_html(
-    rated: DataFrame, title: str = TITLE, footer: Sequence[str] = FOOTER, page_size: int = PAGE_SIZE
+    rated: DataFrame,
+    title: str = TITLE,
+    footer: Sequence[str] = FOOTER,
+    page_size: int = PAGE_SIZE,
+    ranked: DataFrame | None = None,
 ) -> DataFrame:
     """HTML body per date, as (digest_date, page, last_page, body).
 
@@ -175,7 +195,7 @@ def render_html(
     foot = F.lit("</table>\n<footer>" + "<br>".join([name, *footer]) + "</footer></body></html>")
     rows = F.array_join("items", ROW_SEPARATOR)
     rows = F.when(F.col("page") > 0, F.concat(F.lit(ROW_SEPARATOR), rows)).otherwise(rows)
-    paged = _paged(rated, row, page_size)
+    paged = _paged(rated, row, page_size, ranked)
     return paged.select("digest_date", "page", "last_page", _part(head, rows, foot).alias("body"))
 
 

@@ -97,15 +97,21 @@ def digest_day(
     spark: SparkSession, store: Store, date: str, generated_at: str,
     title: str = digest.TITLE, page_size: int = digest.PAGE_SIZE,
 ) -> None:
-    rated = rate_day(spark, store, date)
-    pages = digest.digest_pages(rated, generated_at, DIGEST_FIELDS, page_size)
+    """Rank once into a table, and make every output from it."""
+
+    def write(df: DataFrame, table: str) -> DataFrame:
+        path = store.path(table, date, "digest_date")
+        df.drop("digest_date").write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).option("basePath", store.path(table)).parquet(path)
+
+    rated = write(rate_day(spark, store, date), "rated")
+    ranked = write(digest.rank_articles(rated.filter("included")), "ranked")
+    pages = digest.digest_pages(rated, generated_at, DIGEST_FIELDS, page_size, ranked)
     tables.write_json(pages, store.path("digests", date, "digest_date"))
     for kind, render in (("text", digest.render_text), ("html", digest.render_html)):
-        body = render(rated, title, page_size=page_size)
-        body.write.mode("overwrite").parquet(store.path(f"reports_{kind}", date, "digest_date"))
-    subjects = digest.digest_subjects(rated, title)
-    subjects.write.mode("overwrite").parquet(store.path("subjects", date, "digest_date"))
-    seen.save_sent(rated.filter("included"), store.path("sent_ids"), date)
+        write(render(rated, title, page_size=page_size, ranked=ranked), f"reports_{kind}")
+    write(digest.digest_subjects(rated, title), "subjects")
+    seen.save_sent(ranked, store.path("sent_ids"), date)
 
 
 def replay(rated: DataFrame, lookback: int = seen.LOOKBACK_DAYS) -> DataFrame:

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from newsmill.operators.seen import LOOKBACK_DAYS
 from newsmill.streaming.runs import use_rocksdb
 
+# Ship this module's code with its tasks, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUTPUT = "id string, sent_date date"
 
 
