@@ -43,8 +43,10 @@ def parse_iso(text: Column) -> Column:
 def parse_lenient(text: Column, fallback: Column) -> Column:
     """Timestamp of a feed date; missing or unreadable dates give ``fallback``."""
     bare = F.regexp_replace(trim_unicode(text), r"(?i)\A(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
+    named = bare
     for names, offset in ZONE_OFFSETS:
-        bare = F.regexp_replace(bare, rf"(?i) (?:{names})\z", f" {offset}")
+        named = F.regexp_replace(named, rf"(?i) (?:{names})\z", f" {offset}")
+    bare = F.when(F.trim(text).rlike(r"[A-Za-z]\z"), named).otherwise(bare)
     tries = [parse_iso(text)] + [F.try_to_timestamp(bare, F.lit(p)) for p in FEED_LAYOUTS]
     return F.coalesce(*tries, fallback)
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the Unicode whitespace class of ECMAScript, spelled out because
-# Java's \s is ASCII only.
-WHITESPACE = r"[\s\x0B\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+# The whitespace of ECMAScript: Java's \s is ASCII only, so Unicode separators
+# and the byte order mark are added.
+WHITESPACE = r"[\s\p{Z}\x{FEFF}]"
 
 
 def collapse_whitespace(text: Column) -> Column:
@@ -22,13 +22,14 @@ def strip_html(html: Column) -> Column:
     """Drop tags, resolve entities once, collapse whitespace.
 
     ``&amp;`` is resolved last, so text that becomes ``&lt;`` by it is not
-    resolved again: the chain equals one pass over all entities.
+    resolved again: the chain equals one pass over all entities. Texts without
+    markup, the common case, skip the patterns that cannot match.
     """
-    text = F.regexp_replace(html, r"<[^>]*+>", " ")
-    text = F.regexp_replace(text, r"(?i)&(?!(?:amp|lt|gt|quot);)(?:#\d+|[a-z]+);", " ")
+    bare = F.when(F.contains(html, F.lit("<")), F.regexp_replace(html, r"<[^>]*+>", " ")).otherwise(html)
+    text = F.regexp_replace(bare, r"(?i)&(?!(?:amp|lt|gt|quot);)(?:#\d+|[a-z]+);", " ")
     for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
         text = F.regexp_replace(text, f"(?i)&{name};", char)
-    return collapse_whitespace(text)
+    return collapse_whitespace(F.when(F.contains(html, F.lit("&")), text).otherwise(bare))
 
 
 def escape_markup(text: Column) -> Column:

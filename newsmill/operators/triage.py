@@ -77,11 +77,28 @@ def _json_value(text: Column) -> Column:
     in an array that ends with a marker no reply can predict makes leftovers
     visible: only a single complete value gives two elements.
     """
-    marker = F.xxhash64(text).cast("string")
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), marker, F.lit('"]')))
-    last = F.try_variant_get(wrapped, "$[1]", "string")
-    extra = F.try_variant_get(wrapped, "$[2]", "variant")
-    return F.when((last == marker) & extra.isNull(), F.try_variant_get(wrapped, "$[0]", "variant"))
+
+    def whole(value: Column, marker: Column) -> Column:
+        complete = (F.try_variant_get(value, "$[1]", "string") == marker) & F.try_variant_get(
+            value, "$[2]", "variant"
+        ).isNull()
+        return F.when(complete, F.try_variant_get(value, "$[0]", "variant"))
+
+    def parse(t: Column) -> Column:
+        marker = F.xxhash64(t).cast("string")
+        wrapped = F.try_parse_json(F.concat(F.lit("["), t, F.lit(',"'), marker, F.lit('"]')))
+        return _once(wrapped, lambda value: whole(value, marker))
+
+    return _once(text, parse)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used.
+
+    The optimizer may copy a column's expression into a filter, where repeated
+    parts are computed repeatedly.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _strip_fence(text: Column) -> Column:
@@ -161,8 +178,13 @@ def attach_replies(articles: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 def _mentions(terms: tuple[str, ...]) -> Column:
-    words = "|".join(t.replace(".", r"\.") for t in terms)
-    return F.col("_text").rlike(rf"(?:^|[^a-z0-9])(?:{words})(?:[^a-z0-9]|$)")
+    """Whether a term occurs as whole words; the cheap search comes first."""
+    text = F.col("_text")
+    found = F.lit(False)
+    for term in terms:
+        words = term.replace(".", r"\.")
+        found = found | (F.contains(text, F.lit(term)) & text.rlike(rf"(?:^|[^a-z0-9]){words}(?:[^a-z0-9]|$)"))
+    return found
 
 
 def rule_triage(articles: DataFrame) -> DataFrame:

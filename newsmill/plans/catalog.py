@@ -112,7 +112,7 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strip_html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = views.table(spark, sf_dir, "pages")
+    pages = views.spread(views.table(spark, sf_dir, "pages"), "page_id")
     return pages.select("page_id", strip_html(F.col("html")).alias("stripped"))
 
 

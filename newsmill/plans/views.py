@@ -23,6 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for heavy work on a small input.
+
+    Spark cuts files into splits of at least 4 MB, so fewer splits than cores
+    means little data, which is cheap to move. Larger inputs stay in place.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def documents_to_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
+
+
 def pick(values: tuple[str, ...], index: Column) -> Column:
     """``values[index % len(values)]``."""
     return F.get(F.array(*map(F.lit, values)), F.pmod(index, F.lit(len(values))).cast("int"))
@@ -158,7 +172,7 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform(_lines(), atom_entry), ""),
         F.lit("</feed>"),
     )
-    return table(spark, sf_dir, "documents").select(
+    return documents_to_parse(spark, sf_dir).select(
         F.col("source").alias("source_name"),
         F.when(F.col("doc_id") % 2 == 0, rss).otherwise(atom).alias("body"),
         F.lit(SCRAPED_AT).cast("timestamp").alias("scraped_at"),
@@ -185,7 +199,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform(_lines(), entry), ""),
         F.lit("</feed>"),
     )
-    return table(spark, sf_dir, "documents").select(
+    return documents_to_parse(spark, sf_dir).select(
         body.alias("body"), F.lit(SCRAPED_AT).cast("timestamp").alias("scraped_at"), doc.alias("doc_pos")
     )
 
@@ -225,7 +239,7 @@ def cves(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(_lines()).alias("resultsPerPage"),
         F.transform(_lines(), record).alias("vulnerabilities"),
     )
-    return table(spark, sf_dir, "documents").select(
+    return documents_to_parse(spark, sf_dir).select(
         F.to_json(page).alias("body"), F.lit(SCRAPED_AT).cast("timestamp").alias("scraped_at"), doc.alias("doc_pos")
     )
 

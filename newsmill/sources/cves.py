@@ -38,8 +38,11 @@ def _shortest(number: Column) -> Column:
 
 def _records(landed: DataFrame) -> DataFrame:
     page = landed.withColumn("_page", F.from_json("body", CVE_PAGE, JSON_OPTIONS))
-    rows = page.select("scraped_at", "doc_pos", F.posexplode("_page.vulnerabilities").alias("_i", "_v"))
-    rows = rows.select("scraped_at", "doc_pos", "_i", "_v.cve.*").withColumn("_cvss", _cvss(F.col("metrics")))
+    # Exploding the parsed array itself would make Spark parse each page again,
+    # for a filter on the array's size that it infers.
+    records = F.transform("_page.vulnerabilities", lambda v: v["cve"])
+    rows = page.select("scraped_at", "doc_pos", F.posexplode(records).alias("_i", "_v"))
+    rows = rows.select("scraped_at", "doc_pos", "_i", "_v.*").withColumn("_cvss", _cvss(F.col("metrics")))
     english = F.get(F.filter("descriptions", lambda d: d["lang"] == "en"), F.lit(0))["value"]
     text = F.coalesce(english, F.lit(""))
     prefix = F.concat(

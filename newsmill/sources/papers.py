@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsmill.functions.dates import parse_iso
-from newsmill.functions.text import article_id, collapse_whitespace, item_pos, paper_url, trim_unicode
+from newsmill.functions.text import article_id, collapse_whitespace, item_pos, paper_url
 from newsmill.sources.feeds import XML_OPTIONS, root_element
 
 PAPER_DOC = """
@@ -27,13 +27,24 @@ TOPIC_LIMIT = 100
 
 def _entries(landed: DataFrame) -> DataFrame:
     doc = F.from_xml(F.when(root_element(F.col("body")) == "feed", F.col("body")), PAPER_DOC, XML_OPTIONS)
-    items = landed.withColumn("_doc", doc).select("scraped_at", "doc_pos", F.posexplode("_doc.entry").alias("_i", "e"))
-    raw_id = trim_unicode(F.coalesce("e.id", F.lit("")))
-    date = F.coalesce("e.published", "e.updated")
+    # Exploding the parsed array itself would make Spark parse each document
+    # again, for a filter on the array's size that it infers.
+    entries = F.transform(
+        "_doc.entry",
+        lambda e: F.struct(
+            e["id"].alias("id"),
+            e["title"].alias("title"),
+            e["summary"].alias("summary"),
+            F.coalesce(e["published"], e["updated"]).alias("date"),
+            e["category"].alias("category"),
+        ),
+    )
+    items = landed.withColumn("_doc", doc).select("scraped_at", "doc_pos", F.posexplode(entries).alias("_i", "e"))
+    date = F.col("e.date")
     published = F.when(date.isNull(), F.col("scraped_at")).otherwise(parse_iso(date))
     return (
-        items.withColumn("url", paper_url(raw_id))
-        .filter(raw_id != "")
+        items.withColumn("url", paper_url(F.coalesce("e.id", F.lit(""))))
+        .filter("url <> ''")
         .select(
             article_id(F.col("url")).alias("id"),
             collapse_whitespace(F.coalesce("e.title", F.lit(""))).alias("title"),
