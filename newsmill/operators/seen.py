@@ -44,6 +44,17 @@ def unseen(df: DataFrame, seen: DataFrame, on: tuple[str, ...] = ("id",)) -> Dat
     return df.join(seen, list(on), "left_anti")
 
 
+def unseen_by_date(df: DataFrame, sent: DataFrame, lookback: int = LOOKBACK_DAYS) -> DataFrame:
+    """``unseen`` for rows of many run dates at once.
+
+    The date range is a condition of the join on id, so the sent table is not
+    multiplied by the days it counts for.
+    """
+    days = F.date_diff(F.col("a.run_date"), F.col("s.sent_date"))
+    match = (F.col("a.id") == F.col("s.id")) & days.between(1, lookback)
+    return df.alias("a").join(sent.select("id", "sent_date").alias("s"), match, "left_anti")
+
+
 def save_sent(included: DataFrame, root: str, date: str, mode: str = "overwrite") -> None:
     """Write the ids sent on ``date``, replacing those of an earlier run.
 

@@ -208,8 +208,7 @@ def seen_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unseen_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     unique = dedup_first(views.articles(spark, sf_dir), ["id", "run_date"])
-    windows = seen.seen_windows(sent(spark, sf_dir))
-    return seen.unseen(unique, windows, ("id", "run_date")).select("id", "run_date", "pos")
+    return seen.unseen_by_date(unique, sent(spark, sf_dir)).select("id", "run_date", "pos")
 
 
 def seen_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from newsmill.operators import digest, seen, triage
 from newsmill.operators.dedup import dedup_first
-from newsmill.session import configure
+from newsmill.session import configure, materialize
 from newsmill.sources import tables
 
 DIGEST_FIELDS = ("id", "title", "url", "source", "source_type", "content", "published_at", "scraped_at",
@@ -132,7 +132,31 @@ def backfill_digests(
 ) -> DataFrame:
     """Digest records of every replayed day; ``digest_date`` is the run date.
 
-    ``rated`` should be a stored table: the ranking reads the replay twice.
+    The replay is stored first, because ranking and totals both read it.
     """
-    days = replay(rated).withColumn("digest_date", F.col("run_date"))
-    return digest.digest_pages(days, generated_at, fields, page_size)
+    needed = {"severity", "severity_rank", "score", "source_ord", "pos", "included", *fields}
+    days = replay(rated).withColumn("digest_date", F.col("run_date")).select("digest_date", *sorted(needed))
+    return digest.digest_pages(materialize(days, "replay"), generated_at, fields, page_size)
+
+
+def run_summary(spark: SparkSession, store: Store, date: str) -> DataFrame:
+    """Row counts of a finished day, one row.
+
+    ``excluded`` includes what was already sent when the digest was made.
+    """
+    raw = tables.read_raw(spark, store.path("raw"), date)
+    rated = spark.read.parquet(store.path("rated", date, "digest_date"))
+    raw_counts = raw.groupBy("id").agg(F.count("*").alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("raw"), F.count("*").alias("unique")
+    )
+    missing = read_quarantine(spark, store, date).agg(F.count("*").alias("quarantined"))
+    done = rated.agg(
+        F.count("*").alias("processed"),
+        F.count_if("included").alias("included"),
+        F.count_if(~F.col("included")).alias("excluded"),
+    )
+    # Three single-row aggregates side by side.
+    summary = raw_counts.withColumn("_one", F.lit(1))
+    for part in (missing, done):
+        summary = summary.join(part.withColumn("_one", F.lit(1)), "_one")
+    return summary.select(F.lit(date).cast("date").alias("run_date"), *summary.drop("_one").columns)

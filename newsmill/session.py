@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on these: times are UTC, and a JSON reply that repeats a key
 # keeps the last value.
@@ -49,3 +49,15 @@ def work_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="newsmill-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the work folder and read it back.
+
+    For results that a plan uses more than once: they are computed once, and
+    survive the loss of executors.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

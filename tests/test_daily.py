@@ -68,6 +68,10 @@ def test_three_days(spark, tmp_path):
     text = spark.read.parquet(store.path("reports_text", "2026-04-18", "digest_date")).first().body
     assert "3 items included / 4 scraped" in text
 
+    summary = daily.run_summary(spark, store, "2026-04-18").first().asDict()
+    assert {k: summary[k] for k in ("raw", "unique", "quarantined", "processed", "included", "excluded")} == {
+        "raw": 6, "unique": 4, "quarantined": 0, "processed": 4, "included": 3, "excluded": 1}
+
     # Running a day again gives the same digest.
     daily.run_day(spark, store, "2026-04-19", days["2026-04-19"], scorer(), GENERATED, page_size=10)
     assert titles(store, spark, "2026-04-19") == (1, 1, ["C4"])
@@ -90,7 +94,7 @@ def test_missing_replies_are_quarantined(spark, tmp_path):
 
 def test_replay_equals_the_daily_runs(spark, tmp_path):
     store = daily.Store(str(tmp_path))
-    plan = {1: "C1 H1 C2", 3: "C1 C3", 9: "C1 C2 C3", 11: "C3 C1", 18: "C1 H1"}
+    plan = {1: "C1 H1 C2", 3: "C1 C3", 9: "C1 C2 C3", 11: "C3 C1"}
     rated = None
     for offset, names in plan.items():
         date = str(dt.date(2026, 4, 1) + dt.timedelta(days=offset))

@@ -150,6 +150,16 @@ def test_unseen(spark):
     assert ids(seen.unseen(articles, seen.seen_window(sent_table(spark), "2026-04-19"))) == ["d", "z"]
 
 
+def test_unseen_by_date_equals_the_windows(spark):
+    sent = sent_table(spark)
+    days = [f"2026-04-{d}" for d in range(10, 30)]
+    articles = spark.createDataFrame([(i, d) for i in "abcdez" for d in days], "id string, d string")
+    articles = articles.select("id", F.col("d").cast("date").alias("run_date"))
+    expected = seen.unseen(articles, seen.seen_windows(sent), ("id", "run_date"))
+    key = lambda df: sorted((r.id, r.run_date) for r in df.collect())
+    assert key(seen.unseen_by_date(articles, sent)) == key(expected)
+
+
 def test_save_sent_replaces_the_day(spark, tmp_path):
     root = str(tmp_path / "sent")
     assert seen.read_sent(spark, root).count() == 0
