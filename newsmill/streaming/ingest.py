@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsmill.sources.feeds import normalize_feeds
+
 WATERMARK = "7 days"
 SALTS = 64
 
@@ -23,3 +25,11 @@ def dedup_stream(articles: DataFrame, event_time: str = "published_at", salts: i
         .drop("_salt")
         .dropDuplicatesWithinWatermark(["id"])
     )
+
+
+def feed_stream(landed: DataFrame) -> DataFrame:
+    """Articles of landed feed documents, each id once within the watermark.
+
+    The normaliser keeps no state, so it serves batches and streams alike.
+    """
+    return dedup_stream(normalize_feeds(landed))

@@ -19,6 +19,7 @@ def write_available(stream: DataFrame, path: str, checkpoint: str) -> None:
 
     Running it again with the same folders continues where it ended.
     """
+    use_rocksdb(stream.sparkSession)
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")

@@ -47,6 +47,23 @@ def test_dedup_stream_within_and_across_batches(spark, tmp_path):
     assert sorted(r.id for r in second.collect()) == ["a", "b", "hot"]
 
 
+def test_feed_stream(spark, tmp_path):
+    item = "<item><title>T{0}</title><link>https://e.com/{0}</link><pubDate>Wed, 1 Apr 2026 00:00:00 GMT</pubDate></item>"
+    landing = Landing(spark, tmp_path, "source_name string, body string, scraped_at timestamp, doc_pos bigint")
+
+    def land(doc_pos, *numbers):
+        body = "<rss><channel>" + "".join(item.format(n) for n in numbers) + "</channel></rss>"
+        df = spark.createDataFrame([("Feed", body, doc_pos)], "source_name string, body string, doc_pos bigint")
+        landing.land(df.select("source_name", "body", F.lit("2026-04-01 06:00:00").cast("timestamp").alias("scraped_at"),
+                               "doc_pos"))
+
+    land(0, 1, 2, 1)
+    land(1, 2, 3)
+    assert sorted(r.title for r in landing.run(ingest.feed_stream).collect()) == ["T1", "T2", "T3"]
+    land(2, 3, 4)
+    assert sorted(r.title for r in landing.run(ingest.feed_stream).collect()) == ["T1", "T2", "T3", "T4"]
+
+
 @pytest.mark.parametrize("files", [1, 3])
 def test_send_stream_equals_the_backfill(spark, tmp_path, files):
     rng = random.Random(files)
