@@ -5,22 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsmill.functions.binding import once
 from newsmill.functions.text import trim_unicode
 
 # Layouts beside ISO 8601, tried in this order after the weekday is removed
 # (the weekday is not checked: feeds get it wrong).
 FEED_LAYOUTS = (
-    "d MMM yyyy HH:mm:ss Z",
-    "d MMM yyyy HH:mm:ss",
-    "d MMM yyyy HH:mm Z",
-    "d MMM yyyy HH:mm",
-    "d MMM yy HH:mm:ss Z",
-    "d MMM yyyy",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "MMM d yyyy HH:mm:ss",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd",
+    "d MMM yyyy[ HH:mm[:ss]][ Z]",
+    "d MMM yy[ HH:mm[:ss]][ Z]",
+    "MMM d[,] yyyy[ HH:mm:ss]",
+    "MMMM d[,] yyyy[ HH:mm:ss]",
+    "yyyy/MM/dd[ HH:mm:ss]",
 )
 
 # Zone names of RFC 822, which do not follow daylight saving.
@@ -34,21 +29,34 @@ ZONE_OFFSETS = (
 )
 
 
+def _iso(trimmed: Column) -> Column:
+    return F.try_to_timestamp(F.when(trimmed.rlike(r"\A\d{4}(?:\z|-)"), trimmed))
+
+
 def parse_iso(text: Column) -> Column:
     """Timestamp of an ISO 8601 string, NULL when it is not one."""
-    trimmed = trim_unicode(text)
-    return F.try_to_timestamp(F.when(trimmed.rlike(r"\A\d{4}(?:\z|-)"), trimmed))
+    return once(trim_unicode(text), _iso)
+
+
+def _feed_date(bare: Column) -> Column:
+    return F.coalesce(*[F.try_to_timestamp(bare, F.lit(layout)) for layout in FEED_LAYOUTS])
+
+
+def _plain(trimmed: Column) -> Column:
+    """The date without its weekday and with a numeric zone."""
+    bare = F.regexp_replace(trimmed, r"(?i)\A(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
+    for names, offset in ZONE_OFFSETS:
+        bare = F.regexp_replace(bare, rf"(?i) (?:{names})\z", f" {offset}")
+    return bare
 
 
 def parse_lenient(text: Column, fallback: Column) -> Column:
     """Timestamp of a feed date; missing or unreadable dates give ``fallback``."""
-    bare = F.regexp_replace(trim_unicode(text), r"(?i)\A(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
-    named = bare
-    for names, offset in ZONE_OFFSETS:
-        named = F.regexp_replace(named, rf"(?i) (?:{names})\z", f" {offset}")
-    bare = F.when(F.trim(text).rlike(r"[A-Za-z]\z"), named).otherwise(bare)
-    tries = [parse_iso(text)] + [F.try_to_timestamp(bare, F.lit(p)) for p in FEED_LAYOUTS]
-    return F.coalesce(*tries, fallback)
+
+    def parse(trimmed: Column) -> Column:
+        return F.coalesce(_iso(trimmed), once(_plain(trimmed), _feed_date))
+
+    return F.coalesce(once(trim_unicode(text), parse), fallback)
 
 
 def run_date(value: Column) -> Column:

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsmill.functions.binding import once
 from newsmill.functions.dates import iso_millis
 from newsmill.functions.text import WHITESPACE, trim_unicode
 from newsmill.operators.policy import CATEGORY_NAMES, SEVERITY_NAMES
@@ -87,18 +88,9 @@ def _json_value(text: Column) -> Column:
     def parse(t: Column) -> Column:
         marker = F.xxhash64(t).cast("string")
         wrapped = F.try_parse_json(F.concat(F.lit("["), t, F.lit(',"'), marker, F.lit('"]')))
-        return _once(wrapped, lambda value: whole(value, marker))
+        return once(wrapped, lambda value: whole(value, marker))
 
-    return _once(text, parse)
-
-
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once, however often it is used.
-
-    The optimizer may copy a column's expression into a filter, where repeated
-    parts are computed repeatedly.
-    """
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    return once(text, parse)
 
 
 def _strip_fence(text: Column) -> Column:

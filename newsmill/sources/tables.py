@@ -32,7 +32,7 @@ def union_sources(by_type: Mapping[str, DataFrame | None]) -> DataFrame:
         if by_type.get(kind) is not None
     ]
     if not frames:
-        raise ValueError("no source given")
+        return SparkSession.active().createDataFrame([], schemas.ARTICLE)
     return reduce(DataFrame.unionByName, frames)
 
 

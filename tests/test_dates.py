@@ -26,6 +26,9 @@ def test_lenient_dates(spark):
         "2026-04-18T09:00:00.250+01:00": dt.datetime(2026, 4, 18, 8, 0, 0, 250000),
         "2026-04-18": dt.datetime(2026, 4, 18),
         "April 18, 2026": dt.datetime(2026, 4, 18),
+        "Apr 18, 2026 07:00:00": dt.datetime(2026, 4, 18, 7),
+        "18 Apr 2026": dt.datetime(2026, 4, 18),
+        "2026/04/18 05:00:00": dt.datetime(2026, 4, 18, 5),
         "": FALLBACK,
         None: FALLBACK,
         "soon": FALLBACK,

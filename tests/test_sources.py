@@ -237,6 +237,7 @@ def test_union_keeps_duplicates_and_order(spark):
     merged = tables.union_sources({"arxiv": papers.normalize_papers(landed(spark, PAPERS)), "rss": rss, "x": None})
     rows = merged.orderBy("source_ord", "pos").collect()
     assert [r.source_type for r in rows] == ["rss"] * 4 + ["arxiv"] * 3
+    assert tables.union_sources({"rss": None}).count() == 0
     with pytest.raises(ValueError):
         tables.union_sources({"fax": rss})
 
