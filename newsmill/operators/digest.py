@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,22 +50,34 @@ def digest_totals(rated: DataFrame) -> DataFrame:
     )
 
 
-def _paged(rated: DataFrame, item: Column, page_size: int, ranked: DataFrame | None) -> DataFrame:
-    """Pages of ``item`` with the totals of their date; empty dates included.
+@dataclass(frozen=True)
+class Digest:
+    """What reports are made from: totals per date, and ranked articles."""
 
-    The item is computed before rows are shuffled, so only it travels.
+    totals: DataFrame
+    ranked: DataFrame
+
+
+def prepare(rated: DataFrame, dates: DataFrame | None = None) -> Digest:
+    """Totals and ranking of rated articles.
+
+    ``dates`` (a table of digest_date) adds dates without any article. Store
+    both frames when several reports are made from them.
     """
     totals = digest_totals(rated)
-    if ranked is None:
-        slim = rated.filter("included").select(
-            "digest_date", "severity_rank", "score", "source_ord", "pos", item.alias("_item")
-        )
-        slim = rank_articles(slim)
-    else:
-        slim = ranked.select("digest_date", "rank", item.alias("_item"))
-    pages = collect_pages(slim, ["digest_date"], F.col("_item"), page_size=page_size)
-    filled = pages.join(totals, "digest_date")
-    empty = totals.filter("total_included = 0").withColumns(
+    if dates is not None:
+        none = F.array().cast(totals.schema["severities"].dataType)
+        totals = dates.join(totals, "digest_date", "left").na.fill(0, ["total_scraped", "total_included"])
+        totals = totals.withColumn("severities", F.coalesce("severities", none))
+    return Digest(totals, rank_articles(rated.filter("included")))
+
+
+def _paged(source: Digest, item: Column, page_size: int) -> DataFrame:
+    """Pages of ``item`` with the totals of their date; empty dates included."""
+    items = source.ranked.select("digest_date", "rank", item.alias("_item"))
+    pages = collect_pages(items, ["digest_date"], F.col("_item"), page_size=page_size)
+    filled = pages.join(source.totals, "digest_date")
+    empty = source.totals.filter("total_included = 0").withColumns(
         {"page": F.lit(0).cast("bigint"), "items": F.array().cast(pages.schema["items"].dataType)}
     )
     last = F.greatest(F.lit(0), F.ceil(F.col("total_included") / page_size) - 1)
@@ -72,20 +85,14 @@ def _paged(rated: DataFrame, item: Column, page_size: int, ranked: DataFrame | N
 
 
 def digest_pages(
-    rated: DataFrame,
-    generated_at: str,
-    fields: Sequence[str],
-    page_size: int = PAGE_SIZE,
-    ranked: DataFrame | None = None,
+    source: Digest, generated_at: str, fields: Sequence[str], page_size: int = PAGE_SIZE
 ) -> DataFrame:
     """Digest records: totals of a date and its ranked articles.
 
     A date with more than ``page_size`` articles continues on further pages
-    (0 to ``last_page``); all of them together are the digest. ``ranked`` is a
-    stored result of ``rank_articles``, when several outputs need it.
+    (0 to ``last_page``); all of them together are the digest.
     """
-    paged = _paged(rated, F.struct(*fields), page_size, ranked)
-    return paged.select(
+    return _paged(source, F.struct(*fields), page_size).select(
         "digest_date",
         "page",
         "last_page",
@@ -102,8 +109,8 @@ def subject(title: str = TITLE) -> Column:
                     F.lit(" ("), F.col("total_included").cast("string"), F.lit(" "), noun, F.lit(")"))
 
 
-def digest_subjects(rated: DataFrame, title: str = TITLE) -> DataFrame:
-    return digest_totals(rated).select("digest_date", subject(title).alias("subject"))
+def digest_subjects(totals: DataFrame, title: str = TITLE) -> DataFrame:
+    return totals.select("digest_date", subject(title).alias("subject"))
 
 
 def _part(head: Column, items: Column, foot: Column) -> Column:
@@ -120,11 +127,7 @@ def _published() -> Column:
 
 
 def render_text(
-    rated: DataFrame,
-    title: str = TITLE,
-    footer: Sequence[str] = FOOTER,
-    page_size: int = PAGE_SIZE,
-    ranked: DataFrame | None = None,
+    source: Digest, title: str = TITLE, footer: Sequence[str] = FOOTER, page_size: int = PAGE_SIZE
 ) -> DataFrame:
     """Plain-text body per date, as (digest_date, page, last_page, body)."""
     lines = F.concat_ws(
@@ -144,7 +147,7 @@ def render_text(
     )
     foot = F.lit("\n".join(["", "-" * 60, title, *footer]))
     items = F.array_join(F.transform("items", lambda x: F.concat(F.lit("\n"), x)), "")
-    paged = _paged(rated, lines, page_size, ranked)
+    paged = _paged(source, lines, page_size)
     return paged.select("digest_date", "page", "last_page", _part(head, items, foot).alias("body"))
 
 
@@ -156,11 +159,7 @@ ROW_SEPARATOR = "<tr><td><hr></td></tr>"
 
 
 def render_html(
-    rated: DataFrame,
-    title: str = TITLE,
-    footer: Sequence[str] = FOOTER,
-    page_size: int = PAGE_SIZE,
-    ranked: DataFrame | None = None,
+    source: Digest, title: str = TITLE, footer: Sequence[str] = FOOTER, page_size: int = PAGE_SIZE
 ) -> DataFrame:
     """HTML body per date, as (digest_date, page, last_page, body).
 
@@ -195,7 +194,7 @@ def render_html(
     foot = F.lit("</table>\n<footer>" + "<br>".join([name, *footer]) + "</footer></body></html>")
     rows = F.array_join("items", ROW_SEPARATOR)
     rows = F.when(F.col("page") > 0, F.concat(F.lit(ROW_SEPARATOR), rows)).otherwise(rows)
-    paged = _paged(rated, row, page_size, ranked)
+    paged = _paged(source, row, page_size)
     return paged.select("digest_date", "page", "last_page", _part(head, rows, foot).alias("body"))
 
 

@@ -7,21 +7,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from newsmill import schemas
+from newsmill.sources.tables import read_stored
 
 LOOKBACK_DAYS = 7
 
 
 def read_sent(spark: SparkSession, root: str) -> DataFrame:
     """The sent-id table; a table that was never written is empty."""
-    try:
-        return spark.read.schema(schemas.SENT_ID).parquet(root)
-    except AnalysisException as err:
-        if err.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schemas.SENT_ID)
+    return read_stored(spark, root, schemas.SENT_ID)
 
 
 def seen_window(sent: DataFrame, date: str, lookback: int = LOOKBACK_DAYS) -> DataFrame:

@@ -13,7 +13,7 @@ from newsmill.functions.text import article_id, paper_url, strip_html
 from newsmill.operators import digest, metrics, policy, retention, seen, stats, triage
 from newsmill.operators.dedup import dedup_first
 from newsmill.plans import daily, views
-from newsmill.session import configure, work_dir
+from newsmill.session import configure, materialize, work_dir
 from newsmill.sources import cves, feeds, papers, registry, tables
 from newsmill.streaming import alarms, ingest
 from newsmill.streaming import seen as seen_stream
@@ -143,7 +143,7 @@ def rank_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def digest_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = rated(spark, sf_dir).withColumn("digest_date", run_date(iso_millis(F.col("published_at"))))
-    pages = digest.digest_pages(source, AS_OF, ["id", "title", "url", "severity", "category", "score", "summary"])
+    pages = digest.digest_pages(digest.prepare(source), AS_OF, ["id", "title", "url", "severity", "category", "score", "summary"])
     return pages.select(
         F.col("digest_date").cast("string").alias("digest_date"),
         "page",
@@ -162,16 +162,16 @@ def severity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def digest_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest.digest_subjects(rated(spark, sf_dir))
+    return digest.digest_subjects(digest.digest_totals(rated(spark, sf_dir)))
 
 
 def render_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = digest.render_text(rated(spark, sf_dir))
+    body = digest.render_text(digest.prepare(rated(spark, sf_dir)))
     return body.select("digest_date", "page", F.sha2("body", 256).alias("body_sha"), F.length("body").alias("body_len"))
 
 
 def render_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = digest.render_html(rated(spark, sf_dir))
+    body = digest.render_html(digest.prepare(rated(spark, sf_dir)))
     return body.select("digest_date", "page", F.sha2("body", 256).alias("body_sha"), F.length("body").alias("body_len"))
 
 
@@ -198,7 +198,7 @@ def source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = stats.error_pages(landing_errors(spark, sf_dir))
+    pages = stats.error_pages(materialize(landing_errors(spark, sf_dir), "errors"))
     return pages.select("source_type", "page", F.array_join("errors", "|").alias("errors"))
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsmill import schemas
 from newsmill.operators import digest, seen, triage
 from newsmill.operators.dedup import dedup_first
 from newsmill.session import configure, materialize
@@ -70,12 +71,16 @@ def triage_day(
 
 def read_processed(spark: SparkSession, store: Store, date: str) -> DataFrame:
     """Analysed articles of a date; quarantined ones are in their own folder."""
-    both = spark.read.parquet(store.path("processed", date))
-    return both.filter(F.col("triage_status") != "missing").drop("triage_status")
+    return _processed(spark, store, date).filter(F.col("triage_status") != "missing").drop("triage_status")
 
 
 def read_quarantine(spark: SparkSession, store: Store, date: str) -> DataFrame:
-    return spark.read.parquet(store.path("processed", date)).filter(F.col("triage_status") == "missing")
+    return _processed(spark, store, date).filter(F.col("triage_status") == "missing")
+
+
+def _processed(spark: SparkSession, store: Store, date: str) -> DataFrame:
+    schema = schemas.ANALYZED + ", triage_status string"
+    return spark.read.schema(schema).parquet(store.path("processed", date))
 
 
 def rate_day(spark: SparkSession, store: Store, date: str) -> DataFrame:
@@ -104,14 +109,17 @@ def digest_day(
         df.drop("digest_date").write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).option("basePath", store.path(table)).parquet(path)
 
+    # The date is named, so a day without articles has an empty digest.
+    day = spark.range(1).select(F.lit(date).cast("date").alias("digest_date"))
     rated = write(rate_day(spark, store, date), "rated")
-    ranked = write(digest.rank_articles(rated.filter("included")), "ranked")
-    pages = digest.digest_pages(rated, generated_at, DIGEST_FIELDS, page_size, ranked)
+    made = digest.prepare(rated, day)
+    made = digest.Digest(write(made.totals, "totals"), write(made.ranked, "ranked"))
+    pages = digest.digest_pages(made, generated_at, DIGEST_FIELDS, page_size)
     tables.write_json(pages, store.path("digests", date, "digest_date"))
     for kind, render in (("text", digest.render_text), ("html", digest.render_html)):
-        write(render(rated, title, page_size=page_size, ranked=ranked), f"reports_{kind}")
-    write(digest.digest_subjects(rated, title), "subjects")
-    seen.save_sent(ranked, store.path("sent_ids"), date)
+        write(render(made, title, page_size=page_size), f"reports_{kind}")
+    write(digest.digest_subjects(made.totals, title), "subjects")
+    seen.save_sent(made.ranked, store.path("sent_ids"), date)
 
 
 def replay(rated: DataFrame, lookback: int = seen.LOOKBACK_DAYS) -> DataFrame:
@@ -136,7 +144,7 @@ def backfill_digests(
     """
     needed = {"severity", "severity_rank", "score", "source_ord", "pos", "included", *fields}
     days = replay(rated).withColumn("digest_date", F.col("run_date")).select("digest_date", *sorted(needed))
-    return digest.digest_pages(materialize(days, "replay"), generated_at, fields, page_size)
+    return digest.digest_pages(digest.prepare(materialize(days, "replay")), generated_at, fields, page_size)
 
 
 def run_summary(spark: SparkSession, store: Store, date: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +44,17 @@ def write_raw(articles: DataFrame, root: str, run_date: str) -> None:
 
 def read_raw(spark: SparkSession, root: str, run_date: str) -> DataFrame:
     """Raw articles of a run; only that date's folder is listed and read."""
-    schema = schemas.ARTICLE + ", run_date date"
-    return spark.read.schema(schema).option("basePath", root).parquet(f"{root}/run_date={run_date}")
+    return read_stored(spark, f"{root}/run_date={run_date}", schemas.ARTICLE + ", run_date date", root)
+
+
+def read_stored(spark: SparkSession, path: str, schema: str, root: str | None = None) -> DataFrame:
+    """A stored table, or part of one below ``root``; never written means empty."""
+    try:
+        return spark.read.schema(schema).option("basePath", root or path).parquet(path)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -108,3 +108,10 @@ def test_replay_equals_the_daily_runs(spark, tmp_path):
     replayed = {str(r.digest_date): (r.total_scraped, r.total_included, [a.title for a in r.articles]) for r in pages.collect()}
     assert replayed == {date: titles(store, spark, date) for date in replayed}
     assert len(replayed) == len(plan)
+
+
+def test_a_day_without_articles_has_an_empty_digest(spark, tmp_path):
+    store = daily.Store(str(tmp_path))
+    daily.run_day(spark, store, "2026-04-18", {"rss": None}, "rules", GENERATED)
+    assert titles(store, spark, "2026-04-18") == (0, 0, [])
+    assert daily.run_summary(spark, store, "2026-04-18").first().raw == 0

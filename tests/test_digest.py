@@ -38,7 +38,7 @@ def whole(pages):
 
 
 def test_text(spark):
-    body = whole(digest.render_text(rated(spark, *THREE), "Daily News", ["Stop: write to us"]))[DATE]
+    body = whole(digest.render_text(digest.prepare(rated(spark, *THREE)), "Daily News", ["Stop: write to us"]))[DATE]
     assert body == "\n".join(
         [
             "=" * 60,
@@ -71,7 +71,7 @@ def test_text(spark):
 
 
 def test_html(spark):
-    body = whole(digest.render_html(rated(spark, *THREE)))[DATE]
+    body = whole(digest.render_html(digest.prepare(rated(spark, *THREE))))[DATE]
     assert body.startswith("<!DOCTYPE html>") and body.rstrip().endswith("</html>")
     for part in (
         'href="https://e.com/3"', "RCE &amp; more", "Jailbreak &lt;new&gt;", "3 included", "4 scraped",
@@ -87,14 +87,14 @@ def test_html(spark):
 
 @pytest.mark.parametrize("render", [digest.render_text, digest.render_html])
 def test_pages_concatenate_to_the_single_page_body(spark, render):
-    rows = rated(spark, *(THREE * 4))
+    rows = digest.prepare(rated(spark, *(THREE * 4)))
     parts = render(rows, page_size=5)
     assert parts.count() == 3
     assert whole(parts) == whole(render(rows))
 
 
 def test_empty_digest(spark):
-    rows = rated(spark, ("Only", "INFO", "OTHER", 0, []))
+    rows = digest.prepare(rated(spark, ("Only", "INFO", "OTHER", 0, [])))
     assert "0 items included / 1 scraped" in whole(digest.render_text(rows))[DATE]
     assert "</html>" in whole(digest.render_html(rows))[DATE]
     page = digest.digest_pages(rows, "2026-04-18 07:00:00", ["id", "title"]).first()
@@ -103,7 +103,7 @@ def test_empty_digest(spark):
 
 def test_digest_pages(spark):
     rows = rated(spark, *THREE).unionByName(rated(spark, THREE[0], date="2026-04-19"))
-    found = {str(r.digest_date): r for r in digest.digest_pages(rows, "2026-04-19 07:00:00", ["title", "score"]).collect()}
+    found = {str(r.digest_date): r for r in digest.digest_pages(digest.prepare(rows), "2026-04-19 07:00:00", ["title", "score"]).collect()}
     first = found[DATE]
     assert [a.title for a in first.articles] == ["RCE & more", "Bucket flaw", "Jailbreak <new>"]
     assert (first.total_scraped, first.total_included) == (4, 3)
@@ -113,7 +113,7 @@ def test_digest_pages(spark):
 
 def test_subjects(spark):
     rows = rated(spark, *THREE).unionByName(rated(spark, THREE[0], date="2026-04-19"))
-    found = {r.subject for r in digest.digest_subjects(rows, "News").collect()}
+    found = {r.subject for r in digest.digest_subjects(digest.digest_totals(rows), "News").collect()}
     assert found == {"News — 2026-04-18 (3 items)", "News — 2026-04-19 (1 item)"}
 
 
