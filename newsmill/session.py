@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
 import tempfile
 import uuid
 
@@ -41,16 +44,24 @@ def build_session(app: str = "newsmill", master: str | None = None, **conf: str)
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder named in ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only when the session itself is local.
+    Only a session that runs in one process may leave the setting out. It then
+    gets a folder of its own, which goes when that process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="newsmill-")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _own_folder() -> str:
+    folder = tempfile.TemporaryDirectory(prefix="newsmill-", ignore_cleanup_errors=True)
+    atexit.register(folder.cleanup)
+    return folder.name
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the work folder and read it back.
 
