@@ -8,12 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import bpe, oracles
-from newsmill.llm.common import table
+from newsmill.llm import bpe, lang_id, oracles
+from newsmill.llm.common import id_fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = id_fold(F.col("doc_id"), 5) == 0
+    model = lang_id.train(docs.filter(~held_out))
+    judged = lang_id.predict(spark, docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -29,6 +37,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_byte_bpe": op3_byte_bpe,
 }
 
