@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import bpe, lang_id, oracles
+from newsmill.llm import bpe, lang_id, near_dups, oracles
 from newsmill.llm.common import id_fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -36,9 +36,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_near_dups": op4_near_dups,
 }
 
 

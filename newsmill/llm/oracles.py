@@ -1,3 +1,35 @@
 """DuckDB SQL for those queries of this folder that SQL can express."""
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4 = f"""
+with recursive words as (
+  select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents
+), sets as (
+  select doc_id,
+    case when w is null or len(w) = 0 then []
+         when len(w) < 5 then [array_to_string(w, ' ')]
+         else list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')))
+    end as s
+  from words
+), shingles as (
+  select doc_id, unnest(s) as g from sets
+), common as (
+  select a.doc_id as u, b.doc_id as v, count(*) as n
+  from shingles a join shingles b on a.g = b.g and a.doc_id < b.doc_id group by all
+), links as (
+  select u, v from common
+  join sets a on a.doc_id = u join sets b on b.doc_id = v
+  where 100 * n >= 85 * (len(a.s) + len(b.s) - n)
+), ways as (
+  select u, v from links union all select v, u from links
+), reach(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union
+  select reach.doc_id, ways.v from reach join ways on reach.other = ways.u
+)
+select sets.doc_id, len(s)::bigint as n_shingles, min(other) as component_id, sets.doc_id = min(other) as kept
+from sets join reach using (doc_id) group by sets.doc_id, s
+"""
+
+SQL: dict[str, str] = {"op4_near_dups": OP4}
