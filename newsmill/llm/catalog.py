@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import bpe, lang_id, near_dups, oracles
+from newsmill.llm import bpe, decontaminate, lang_id, near_dups, oracles
 from newsmill.llm.common import id_fold, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -40,10 +40,22 @@ def op4_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_near_dups": op4_near_dups,
+    "op10_decontamination": op10_decontamination,
 }
 
 

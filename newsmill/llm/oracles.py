@@ -32,4 +32,36 @@ select sets.doc_id, len(s)::bigint as n_shingles, min(other) as component_id, se
 from sets join reach using (doc_id) group by sets.doc_id, s
 """
 
-SQL: dict[str, str] = {"op4_near_dups": OP4}
+OP10 = f"""
+with docs as (
+  select doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents
+), items as (
+  select item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark
+), item_windows as (
+  select distinct item_id, n, array_to_string(w[p:p + n - 1], ' ') as g
+  from (
+    select item_id, w, least(10, len(w)) as n, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) as p
+    from items where len(w) > 0
+  )
+), doc_windows as (
+  select doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') as g
+  from (
+    select doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) as p
+    from docs, (select distinct n from item_windows) where len(w) >= n
+  )
+), hits as (
+  select doc_id, item_id, p, n from doc_windows join item_windows using (n, g)
+), words as (
+  select doc_id, count(distinct place) as n_hit
+  from (select doc_id, unnest(generate_series(p, p + n - 1)) as place from hits) group by doc_id
+), found as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as listed
+  from (select distinct doc_id, item_id::varchar as item from hits) group by doc_id
+)
+select doc_id, coalesce(len(w), 0)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+  coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(listed, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from docs left join words using (doc_id) left join found using (doc_id)
+"""
+
+SQL: dict[str, str] = {"op4_near_dups": OP4, "op10_decontamination": OP10}
