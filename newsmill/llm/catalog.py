@@ -8,12 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import bpe, decontaminate, lang_id, near_dups, oracles
+from newsmill.llm import bpe, decontaminate, lang_id, near_dups, oracles, pii
 from newsmill.llm.common import id_fold, table
 
+#: The key of the registered queries; real runs pass a secret one.
+PII_KEY = b"newsmill"
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(spark, table(spark, sf_dir, "documents", "doc_id", "text"), PII_KEY)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     held_out = id_fold(F.col("doc_id"), 5) == 0
@@ -52,6 +58,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op2_language_id": op2_language_id,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_near_dups": op4_near_dups,
