@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import bpe, decontaminate, lang_id, near_dups, oracles, pii
+from newsmill.llm import bpe, decontaminate, lang_id, near_dups, oracles, pii, quality
 from newsmill.llm.common import id_fold, table
 
 #: The key of the registered queries; real runs pass a secret one.
@@ -46,6 +46,12 @@ def op4_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.judge(spark, docs, model, keep=["doc_id"])
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -62,6 +68,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_near_dups": op4_near_dups,
+    "op5_quality": op5_quality,
     "op10_decontamination": op10_decontamination,
 }
 
