@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import bpe, decontaminate, lang_id, near_dups, oracles, pii, quality
+from newsmill.llm import bpe, decontaminate, lang_id, near_dups, ngram_lm, oracles, pii, quality
 from newsmill.llm.common import id_fold, table
 
 #: The key of the registered queries; real runs pass a secret one.
@@ -52,6 +52,16 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(spark, docs, model, keep=["doc_id"])
 
 
+def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = id_fold(F.col("doc_id"), 10) == 0
+    model = ngram_lm.train(spark, docs.filter(~held_out))
+    return ngram_lm.score(spark, docs, model, keep=["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"),
+        "base_score", "score", "perplexity",
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -69,6 +79,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_near_dups": op4_near_dups,
     "op5_quality": op5_quality,
+    "op7_ngram_lm": op7_ngram_lm,
     "op10_decontamination": op10_decontamination,
 }
 
