@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import bpe, decontaminate, lang_id, near_dups, ngram_lm, oracles, pii, quality
+from newsmill.llm import bpe, decontaminate, lang_id, licenses, near_dups, ngram_lm, oracles, pii, quality
 from newsmill.llm.common import id_fold, table
 
 #: The key of the registered queries; real runs pass a secret one.
@@ -62,6 +62,10 @@ def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(spark, table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -80,6 +84,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_dups": op4_near_dups,
     "op5_quality": op5_quality,
     "op7_ngram_lm": op7_ngram_lm,
+    "op8_licenses": op8_licenses,
     "op10_decontamination": op10_decontamination,
 }
 

@@ -1,5 +1,7 @@
 """DuckDB SQL for those queries of this folder that SQL can express."""
 
+from newsmill.llm.licenses import TEMPLATES
+
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP4 = f"""
@@ -64,4 +66,39 @@ select doc_id, coalesce(len(w), 0)::bigint as n_words, coalesce(n_hit, 0)::bigin
 from docs left join words using (doc_id) left join found using (doc_id)
 """
 
-SQL: dict[str, str] = {"op4_near_dups": OP4, "op10_decontamination": OP10}
+_TEMPLATES = ", ".join(
+    "('{}', {}, '{}')".format(name, i, text.replace("'", "''"))
+    for name, group in TEMPLATES.items()
+    for i, text in enumerate(group)
+)
+_SHINGLES = """case when len(w) >= 5 then list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))
+  when len(w) > 0 then [array_to_string(w, ' ')] else [] end"""
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP8 = f"""
+with docs as (
+  select doc_id, {_SHINGLES} as s from (select doc_id, {_WORDS} as w from documents)
+), placed as (
+  select doc_id, len(s) as size, unnest(s) as g, unnest(generate_series(0, len(s) - 1)) as p from docs where len(s) > 0
+), templates as (
+  select license, number, list_distinct({_SHINGLES}) as t
+  from (select license, number, {_WORDS} as w from (values {_TEMPLATES}) as v(license, number, text))
+), sized as (
+  select license, number, t, len(t) as n, (2 ** greatest(0, ceil(log2(len(t) / 3.0))))::bigint as block from templates
+), hits as (
+  select doc_id, size, p, placed.g, license, number, n, block
+  from placed join (select *, unnest(t) as g from sized) using (g)
+), windowed as (
+  select *, unnest(generate_series(
+    greatest(0, ceil((p - 4 * block + 1) / block::double)::bigint),
+    least(p // block, greatest(size - block, 0) // block))) * block as start
+  from hits
+), parts as (
+  select doc_id, license, min(p) as place, count(distinct g) / n as part
+  from windowed group by doc_id, license, number, n, start having count(distinct g) * 100 >= n * 80
+)
+select doc_id, license, place::int as first_word, part as containment
+from parts qualify row_number() over (partition by doc_id, license order by part desc, place) = 1
+"""
+
+SQL: dict[str, str] = {"op8_licenses": OP8, "op4_near_dups": OP4, "op10_decontamination": OP10}
