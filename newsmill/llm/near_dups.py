@@ -4,11 +4,12 @@ A text is the set of its distinct five-word shingles. One hash of each shingle
 picks a bin and is the bin's candidate for the minimum; empty bins borrow from
 bins drawn at random until one is full (optimal densification), so that each bin
 agrees between two texts with a chance equal to their similarity. Runs of bins
-are banded into buckets. In a bucket, candidate edges form stars around its most
-central member instead of all pairs; members that this leaves in different
-components are tested again around further centres, until every bucket is either
-one component or has no untested pair of components. Links are confirmed on the
-full sets.
+are banded into buckets. In a bucket, candidate edges form a star around its most
+central member instead of all pairs. Where a bucket still holds several components
+after that, its members are compared by their rarest shingles: two texts that are
+similar enough must share one of a few, at places that leave enough to share. That
+finds every link that the stars left out, and texts that differ too much from all
+others meet nobody. Links are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -113,7 +114,7 @@ def sketch(docs: DataFrame, settings: Settings, text: str = "text", keep: list[s
 
 
 def _shingles(docs: DataFrame, settings: Settings) -> DataFrame:
-    """``docs`` (node, text) with the shingle sets in place of the texts."""
+    """``docs`` (node, same, text) with the shingle sets in place of the texts."""
 
     def make():
         hashes = WordHashes(xxhash.xxh3_64_intdigest)
@@ -124,7 +125,7 @@ def _shingles(docs: DataFrame, settings: Settings) -> DataFrame:
 
         return apply
 
-    return arrow_columns(docs, ["text"], "shingles array<long>", make, keep=["node"])
+    return arrow_columns(docs, ["text"], "shingles array<long>", make, keep=["node", "same"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -146,48 +147,55 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return materialize(ranked, "near-buckets")
 
 
+def _star_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Each member of a bucket with the most central one, where their sizes allow a link."""
+    stars = members.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n_shingles")).alias("hub"))
+    stars = stars.select("bucket", F.col("hub.node").alias("u"), F.col("hub.n_shingles").alias("hub_n"))
+    pairs = members.join(stars, "bucket").filter(F.col("node") != F.col("u"))
+    return pairs.filter(_sizes_allow("n_shingles", "hub_n", percent)).select("u", F.col("node").alias("v")).distinct()
+
+
+def _sizes_allow(a: str, b: str, percent: int) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
+def _rare_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``nodes`` (node, comp) in different components that may be similar enough; no such pair is missing.
+
+    With the shingles of a set of ``n`` ordered from the rarest on, a set that is
+    similar enough lacks at most ``n - percent * n`` of them, so it holds one of the
+    first ones, in its own first part too; the first they share leaves only what
+    comes after it to be shared as well.
+    """
+    own = sets.join(nodes, "node").withColumn("n", F.size("shingles"))
+    tokens = own.select("node", "same", "comp", "n", F.explode("shingles").alias("g"))
+    often = tokens.groupBy("g").agg(F.count("*").alias("often"))
+    order = Window.partitionBy("node", "same").orderBy("often", "g")
+    ranked = tokens.join(often, "g").withColumn("place", F.row_number().over(order) - 1)
+    first = ranked.filter((F.col("n") - F.col("place")) * 100 >= F.col("n") * percent).filter("often > 1")
+    first = materialize(first.select("g", "node", "comp", "n", "place"), "near-rare")
+    other = first.select(*(F.col(c).alias(f"{c}_b") for c in first.columns))
+    left = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b"))
+    enough = left * (100 + percent) >= (F.col("n") + F.col("n_b")) * percent
+    apart = (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b"))
+    met = first.join(other, (F.col("g") == F.col("g_b")) & apart & enough & _sizes_allow("n", "n_b", percent))
+    return met.select(F.col("node").alias("u"), F.col("node_b").alias("v")).distinct()
+
+
 def _links(members: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """Each class but the smallest of its component, and the smallest: ``(u, v)``."""
-    nodes = members.select("node").distinct()
-    texts = docs.join(nodes, "node", "left_semi").withColumn("same", F.xxhash64("text"))
+    texts = docs.join(members.select("node").distinct(), "node", "left_semi").withColumn("same", F.xxhash64("text"))
     sets = materialize(_shingles(texts.dropDuplicates(["node", "same"]), settings), "near-sets")
-    forest = tested = None
-    live = members.withColumn("comp", F.col("node"))
-    centres = 1
-    while True:
-        slot = F.pmod(F.xxhash64("node", F.lit(centres)), F.lit(centres))
-        stars = live.groupBy("bucket", slot.alias("slot")).agg(
-            F.max(F.struct("weight", "node", "n_shingles", "comp")).alias("hub")
-        )
-        stars = materialize(stars.select("bucket", "hub.node", "hub.n_shingles", "hub.comp"), "near-stars")
-        hubs = stars.select(
-            "bucket", F.col("node").alias("hub"), F.col("n_shingles").alias("hub_n"), F.col("comp").alias("hub_comp")
-        )
-        small, large = F.least("n_shingles", "hub_n"), F.greatest("n_shingles", "hub_n")
-        near = (F.col("comp") != F.col("hub_comp")) & (small * 100 >= large * settings.percent)
-        pairs = live.join(hubs, "bucket").filter(near)
-        pairs = pairs.select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-        if tested is not None:
-            done = tested.unionByName(tested.select(F.col("v").alias("u"), F.col("u").alias("v")))
-            pairs = pairs.join(done, ["u", "v"], "left_anti")
-        pairs = materialize(pairs, "near-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = materialize(_verified(pairs, sets, settings.percent), "near-links")
-        if forest is None:
-            forest = components(links, "near-forest")
-        elif not links.isEmpty():
-            forest = components(links.unionByName(forest), "near-forest")
-
-        # Centres have met all members of their bucket; go on where components still differ.
-        rest = live.drop("comp").join(stars.select("bucket", "node"), ["bucket", "node"], "left_anti")
-        rest = rest.join(forest.select(F.col("u").alias("node"), F.col("v").alias("comp")), "node", "left")
-        rest = rest.withColumn("comp", F.coalesce("comp", "node"))
-        mixed = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        mixed = mixed.filter(F.col("lo") != F.col("hi")).select("bucket")
-        live = materialize(rest.join(mixed, "bucket", "left_semi"), "near-rest")
-        if live.isEmpty():
-            return forest
-        centres *= 4
+    pairs = materialize(_star_pairs(members, settings.percent), "near-pairs")
+    forest = components(_verified(pairs, sets, settings.percent), "near-forest")
+
+    tops = forest.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+    named = members.select("bucket", "node").join(tops, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    mixed = mixed.filter(F.col("lo") != F.col("hi")).select("bucket")
+    open_nodes = materialize(named.join(mixed, "bucket", "left_semi").select("node", "comp").distinct(), "near-open")
+    pairs = materialize(_rare_pairs(sets, open_nodes, settings.percent), "near-pairs")
+    return components(_verified(pairs, sets, settings.percent).unionByName(forest), "near-forest")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
