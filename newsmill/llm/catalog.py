@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import bpe, decontaminate, lang_id, licenses, near_dups, ngram_lm, oracles, pii, quality
+from newsmill.llm import bpe, decontaminate, html_text, lang_id, licenses, near_dups, ngram_lm, oracles, pii, quality
 from newsmill.llm.common import id_fold, table
 
 #: The key of the registered queries; real runs pass a secret one.
@@ -52,6 +52,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(spark, docs, model, keep=["doc_id"])
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"), keep=["page_id", "url"])
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     held_out = id_fold(F.col("doc_id"), 10) == 0
@@ -83,6 +88,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_near_dups": op4_near_dups,
     "op5_quality": op5_quality,
+    "op6_main_text": op6_main_text,
     "op7_ngram_lm": op7_ngram_lm,
     "op8_licenses": op8_licenses,
     "op10_decontamination": op10_decontamination,
