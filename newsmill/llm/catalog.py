@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import bpe, decontaminate, html_text, lang_id, licenses, near_dups, ngram_lm, oracles, pii, quality
+from newsmill.llm import bpe, decontaminate, html_text, lang_id, licenses, near_dups, ngram_lm, oracles, pii, quality, secrets
 from newsmill.llm.common import id_fold, table
 
 #: The key of the registered queries; real runs pass a secret one.
@@ -71,6 +71,13 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(spark, table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    found = secrets.scan(docs, learn_from=id_fold(F.col("key"), 5) != 0)
+    finding = F.sha2(F.col("finding").cast("binary"), 256).alias("finding_sha256")
+    return found.select("doc_id", "place", finding, F.round("score", 6).alias("score"), "is_secret")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -91,6 +98,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_main_text": op6_main_text,
     "op7_ngram_lm": op7_ngram_lm,
     "op8_licenses": op8_licenses,
+    "op9_secrets": op9_secrets,
     "op10_decontamination": op10_decontamination,
 }
 
