@@ -9,16 +9,14 @@ has a similarity of 1/4 with it at least, so a template is missed with a chance
 ``(3/4) ** 32``, 1e-4, at most, and where several windows hold it, of less. What is
 retrieved is verified: enough of the template's shingles must lie in the window.
 
-A hash is the shingle's own hash xored with a constant, so equal minima mean equal
-shingles. Texts without any template's minimum cannot share a band; they are
-left out before windows are built, which changes no result.
+A band can only be shared if the template's own least shingle is in the window, so
+texts and windows without any of those are left out first, which changes no result.
 
 All of it is built-in expressions over arrays.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -101,13 +99,8 @@ def _shingles(text: Column, size: int) -> Column:
     return once(word_hashes(text), of)
 
 
-def _constants(bands: int) -> list[int]:
-    """Fixed 63-bit constants, one of each band."""
-    return [int.from_bytes(hashlib.sha256(f"band {i}".encode()).digest()[:8], "big") >> 1 for i in range(bands)]
-
-
-def _minimum(shingles: Column, constant: int) -> Column:
-    return F.array_min(F.transform(shingles, lambda s: s.bitwiseXOR(F.lit(constant))))
+def _hash(shingle: Column, band: int) -> Column:
+    return F.xxhash64(shingle, F.lit(band))
 
 
 @dataclass(frozen=True)
@@ -117,26 +110,33 @@ class Template:
     shingles: tuple[int, ...]
     block: int
     minima: tuple[int, ...]
-    """The shingle that is the least of each band."""
+    """The least hash of each band."""
+    least: frozenset[int]
+    """The shingles they belong to."""
 
 
 def prepare(spark: SparkSession, templates: Mapping[str, tuple[str, ...]], settings: Settings) -> list[Template]:
     """Shingles, block sizes and band minima of a catalogue of templates (a parameter, so small)."""
     texts = [(name, i, text) for name, group in templates.items() for i, text in enumerate(group)]
     rows = spark.createDataFrame(texts, "license string, number int, text string")
-    hashed = F.array_distinct(_shingles(F.col("text"), settings.shingle))
-    constants, out = _constants(settings.bands), []
-    for r in rows.select("license", "number", hashed.alias("s")).collect():
-        if not r.s:
-            continue
+    hashed = rows.select("license", "number", F.array_distinct(_shingles(F.col("text"), settings.shingle)).alias("s"))
+    least = [
+        F.array_min(F.transform("s", _with_hash(i))) for i in range(settings.bands)
+    ]
+    out = []
+    for r in hashed.filter(F.size("s") > 0).select("*", F.array(*least).alias("least")).collect():
         block = 1
         while len(r.s) > (settings.blocks - 1) * block:
             block *= 2
-        minima = tuple(min(r.s, key=lambda s, c=c: s ^ c) for c in constants)
-        out.append(Template(r.license, r.number, tuple(r.s), block, minima))
+        minima = tuple(x.hash for x in r.least)
+        out.append(Template(r.license, r.number, tuple(r.s), block, minima, frozenset(x.shingle for x in r.least)))
     return out
 
 
+def _with_hash(band: int):
+    return lambda s: F.struct(_hash(s, band).alias("hash"), s.alias("shingle"))
+
+
 def _is_any(value: Column, values: list[int]) -> Column:
     return value.isin(*values) if values else F.lit(False)
 
@@ -157,25 +157,24 @@ def scan(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str =
     key and license give the best of them.
     """
     known = prepare(spark, templates, settings)
-    minima = sorted({m for t in known for m in t.minima})
+    least = sorted({s for t in known for s in t.least})
     own = docs.select(F.col(f"`{key}`").alias("key"), _shingles(F.col(f"`{text}`"), settings.shingle).alias("s"))
-    own = own.filter(F.exists("s", lambda s: _is_any(s, minima)))
+    own = own.filter(F.exists("s", lambda s: _is_any(s, least)))
     size = settings.blocks
 
     def per_block(block: int, group: list[Template]) -> Column:
-        bands = [
-            (sorted({t.minima[i] ^ c for t in group}), c) for i, c in enumerate(_constants(settings.bands))
-        ]
+        bands = [sorted({t.minima[i] for t in group}) for i in range(settings.bands)]
+
+        def shared(inside: Column, band: int) -> Column:
+            """The window's minimum, if it is one of a template's."""
+            minimum = F.array_min(F.transform(inside, lambda s: _hash(s, band)))
+            return once(minimum, lambda m: F.when(_is_any(m, bands[band]), m))
 
         def window(start: Column) -> Column:
             def rows(inside: Column) -> Column:
-                # The bands in which the window's minimum is one of a template's.
-                shared = F.array(*(
-                    F.when(_is_any(_minimum(inside, c), values), _minimum(inside, c).bitwiseXOR(F.lit(c)))
-                    for values, c in bands
-                ))
+                both = F.array_compact(F.array(*(shared(inside, i) for i in range(settings.bands))))
                 return F.struct(
-                    start.alias("first_word"), F.lit(block).alias("block"), F.array_compact(shared).alias("bands"),
+                    start.alias("first_word"), F.lit(block).alias("block"), both.alias("bands"),
                     inside.alias("inside"),
                 )
 
@@ -184,7 +183,7 @@ def scan(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str =
         # Windows without any template minimum share no band.
         starts = F.filter(
             _windows(F.col("s"), block),
-            lambda i: F.exists(F.slice(F.col("s"), i + 1, F.lit(size * block)), lambda s: _is_any(s, minima)),
+            lambda i: F.exists(F.slice(F.col("s"), i + 1, F.lit(size * block)), lambda s: _is_any(s, least)),
         )
         return F.filter(F.transform(starts, window), lambda w: F.size(w["bands"]) > 0)
 
