@@ -28,6 +28,10 @@ from newsmill.llm.components import components
 from newsmill.session import materialize
 
 
+#: Keys of candidates up to this number are broadcast; beyond it the texts are dealt out by key.
+BROADCAST_ROWS = 1_000_000
+
+
 @dataclass(frozen=True)
 class Settings:
     """Words of a shingle, least similarity in per cent, and the bands.
@@ -184,7 +188,9 @@ def _rare_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def _links(members: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """Each class but the smallest of its component, and the smallest: ``(u, v)``."""
-    texts = docs.join(members.select("node").distinct(), "node", "left_semi").withColumn("same", F.xxhash64("text"))
+    nodes = materialize(members.select("node").distinct(), "near-nodes")
+    few = nodes.count() <= BROADCAST_ROWS
+    texts = docs.join(F.broadcast(nodes) if few else nodes, "node", "left_semi").withColumn("same", F.xxhash64("text"))
     sets = materialize(_shingles(texts.dropDuplicates(["node", "same"]), settings), "near-sets")
     pairs = materialize(_star_pairs(members, settings.percent), "near-pairs")
     forest = components(_verified(pairs, sets, settings.percent), "near-forest")
