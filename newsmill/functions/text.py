@@ -53,6 +53,15 @@ def ordinal(source_ord: str = "source_ord", pos: str = "pos") -> Column:
     return F.shiftleft(F.col(source_ord).cast("bigint"), 60) + F.col(pos)
 
 
+#: Bits for the items of a document; documents of a source type have 40.
+ITEM_BITS = 20
+
+
 def item_pos(doc_pos: Column, item: Column) -> Column:
-    """Position of an item inside the landed document number ``doc_pos``."""
-    return F.shiftleft(doc_pos.cast("bigint"), 20) + item
+    """Position of an item inside the landed document number ``doc_pos``.
+
+    Numbers that do not fit raise instead of taking another item's position.
+    """
+    fits = (item < 1 << ITEM_BITS) & doc_pos.between(0, (1 << 40) - 1)
+    place = F.shiftleft(doc_pos.cast("bigint"), ITEM_BITS) + item
+    return F.when(fits, place).otherwise(F.raise_error(F.lit("too many documents or items for one position")).cast("bigint"))

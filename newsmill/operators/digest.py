@@ -10,18 +10,18 @@ from pyspark.sql import functions as F
 
 from newsmill.functions.text import escape_markup, ordinal
 from newsmill.operators.policy import SEVERITIES, with_policy
-from newsmill.operators.ranking import PAGE_SIZE, collect_pages, rank_in_groups
+from newsmill.operators.ranking import BLOCK_BITS, PAGE_SIZE, collect_pages, rank_in_groups
 
 TITLE = "Daily Intelligence Digest"
 FOOTER = ("Assembled automatically once a day",)
 
 
-def rank_articles(included: DataFrame, by: Sequence[str] = ("digest_date",)) -> DataFrame:
+def rank_articles(included: DataFrame, by: Sequence[str] = ("digest_date",), block_bits: int = BLOCK_BITS) -> DataFrame:
     """Rank by severity, then score, then input order.
 
     Needs ``severity_rank`` and ``score``, which ``with_policy`` provides.
     """
-    return rank_in_groups(included, by, [-F.col("severity_rank"), -F.col("score")], ordinal())
+    return rank_in_groups(included, by, [-F.col("severity_rank"), -F.col("score")], ordinal(), block_bits=block_bits)
 
 
 def severity_counts(included: DataFrame, by: Sequence[str] = ("digest_date",)) -> DataFrame:
@@ -76,12 +76,15 @@ def _paged(source: Digest, item: Column, page_size: int) -> DataFrame:
     """Pages of ``item`` with the totals of their date; empty dates included."""
     items = source.ranked.select("digest_date", "rank", item.alias("_item"))
     pages = collect_pages(items, ["digest_date"], F.col("_item"), page_size=page_size)
-    filled = pages.join(source.totals, "digest_date")
-    empty = source.totals.filter("total_included = 0").withColumns(
-        {"page": F.lit(0).cast("bigint"), "items": F.array().cast(pages.schema["items"].dataType)}
-    )
+    none = F.array().cast(pages.schema["items"].dataType)
     last = F.greatest(F.lit(0), F.ceil(F.col("total_included") / page_size) - 1)
-    return filled.unionByName(empty).withColumn("last_page", last.cast("bigint"))
+    return source.totals.join(pages, "digest_date", "left").withColumns(
+        {
+            "page": F.coalesce("page", F.lit(0).cast("bigint")),
+            "items": F.coalesce("items", none),
+            "last_page": last.cast("bigint"),
+        }
+    )
 
 
 def digest_pages(

@@ -25,24 +25,21 @@ def _start(period: str) -> Column:
     return F.window("ts", period)["start"]
 
 
+def signals() -> Column:
+    """The alarms that a metric counts for: an error of its function, a failure, a timeout."""
+    each = F.array(
+        F.when(F.col("is_error"), F.concat(F.lower("fn"), F.lit("-errors"))),
+        F.when(F.col("status") == "failed", F.lit("run-failures")),
+        F.when(F.col("status") == "timed_out", F.lit("run-timeouts")),
+    )
+    return F.array_compact(each)
+
+
 def error_alarms(metrics: DataFrame) -> DataFrame:
     """Five-minute windows with an error of a function, a failure or a timeout."""
-    counts = metrics.groupBy(_start("5 minutes").alias("window_start"), "fn").agg(
-        F.count_if("is_error").alias("errors"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
-        F.count_if(F.col("status") == "timed_out").alias("timed_out"),
-    )
-    signals = F.array(
-        F.struct(F.concat(F.lower("fn"), F.lit("-errors")).alias("alarm"), F.col("errors").alias("n")),
-        F.struct(F.lit("run-failures").alias("alarm"), F.col("failed").alias("n")),
-        F.struct(F.lit("run-timeouts").alias("alarm"), F.col("timed_out").alias("n")),
-    )
-    return (
-        counts.select("window_start", F.inline(signals))
-        .groupBy("window_start", "alarm")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= ERROR_THRESHOLD)
-    )
+    counted = metrics.select("ts", F.explode(signals()).alias("alarm"))
+    counts = counted.groupBy(_start("5 minutes").alias("window_start"), "alarm").agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") >= ERROR_THRESHOLD)
 
 
 def hourly_status(metrics: DataFrame) -> DataFrame:

@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
 MARGIN = 10 / ACCURACY
-SMALL_GROUP = 20_000
 
 
-def exact_quantile(df: DataFrame, by: Sequence[str], value: str, q: float, name: str,
-                   small_group: int = SMALL_GROUP) -> DataFrame:
+def exact_quantile(df: DataFrame, by: Sequence[str], value: str, q: float, name: str) -> DataFrame:
     """Linearly interpolated quantile, as ``percentile`` gives it.
 
     ``percentile`` keeps every distinct value of a group in one buffer. Here a
     sketch of fixed size brackets the quantile first (its rank error is a
     tenth of the bracket's margin); values below the bracket are only counted,
-    those above are dropped, and the few inside are sorted. Groups of up to
-    ``small_group`` rows are sorted whole. A bracket that missed would raise.
+    those above are dropped, and the distinct ones inside, a two-thousandth of
+    the group or so, are sorted. NaN counts as the largest value, as it does for
+    ``percentile``. Groups of all sizes go the same way; a bracket that missed
+    would raise.
     """
     rows = df.filter(F.col(value).isNotNull())
     probs = [max(q - MARGIN, 0.0), min(q + MARGIN, 1.0)]
@@ -36,26 +36,30 @@ def exact_quantile(df: DataFrame, by: Sequence[str], value: str, q: float, name:
             F.floor(place).alias("_k0"),
             F.ceil(place).alias("_k1"),
             (place - F.floor(place)).alias("_fraction"),
-            F.when(F.col("_total") > small_group, F.col("_bracket")[0]).alias("_low"),
-            F.when(F.col("_total") > small_group, F.col("_bracket")[1]).alias("_high"),
+            F.col("_bracket")[0].alias("_low"),
+            F.col("_bracket")[1].alias("_high"),
         )
     )
-    low = F.coalesce(F.col("_low"), F.lit(float("-inf")))
-    high = F.coalesce(F.col("_high"), F.lit(float("inf")))
+    v = F.col(value)
+    side = F.when(v < F.col("_low"), -1).when(v > F.col("_high"), 1).otherwise(0)
     counted = (
         rows.join(stats, list(by))
-        .filter(F.col(value) <= high)
-        .groupBy(*by, "_k0", "_k1", "_fraction", F.when(F.col(value) >= low, F.col(value)).alias("_v"))
-        .agg(F.count("*").alias("_n"))
+        .withColumn("_side", side)
+        .groupBy(*by, "_k0", "_k1", "_fraction", "_side", F.when(F.col("_side") == 0, v).alias("_v"))
+        .agg(F.count("*").alias("_n"), F.min(v).alias("_least"), F.max(v).alias("_most"))
     )
-    running = Window.partitionBy(*by).orderBy(F.asc_nulls_first("_v"))
-    counted = counted.withColumn("_upto", F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0)))
-    found = counted.groupBy(*by).agg(
-        F.first("_fraction").alias("_fraction"),
-        F.min(F.when(F.col("_upto") > F.col("_k0"), F.col("_v"))).alias("_v0"),
-        F.min(F.when(F.col("_upto") > F.col("_k1"), F.col("_v"))).alias("_v1"),
-        F.bool_or(F.col("_v").isNull() & (F.col("_upto") > F.col("_k0"))).alias("_missed"),
-    )
-    ok = F.col("_v1").isNotNull() & ~F.col("_missed")
+    running = Window.partitionBy(*by).orderBy("_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    counted = counted.withColumn("_upto", F.sum("_n").over(running))
+
+    def at(k: str) -> Column:
+        """The value at a place: inside the bracket, or next to it on either side."""
+        before = F.col("_upto") - F.col("_n")
+        inside = (F.col("_side") == 0) & F.col(k).between(before, F.col("_upto") - 1)
+        below = (F.col("_side") == -1) & (F.col(k) == F.col("_upto") - 1)
+        above = (F.col("_side") == 1) & (F.col(k) == before)
+        return F.min(F.when(inside, F.col("_v")).when(below, F.col("_most")).when(above, F.col("_least")))
+
+    found = counted.groupBy(*by).agg(F.first("_fraction").alias("_fraction"), at("_k0").alias("_v0"), at("_k1").alias("_v1"))
+    ok = F.col("_v0").isNotNull() & F.col("_v1").isNotNull()
     result = F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_fraction")
     return found.select(*by, F.when(ok, result).otherwise(F.raise_error(F.lit("quantile bracket missed"))).alias(name))

@@ -5,7 +5,8 @@ are counted per sort key and block of input positions, the counts (not the
 rows) are summed up in order, and only the place inside a block needs the rows.
 Input positions are unique, so a block holds at most ``2 ** block_bits`` rows.
 Blocks are summed up inside coarse blocks of ``2 ** block_bits`` blocks, and
-coarse blocks inside the group, so no task sees more counts than that either.
+coarse blocks inside the group; a task there sees one count per sort key and
+coarse block of a group, which is few as long as sort keys have few values.
 """
 
 from __future__ import annotations

@@ -16,10 +16,15 @@ def retained(df: DataFrame, dataset: str, as_of: str, date: str = "run_date") ->
     return df.filter(F.col(date) >= F.date_sub(F.lit(as_of).cast("date"), KEEP_DAYS[dataset]))
 
 
-def expired_partitions(datasets: Mapping[str, DataFrame], as_of: str, date: str = "run_date") -> DataFrame:
-    """Report (dataset, run_date, rows) past the keep period; deletes nothing."""
+#: The column that each stored dataset is partitioned by.
+DATE_COLUMNS = {"raw": "run_date", "processed": "run_date", "digests": "digest_date", "sent_ids": "sent_date"}
+
+
+def expired_partitions(datasets: Mapping[str, DataFrame], as_of: str) -> DataFrame:
+    """Report (dataset, run_date, rows) past the keep period, by each dataset's own date; deletes nothing."""
     reports = []
     for dataset, df in datasets.items():
+        date = DATE_COLUMNS[dataset]
         old = df.filter(F.col(date) < F.date_sub(F.lit(as_of).cast("date"), KEEP_DAYS[dataset]))
         counts = old.groupBy(F.col(date).alias("run_date")).agg(F.count("*").alias("n_rows"))
         reports.append(counts.select(F.lit(dataset).alias("dataset"), "run_date", "n_rows"))

@@ -165,8 +165,9 @@ def parse_replies(df: DataFrame) -> DataFrame:
 
 
 def attach_replies(articles: DataFrame, responses: DataFrame) -> DataFrame:
-    """Left join of articles to replies by id; both have one row per id."""
-    return articles.join(responses.select("id", "response_text"), "id", "left")
+    """Left join of articles to replies by id; of several replies to an id the one that sorts first counts."""
+    one = responses.groupBy("id").agg(F.min("response_text").alias("response_text"))
+    return articles.join(one, "id", "left")
 
 
 def _mentions(terms: tuple[str, ...]) -> Column:

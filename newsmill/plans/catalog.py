@@ -17,12 +17,13 @@ from newsmill.session import configure, materialize, work_dir
 from newsmill.sources import cves, feeds, papers, registry, tables
 from newsmill.streaming import alarms, ingest
 from newsmill.streaming import seen as seen_stream
-from newsmill.streaming.runs import drain
+from newsmill.streaming.runs import Step, drain, read_batches, write_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2024-01-20 06:00:00"
-REPORT_DATE = "2024-02-04"
+LATE_REPORT_DATE = "2024-04-12"
+STORED_DAYS = ("2024-01-03", "2024-01-06", "2024-01-08", "2024-01-10")
 
 
 def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +113,7 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strip_html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = views.spread(views.table(spark, sf_dir, "pages"), "page_id")
+    pages = views.table(spark, sf_dir, "pages")
     return pages.select("page_id", strip_html(F.col("html")).alias("stripped"))
 
 
@@ -141,9 +142,21 @@ def rank_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.rank_articles(included(spark, sf_dir)).select("digest_date", "rank", "pos", "id", "severity", "score")
 
 
-def digest_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = rated(spark, sf_dir).withColumn("digest_date", run_date(iso_millis(F.col("published_at"))))
-    pages = digest.digest_pages(digest.prepare(source), AS_OF, ["id", "title", "url", "severity", "category", "score", "summary"])
+def rank_small_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rank_articles`` with blocks of four positions, so that ranks add up over many of them."""
+    ranked = digest.rank_articles(included(spark, sf_dir), block_bits=2)
+    return ranked.select("digest_date", "rank", "pos", "id", "severity", "score")
+
+
+def stored_rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rated articles without their contents, stored once for totals and ranking."""
+    return materialize(rated(spark, sf_dir).drop("content"), "rated")
+
+
+def digest_daily(spark: SparkSession, sf_dir: str, page_size: int = digest.PAGE_SIZE) -> DataFrame:
+    dated = rated(spark, sf_dir).drop("content").withColumn("digest_date", run_date(iso_millis(F.col("published_at"))))
+    fields = ["id", "title", "url", "severity", "category", "score", "summary"]
+    pages = digest.digest_pages(digest.prepare(materialize(dated, "rated")), AS_OF, fields, page_size)
     return pages.select(
         F.col("digest_date").cast("string").alias("digest_date"),
         "page",
@@ -153,6 +166,11 @@ def digest_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def digest_small_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``digest_daily`` on pages of three articles."""
+    return digest_daily(spark, sf_dir, page_size=3)
+
+
 def digest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policy.include_counts(views.analyzed(spark, sf_dir), ["digest_date"])
 
@@ -166,12 +184,12 @@ def digest_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def render_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = digest.render_text(digest.prepare(rated(spark, sf_dir)))
+    body = digest.render_text(digest.prepare(stored_rated(spark, sf_dir)))
     return body.select("digest_date", "page", F.sha2("body", 256).alias("body_sha"), F.length("body").alias("body_len"))
 
 
 def render_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = digest.render_html(digest.prepare(rated(spark, sf_dir)))
+    body = digest.render_html(digest.prepare(stored_rated(spark, sf_dir)))
     return body.select("digest_date", "page", F.sha2("body", 256).alias("body_sha"), F.length("body").alias("body_len"))
 
 
@@ -225,8 +243,29 @@ def backfill_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retention_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = views.articles(spark, sf_dir)
-    parts = {"raw": articles, "processed": views.analyzed_of(articles), "digests": included(spark, sf_dir)}
-    return retention.expired_partitions(parts, REPORT_DATE)
+    parts = {"raw": articles, "processed": views.analyzed_of(articles), "digests": included(spark, sf_dir), "sent_ids": sent(spark, sf_dir)}
+    return retention.expired_partitions(parts, LATE_REPORT_DATE)
+
+
+def stored_seen_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the look-back before a date, read from a stored table of which one day was rewritten as empty."""
+    root = work_dir(spark, "sent")
+    ids = materialize(sent(spark, sf_dir), "sent-ids")
+    for day in STORED_DAYS:
+        seen.save_sent(ids.filter(F.col("sent_date") == day), root, day)
+    seen.save_sent(ids.limit(0), root, STORED_DAYS[-1])
+    return seen.seen_window(seen.read_sent(spark, root), "2024-01-11", lookback=5)
+
+
+def make_length_scorer() -> triage.ReplyFunction:
+    """A stand-in for a model: the summary tells the length of the prompt."""
+    reply = '{{"summary": "{}", "severity": "HIGH", "relevance_category": "OTHER", "relevance_score": {}, "reasoning": "length"}}'
+    return lambda prompts: [reply.format(len(p), len(p) % 100) for p in prompts]
+
+
+def score_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = triage.triage(views.articles(spark, sf_dir), make_length_scorer)
+    return done.select("pos", "triage_status", "summary", "severity", F.col("relevance.score").alias("score"))
 
 
 def build_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,8 +273,11 @@ def build_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parsed_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unique = dedup_first(views.articles(spark, sf_dir))
-    return triage.triage(unique, views.responses(dedup_first(views.articles(spark, sf_dir))))
+    """Deduplicated articles, stored once, with replies of which some come twice."""
+    unique = materialize(dedup_first(views.articles(spark, sf_dir)), "unique")
+    replies = views.responses(unique)
+    again = replies.filter(F.col("response_text").isNotNull()).withColumn("response_text", F.lit("~ a later reply"))
+    return triage.triage(unique, replies.unionByName(again))
 
 
 def parse_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,15 +332,29 @@ def _naive(df: DataFrame) -> DataFrame:
     return df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def land_and_run(landings: list[DataFrame], label: str, step: Step, schema: str) -> DataFrame:
+    """Land tables one after the other and run the stream over each."""
+    spark = landings[0].sparkSession
+    root = work_dir(spark, label)
+    for landing in landings:
+        landing.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(landing.schema).parquet(f"{root}/in")
+        write_batches(stream, f"{root}/out", f"{root}/checkpoint", step, schema)
+    return read_batches(spark, f"{root}/out", schema).drop("batch_id")
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = views.articles_of(views.stream(spark, sf_dir, "documents"))
-    return drain(ingest.dedup_stream(landed), "dedup").select("id")
+    """First arrivals over three landings of the articles."""
+    articles = tables.article_columns(views.articles(spark, sf_dir))
+    landings = [articles.filter(F.pmod("pos", F.lit(3)) == i) for i in (2, 0, 1)]
+    return land_and_run(landings, "dedup", ingest.first_arrivals, schemas.ARTICLE).select("id", "pos")
 
 
 def stream_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = views.articles_of(views.stream(spark, sf_dir, "documents"))
-    chosen = policy.policy_filter(views.analyzed_of(raw))
-    return drain(seen_stream.send_stream(chosen), "seen")
+    """Sends over three landings, ten days each."""
+    chosen = materialize(included(spark, sf_dir).select("id", "run_date"), "appearances")
+    landings = [chosen.filter(F.floor((F.dayofmonth("run_date") - 1) / 10) == i) for i in range(3)]
+    return land_and_run(landings, "seen", seen_stream.send_batch, seen_stream.OUTPUT)
 
 
 def stream_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,7 +383,9 @@ REGISTERED: dict[str, Query] = {
     "lookback_recent": lookback_recent,
     "policy_filter": policy_filter,
     "rank_articles": rank_articles,
+    "rank_small_blocks": rank_small_blocks,
     "digest_daily": digest_daily,
+    "digest_small_pages": digest_small_pages,
     "digest_counts": digest_counts,
     "severity_counts": severity_counts,
     "digest_subjects": digest_subjects,
@@ -338,6 +396,7 @@ REGISTERED: dict[str, Query] = {
     "source_stats": source_stats,
     "source_errors": source_errors,
     "seen_window": seen_window,
+    "stored_seen_window": stored_seen_window,
     "unseen_articles": unseen_articles,
     "seen_backfill": seen_backfill,
     "backfill_digests": backfill_digests,
@@ -345,6 +404,7 @@ REGISTERED: dict[str, Query] = {
     "build_prompts": build_prompts,
     "parse_triage": parse_triage,
     "rule_triage": rule_triage,
+    "score_hook": score_hook,
     "error_alarms": error_alarms,
     "hourly_status": hourly_status,
     "hourly_errors": hourly_errors,

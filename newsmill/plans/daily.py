@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsmill import schemas
+from newsmill.functions.dates import recent
 from newsmill.operators import digest, seen, triage
 from newsmill.operators.dedup import dedup_first
 from newsmill.session import configure, materialize
-from newsmill.sources import tables
+from newsmill.sources import cves, feeds, papers, registry, tables
 
 DIGEST_FIELDS = ("id", "title", "url", "source", "source_type", "content", "published_at", "scraped_at",
                  "summary", "severity", "relevance", "affected_products")
@@ -38,8 +39,9 @@ def run_day(
     generated_at: str,
     title: str = digest.TITLE,
     page_size: int = digest.PAGE_SIZE,
+    errors: DataFrame | None = None,
 ) -> None:
-    """Raw, processed, digest, report and sent-id tables of one date.
+    """Raw, processed, digest, report and sent-id tables of one date, and its scrape errors.
 
     Every step reads the table the step before it wrote, so a lost executor
     costs one step's tasks, a model is called once per article, and running
@@ -47,10 +49,42 @@ def run_day(
     """
     configure(spark)
     tables.write_raw(tables.union_sources(sources), store.path("raw"), date)
+    if errors is not None:
+        errors.write.mode("overwrite").parquet(store.path("errors", date))
     triage_day(spark, store, date, scorer)
     digest_day(spark, store, date, generated_at, title, page_size)
 
 
+def scrape(
+    config: DataFrame, landed: Mapping[str, DataFrame], as_of: str, hours: float = 26, cve_hours: float = 48
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Articles and errors of what has landed, as a run takes them.
+
+    ``config`` is the registry; ``landed`` has the documents of ``rss``, ``nvd``
+    and ``arxiv``. Feeds and services that are switched off give no articles, and
+    services then give an error; articles of feeds are those of the look-back.
+    """
+    docs = feeds.from_registry(landed["rss"], registry.enabled_rss(config))
+    gates = registry.api_gates(config)
+
+    def open_gate(df: DataFrame, kind: str) -> DataFrame:
+        on = gates.filter((F.col("source_type") == kind) & F.col("enabled")).select("source_type").distinct()
+        return df.join(on, "source_type", "left_semi")
+
+    sources = {
+        "rss": feeds.normalize_feeds(docs).filter(recent(F.col("published_at"), as_of, hours=hours)),
+        "nvd": open_gate(cves.recent_severe(cves.normalize_cves(landed["nvd"]), as_of, hours=cve_hours), "nvd"),
+        "arxiv": open_gate(papers.newest_on_topic(papers.normalize_papers(landed["arxiv"])), "arxiv"),
+    }
+    return sources, scrape_errors(docs, landed["nvd"], landed["arxiv"], gates)
+
+
+def scrape_errors(rss: DataFrame, nvd: DataFrame, arxiv: DataFrame, gates: DataFrame) -> DataFrame:
+    """Errors of all sources: unreadable documents, bad dates, and services that are switched off."""
+    off = gates.filter("not enabled").select("source_type", F.col("source_type").alias("source"), "error")
+    return feeds.feed_errors(rss).unionByName(cves.cve_errors(nvd)).unionByName(papers.paper_errors(arxiv)).unionByName(off)
+
+
 def triage_day(
     spark: SparkSession, store: Store, date: str, scorer: DataFrame | Callable[[], triage.ReplyFunction] | str
 ) -> None:

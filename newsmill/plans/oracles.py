@@ -332,6 +332,8 @@ pages as (
 select cast(t.digest_date as varchar) digest_date, coalesce(page, 0) page, total_scraped, total_included,
        coalesce(articles, '') articles
 from totals t left join pages p on p.digest_date = t.digest_date"""
+    sql["rank_small_blocks"] = sql["rank_articles"]
+    sql["digest_small_pages"] = sql["digest_daily"].replace("// 500", "// 3")
     sql["digest_counts"] = _with(ANALYZED) + """
 select digest_date, count(*) total, count(*) filter (included) included, count(*) filter (not included) excluded
 from rated group by 1"""
@@ -387,13 +389,23 @@ select id, run_date, pos from (
 where n = 1 and not exists (
   select 1 from sent s where s.id = a.id and s.sent_date between a.run_date - 7 and a.run_date - 1)"""
     sql["seen_backfill"] = _with(ANALYZED, CANDIDATES, SENDS, recursive=True) + "select id, cast(d as date) sent_date from sends"
-    sql["stream_seen"] = sql["seen_backfill"]
+    sql["stream_seen"] = sql["seen_backfill"].replace("sent_date from", "sent_date, false late from")
+    sql["stored_seen_window"] = _with(ANALYZED) + sent + """
+select distinct id from sent where sent_date in (date '2024-01-06', date '2024-01-08')"""
+    sql["score_hook"] = _with(ARTICLES) + f""",
+prompts as (
+  select pos, length('Title: ' || title || chr(10) || 'Source: ' || source || ' (' || source_type || ')' || chr(10) ||
+       'Published: ' || {_iso("published_at")} || chr(10) || 'URL: ' || url || chr(10) || chr(10) || 'Content:' ||
+       chr(10) || left(content, 4000)) n from articles)
+select pos, 'parsed' triage_status, n::varchar summary, 'HIGH' severity, (n % 100)::int score from prompts"""
     sql["retention_expired"] = _with(ANALYZED) + """
-select 'raw' dataset, run_date, count(*) n_rows from articles where run_date < date '2024-02-04' - 7 group by 2
+select 'raw' dataset, run_date, count(*) n_rows from articles where run_date < date '2024-04-12' - 7 group by 2
+union all
+select 'processed', run_date, count(*) from analyzed where run_date < date '2024-04-12' - 30 group by 2
 union all
-select 'processed', run_date, count(*) from analyzed where run_date < date '2024-02-04' - 30 group by 2
+select 'digests', run_date, count(*) from rated where included and run_date < date '2024-04-12' - 90 group by 2
 union all
-select 'digests', run_date, count(*) from rated where included and run_date < date '2024-02-04' - 90 group by 2"""
+select 'sent_ids', run_date, count(distinct id) from rated where included and run_date < date '2024-04-12' - 90 group by 2"""
 
     sql["build_prompts"] = _with(ARTICLES) + f"""
 select pos, 'Title: ' || title || chr(10) || 'Source: ' || source || ' (' || source_type || ')' || chr(10) ||
@@ -448,10 +460,16 @@ select "day", cast(month_to_date as double) month_to_date,
        cast(case when month_to_date * 100 / 20 > 100 then 100 else 80 end as integer) alert_percent
 from spent where month_to_date * 100 / 20 > 80"""
 
-    sql["stream_dedup"] = "select distinct sha256(text) id from documents"
-    sql["stream_alarms"] = _with(METRICS) + f"""
-select window_start, fn, errors from (select {five}, fn, count(*) filter (is_error) errors from metrics group by 1, 2)
-where errors >= 1 and window_start + interval '5 minutes' <= (select max(ts) from metrics) - interval '10 minutes'"""
+    sql["stream_dedup"] = _with(ARTICLES) + """
+select id, pos from articles
+qualify row_number() over (partition by id order by (pos + 1) % 3, source_ord, pos) = 1"""
+    closed = "(select max(ts) from metrics) - interval '10 minutes'"
+    sql["stream_alarms"] = sql["error_alarms"].replace("\nselect", "\nselect * from (select", 1) + f"""
+) where window_start + interval '5 minutes' <= {closed}"""
+    sql["stream_p95"] = _with(METRICS) + f"""
+select window_start, fn, p95 from (
+  select {hour}, fn, quantile_disc(duration, 0.95) p95 from metrics group by 1, 2)
+where window_start + interval '1 hour' <= {closed}"""
     return sql
 
 

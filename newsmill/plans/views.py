@@ -23,18 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for heavy work on a small input.
-
-    Spark cuts files into splits of at least 4 MB, so fewer splits than cores
-    means little data, which is cheap to move. Larger inputs stay in place.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def documents_to_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "text")
 
 
 def pick(values: tuple[str, ...], index: Column) -> Column:

@@ -45,9 +45,8 @@ def _records(landed: DataFrame) -> DataFrame:
     rows = rows.select("scraped_at", "doc_pos", "_i", "_v.*").withColumn("_cvss", _cvss(F.col("metrics")))
     english = F.get(F.filter("descriptions", lambda d: d["lang"] == "en"), F.lit(0))["value"]
     text = F.coalesce(english, F.lit(""))
-    prefix = F.concat(
-        F.lit("CVSS "), _shortest(F.col("_cvss.baseScore")), F.lit(" ("), "_cvss.baseSeverity", F.lit("). ")
-    )
+    level = F.coalesce(F.concat(F.lit(" ("), "_cvss.baseSeverity", F.lit(")")), F.lit(""))
+    prefix = F.concat(F.lit("CVSS "), _shortest(F.col("_cvss.baseScore")), level, F.lit(". "))
     url = F.concat(F.lit(DETAIL_URL), F.col("id"))
     return rows.select(
         article_id(url).alias("id"),
@@ -55,7 +54,7 @@ def _records(landed: DataFrame) -> DataFrame:
         url.alias("url"),
         F.lit("NVD").alias("source"),
         F.lit("nvd").alias("source_type"),
-        F.when(F.col("_cvss").isNull(), text).otherwise(F.concat(prefix, text)).alias("content"),
+        F.concat(F.coalesce(prefix, F.lit("")), text).alias("content"),
         parse_iso(F.col("published")).alias("published_at"),
         "scraped_at",
         F.lit(1).alias("source_ord"),
@@ -76,9 +75,10 @@ def normalize_cves(landed: DataFrame) -> DataFrame:
 
 
 def cve_errors(landed: DataFrame) -> DataFrame:
-    """Unreadable pages and records without a readable date."""
+    """Pages that could not be read, or not wholly, and records without a readable date."""
     page = F.from_json("body", CVE_PAGE, JSON_OPTIONS)
-    pages = landed.filter(page["vulnerabilities"].isNull()).select(
+    whole = page["vulnerabilities"].isNotNull() & page["_corrupt_record"].isNull()
+    pages = landed.filter(~F.coalesce(whole, F.lit(False))).select(
         F.lit("nvd").alias("source_type"), F.lit("NVD").alias("source"), F.lit("NVD: unreadable page").alias("error")
     )
     shown = F.coalesce("_date", F.lit("(none)"))

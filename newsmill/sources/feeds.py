@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsmill.functions.dates import parse_lenient
@@ -20,6 +20,8 @@ ATOM_DOC = """
         summary: string, content: string, published: string, updated: string>>,
     _corrupt_record string
 """
+#: Files that one source may have in a run.
+FILES = 1 << 20
 XML_OPTIONS = {"columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSIVE"}
 
 
@@ -27,7 +29,7 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Landed documents: files below ``path/<source name>/``, one body each.
 
     The scrape time is the file's modification time. ``from_registry`` numbers
-    the documents.
+    the documents by their registry entry and file name.
     """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     parent = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
@@ -35,17 +37,26 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
         F.url_decode(parent).alias("source_name"),
         F.col("value").alias("body"),
         F.col("_metadata.file_modification_time").alias("scraped_at"),
+        F.col("_metadata.file_path").alias("file"),
     )
 
 
 def from_registry(landed: DataFrame, sources: DataFrame) -> DataFrame:
-    """Documents of the given registry entries, numbered in registry order.
+    """Documents of the given registry entries, numbered by (registry entry, file).
 
+    The first entry of a name counts. Only file names are numbered, not bodies.
     No size is assumed for the registry: Spark broadcasts it when the measured
     size allows, and splits a hot source otherwise.
     """
-    entries = sources.select(F.col("name").alias("source_name"), F.col("registry_pos").cast("bigint").alias("doc_pos"))
-    return landed.select("source_name", "body", "scraped_at").join(entries, "source_name")
+    entries = sources.groupBy(F.col("name").alias("source_name")).agg(F.min("registry_pos").cast("bigint").alias("_entry"))
+    by_file = Window.partitionBy("source_name").orderBy("file")
+    files = landed.select("source_name", "file").distinct().withColumn("_number", F.row_number().over(by_file) - 1)
+    fits = F.when(F.col("_number") < FILES, F.col("_entry") * FILES + F.col("_number"))
+    numbered = files.join(entries, "source_name").select(
+        "source_name", "file",
+        F.coalesce(fits, F.raise_error(F.lit("too many files of one source")).cast("bigint")).alias("doc_pos"),
+    )
+    return landed.select("source_name", "body", "scraped_at", "file").join(numbered, ["source_name", "file"]).drop("file")
 
 
 def root_element(body: Column) -> Column:

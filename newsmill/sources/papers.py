@@ -25,8 +25,12 @@ TOPIC_TERMS = (
 TOPIC_LIMIT = 100
 
 
+def _listing() -> Column:
+    return F.from_xml(F.when(root_element(F.col("body")) == "feed", F.col("body")), PAPER_DOC, XML_OPTIONS)
+
+
 def _entries(landed: DataFrame) -> DataFrame:
-    doc = F.from_xml(F.when(root_element(F.col("body")) == "feed", F.col("body")), PAPER_DOC, XML_OPTIONS)
+    doc = _listing()
     # Exploding the parsed array itself would make Spark parse each document
     # again, for a filter on the array's size that it infers.
     entries = F.transform(
@@ -72,9 +76,15 @@ def normalize_papers(landed: DataFrame) -> DataFrame:
 
 
 def paper_errors(landed: DataFrame) -> DataFrame:
+    """Listings that could not be read, and entries without a readable date."""
+    reason = F.when(F.col("body").isNull() | (F.trim("body") == ""), "empty document")
+    reason = reason.when(F.col("_doc").isNull(), "not a listing").when(F.col("_doc._corrupt_record").isNotNull(), "malformed XML")
+    pages = landed.withColumn("_doc", _listing()).withColumn("_reason", reason).filter("_reason IS NOT NULL").select(
+        F.lit("arxiv").alias("source_type"), F.lit("ArXiv").alias("source"), F.concat(F.lit("ArXiv: "), "_reason").alias("error")
+    )
     bad = _entries(landed).filter("published_at IS NULL")
     error = F.concat(F.lit("ArXiv: invalid date "), "_date", F.lit(" in "), "url")
-    return bad.select("source_type", "source", error.alias("error"))
+    return pages.unionByName(bad.select("source_type", "source", error.alias("error")))
 
 
 def on_topic(title: Column, categories: Column) -> Column:

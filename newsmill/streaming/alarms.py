@@ -5,30 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsmill.operators.metrics import ERROR_THRESHOLD
+from newsmill.operators.metrics import ERROR_THRESHOLD, signals
 
+#: How late a metric may come, unless said otherwise; later ones are not counted.
 WATERMARK = "10 minutes"
 
 
-def error_alarm_stream(metrics: DataFrame) -> DataFrame:
-    """Five-minute error windows per function, emitted once they are final.
+def error_alarm_stream(metrics: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    """``error_alarms`` over a stream: windows are emitted once they are final.
 
-    All rows reach the aggregate, so rows without an error also advance the
-    watermark; the threshold is checked on the counts.
+    Every row advances the watermark, whether it counts for an alarm or not.
     """
     return (
-        metrics.withWatermark("ts", WATERMARK)
-        .groupBy(F.window("ts", "5 minutes"), "fn")
-        .agg(F.count_if("is_error").alias("errors"))
-        .filter(F.col("errors") >= ERROR_THRESHOLD)
-        .select(F.col("window.start").alias("window_start"), "fn", "errors")
+        metrics.withWatermark("ts", watermark)
+        .select("ts", F.explode(signals()).alias("alarm"))
+        .groupBy(F.window("ts", "5 minutes"), "alarm")
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") >= ERROR_THRESHOLD)
+        .select(F.col("window.start").alias("window_start"), "alarm", "n")
     )
 
 
-def hourly_p95_stream(metrics: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """Approximate 95th percentile per hour and function, in fixed-size state."""
+def hourly_p95_stream(metrics: DataFrame, accuracy: int = 10_000, watermark: str = WATERMARK) -> DataFrame:
+    """95th percentile per hour and function, in fixed-size state.
+
+    The value is one of the durations; it is exact while an hour of a function
+    has fewer than ``accuracy`` of them, and within one part in ``accuracy`` of
+    the rank beyond that.
+    """
     return (
-        metrics.withWatermark("ts", WATERMARK)
+        metrics.withWatermark("ts", watermark)
         .groupBy(F.window("ts", "1 hour"), "fn")
         .agg(F.percentile_approx("duration", 0.95, accuracy).alias("p95"))
         .select(F.col("window.start").alias("window_start"), "fn", "p95")

@@ -5,31 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsmill.sources.feeds import normalize_feeds
+from newsmill import schemas
+from newsmill.functions.dates import recent
+from newsmill.operators.dedup import dedup_first
+from newsmill.sources import registry
+from newsmill.sources.feeds import from_registry, normalize_feeds
+from newsmill.streaming.runs import write_batches
 
-WATERMARK = "7 days"
-SALTS = 64
 
+def first_arrivals(batch: DataFrame, earlier: DataFrame, days: int | None = None) -> DataFrame:
+    """Articles of a batch whose id has not arrived before, the first copy of each.
 
-def dedup_stream(articles: DataFrame, event_time: str = "published_at", salts: int = SALTS) -> DataFrame:
-    """First arrival of each id within the watermark.
-
-    Two steps, because a stream shuffles every copy: the first step spreads
-    the copies of an id over ``salts`` tasks by their input position, the
-    second sees at most ``salts`` rows per id.
+    No date that a feed supplies decides: nothing is dropped for being old or
+    ahead. ``days`` limits what counts as before to copies scraped at most so
+    many days earlier; by default every earlier one counts.
     """
-    return (
-        articles.withWatermark(event_time, WATERMARK)
-        .withColumn("_salt", F.pmod(F.xxhash64("source_ord", "pos"), F.lit(salts)).cast("int"))
-        .dropDuplicatesWithinWatermark(["id", "_salt"])
-        .drop("_salt")
-        .dropDuplicatesWithinWatermark(["id"])
-    )
+    first = dedup_first(batch).alias("a")
+    seen = earlier.select("id", "scraped_at").alias("s")
+    match = F.col("a.id") == F.col("s.id")
+    if days is not None:
+        match = match & (F.col("s.scraped_at") >= F.col("a.scraped_at") - F.make_dt_interval(F.lit(days)))
+    return first.join(seen, match, "left_anti")
+
+
+def ingest_stream(articles: DataFrame, path: str, checkpoint: str, days: int | None = None) -> None:
+    """Store the first arrival of every id among the articles that have landed."""
+    write_batches(articles, path, checkpoint, lambda batch, earlier: first_arrivals(batch, earlier, days), schemas.ARTICLE)
 
 
-def feed_stream(landed: DataFrame) -> DataFrame:
-    """Articles of landed feed documents, each id once within the watermark.
+def feed_articles(landed: DataFrame, config: DataFrame, as_of: str | None = None, hours: float = 26) -> DataFrame:
+    """Articles of landed documents of the feeds that are switched on.
 
-    The normaliser keeps no state, so it serves batches and streams alike.
+    With ``as_of`` only those of the look-back before it. The normaliser keeps
+    no state, so it serves batches and streams alike.
     """
-    return dedup_stream(normalize_feeds(landed))
+    articles = normalize_feeds(from_registry(landed, registry.enabled_rss(config)))
+    return articles if as_of is None else articles.filter(recent(F.col("published_at"), as_of, hours=hours))

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from newsmill.session import work_dir
+from newsmill.sources.tables import read_stored
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep stream state on disk: it grows with the ids inside the watermark."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+Step = Callable[[DataFrame, DataFrame], DataFrame]
 
 
 def write_available(stream: DataFrame, path: str, checkpoint: str) -> None:
@@ -19,7 +18,6 @@ def write_available(stream: DataFrame, path: str, checkpoint: str) -> None:
 
     Running it again with the same folders continues where it ended.
     """
-    use_rocksdb(stream.sparkSession)
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -31,9 +29,37 @@ def write_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What ``write_batches`` has stored; nothing yet means empty."""
+    return read_stored(spark, path, f"{schema}, batch_id bigint")
+
+
+def write_batches(stream: DataFrame, path: str, checkpoint: str, step: Step, schema: str) -> None:
+    """Store ``step(batch, earlier results)`` of every available micro-batch, then stop.
+
+    State is the stored table itself. A batch has a folder of its own that is
+    written as a whole, so a batch that is run again after a failure replaces its
+    result, and it only sees those of earlier batches.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        earlier = read_batches(batch.sparkSession, path, schema).filter(F.col("batch_id") < number).drop("batch_id")
+        step(batch, earlier).write.mode("overwrite").parquet(f"{path}/batch_id={number}")
+
+    query = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
 def drain(stream: DataFrame, label: str) -> DataFrame:
     """Run a stream into a fresh folder and read the result back."""
     spark = stream.sparkSession
     root = work_dir(spark, label)
     write_available(stream, f"{root}/out", f"{root}/checkpoint")
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
+
+
+def drain_batches(stream: DataFrame, label: str, step: Step, schema: str) -> DataFrame:
+    """``write_batches`` into a fresh folder, read back."""
+    root = work_dir(stream.sparkSession, label)
+    write_batches(stream, f"{root}/out", f"{root}/checkpoint", step, schema)
+    return read_batches(stream.sparkSession, f"{root}/out", schema)

@@ -1,63 +1,34 @@
-"""Exact seen-state over a stream of appearances."""
+"""Exact seen-state over a stream of appearances, batch by batch."""
 
 from __future__ import annotations
 
-import datetime as dt
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from newsmill.operators.seen import LOOKBACK_DAYS
-from newsmill.streaming.runs import use_rocksdb
-
-# Ship this module's code with its tasks, so executors need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-OUTPUT = "id string, sent_date date"
-
-
-class SendOnce(StatefulProcessor):
-    """Keeps the last send of an id; sends again after the look-back."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last_sent", "day date")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        days: set[dt.date] = set()
-        for batch in rows:
-            days.update(batch["run_date"])
-        last = self._last.get()[0] if self._last.exists() else None
-        sends = []
-        for day in sorted(days):
-            if last is None or (day - last).days > LOOKBACK_DAYS:
-                sends.append(day)
-                last = day
-        if sends:
-            self._last.update((last,))
-            yield pd.DataFrame({"id": [key[0]] * len(sends), "sent_date": sends})
-
-    def close(self) -> None:
-        pass
+from pyspark.sql import functions as F
 
+from newsmill.operators.seen import LOOKBACK_DAYS, send_decisions
 
-def _distinct_in_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.drop_duplicates()
+OUTPUT = "id string, sent_date date, late boolean"
 
 
-def send_stream(included: DataFrame) -> DataFrame:
-    """(id, sent_date) of the sends among included (id, run_date) appearances.
+def send_batch(batch: DataFrame, earlier: DataFrame, lookback: int = LOOKBACK_DAYS) -> DataFrame:
+    """``(id, sent_date, late)`` of a batch of included (id, run_date) appearances.
 
-    Copies are dropped within each Arrow batch before the shuffle, so an id
-    with very many copies does not send them all to its task.
+    Sends follow from the last stored send of each id, which is put in front of
+    its new days; sends too old to matter for any of them are not read. A day
+    before the last send of its id cannot be decided any more: it is listed with
+    ``late`` true instead of being dropped.
     """
-    use_rocksdb(included.sparkSession)
-    appearances = included.select("id", "run_date")
-    slim = appearances.mapInPandas(_distinct_in_batches, appearances.schema)
-    return slim.groupBy("id").transformWithStateInPandas(
-        statefulProcessor=SendOnce(), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
-    )
+    days = batch.select("id", "run_date").distinct()
+    oldest = days.agg(F.date_sub(F.min("run_date"), lookback).alias("oldest")).first().oldest
+    known = earlier.filter(~F.col("late"))
+    if oldest is not None:
+        known = known.filter(F.col("sent_date") >= F.lit(oldest))
+    last = known.groupBy("id").agg(F.max("sent_date").alias("last"))
+    placed = days.join(last, "id", "left")
+    late = placed.filter(F.col("run_date") < F.col("last"))
+    new = placed.filter(F.coalesce(F.col("run_date") > F.col("last"), F.lit(True)))
+    seeds = last.join(new.select("id").distinct(), "id").select("id", F.col("last").alias("run_date"), F.lit(1).cast("bigint").alias("seed"))
+    visits = new.select("id", "run_date", F.lit(0).cast("bigint").alias("seed")).unionByName(seeds)
+    decided = send_decisions(visits.withColumn("included", F.lit(True)), lookback, carry=["seed"])
+    sent = decided.filter(F.col("sent") & (F.col("seed") == 0)).select("id", F.col("run_date").alias("sent_date"), F.lit(False).alias("late"))
+    return sent.unionByName(late.select("id", F.col("run_date").alias("sent_date"), F.lit(True).alias("late")))

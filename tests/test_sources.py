@@ -212,9 +212,14 @@ def test_registry(spark, tmp_path):
         "nvd": (False, "NVD source is disabled in sources.json"),
         "arxiv": (False, "ArXiv source is disabled in sources.json"),
     }
-    found = feeds.from_registry(landed(spark, RSS, source="C"), registry.enabled_rss(config))
-    assert {r.doc_pos for r in found.collect()} == {2}
-    off = feeds.from_registry(landed(spark, RSS, source="B"), registry.enabled_rss(config))
+    bodies = landed(spark, RSS, source="C").withColumn("file", F.lit("b.xml"))
+    two = bodies.unionByName(bodies.withColumn("file", F.lit("a.xml")))
+    entries = registry.enabled_rss(config)
+    found = feeds.from_registry(two, entries.unionByName(entries.withColumn("registry_pos", F.col("registry_pos") + 5)))
+    assert sorted(r.doc_pos for r in found.collect()) == [2 * feeds.FILES, 2 * feeds.FILES + 1]
+    positions = [r.pos for r in feeds.normalize_feeds(found).collect()]
+    assert len(positions) == len(set(positions)) == 8
+    off = feeds.from_registry(landed(spark, RSS, source="B").withColumn("file", F.lit("x")), registry.enabled_rss(config))
     assert feeds.normalize_feeds(off).count() == 0
 
 
@@ -267,3 +272,25 @@ def test_json_records(spark, tmp_path):
     (tmp_path / "empty.json").write_text("")
     with pytest.raises(ValueError, match="empty file"):
         tables.read_json(spark, str(tmp_path / "*.json"), schemas.SENT_ID, arrays=True)
+
+
+def test_errors_of_all_sources(spark):
+    listing = landed(spark, "<feed><entry>").unionByName(landed(spark, "no xml")).unionByName(landed(spark, ""))
+    assert sorted(r.error for r in papers.paper_errors(listing).collect()) == [
+        "ArXiv: empty document", "ArXiv: malformed XML", "ArXiv: not a listing",
+    ]
+    record = '{"cve": {"id": "CVE-1", "published": "2026-01-01T00:00:00.000", "metrics": {"cvssMetricV31": [{"cvssData": {"baseScore": %s}}]}}}'
+    page = landed(spark, '{"vulnerabilities": [%s]}' % (record % "9.0"))
+    assert [r.content for r in cves.normalize_cves(page).collect()] == ["CVSS 9. "]
+    assert cves.cve_errors(page).count() == 0
+    odd = landed(spark, '{"vulnerabilities": [%s]}' % (record % '"high"'))
+    assert [r.error for r in cves.cve_errors(odd).collect()] == ["NVD: unreadable page"]
+
+
+def test_positions_that_do_not_fit_raise(spark):
+    from newsmill.functions.text import item_pos
+
+    for doc, item in ((1, 1 << 20), (1 << 40, 0)):
+        with pytest.raises(Exception, match="too many"):
+            spark.range(1).select(item_pos(F.lit(doc), F.lit(item))).collect()
+    assert spark.range(1).select(item_pos(F.lit(1), F.lit(5)).alias("p")).first().p == (1 << 20) + 5
