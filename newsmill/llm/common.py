@@ -62,17 +62,20 @@ def arrow_columns(
     made = StructType.fromDDL(outputs)
     stay = [f for f in without(df, made.names) if keep is None or f.name in keep]
     schema = StructType(stay + made.fields)
-    args = [free_name(df, f"arg{i}") for i in range(len(inputs))]
+    # A column that stays is not sent a second time for being an input.
+    names = [f.name for f in stay]
+    extra = [c for c in inputs if c not in names]
+    hidden = [free_name(df, f"arg{i}") for i in range(len(extra))]
     source = df.select(
-        *(F.col(f"`{f.name}`") for f in stay), *(F.col(f"`{c}`").alias(a) for c, a in zip(inputs, args, strict=True))
+        *(F.col(f"`{c}`") for c in names), *(F.col(f"`{c}`").alias(a) for c, a in zip(extra, hidden, strict=True))
     )
-    n_stay = len(stay)
+    n_stay, order = len(stay), [(names + extra).index(c) for c in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
         for batch in batches:
             columns = batch.columns
-            results = list(apply(*columns[n_stay:]))
+            results = list(apply(*(columns[i] for i in order)))
             yield pa.RecordBatch.from_arrays(columns[:n_stay] + results, names=schema.names)
 
     return source.mapInArrow(run, schema)

@@ -38,7 +38,7 @@ class Settings:
     most frequent items first; ``max_n`` is the longest n-gram."""
 
     rows_per_lang: int = 2000
-    max_items: int = 600_000
+    max_items: int = 300_000
     max_n: int = 5
 
 
@@ -120,32 +120,48 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     return ranked.filter(F.col("place") <= share).select("size", "item", "lang", cost.alias("cost"), "total").collect()
 
 
+@dataclass(frozen=True)
+class Model:
+    """Items by length (0 for words) and their costs by language, NaN where a language lacks an item."""
+
+    langs: list[str]
+    places: list[dict[str, int]]
+    costs: list[np.ndarray]
+    worst: np.ndarray
+
+
+def compact(rows: list, max_n: int) -> Model:
+    """The rows of ``train`` as one table of costs for each length."""
+    langs = sorted({r[2] for r in rows})
+    column = {lang: i for i, lang in enumerate(langs)}
+    places: list[dict[str, int]] = [{} for _ in range(max_n + 1)]
+    worst = np.zeros((max_n + 1, len(langs)))
+    for size, item, lang, _, total in rows:
+        places[size].setdefault(item, len(places[size]))
+        worst[size, column[lang]] = math.log10(total) + PENALTY
+    costs = [np.full((len(p), len(langs)), np.nan, np.float32) for p in places]
+    for size, item, lang, cost, _ in rows:
+        costs[size][places[size][item], column[lang]] = cost
+    for row in worst:  # a language without items of this length pays as much as the others
+        row[row == 0] = row.max(initial=PENALTY)
+    return Model(langs, places, costs, worst)
+
+
 class Scorer:
-    """Scores of texts by a model's rows."""
+    """Scores of texts by a model."""
 
     #: Words whose scores are remembered.
     LIMIT = 200_000
 
-    def __init__(self, rows: list, max_n: int):
-        self.langs = sorted({r[2] for r in rows})
-        place = {lang: i for i, lang in enumerate(self.langs)}
-        self.max_n = max_n
-        self.worst = np.zeros((max_n + 1, len(self.langs)))
-        self.items: list[dict[str, list[tuple[int, float]]]] = [{} for _ in range(max_n + 1)]
-        for size, item, lang, cost, total in rows:
-            self.items[size].setdefault(item, []).append((place[lang], cost))
-            self.worst[size, place[lang]] = max(self.worst[size, place[lang]], math.log10(total) + PENALTY)
-        for size in range(max_n + 1):  # a language without items of this size pays as much as the others
-            row = self.worst[size]
-            row[row == 0] = row.max(initial=PENALTY)
+    def __init__(self, model: Model, max_n: int):
+        self.langs, self.items, self.max_n = model.langs, model.places, max_n
+        self.costs, self.worst = model.costs, model.worst
         self.known: dict[str, int] = {}
         self.scores = np.zeros((1024, len(self.langs)), np.float64)
 
-    def _vector(self, size: int, found: list[tuple[int, float]]) -> np.ndarray:
-        costs = self.worst[size].copy()
-        for i, cost in found:
-            costs[i] = cost
-        return costs
+    def _vector(self, size: int, place: int) -> np.ndarray:
+        costs = self.costs[size][place]
+        return np.where(np.isnan(costs), self.worst[size], costs)
 
     def word(self, word: str) -> np.ndarray:
         if (found := self.items[0].get(word)) is not None:
@@ -191,7 +207,7 @@ def predict(spark: SparkSession, docs: DataFrame, rows: list, text: str = "text"
     empty. Ties go to the language that sorts first. Input columns of these
     names are replaced; repeated rows get equal results.
     """
-    model = spark.sparkContext.broadcast([tuple(r) for r in rows])
+    model = spark.sparkContext.broadcast(compact(rows, max_n))
 
     def make():
         scorer = Scorer(model.value, max_n)

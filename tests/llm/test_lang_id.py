@@ -22,7 +22,7 @@ ROWS = [(0, "cat", "en", 1.0, 10), (0, "chat", "fr", 1.0, 10), (2, "at", "en", 0
 
 
 def test_words_come_before_grams_and_long_grams_before_short():
-    scorer = lang_id.Scorer(ROWS, max_n=2)
+    scorer = lang_id.Scorer(lang_id.compact(ROWS, 2), max_n=2)
     miss = [1 + lang_id.PENALTY] * 2  # log10 of a total of 10, and the penalty
     assert scorer.word("cat").tolist() == [1.0, miss[1]]
     assert scorer.word("bat").tolist() == [0.5, miss[1]]  # " b", "ba", "at", "t "
@@ -31,10 +31,10 @@ def test_words_come_before_grams_and_long_grams_before_short():
 
 
 def test_no_letters_and_ties():
-    scorer = lang_id.Scorer(ROWS, max_n=2)
+    scorer = lang_id.Scorer(lang_id.compact(ROWS, 2), max_n=2)
     assert scorer.text(None) == scorer.text("") == scorer.text("12 !?") == (lang_id.UNKNOWN, 0.0)
     assert scorer.text("zzz") == ("en", 0.5)
-    assert lang_id.Scorer([], 2).text("cat") == (lang_id.UNKNOWN, 0.0)
+    assert lang_id.Scorer(lang_id.compact([], 2), 2).text("cat") == (lang_id.UNKNOWN, 0.0)
 
 
 def test_sample_is_bounded(spark):
