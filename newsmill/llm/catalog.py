@@ -14,6 +14,8 @@ from newsmill.llm.common import id_fold, table
 #: The key of the registered queries; real runs pass a secret one.
 PII_KEY = b"newsmill"
 RANKS = "byte_bpe_50k.tiktoken"
+#: Words of the longest n-grams of the language model.
+NGRAM_ORDER = 3
 
 
 def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +62,7 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     held_out = id_fold(F.col("doc_id"), 10) == 0
-    model = ngram_lm.train(spark, docs.filter(~held_out))
+    model = ngram_lm.train(spark, docs.filter(~held_out), order=NGRAM_ORDER)
     return ngram_lm.score(spark, docs, model, keep=["doc_id"]).select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"),
         "base_score", "score", "perplexity",

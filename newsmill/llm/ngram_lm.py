@@ -1,13 +1,14 @@
-"""Interpolated modified Kneser-Ney bigram model and its scores of texts.
+"""Interpolated modified Kneser-Ney model of n-grams and its scores of texts.
 
-Bigrams of the training texts are counted by Spark: each task sums its own, the
-sums are dealt out by the hash of the context, and every bucket ends as sorted
-arrays of 64-bit hashes beside their counts, in files of the shared folder. What
-a word or a context adds up to is dealt out again and stored the same way.
-Workers map the files into memory and look up whole batches at once.
+The n-grams of the training texts are counted by Spark: each task sums its own, the
+sums are dealt out by the hash of the word before the last, and every bucket ends as
+sorted arrays of 64-bit hashes beside their counts, in files of the shared folder.
+All shorter n-grams that end those of a bucket are counted there too. What a word or
+a frequent context adds up to is dealt out again and stored the same way. Workers map
+the files into memory and look up whole batches at once.
 
-A bucket is a bounded number of training bytes. Contexts that are too frequent
-for one bucket are spread over all by the whole bigram.
+A bucket is a bounded number of training bytes. Words that are too frequent for one
+bucket are spread over all by the pair, and pairs that are by three words.
 """
 
 from __future__ import annotations
@@ -29,9 +30,11 @@ from newsmill.llm.common import WordHashes, arrow_columns, join_hashes
 from newsmill.session import work_dir
 
 #: Training bytes of a bucket, and tokens that a task sums at a time.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 16 << 20
 BATCH_TOKENS = 3_000_000
 START, END = np.uint64(0x5EED0001), np.uint64(0x5EED0002)
+#: Words that are sent as a rank of three bytes or less, at most.
+COMMON_WORDS = 1 << 22
 #: Counts of an array that fits a byte; larger ones stand in a second array.
 BIG = 255
 
@@ -48,16 +51,45 @@ def home(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
 
 
-def bigram_home(context: np.ndarray, key: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
-    place = np.searchsorted(hot, context)
-    spread = np.zeros(len(context), bool) if len(hot) == 0 else hot[np.minimum(place, len(hot) - 1)] == context
-    return home(np.where(spread, key, context), buckets)
+def _in(values: np.ndarray, those: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted ``those``."""
+    if len(those) == 0:
+        return np.zeros(len(values), bool)
+    return those[np.minimum(np.searchsorted(those, values), len(those) - 1)] == values
 
 
-def tokens(text: str | None, hashes: WordHashes) -> np.ndarray:
-    """Hashes of a text's words, A-Z in lower case, with the marks of its start and end."""
+def contexts_of(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Hashes of the contexts of one word, two words and so on; ``columns`` hold the words from the last one back."""
+    found = [columns[1]]
+    for words in columns[2:]:
+        found.append(join_hashes(found[-1], words))
+    return found
+
+
+def gram_home(contexts: list[np.ndarray], word: np.ndarray, hot: np.ndarray, hot_pairs: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of n-grams: by the word before the last, if that is hot by both, and if these are hot by three."""
+    pair = join_hashes(contexts[0], word)
+    at = np.where(_in(contexts[0], hot), pair, contexts[0])
+    if len(contexts) > 1:
+        at = np.where(_in(pair, hot_pairs), join_hashes(contexts[1], word), at)
+    return home(at, buckets)
+
+
+def tokens(text: str | None, hashes: WordHashes, order: int = 2) -> np.ndarray:
+    """Hashes of a text's words, A-Z in lower case, after ``order - 1`` marks of its start and before one of its end."""
     words = hashes.of(text.encode().lower().split()) if text else np.empty(0, np.uint64)
-    return np.concatenate([[START], words, [END]])
+    return np.concatenate([[START] * (order - 1), words, [END]])
+
+
+def columns_of(arrays: list[np.ndarray], order: int) -> list[np.ndarray]:
+    """The words of all n-grams of texts, from the last one back."""
+    own = np.concatenate([*arrays, np.empty(0, np.uint64)])
+    starts = np.cumsum([0, *(len(a) for a in arrays)])[:-1]
+    ends = np.ones(len(own), bool)
+    for i in range(order - 1):
+        ends[starts + i] = False
+    at = np.flatnonzero(ends)
+    return [own[at - i] for i in range(order)]
 
 
 def _save(folder: str, name: str, array: np.ndarray) -> None:
@@ -84,61 +116,153 @@ def _column(table: pa.Table, name: str, dtype: str) -> np.ndarray:
 # --- counting ---------------------------------------------------------------------
 
 
-def _frequent(texts: DataFrame, limit: int) -> list[int]:
-    """Words that follow each other more than ``limit`` times; at most all tokens / ``limit``."""
+def _frequent(texts: DataFrame, limit: int, size: int, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Common words by falling count, words before another more than ``limit`` times, and pairs about so frequent.
+
+    Each batch reports the pairs with more than their share of ``limit``; what is not
+    reported of a pair is ``limit`` at most, so no pair above twice that is missed.
+    """
+    schema = "word long, next long, n long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes(xxhash.xxh3_64_intdigest)
         for batch in batches:
-            arrays = [tokens(t.as_py(), hashes)[:-1] for t in batch.column(0)]
-            words, n = np.unique(np.concatenate([*arrays, np.empty(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["word", "n"])
+            word, before = columns_of([tokens(t.as_py(), hashes) for t in batch.column(0)], 2)
+            words, n = np.unique(before, return_counts=True)
+            after = np.zeros(len(words), np.int64)
+            none = np.ones(len(words), bool)
+            if order > 2 and len(word):
+                _, first, pairs = np.unique(join_hashes(before, word), return_index=True, return_counts=True)
+                many = pairs > max(1, limit * len(word) / size)
+                words, n = np.concatenate([words, before[first[many]]]), np.concatenate([n, pairs[many]])
+                after = np.concatenate([after, word[first[many]].view(np.int64)])
+                none = np.concatenate([none, np.zeros(int(many.sum()), bool)])
+            columns = [pa.array(words.view(np.int64)), pa.array(after, mask=none), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "next", "n"])
+
+    counts = texts.mapInArrow(count, schema).groupBy("word", "next").agg(F.sum("n").alias("n"))
+    least = min(limit, size // COMMON_WORDS)
+    found = counts.filter(F.col("n") > F.when(F.col("next").isNull(), least).otherwise(limit)).toArrow()
+    word, n = (found.column(c).to_numpy() for c in ("word", "n"))
+    pair = found.column("next").is_valid().to_numpy()
+    word, n = word.view(np.uint64), n.astype(np.int64)
+    after = found.column("next").fill_null(0).to_numpy().view(np.uint64)
+    common, of = word[~pair], n[~pair]
+    hot = np.sort(common[of > limit])
+    pair &= _in(word, hot)
+    common = common[np.lexsort((common, -of))][: COMMON_WORDS - 1]
+    return common, hot, np.stack([word[pair], after[pair]])
+
+
+class Codes:
+    """Words as ranks among the common ones; others stand as hashes of their own."""
+
+    def __init__(self, common: np.ndarray):
+        self.common = common
+        self.order = np.argsort(common)
+        self.sorted = common[self.order]
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        distinct, back = np.unique(words, return_inverse=True)
+        codes = np.zeros(len(distinct), np.uint32)
+        if len(self.sorted):
+            place = np.minimum(np.searchsorted(self.sorted, distinct), len(self.sorted) - 1)
+            known = self.sorted[place] == distinct
+            codes[known] = self.order[place[known]] + 1
+        return codes[back]
 
-    counts = texts.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counts.filter(F.col("n") > limit).select("word").collect()]
-
-
-def _bigrams(texts: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
-    """Summed bigrams of each batch, packed by bucket."""
-
-    def flush(arrays: list[np.ndarray]) -> pa.RecordBatch:
-        context = np.concatenate([a[:-1] for a in arrays])
-        word = np.concatenate([a[1:] for a in arrays])
-        _, first, n = np.unique(join_hashes(context, word), return_index=True, return_counts=True)
-        context, word = context[first], word[first]
-        bucket = bigram_home(context, join_hashes(context, word), hot, buckets)
-        order = np.lexsort((context, bucket))
-        bucket, context, word, n = bucket[order], context[order], word[order], n[order].astype(np.uint32)
+    @staticmethod
+    def packed(codes: list[np.ndarray], words: list[np.ndarray], n: np.ndarray) -> bytes:
+        parts = [(c & 0xFFFF).astype(np.uint16).tobytes() for c in codes]
+        parts += [(c >> 16).astype(np.uint8).tobytes() for c in codes]
+        rare = np.concatenate([w[c == 0] for c, w in zip(codes, words, strict=True)])
+        return pa.compress(b"".join([*parts, n.astype(np.uint32).tobytes(), rare.tobytes()]), codec="zstd", asbytes=True)
+
+    def unpacked(self, data: bytes, rows: int, size: int, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+        raw = pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True)
+        low = np.frombuffer(raw, np.uint16, rows * order).reshape(order, rows)
+        high = np.frombuffer(raw, np.uint8, rows * order, 2 * rows * order).reshape(order, rows)
+        codes = low.astype(np.int64) | high.astype(np.int64) << 16
+        n = np.frombuffer(raw, np.uint32, rows, 3 * rows * order)
+        rare = np.frombuffer(raw[3 * rows * order + 4 * rows :], np.uint64)
+        words = np.append(self.common, np.uint64(0))[codes - 1]
+        words[codes == 0] = rare
+        return list(words), n
+
+
+def _grams(texts: DataFrame, buckets: int, order: int, sent, hot: np.ndarray, hot_pairs: np.ndarray) -> DataFrame:
+    """Summed n-grams of each batch, packed by bucket."""
+
+    def flush(arrays: list[np.ndarray], codes: Codes) -> pa.RecordBatch:
+        columns = columns_of(arrays, order)
+        contexts = contexts_of(columns)
+        _, first, n = np.unique(join_hashes(contexts[-1], columns[0]), return_index=True, return_counts=True)
+        columns, contexts = [x[first] for x in columns], [x[first] for x in contexts]
+        bucket = gram_home(contexts, columns[0], hot, hot_pairs, buckets)
+        ranks = [codes.of(x) for x in columns]
+        by = bucket.astype(np.uint64) << np.uint64(44) | ranks[1].astype(np.uint64) << np.uint64(22) | ranks[0]
+        at = np.argsort(by, kind="stable")
+        bucket, n = bucket[at], n[at]
+        columns, ranks = [x[at] for x in columns], [x[at] for x in ranks]
         cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist() + [len(bucket)]
         pieces = [slice(a, b) for a, b in zip(cuts, cuts[1:])]  # noqa: B905
+        size = [(3 * order + 4) * (p.stop - p.start) + 8 * sum(int((x[p] == 0).sum()) for x in ranks) for p in pieces]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([int(bucket[p.start]) for p in pieces], pa.int32()),
-                *(pa.array([x[p].tobytes() for p in pieces], pa.binary()) for x in (context, word, n)),
+                pa.array([p.stop - p.start for p in pieces], pa.int32()),
+                pa.array(size, pa.int64()),
+                pa.array([Codes.packed([x[p] for x in ranks], [x[p] for x in columns], n[p]) for p in pieces], pa.binary()),
             ],
-            names=["bucket", "context", "word", "n"],
+            names=["bucket", "rows", "size", "data"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = WordHashes(xxhash.xxh3_64_intdigest), [], 0
+        hashes, held, size, codes = WordHashes(xxhash.xxh3_64_intdigest), [], 0, Codes(sent.value)
         for batch in batches:
             for text in batch.column(0):
-                held.append(tokens(text.as_py(), hashes))
+                held.append(tokens(text.as_py(), hashes, order))
                 size += len(held[-1])
                 if size >= BATCH_TOKENS:
-                    yield flush(held)
+                    yield flush(held, codes)
                     held, size = [], 0
         if held:
-            yield flush(held)
+            yield flush(held, codes)
 
-    return texts.mapInArrow(run, "bucket int, context binary, word binary, n binary")
+    return texts.mapInArrow(run, "bucket int, rows int, size long, data binary")
 
 
 SUMS = "home int, kind string, keys binary, a binary, b binary, c binary, d binary"
 
 
-def _stored_bigrams(packed: DataFrame, folder: str, buckets: int) -> DataFrame:
-    """Stores each bucket; what its words, contexts and counts add up to, packed by the hash of the word."""
+def _save_counts(folder: str, level: int, name: str, keys: np.ndarray, n: np.ndarray) -> None:
+    _save(folder, f"gram{level}-{name}", keys)
+    _save(folder, f"count{level}-{name}", np.minimum(n, BIG).astype(np.uint8))
+    _save(folder, f"bigkey{level}-{name}", keys[n >= BIG])
+    _save(folder, f"bigcount{level}-{name}", n[n >= BIG])
+
+
+def _save_contexts(folder: str, kind: str, level: int, name: str, keys: np.ndarray, *sums: np.ndarray) -> None:
+    """Contexts that were followed once by one word need no numbers."""
+    once = sums[0] == 1
+    _save(folder, f"{kind}once{level}-{name}", keys[once])
+    _save(folder, f"{kind}{level}-{name}", keys[~once])
+    values = np.stack([s[~once] for s in sums], axis=1)
+    _save(folder, f"{kind}value{level}-{name}", values.astype(np.min_scalar_type(_top(values))))
+
+
+def _followed(context: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Contexts with their total and the numbers of words that follow once, twice and more often."""
+    return _grouped(context, n, *((n == k).astype(np.uint32) for k in (1, 2)), (n > 2).astype(np.uint32))
+
+
+def _stored_grams(packed: DataFrame, folder: str, buckets: int, order: int, sent, hot: np.ndarray, hot_pairs: np.ndarray) -> DataFrame:
+    """Stores each bucket; what its words, frequent contexts and counts add up to, packed by hash.
+
+    The n-grams of a bucket, and all shorter ones that end them, are nowhere else, so
+    that they are counted here: the longest by their occurrences, the others by the
+    words before them. Only hot pairs are in several buckets.
+    """
 
     def by_home(kind: str, keys: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
         place = home(keys, buckets)
@@ -149,23 +273,37 @@ def _stored_bigrams(packed: DataFrame, folder: str, buckets: int) -> DataFrame:
                 yield i, kind, keys[piece].tobytes(), *(v[piece].tobytes() for v in values), *[None] * (4 - len(values))
 
     def store(key: tuple, table: pa.Table) -> pa.Table:
-        context, word = _column(table, "context", "uint64"), _column(table, "word", "uint64")
-        n = _column(table, "n", "uint32").astype(np.uint64)
-        keys = join_hashes(context, word)
-        order = np.argsort(keys, kind="stable")
-        keys, context, word, n = keys[order], context[order], word[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        keys, context, word, n = keys[first], context[first], word[first], np.add.reduceat(n, first)
-        name = f"{key[0].as_py():07d}"
-        _save(folder, f"bigram-{name}", keys)
-        _save(folder, f"count-{name}", np.minimum(n, BIG).astype(np.uint8))
-        _save(folder, f"bigkey-{name}", keys[n >= BIG])
-        _save(folder, f"bigcount-{name}", n[n >= BIG])
-        one = np.ones(len(n), np.uint32)
-        words = _grouped(word, n, one)
-        contexts = _grouped(context, n, *((n == k).astype(np.uint32) for k in (1, 2)), (n > 2).astype(np.uint32))
-        totals = np.append(np.bincount(np.minimum(n, 5).astype(np.int64), minlength=6)[1:5], len(n)).astype(np.int64)
-        rows = [*by_home("word", *words), *by_home("context", *contexts), (-1, "total", totals.tobytes(), *[None] * 4)]
+        codes, name = Codes(sent.value), f"{key[0].as_py():07d}"
+        parts = [codes.unpacked(d.as_py(), r.as_py(), s.as_py(), order) for d, r, s in zip(*(table.column(c) for c in ("data", "rows", "size")), strict=True)]
+        columns = [np.concatenate([p[0][i] for p in parts]) for i in range(order)]
+        n = np.concatenate([p[1] for p in parts]).astype(np.uint64)
+        del parts
+        rows, totals = [], np.zeros(4 * (order - 1) + 1, np.int64)
+        for level in range(order, 1, -1):
+            contexts = contexts_of(columns)
+            keys = join_hashes(contexts[-1], columns[0])
+            at = np.argsort(keys, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], keys[at][1:] != keys[at][:-1]]))
+            n = np.add.reduceat(n[at], first)
+            at = at[first]
+            keys, context, columns = keys[at], contexts[-1][at], [c[at] for c in columns]
+            if level == order:
+                rows += by_home("word", *_grouped(columns[0], n, np.zeros(len(n), np.uint32)))
+            if level == 2:
+                spread = _in(keys, hot_pairs) if order > 2 else np.zeros(len(keys), bool)
+                rows += by_home("pair", keys[spread], n[spread])
+                keys, n, context, columns = keys[~spread], n[~spread], context[~spread], [c[~spread] for c in columns]
+                rows += by_home("word", *_grouped(columns[0], np.zeros(len(n), np.uint64), np.ones(len(n), np.uint32)))
+                rows += by_home("context2", *_followed(context, n))
+                totals[-1] = len(n)
+            else:
+                apart = _in(columns[1], hot)
+                rows += by_home(f"context{level}", *_followed(context[apart], n[apart]))
+                _save_contexts(folder, "context", level, name, *_followed(context[~apart], n[~apart]))
+            _save_counts(folder, level, name, keys, n)
+            totals[4 * (level - 2) : 4 * (level - 1)] = np.bincount(np.minimum(n, 5).astype(np.int64), minlength=6)[1:5]
+            columns, n = columns[:-1], np.ones(len(n), np.uint64)
+        rows.append((-1, "total", totals.tobytes(), *[None] * 4))
         types = [pa.int32(), pa.string(), *[pa.binary()] * 5]
         names = ["home", "kind", "keys", "a", "b", "c", "d"]
         return pa.table({c: pa.array([r[i] for r in rows], t) for i, (c, t) in enumerate(zip(names, types, strict=True))})
@@ -173,25 +311,34 @@ def _stored_bigrams(packed: DataFrame, folder: str, buckets: int) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(store, SUMS)
 
 
-#: Bigrams that occur once to four times, and all; words that follow one to four others, and all; tokens.
-TOTALS = 11
-
+def _stored_words(sums: DataFrame, folder: str, order: int, after: np.ndarray, buckets: int) -> tuple[np.ndarray, dict[int, int]]:
+    """Stores the words and frequent contexts of each home; the totals of the model, and the counts of hot pairs.
 
-def _stored_words(sums: DataFrame, folder: str) -> list[int]:
-    """Stores the words and contexts of each home; the totals of the model."""
+    ``after``: the last words of the hot pairs, whose spread no bucket knows.
+    """
+    counts = 4 * (order - 1) + 1
 
     def store(key: tuple, table: pa.Table) -> pa.Table:
         kinds = np.array(table.column("kind").to_pylist())
-        totals = np.zeros(TOTALS, np.int64)
+        totals, pairs = np.zeros(counts + 6, np.int64), [np.empty(0, np.uint64)] * 2
         if key[0].as_py() < 0:
-            totals[:5] = _column(table, "keys", "int64").reshape(-1, 5).sum(axis=0)
+            totals[:counts] = _column(table, "keys", "int64").reshape(-1, counts).sum(axis=0)
         else:
-            of = {k: table.filter(pa.array(kinds == k)) for k in ("word", "context")}
-            word = _grouped(*(_column(of["word"], c, t) for c, t in (("keys", "uint64"), ("a", "uint64"), ("b", "uint32"))))
+            of = {k: table.filter(pa.array(kinds == k)) for k in ("word", "pair", *(f"context{i + 2}" for i in range(order - 1)))}
+            own = after[home(after, buckets) == key[0].as_py()]
+            n, spread = _column(of["word"], "a", "uint64"), _column(of["word"], "b", "uint32")
+            word = _grouped(
+                np.concatenate([_column(of["word"], "keys", "uint64"), own]),
+                np.concatenate([n, np.zeros(len(own), np.uint64)]),
+                np.concatenate([spread, np.ones(len(own), np.uint32)]),
+            )
             columns = (("keys", "uint64"), ("a", "uint64"), ("b", "uint32"), ("c", "uint32"), ("d", "uint32"))
-            context = _grouped(*(_column(of["context"], c, t) for c, t in columns))
-            keys = np.union1d(word[0], context[0])
             name = f"{key[0].as_py():07d}"
+            for level in range(3, order + 1):
+                summed = _grouped(*(_column(of[f"context{level}"], c, t) for c, t in columns))
+                _save_contexts(folder, "hotcontext", level, name, *summed)
+            context = _grouped(*(_column(of["context2"], c, t) for c, t in columns))
+            keys = np.union1d(word[0], context[0])
             _save(folder, f"word-{name}", keys)
             values = np.zeros((len(keys), 6), np.uint32 if max(_top(word[1]), _top(context[1])) < 1 << 32 else np.uint64)
             values[np.searchsorted(keys, word[0]), 0] = word[1]
@@ -200,15 +347,17 @@ def _stored_words(sums: DataFrame, folder: str) -> list[int]:
             for i in range(4):
                 values[at, 2 + i] = context[1 + i]
             _save(folder, f"value-{name}", values)
-            spread = np.bincount(np.minimum(word[2], 5).astype(np.int64), minlength=6)[1:5]
-            totals[5:9] = spread
-            totals[9:] = len(word[0]), int(word[1].sum())
-        return pa.table({f"t{i}": pa.array([int(t)], pa.int64()) for i, t in enumerate(totals)})
+            totals[counts : counts + 4] = np.bincount(np.minimum(word[2], 5).astype(np.int64), minlength=6)[1:5]
+            totals[counts + 4 :] = len(word[0]), int(word[1].sum())
+            pairs = _grouped(*(_column(of["pair"], c, "uint64") for c in ("keys", "a")))
+        row = [totals.tobytes(), *(p.tobytes() for p in pairs)]
+        return pa.table({c: pa.array([v], pa.binary()) for c, v in zip(("totals", "pairs", "n"), row, strict=True)})
 
-    schema = ", ".join(f"t{i} long" for i in range(TOTALS))
-    stored = sums.groupBy("home").applyInArrow(store, schema)
-    row = stored.agg(*(F.coalesce(F.sum(f"t{i}"), F.lit(0)).alias(f"t{i}") for i in range(TOTALS))).first()
-    return [int(x) for x in row]
+    totals, pairs = np.zeros(counts + 6, np.int64), {}
+    for r in sums.groupBy("home").applyInArrow(store, "totals binary, pairs binary, n binary").toLocalIterator():
+        totals += np.frombuffer(r.totals, np.int64)
+        pairs.update(zip(np.frombuffer(r.pairs, np.uint64).tolist(), np.frombuffer(r.n, np.uint64).tolist(), strict=True))
+    return totals, pairs
 
 
 def _top(values: np.ndarray) -> int:
@@ -219,31 +368,45 @@ def _top(values: np.ndarray) -> int:
 class Model:
     """Where the arrays are, and the numbers that all texts share.
 
-    ``of_counts`` and ``of_spreads``: how many bigrams occur, and words follow
-    other words, once, twice, three and four times.
+    ``of_counts`` (by level, from pairs up) and ``of_spreads``: how many n-grams
+    occur, and words follow other words, once, twice, three and four times.
+    ``hot_pairs``: first and last word and count of the pairs that are in several buckets.
     """
 
     folder: str
     buckets: int
     hot: tuple[int, ...]
-    of_counts: tuple[int, ...]
+    hot_pairs: tuple[tuple[int, int, int], ...]
+    of_counts: tuple[tuple[int, ...], ...]
     of_spreads: tuple[int, ...]
     n_bigrams: int
     vocabulary: int
     n_tokens: int
+    order: int
 
 
-def train(spark: SparkSession, docs: DataFrame, text: str = "text") -> Model:
-    """Count the texts of ``docs``; a null text is an empty one. Every row counts, copies too."""
+def train(spark: SparkSession, docs: DataFrame, text: str = "text", order: int = 2) -> Model:
+    """Count the n-grams of up to ``order`` words of ``docs``; a null text is an empty one. Every row counts, copies too."""
+    if order < 2:
+        raise ValueError("the order is 2 at least")
     texts = docs.select(F.col(text).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    buckets = max(1, -(-((size[0] or 0) + size[1]) // BUCKET_BYTES))
+    size = (size[0] or 0) + size[1]
+    buckets = max(1, -(-size // BUCKET_BYTES))
     folder = mounted(work_dir(spark, "ngram-lm"))
     os.makedirs(folder, exist_ok=True)
-    frequent = np.sort(np.array(_frequent(texts, BUCKET_BYTES // 64), np.int64).view(np.uint64))
-    packed = _bigrams(texts, buckets, frequent)
-    t = _stored_words(_stored_bigrams(packed, folder, buckets), folder)
-    return Model(folder, buckets, tuple(map(int, frequent)), tuple(t[:4]), tuple(t[5:9]), t[4], t[9], t[10])
+    common, hot, (before, after) = _frequent(texts, BUCKET_BYTES // 64, max(1, size), order)
+    sent, pairs = spark.sparkContext.broadcast(common), join_hashes(before, after)
+    packed = _grams(texts, buckets, order, sent, hot, np.sort(pairs))
+    stored = _stored_grams(packed, folder, buckets, order, sent, hot, np.sort(pairs))
+    t, counts = _stored_words(stored, folder, order, after, buckets)
+    of_pairs = np.array([counts[p] for p in pairs.tolist()], np.int64)
+    t[:4] += np.bincount(np.minimum(of_pairs, 5), minlength=6)[1:5]
+    levels = 4 * (order - 1)
+    of_counts = tuple(tuple(map(int, t[i : i + 4])) for i in range(0, levels, 4))
+    t = t[levels:].tolist()
+    hot_pairs = tuple(zip(before.tolist(), after.tolist(), of_pairs.tolist(), strict=True))
+    return Model(folder, buckets, tuple(hot.tolist()), hot_pairs, of_counts, tuple(t[1:5]), t[0] + len(pairs), t[5], t[6], order)
 
 
 # --- scoring ----------------------------------------------------------------------
@@ -263,6 +426,9 @@ class Reader:
     def __init__(self, model: Model):
         self.model = model
         self.hot = np.array(model.hot, np.uint64)
+        before, after, n = np.array(model.hot_pairs, np.uint64).reshape(-1, 3).T
+        self.hot_pairs, self.hot_counts = _grouped(join_hashes(before, after), n)
+        self.hot_before = _followed(before, n)
         self._open = lru_cache(maxsize=4096)(self._mapped)
 
     def _mapped(self, name: str) -> np.ndarray | None:
@@ -292,30 +458,58 @@ class Reader:
                 place, found = self._find(self._open(f"word-{bucket:07d}"), hashes[rows])
                 if found.any():
                     out[rows[found]] = self._open(f"value-{bucket:07d}")[place[found]]
+            place, found = self._find(self.hot_before[0], hashes)
+            for i in range(4):
+                out[found, 2 + i] += self.hot_before[1 + i][place[found]]
+        return out
+
+    def contexts(self, level: int, contexts: list[np.ndarray]) -> np.ndarray:
+        """Total of contexts of ``level - 1`` words, and their followers seen once, twice, more often."""
+        keys = contexts[level - 2]
+        if level == 2:
+            return self.words(keys)[:, 2:]
+        out = np.zeros((len(keys), 4), np.float64)
+        hot = _in(contexts[0], self.hot)
+        for kind, those, by in (("context", ~hot, contexts[0]), ("hotcontext", hot, keys)):
+            at = np.flatnonzero(those)
+            for bucket, rows in self._by_bucket(home(by[at], self.model.buckets)) if len(at) else ():
+                rows = at[rows]
+                _, found = self._find(self._open(f"{kind}once{level}-{bucket:07d}"), keys[rows])
+                out[rows[found]] = 1, 1, 0, 0
+                place, found = self._find(self._open(f"{kind}{level}-{bucket:07d}"), keys[rows])
+                if found.any():
+                    out[rows[found]] = self._open(f"{kind}value{level}-{bucket:07d}")[place[found]]
         return out
 
     def bigrams(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        keys = join_hashes(context, word)
+        return self.grams(2, [context], word)
+
+    def grams(self, level: int, contexts: list[np.ndarray], word: np.ndarray) -> np.ndarray:
+        """Counts of n-grams of ``level`` words."""
+        keys = join_hashes(contexts[level - 2], word)
         out = np.zeros(len(keys), np.float64)
         if len(keys):
-            for bucket, rows in self._by_bucket(bigram_home(context, keys, self.hot, self.model.buckets)):
-                place, found = self._find(self._open(f"bigram-{bucket:07d}"), keys[rows])
+            for bucket, rows in self._by_bucket(gram_home(contexts[: level - 1], word, self.hot, self.hot_pairs, self.model.buckets)):
+                place, found = self._find(self._open(f"gram{level}-{bucket:07d}"), keys[rows])
                 if not found.any():
                     continue
-                n = self._open(f"count-{bucket:07d}")[place[found]].astype(np.float64)
+                n = self._open(f"count{level}-{bucket:07d}")[place[found]].astype(np.float64)
                 big = n >= BIG
                 if big.any():
                     own = keys[rows[found][big]]
-                    at, _ = self._find(self._open(f"bigkey-{bucket:07d}"), own)
-                    n[big] = self._open(f"bigcount-{bucket:07d}")[at]
+                    at, _ = self._find(self._open(f"bigkey{level}-{bucket:07d}"), own)
+                    n[big] = self._open(f"bigcount{level}-{bucket:07d}")[at]
                 out[rows[found]] = n
+            if level == 2:
+                place, found = self._find(self.hot_pairs, keys)
+                out[found] = self.hot_counts[place[found]]
         return out
 
 
 class Scorer:
     def __init__(self, model: Model):
         self.model, self.reader = model, Reader(model)
-        self.d1, self.d2 = discounts(model.of_spreads), discounts(model.of_counts)
+        self.d1, self.d = discounts(model.of_spreads), [discounts(n) for n in model.of_counts]
         n1, n2 = model.of_spreads[:2]
         left = self.d1[1] * n1 + self.d1[2] * n2 + self.d1[3] * (model.vocabulary - n1 - n2)
         self.spread_total = float(model.n_bigrams)
@@ -324,16 +518,10 @@ class Scorer:
     def texts(self, arrays: list[np.ndarray]) -> list[tuple[int, int, float, float]]:
         """Tokens, known tokens, base score and model score of texts."""
         m = self.model
-        context = np.concatenate([a[:-1] for a in arrays])
-        word = np.concatenate([a[1:] for a in arrays])
-        starts = np.cumsum([0, *(len(a) - 1 for a in arrays)])[:-1]
-        vocabulary, place = np.unique(np.concatenate([word, [START]]), return_inverse=True)
+        columns = columns_of(arrays, m.order)
+        starts = np.cumsum([0, *(len(a) - m.order + 1 for a in arrays)])[:-1]
+        vocabulary, place = np.unique(columns[0], return_inverse=True)
         about = self.reader.words(vocabulary)
-        place = place[: len(word)]
-        before = np.searchsorted(vocabulary, context)  # contexts are START or words of the same batch
-        keys, first, back = np.unique(join_hashes(context, word), return_index=True, return_inverse=True)
-        counts = self.reader.bigrams(context[first], word[first])[back]
-
         count, spread = about[:, 0], about[:, 1]
         base = np.log10((count + 0.1) / (m.n_tokens + 0.1 * (m.vocabulary + 1)))
         low = self.unseen / (m.vocabulary + 1)
@@ -341,15 +529,22 @@ class Scorer:
             low = low + np.maximum(spread - self.d1[np.minimum(spread, 3).astype(np.int64)], 0) / self.spread_total
         else:
             low = np.full(len(vocabulary), low)
-        total = about[:, 2]
-        left = about[:, 3:] @ self.d2[1:]
-        seen = total > 0
-        share = np.where(seen, left / np.where(seen, total, 1), 1.0)
-        high = np.maximum(counts - self.d2[np.minimum(counts, 3).astype(np.int64)], 0) / np.where(seen, total, 1)[before]
-        score = np.log10(high + share[before] * low[place])
+        likely, contexts = low[place], contexts_of(columns)
+        for level, d in enumerate(self.d, 2):
+            _, first, back = np.unique(contexts[level - 2], return_index=True, return_inverse=True)
+            of = self.reader.contexts(level, [c[first] for c in contexts])
+            seen = of[:, 0] > 0
+            total = np.where(seen, of[:, 0], 1)
+            share = np.where(seen, of[:, 1:] @ d[1:] / total, 1.0)
+            keys = join_hashes(contexts[level - 2], columns[0])
+            _, first, again = np.unique(keys, return_index=True, return_inverse=True)
+            counts = self.reader.grams(level, [c[first] for c in contexts], columns[0][first])[again]
+            high = np.maximum(counts - d[np.minimum(counts, 3).astype(np.int64)], 0) / total[back]
+            likely = high + share[back] * likely
+        score = np.log10(likely)
         known = (count > 0)[place]
         sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), base[place], score)]
-        return [(len(a) - 1, int(k), float(b), float(s)) for a, k, b, s in zip(arrays, *sums, strict=True)]
+        return [(len(a) - m.order + 1, int(k), float(b), float(s)) for a, k, b, s in zip(arrays, *sums, strict=True)]
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -367,7 +562,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text"
         def apply(texts: pa.Array):
             rows, held, size = [], [], 0
             for t in texts:
-                held.append(tokens(t.as_py(), hashes))
+                held.append(tokens(t.as_py(), hashes, sent.value.order))
                 size += len(held[-1])
                 if size >= BATCH_TOKENS // 3:
                     rows += scorer.texts(held)

@@ -80,3 +80,51 @@ def test_odd_rows(spark, odd_docs, no_docs):
 def test_other_file_systems_are_refused():
     with pytest.raises(ValueError):
         ngram_lm.mounted("hdfs://host/work")
+
+
+def brute_force_of_order(order, train, texts):
+    padded = [["<s>"] * (order - 1) + tokens(t) for t in train]
+    grams = {order: Counter(tuple(p[i : i + order]) for p in padded for i in range(len(p) - order + 1))}
+    for k in range(order - 1, 0, -1):
+        grams[k] = Counter(g[1:] for g in grams[k + 1])
+    discount = {k: ngram_lm.discounts(tuple(sum(v == i for v in grams[k].values()) for i in (1, 2, 3, 4))) for k in grams}
+    after = {k: defaultdict(list) for k in grams}
+    for k in grams:
+        for g, n in grams[k].items():
+            after[k][g[:-1]].append(n)
+    vocabulary = {w for p in padded for w in p} - {"<s>"}
+
+    def p(gram):
+        k, below = len(gram), p(gram[1:]) if len(gram) > 1 else 1 / (len(vocabulary) + 1)
+        found = after[k][gram[:-1]]
+        if not found:
+            return below
+        d, n = discount[k], grams[k][gram]
+        return max(n - d[min(n, 3)], 0) / sum(found) + sum(d[min(x, 3)] for x in found) / sum(found) * below
+
+    for text in texts:
+        words = ["<s>"] * (order - 1) + tokens(text)
+        yield sum(math.log10(p(tuple(words[i : i + order]))) for i in range(len(words) - order + 1))
+
+
+@pytest.mark.parametrize("order", [3, 4])
+@pytest.mark.parametrize("bucket", [24 << 20, 300, 1500])
+def test_longer_orders_like_brute_force(spark, monkeypatch, order, bucket):
+    monkeypatch.setattr(ngram_lm, "BUCKET_BYTES", bucket)
+    rng = random.Random(6)
+    say = lambda: " ".join(rng.choice(["the", "of", "a", f"w{rng.randrange(9)}"]) for _ in range(rng.randrange(40)))
+    train, texts = [say() for _ in range(80)] + [None, "", "the " * 400], [say() for _ in range(20)] + [None, "", "of never the a"]
+    model = ngram_lm.train(spark, spark.createDataFrame([(t,) for t in train], "text string"), order=order)
+    assert bool(model.hot_pairs) == (bucket < 2000)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = ngram_lm.score(spark, docs, model).orderBy("doc_id").collect()
+    assert [r.score for r in rows] == pytest.approx(list(brute_force_of_order(order, train, texts)))
+
+
+def test_longer_order_tells_scrambled_text_of_common_pairs(spark):
+    """In both texts all pairs of words are known, but only one has the known order of three."""
+    train = spark.createDataFrame([("a b c",), ("d b e",)] * 20, "text string")
+    docs = spark.createDataFrame([(0, "a b c"), (1, "a b e")], "doc_id long, text string")
+    of = lambda order: [r.score for r in ngram_lm.score(spark, docs, ngram_lm.train(spark, train, order=order)).orderBy("doc_id").collect()]
+    pairs, threes = of(2), of(3)
+    assert pairs[0] == pytest.approx(pairs[1]) and threes[0] > threes[1] + 0.5
