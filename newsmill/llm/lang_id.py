@@ -34,11 +34,11 @@ PENALTY = 1.0
 @dataclass(frozen=True)
 class Settings:
     """``rows_per_lang`` bounds the rows to learn from, by a hash of their key;
-    ``max_items`` bounds the model, shared evenly by languages and lengths, the
-    most frequent items first; ``max_n`` is the longest n-gram."""
+    ``max_items``, if given, bounds the model, shared evenly by languages and lengths,
+    the most frequent items first; ``max_n`` is the longest n-gram."""
 
     rows_per_lang: int = 2000
-    max_items: int = 300_000
+    max_items: int | None = None
     max_n: int = 5
 
 
@@ -109,15 +109,15 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     grams = words.select("lang", "n", F.explode(_grams(settings.max_n)).alias("g"))
     grams = grams.groupBy("lang", "g.size", "g.item").agg(F.sum("n").alias("n"))
     items = words.select("lang", F.lit(0).alias("size"), "item", "n").unionByName(grams)
-    group = Window.partitionBy("lang", "size")
-    ranked = items.select(
-        "*",
-        F.row_number().over(group.orderBy(F.desc("n"), "item")).alias("place"),
-        F.sum("n").over(group).alias("total"),
-    )
-    share = max(1, settings.max_items // (langs * (settings.max_n + 1)))
+    totals = items.groupBy("lang", "size").agg(F.sum("n").alias("total"))
+    if settings.max_items is not None:
+        group = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "item")
+        share = max(1, settings.max_items // (langs * (settings.max_n + 1)))
+        items = items.withColumn("place", F.row_number().over(group)).filter(F.col("place") <= share)
     cost = -F.log10(F.col("n") / F.col("total"))
-    return ranked.filter(F.col("place") <= share).select("size", "item", "lang", cost.alias("cost"), "total").collect()
+    found = items.join(F.broadcast(totals), ["lang", "size"])  # a row for each language and length
+    found = found.select("size", "item", "lang", cost.alias("cost"), "total").toArrow()
+    return list(zip(*(c.to_pylist() for c in found.columns), strict=True))
 
 
 @dataclass(frozen=True)

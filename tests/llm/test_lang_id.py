@@ -59,3 +59,10 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["4", "5", "5", "None"]
     assert lang_id.accepted(spark, no_docs).count() == 0
+
+
+def test_rare_words_stay_in_the_model(spark):
+    word = F.translate(F.lower(F.conv(F.col("id").cast("string"), 10, 26)), "0123456789", "qrstuvwxyz")
+    words = spark.range(60_000).select((F.col("id") % 1500).alias("doc_id"), word.alias("word"))
+    docs = words.groupBy("doc_id").agg(F.concat_ws(" ", F.collect_list("word")).alias("text")).withColumn("lang", F.lit("en"))
+    assert sum(r[0] == 0 for r in lang_id.train(docs)) == 60_000
