@@ -66,3 +66,13 @@ def test_rare_words_stay_in_the_model(spark):
     words = spark.range(60_000).select((F.col("id") % 1500).alias("doc_id"), word.alias("word"))
     docs = words.groupBy("doc_id").agg(F.concat_ws(" ", F.collect_list("word")).alias("text")).withColumn("lang", F.lit("en"))
     assert sum(r[0] == 0 for r in lang_id.train(docs)) == 60_000
+
+
+def test_texts_in_unlearnt_scripts_and_gibberish_go(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang").filter("text is not null").limit(300)
+    odd = ["Это совсем другой язык и другое письмо " * 50, "这是 一个 中文 文本 " * 50, "xqzvk wqrtzp kkjhg vvbnmq zzxcw qqpwrt " * 50, "هذا نص عربي " * 50]
+    both = docs.withColumn("doc_id", F.col("doc_id").cast("string")).unionByName(
+        spark.createDataFrame([(f"odd{i}", t, None) for i, t in enumerate(odd)], "doc_id string, text string, lang string")
+    )
+    kept = [r.doc_id for r in lang_id.accepted(spark, both).collect()]
+    assert len(kept) == docs.count() and not any(k.startswith("odd") for k in kept)
