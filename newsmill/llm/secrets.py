@@ -27,8 +27,8 @@ EXAMPLE_NAMES = "example|sample|test|mock|dummy|fixture|placeholder|changeme|tod
 #: A candidate: so many token characters, one of them a digit.
 CANDIDATE = r"(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}={0,2}"
 MIN_LENGTH = 12
-#: Words this frequent in all texts are words of the dictionary.
-DICTIONARY_COUNT = 5
+#: Words in this part of the distinct texts, and in two at least, are words of the dictionary.
+DICTIONARY_PART = 1e-4
 #: Distinct letter runs of the candidates up to this number are broadcast (20 bytes or so each).
 BROADCAST_ROWS = 200_000
 
@@ -88,14 +88,23 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
 
 
 def _coverage(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """``(finding, covered_part)``: the part of each candidate that is words of the corpus."""
+    """``(finding, covered_part)``: the part of each candidate that is words of the corpus.
+
+    A word counts once for each distinct text where it stands by itself outside candidates.
+    """
     runs = F.filter(F.split(F.lower("finding"), "[^a-z]+"), lambda r: F.length(r) >= 3)
     parts = found.select("finding").distinct().select("finding", F.posexplode(runs).alias("at", "run"))
     wanted = materialize(parts.select("run").distinct(), "secret-runs")
     small = wanted.count() <= BROADCAST_ROWS
-    words = docs.select(F.explode(F.split(F.lower(f"`{text}`"), "[^a-z]+")).alias("run"))
-    counts = words.join(F.broadcast(wanted) if small else wanted, "run", "left_semi").groupBy("run").count()
-    known = materialize(counts.filter(F.col("count") >= DICTIONARY_COUNT).select("run"), "secret-words")
+    body = F.col(f"`{text}`")
+    texts = docs.filter(body.isNotNull()).select(F.xxhash64(body.cast("binary")).alias("of"), body.alias("body"))
+    n_texts = texts.select("of").distinct().count()
+    alone = F.array_distinct(F.split(F.lower(F.regexp_replace("body", CANDIDATE, " ")), "[^a-z0-9]+"))
+    words = texts.select("of", F.explode(alone).alias("run"))
+    words = words.join(F.broadcast(wanted) if small else wanted, "run", "left_semi").distinct()
+    least = max(2, DICTIONARY_PART * n_texts)
+    known = words.groupBy("run").count().filter(F.col("count") >= least).select("run")
+    known = materialize(known, "secret-words")
     covered = parts.join(known, "run").groupBy("finding").agg(F.sum(F.length("run")).alias("covered"))
     return covered.select("finding", (F.col("covered") / F.length("finding")).alias("covered_part"))
 

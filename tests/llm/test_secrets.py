@@ -40,3 +40,22 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert secrets.scan(no_docs).count() == 0
     one = spark.createDataFrame([(1, f"token={HEX}", None)], "doc_id long, text string, source string")
     assert [(r.doc_id, r.is_secret) for r in secrets.scan(one).collect()] == [(1, True)]
+
+
+def test_copies_of_a_key_make_no_words_of_it(spark):
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzzKEY"
+    copied = [(i, f"token={key} here", "src") for i in range(1000)] + [(1000 + i, f"number {i} token={key}", "src") for i in range(9)]
+    alone = [(2000 + i, f"the word bpxrficyzzzkey wjalrxutnfemi mdeng alone, {i // 50}", "src") for i in range(50)]  # one text
+    docs = spark.createDataFrame(copied + alone, "doc_id long, text string, source string")
+    rows = secrets.features(secrets.candidates(docs), docs).collect()
+    assert len(rows) == 1009 and all(r.covered_part == 0 for r in rows)
+    assert all(r.is_secret for r in secrets.scan(docs).collect())
+
+
+def test_words_of_several_texts_cover_a_candidate(spark):
+    docs = spark.createDataFrame(
+        [(1, "see page-of-words-001", "a"), (2, "one page, many words", "a"), (3, "words of a page", "a")],
+        "doc_id long, text string, source string",
+    )
+    (row,) = secrets.features(secrets.candidates(docs), docs).collect()
+    assert row.covered_part > 0.5
