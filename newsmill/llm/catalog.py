@@ -77,7 +77,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
     found = secrets.scan(docs, learn_from=id_fold(F.col("key"), 5) != 0)
     finding = F.sha2(F.col("finding").cast("binary"), 256).alias("finding_sha256")
-    return found.select("doc_id", "place", finding, F.round("score", 6).alias("score"), "is_secret")
+    return found.select("doc_id", "place", "ordinal", finding, F.round("score", 6).alias("score"), "is_secret")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,7 +55,7 @@ def _part(text: Column, pattern: str) -> Column:
 
 
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """One row per candidate: ``key``, ``place`` (of its word), ``finding``, its surroundings and ``path``.
+    """One row per candidate: ``key``, ``place`` (of its word), ``ordinal`` (in it), ``finding``, its surroundings and ``path``.
 
     Whole texts are searched; null and empty texts have none.
     """
@@ -82,9 +82,26 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
         F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")).alias("path"),
         F.explode(once(words, found)).alias("c"),
     )
-    rows = rows.select("key", "path", "c.*").withColumn("finding", F.regexp_extract("word", CANDIDATE, 0))
-    head = F.expr("substring_index(word, finding, 1)")
-    return rows.select("key", "path", "place", "finding", F.concat_ws(" ", "before", head).alias("before"), "after")
+    rows = rows.select("key", "path", "c.*")
+    # All candidates of a word and the texts between them, found once.
+    matches = F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0))
+    parts = F.struct(matches.alias("found"), F.split("word", CANDIDATE, -1).alias("between"))
+
+    def each(p: Column) -> Column:
+        last = F.size(p["found"]) - 1
+
+        def row(i: Column) -> Column:
+            between = F.get(p["between"], i)
+            return F.struct(
+                i.alias("ordinal"),
+                F.get(p["found"], i).alias("finding"),
+                F.when(i == 0, F.concat_ws(" ", "before", between)).otherwise(between).alias("before"),
+                F.when(i == last, F.col("after")).otherwise(F.get(p["between"], i + 1)).alias("after"),
+            )
+
+        return F.transform(F.sequence(F.lit(0), last), row)
+
+    return rows.select("key", "path", "place", F.explode(once(parts, each)).alias("c")).select("key", "path", "place", "c.*")
 
 
 def _coverage(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
@@ -134,7 +151,7 @@ def features(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame
         "after_plain": F.col("after").rlike(r"^[\p{L}]+[.,;]?$"),
     }
     numbers = [columns[c].cast("double").alias(c) for c in FEATURES]
-    return both.select("key", "path", "place", "finding", "before", *numbers)
+    return both.select("key", "path", "place", "ordinal", "finding", "before", *numbers)
 
 
 def rule_labels(described: DataFrame) -> DataFrame:
@@ -168,10 +185,10 @@ def train(labelled: DataFrame, settings: Settings = Settings()):
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, key: str = "doc_id", text: str = "text", path: str = "source",
          learn_from: Column | None = None, settings: Settings = Settings()) -> DataFrame:
-    """One row per candidate: key, ``place``, ``finding``, ``score`` (0 to 1) and ``is_secret``.
+    """One row per candidate: key, ``place``, ``ordinal``, ``finding``, ``score`` (0 to 1) and ``is_secret``.
 
-    ``labelled`` has rows ``(key, place, label)`` that name findings of ``docs``; without
-    it a strict rule labels them. ``learn_from`` (on the column ``key``) restricts what is
+    ``labelled`` has rows ``(key, place, label)`` that name findings of ``docs``, with
+    ``ordinal`` if not the first ones of their words; without it a strict rule labels them. ``learn_from`` (on the column ``key``) restricts what is
     learnt from. If the labels do not have both classes, the rule alone decides.
     """
     found = materialize(candidates(docs, key, text, path), "secret-candidates")
@@ -179,15 +196,17 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, key: str = "doc_id"
     if labelled is None:
         known = rule_labels(described)
     else:
-        marks = labelled.select("key", "place", F.col("label").cast("double").alias("label")).dropDuplicates(["key", "place"])
-        known = described.join(marks, ["key", "place"])
+        ordinal = F.col("ordinal") if "ordinal" in labelled.columns else F.lit(0)
+        marks = labelled.select("key", "place", ordinal.alias("ordinal"), F.col("label").cast("double").alias("label"))
+        known = described.join(marks.dropDuplicates(["key", "place", "ordinal"]), ["key", "place", "ordinal"])
     model = train(known if learn_from is None else known.filter(learn_from), settings)
     if model is None:
-        rule = rule_labels(described).select("key", "place", "finding", F.col("label").alias("score"))
-        scored = described.select("key", "place", "finding").join(rule, ["key", "place", "finding"], "left").fillna(0.0, ["score"])
+        own = ["key", "place", "ordinal", "finding"]
+        rule = rule_labels(described).select(*own, F.col("label").alias("score"))
+        scored = described.select(*own).join(rule, own, "left").fillna(0.0, ["score"])
     else:
         ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(described)
         scored = model.transform(ready).withColumn("score", vector_to_array("probability")[1])
     return scored.select(
-        F.col("key").alias(key), "place", "finding", "score", (F.col("score") >= settings.threshold).alias("is_secret")
+        F.col("key").alias(key), "place", "ordinal", "finding", "score", (F.col("score") >= settings.threshold).alias("is_secret")
     )

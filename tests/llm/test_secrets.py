@@ -59,3 +59,19 @@ def test_words_of_several_texts_cover_a_candidate(spark):
     )
     (row,) = secrets.features(secrets.candidates(docs), docs).collect()
     assert row.covered_part > 0.5
+
+
+def test_all_candidates_of_a_word(spark):
+    other = "9855ae4fa49702326c"
+    docs = spark.createDataFrame(
+        [(1, f'a {{"id":"a1b2c3d4e5f6","token":"{HEX}","again":"{HEX}"}} end', "p"), (2, f"x?session=a1b2c3d4e5f6&token={other}", "p")],
+        "doc_id long, text string, source string",
+    )
+    rows = secrets.candidates(docs).orderBy("key", "ordinal").collect()
+    assert [(r.key, r.place, r.ordinal, r.finding) for r in rows] == [
+        (1, 1, 0, "a1b2c3d4e5f6"), (1, 1, 1, HEX), (1, 1, 2, HEX), (2, 0, 0, "a1b2c3d4e5f6"), (2, 0, 1, other)
+    ]
+    assert rows[0].before.endswith('{"id":"') and rows[1].before == '","token":"' and rows[1].after == '","again":"'
+    assert rows[2].after == "end" and rows[4].before == "&token="
+    found = {(r.doc_id, r.ordinal): r.is_secret for r in secrets.scan(docs).collect()}
+    assert len(found) == 5 and found[2, 1] and not found[2, 0]
