@@ -186,27 +186,49 @@ def _form(word: str) -> str:
     return word.title() if word.isupper() and len(word) > 1 else word
 
 
-def _names(text: str) -> Iterator[Entity]:
-    """Names after a title, and known given names with the name that follows."""
+def _full_names(text: str) -> Iterator[Entity]:
+    """Names after a title, and known given names with the names that follow."""
     for lead in _CAPITAL.finditer(text):
         word, start = lead[0], lead.start()
         if start and text[start - 1].isalnum():
             continue
         if word in _TITLE_GENDER and (m := _TITLED.match(text, start)):
-            words, gender = _name_words(text, m.start("rest"), m.end("rest")), _TITLE_GENDER[word]
-            for i, (a, b) in enumerate(words):
-                form = _form(text[a:b])
-                own = _KNOWN.get(form, ("", gender))[1]
-                given = i < len(words) - 1
-                yield Entity(a, b, f"given:{script_of(form)}:{own}" if given else f"family:{script_of(form)}", form)
+            gender = _TITLE_GENDER[word]
         elif (word in _KNOWN or word in _KNOWN_UPPER) and (m := _NAMED.match(text, start)):
-            words = _name_words(text, m.start("rest"), m.end("rest"))[:1]
             given = _KNOWN_UPPER.get(word, word)
             script, gender = _KNOWN[given]
-            for a, b in words:
-                form = _form(text[a:b])
+            if _name_words(text, m.start("rest"), m.end("rest")):
                 yield Entity(start, lead.end(), f"given:{script}:{gender}", given)
-                yield Entity(a, b, f"family:{script_of(form)}", form)
+        else:
+            continue
+        words = _name_words(text, m.start("rest"), m.end("rest"))
+        for i, (a, b) in enumerate(words):
+            form = _form(text[a:b])
+            own = _KNOWN.get(form, ("", gender))[1]
+            given = i < len(words) - 1
+            yield Entity(a, b, f"given:{script_of(form)}:{own}" if given else f"family:{script_of(form)}", form)
+
+
+def _names(text: str) -> Iterator[Entity]:
+    """Full names, and where a name of theirs stands alone later in the text."""
+    first: dict[str, Entity] = {}
+    places = set()
+    for e in _full_names(text):
+        yield e
+        places.add(e.start)
+        if e.end - e.start > 1:
+            first.setdefault(e.form, e)
+    if not first:
+        return
+    for m in re.finditer(_WORD, text):
+        start, word = m.start(), m[0]
+        if not word[0].isupper() or start in places or start and (text[start - 1].isalnum() or text[start - 1] == "_"):
+            continue
+        for part in (word, re.split("['’]", word)[0]):  # Kennedy's
+            known = first.get(_form(part))
+            if known and known.start < start:
+                yield Entity(start, start + len(part), known.kind, known.form)
+                break
 
 
 def find(text: str | None) -> list[Entity]:

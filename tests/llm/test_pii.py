@@ -84,3 +84,14 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert sorted(map(str, (r.text for r in out.collect()))) == sorted(map(str, (r.text for r in odd_docs.collect())))
     assert out.filter(F.col("n_replaced") > 0).count() == 0
     assert pii.pseudonymize(spark, no_docs, KEY).count() == 0
+
+
+def test_all_names_and_later_mentions(spark):
+    text = "Kennedy? John Fitzgerald Kennedy spoke. Kennedy said that KENNEDY's aunt Maria Lopez left; Maria went, John too, kennedy not."
+    names = ["John", "Fitzgerald", "Kennedy", "Kennedy", "KENNEDY", "Maria", "Lopez", "Maria", "John"]
+    assert [f for _, f in kinds(text)] == names
+    (row,) = pii.pseudonymize(spark, spark.createDataFrame([(1, text)], "doc_id long, text string"), KEY).collect()
+    m = re.fullmatch(r"Kennedy\? (\w+) (\w+) (\w+) spoke. (\w+) said that (\w+)'s aunt (\w+) (\w+) left; (\w+) went, (\w+) too, kennedy not.", row.text)
+    john, _, family, again, upper, maria, _, maria_again, john_again = m.groups()
+    assert family == again and upper == family.upper() and maria == maria_again and john == john_again
+    assert not {*names} & {*m.groups()}
