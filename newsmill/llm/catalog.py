@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import bpe, decontaminate, html_text, lang_id, licenses, near_dups, ngram_lm, oracles, pii, quality, secrets
+from newsmill.llm import bpe, decontaminate, divergence, fim, html_text, lang_id, licenses, near_dups, ngram_lm, oracles, pii, quality, secrets
 from newsmill.llm.common import id_fold, table
 
 #: The key of the registered queries; real runs pass a secret one.
@@ -91,6 +91,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cuts = fim.restore(fim.transform(table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"]))
+    return cuts.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_language_id": op2_language_id,
@@ -102,6 +115,8 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_secrets": op9_secrets,
     "op10_decontamination": op10_decontamination,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 

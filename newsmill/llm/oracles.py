@@ -101,4 +101,66 @@ select doc_id, license, place::int as first_word, part as containment
 from parts qualify row_number() over (partition by doc_id, license order by part desc, place) = 1
 """
 
-SQL: dict[str, str] = {"op8_licenses": OP8, "op4_near_dups": OP4, "op10_decontamination": OP10}
+OP11 = """
+with units as (
+  select doc_id, coalesce(text, '') as t, sha256('42:' || doc_id) as h,
+    regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') as w
+  from documents
+), drawn as (
+  select doc_id, t, w, len(w) as n, ('0x' || h[1:8])::bigint % (len(w) + 1) as c1, ('0x' || h[9:16])::bigint % (len(w) + 1) as c2,
+    case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or ('0x' || h[17:24])::bigint % 100 >= 50
+      then 'plain' when ('0x' || h[25:32])::bigint % 100 < 80 then 'spm' else 'psm' end as form
+  from units
+), parts as (
+  select doc_id, t, n, form, array_to_string(w[1:least(c1, c2)], '') as p,
+    array_to_string(w[least(c1, c2) + 1:greatest(c1, c2)], '') as m, array_to_string(w[greatest(c1, c2) + 1:], '') as s
+  from drawn
+)
+select doc_id, n::bigint as n, form,
+  case when form <> 'plain' then length(p) end::bigint as prefix_chars,
+  case when form <> 'plain' then length(m) end::bigint as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256
+from parts
+"""
+
+OP12 = """
+with docs as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w
+  from documents
+), words as (
+  select row, lang, source, unnest(w) as term from docs
+), kept as (
+  select lang, term, count(*) as total from words group by all having count(distinct row) >= 10
+), langs as (
+  select lang, count(*) as v, sum(total) as n from kept group by lang
+), groups as (
+  select distinct lang, source from docs
+), counts as (
+  select lang, source, term, count(*) as c from words semi join kept using (lang, term) group by all
+), sized as (
+  select lang, source, coalesce(sum(c), 0) as n from groups left join counts using (lang, source) group by all
+), shares as (
+  select lang, source, term, coalesce(c, 0) as c,
+    1 + 1000000000::hugeint * (coalesce(c, 0) + 2) // (sized.n + 2 * langs.v) as p,
+    1 + 1000000000::hugeint * (kept.total + 2) // (langs.n + 2 * langs.v) as q
+  from sized join kept using (lang) join langs using (lang) left join counts using (lang, source, term)
+), near as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), parts as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join near on near.lang = a.lang and near.source = a.source and near.item = b.source
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from shares where c > 0 and p > q
+)
+select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+from parts qualify part = 'pair' or rank <= 10
+"""
+
+SQL: dict[str, str] = {"op8_licenses": OP8, "op4_near_dups": OP4, "op10_decontamination": OP10, "op11_fill_in_middle": OP11,
+                       "op12_source_divergence": OP12}
