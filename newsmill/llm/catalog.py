@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm import bpe, decontaminate, divergence, fim, html_text, lang_id, licenses, near_dups, ngram_lm, oracles, pii, quality, secrets
+from newsmill.llm import bpe, decontaminate, divergence, fim, html_text, lang_id, licenses, near_dups, ngram_lm, oracles, pii, quality, secrets, token_files
 from newsmill.llm.common import id_fold, table
+from newsmill.session import work_dir
 
 #: The key of the registered queries; real runs pass a secret one.
 PII_KEY = b"newsmill"
 RANKS = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 #: Words of the longest n-grams of the language model.
 NGRAM_ORDER = 3
 
@@ -104,6 +106,12 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents", "text", "lang", "source"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "token-files")
+    token_files.write(spark, table(spark, sf_dir, "documents", "doc_id", "text"), folder, public_tokenizers.path(TOKENIZER))
+    return token_files.read(spark, folder)
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogates": op1_pii_surrogates,
     "op2_language_id": op2_language_id,
@@ -117,6 +125,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_source_divergence": op12_source_divergence,
+    "op13_token_files": op13_token_files,
 }
 
 
