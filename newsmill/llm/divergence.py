@@ -29,7 +29,7 @@ HELD = 400_000
 BROADCAST_GROUPS = 100_000
 #: Postings of a block, and at least so many for each group of the language, so that
 #: accumulators stay smaller than what they sum up.
-BLOCK, BLOCK_PER_GROUP = 50_000, 64
+BLOCK, BLOCK_PER_GROUP = 16_000, 64
 #: Pairs that are in memory at a time while they are summed up.
 STEP = 1 << 20
 #: Letters of A-Z in lower case; other ASCII separates terms, all else belongs to them.
@@ -87,32 +87,16 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.select("lang", "source", "text").mapInArrow(run, schema)
 
 
-def share(count: Column, total: Column, kept: Column, added: int) -> Column:
-    """``1 + floor(10 ** 9 * (count + added) / (total + added * kept))``, exact in whole numbers; 1 without terms.
-
-    Digits are taken three at a time, so nothing overflows below 9e15 occurrences.
-    """
-    whole = total + kept * added
-    value, rest = F.lit(0).cast("long"), count + added
-    for _ in range(4):
-        value = value * 1000 + _quotient(rest, whole)
-        rest = (rest % whole) * 1000
-    return F.when(kept > 0, value + 1).otherwise(F.lit(1).cast("long"))
-
-
-def _quotient(a: Column, b: Column) -> Column:
-    """``a`` divided by ``b`` in whole numbers, up to a quotient of 1e9: what the double lacks is far below a half."""
-    return F.round((a - a % b) / b).cast("long")
+def share(count: str, total: str, kept: str, added: int) -> Column:
+    """``1 + floor(10 ** 9 * (count + added) / (total + added * kept))`` of columns, exact; 1 without kept terms."""
+    share = F.expr(f"cast(1000000000 as decimal(10, 0)) * ({count} + {added}) div ({total} + {added} * {kept})")
+    return F.when(F.col(kept) > 0, share + 1).otherwise(F.lit(1).cast("long"))
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // (p + q)
 
 
-def _distance(p: Column, q: Column) -> Column:
-    return _quotient((p - q) * (p - q), p + q)
-
-
 def row_sums(term: np.ndarray, group: np.ndarray, p: np.ndarray, zero: np.ndarray, peers: int):
     """For each group of a block ``(group, peers after it, sums)`` over the terms that both hold.
 
@@ -237,7 +221,7 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
         F.sum("rows").over(of_lang).alias("lang_rows"),
         F.sum("kept").over(of_lang).alias("kept"),
     )
-    zero = share(F.lit(0).cast("long"), F.col("total"), F.col("kept"), settings.added)
+    zero = share("0", "total", "kept", settings.added)
     size = F.greatest(F.lit(BLOCK), F.col("peers") * BLOCK_PER_GROUP)
     groups = materialize(groups.withColumns({"zero": zero, "blocks": F.ceil(F.col("lang_rows") / size)}), "divergence-groups")
     few = groups.count() <= BROADCAST_GROUPS
@@ -248,12 +232,12 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
 
     known = with_group(counts, ["lang", "source"], "gid", "total", "lang_total", "kept", "zero", "peers", "blocks")
     known = known.withColumns({
-        "p": share(F.col("n"), F.col("total"), F.col("kept"), settings.added),
-        "q": share(F.col("lang_n"), F.col("lang_total"), F.col("kept"), settings.added),
+        "p": share("n", "total", "kept", settings.added),
+        "q": share("lang_n", "lang_total", "kept", settings.added),
         "block": F.pmod(F.xxhash64("term"), F.col("blocks")),
     })
 
-    value = _distance(F.col("p"), F.col("q")).alias("value")
+    value = F.expr("(p - q) * (p - q) div (p + q)").alias("value")
     terms = known.filter(F.col("p") > F.col("q")).select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), value)
     of_group = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
     terms = terms.withColumn("rank", F.row_number().over(of_group)).filter(F.col("rank") <= settings.top)
