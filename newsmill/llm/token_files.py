@@ -17,12 +17,15 @@ Folders may be local and shared, or any that ``pyarrow.fs`` can open.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import json
+import os
 import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +47,8 @@ BLOCK_IDS = 1 << 14
 READ_IDS = 1 << 20
 #: Characters encoded at a time.
 CHUNK = 1 << 20
-#: Characters of the segments whose ids are remembered, each counted with what it takes besides.
-REMEMBERED, PER_SEGMENT = 48 << 20, 64
+#: Bytes of the pieces whose ids are remembered, each counted with what it takes besides.
+REMEMBERED, PER_PIECE = 160 << 20, 240
 #: A tokenizer file above this is refused: it is sent to every executor.
 MAX_TOKENIZER_BYTES = 64 << 20
 #: Tasks that read files back at most.
@@ -192,7 +195,7 @@ class TokenFile:
 
 
 def chunks(text: str, size: int = CHUNK) -> Iterator[str]:
-    """``text`` in order, cut where a match of a byte-level splitting pattern always ends: before a space after what is none."""
+    """``text`` in order, cut where a match of a byte-level splitting pattern always ends: before a space after no white space."""
     start = 0
     while len(text) - start > size:
         at = text.find(" ", start + size)
@@ -205,74 +208,155 @@ def chunks(text: str, size: int = CHUNK) -> Iterator[str]:
     yield text[start:]
 
 
-_SPACES, _CUT = re.compile(r"\s "), re.compile(r"(?<=\S)(?= )")
+_CUT = re.compile(r"(?<=\S)(?= )")
+#: A piece that begins with white space needs one before it that does not end with any; one that
+#: begins with a mark needs a letter or digit there, as marks that stand together are matched together.
+_SPACE, _MARK, _OTHER = 0, 1, 2
+#: Letters and digits up to here are such to every version of Unicode.
+_LATIN = "\u024f"
+#: Pieces encoded as one text while they are learnt.
+JOINED = 64
+_KINDS = {" ": _SPACE, "\n": _SPACE, ".": _MARK, ",": _MARK}
 
 
-def segments(text: str) -> list[str]:
-    """``text`` cut before every space that follows what is none."""
-    if "\0" in text or _SPACES.search(text):
-        return _CUT.split(text)
-    found = text.replace(" ", "\0 ").split("\0")
+def pieces(text: str) -> list[str]:
+    """``text`` cut before each space and line end, and before a full stop or comma ahead of one: not all cuts are safe."""
+    marked = text.replace(". ", "\0. ").replace(", ", "\0, ").replace(".\n", "\0.\n").replace("\n", "\0\n")
+    found = marked.replace(" ", "\0 ").split("\0")
     return found if found[0] else found[1:]
 
 
+class _Numbers(dict):
+    """Numbers of pieces in the order in which they are first asked for."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
+
+
+class _Table:
+    """A numpy array that grows."""
+
+    def __init__(self, dtype):
+        self._values, self.size = np.empty(1 << 12, dtype), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        stop = self.size + len(values)
+        while stop > len(self._values):
+            self._values = np.concatenate([self._values, np.empty_like(self._values)])
+        self._values[self.size : stop] = values
+        self.size = stop
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        return self._values[at]
+
+
 class Encoder:
     """Ids of texts by the tokenizers library.
 
     A byte-level pattern splits a text before every space that follows something else, and
-    merges never reach across. Where the tokenizer works so, a segment between two such places
+    merges never reach across. Where the tokenizer works so, a piece between two such places
     is encoded once and remembered; where it does not, texts are encoded whole.
     """
 
     def __init__(self, definition: str):
+        # A task has one core; threads of its own would take others'.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_str(definition)
         self._tokenizer.no_padding()
         self._tokenizer.no_truncation()
         # Strings of special tokens are ordinary text in a document.
         self._tokenizer.encode_special_tokens = True
-        self.vocabulary = max(self._tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self.vocabulary = max(vocabulary.values()) + 1
+        # A character of a byte-level token stands for a byte.
+        self._bytes = np.zeros(self.vocabulary, np.int64)
+        for token, number in vocabulary.items():
+            self._bytes[number] = len(token)
         self.splits = _splits_at_spaces(json.loads(definition))
         self._forget()
 
     def _forget(self) -> None:
-        self._known: dict[str, int] = {}
-        self._flat, self._used, self._held = np.empty(1 << 16, np.uint32), 0, 0
-        self._starts: list[np.ndarray] = []
-        self._lengths: list[np.ndarray] = []
-
-    def _learn(self, new: Sequence[str]) -> None:
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            ids = [e.ids for e in self._tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            total = int(lengths.sum())
-            while self._used + total > len(self._flat):
-                self._flat = np.concatenate([self._flat, np.empty_like(self._flat)])
-            self._flat[self._used : self._used + total] = np.fromiter((x for y in ids for x in y), np.uint32, total)
-            self._starts.append(self._used + np.cumsum(lengths) - lengths)
-            self._lengths.append(lengths)
-            self._used += total
-            known = len(self._known)
-            self._known.update(zip(part, range(known, known + len(part)), strict=True))
-            self._held += sum(map(len, part)) + PER_SEGMENT * len(part)
-
-    def encode(self, parts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        self._numbers, self._held = _Numbers(), 0
+        self._ids, self._starts, self._sizes = _Table(np.uint32), _Table(np.int64), _Table(np.int64)
+        self._begins, self._ends = _Table(np.uint8), _Table(np.uint8)
+
+    def _by_library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts one after the other, and how many each has, each by a call of its own."""
+        ids = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_by_library`` of pieces that may stand after each other: one call for many, cut by their bytes."""
+        lines = ["".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+        ids, _ = self._by_library(lines)
+        stops = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        reached = np.cumsum(self._bytes[ids])
+        at = np.searchsorted(reached, stops)
+        if len(ids) and (reached[-1] != stops[-1] or not np.array_equal(reached[at], stops)):
+            return self._by_library(words)  # a token that stands for other bytes than its own
+        return ids, np.diff(at + 1, prepend=0)
+
+    def _learn(self) -> None:
+        new, self._numbers.new = self._numbers.new, []
+        if not new:
+            return
+        begins = np.array([_KINDS.get(p[:1], _OTHER) for p in new], np.uint8)
+        ends = np.array([_SPACE if p[-1:].isspace() else _MARK if p[-1:].isalnum() and p[-1] <= _LATIN else _OTHER for p in new], np.uint8)
+        plain = np.array([p[:1] == " " for p in new]) & (ends != _SPACE)
+        starts, sizes = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        for chosen, encode in ((np.flatnonzero(plain), self._joined), (np.flatnonzero(~plain), self._by_library)):
+            ids, found = encode([new[i] for i in chosen])
+            starts[chosen] = self._ids.size + np.cumsum(found) - found
+            sizes[chosen] = found
+            self._ids.extend(ids)
+        for table, values in ((self._starts, starts), (self._sizes, sizes), (self._begins, begins), (self._ends, ends)):
+            table.extend(values)
+        self._held += sum(map(len, new)) + PER_PIECE * len(new)
+
+    def _look_up(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all pieces, and where the pieces of each text begin."""
+        flat = list(itertools.chain.from_iterable(cut))
+        at = np.fromiter(map(self._numbers.__getitem__, flat), np.int64, len(flat))
+        self._learn()
+        return at, np.concatenate([[0], np.cumsum([len(x) for x in cut], dtype=np.int64)]).astype(np.int64)
+
+    def encode(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of texts one after the other, and how many each has."""
-        cut = [segments(p) if self.splits and p else [p] for p in parts]
-        flat = [s for x in cut for s in x]
+        texts = list(texts)
+        if not self.splits:
+            return self._by_library(texts)
         if self._held > REMEMBERED:
             self._forget()
-        new = set(flat).difference(self._known)
-        if new:
-            self._learn(list(new))
-        starts, sizes = np.concatenate(self._starts or [[]]), np.concatenate(self._lengths or [[]])
-        self._starts, self._lengths = [starts], [sizes]
-        at = np.fromiter(map(self._known.__getitem__, flat), np.int64, len(flat))
-        size = sizes[at].astype(np.int64)
-        done = np.concatenate([[0], np.cumsum(size)])
-        ids = self._flat[np.repeat(starts[at].astype(np.int64) - done[:-1], size) + np.arange(done[-1])]
-        ends = np.cumsum([len(x) for x in cut], dtype=np.int64)
-        return ids, np.diff(done[np.concatenate([[0], ends]).astype(np.int64)])
+        at, edges = self._look_up([pieces(t) if "\0" not in t else _CUT.split(t) for t in texts])
+        # Texts with a cut that may lie within a match are cut again, at safe places only.
+        begins, ends = self._begins[at[1:]], self._ends[at[:-1]]
+        doubtful = ~((begins == _SPACE) & (ends != _SPACE) | (begins == _MARK) & (ends == _MARK))
+        owner = np.searchsorted(edges, np.flatnonzero(doubtful) + 1, side="right") - 1
+        again = np.unique(owner[edges[owner] != np.flatnonzero(doubtful) + 1])
+        if len(again):
+            new, new_edges = self._look_up([_CUT.split(texts[i]) for i in again])
+            lists = np.split(at, edges[1:-1])
+            for i, numbers in zip(again, np.split(new, new_edges[1:-1]), strict=True):
+                lists[i] = numbers
+            at = np.concatenate(lists)
+            edges = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+        sizes = self._sizes[at]
+        done = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self._ids[np.repeat(self._starts[at] - done[:-1], sizes) + np.arange(done[-1])]
+        return ids, np.diff(done[edges])
+
+
+@functools.lru_cache(maxsize=1)
+def encoder_of(definition: str) -> Encoder:
+    """The encoder of a worker: later tasks of the same process find its pieces again."""
+    return Encoder(definition)
 
 
 def _splits_at_spaces(definition: dict) -> bool:
@@ -357,7 +441,7 @@ def write(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: str, end
                 continue
             keys, texts = batch.columns
             if writer is None:
-                encoder = Encoder(definition.value)
+                encoder = encoder_of(definition.value)
                 system, root = filesystem(folder)
                 bits = bits_for(max(encoder.vocabulary, (end_id or 0) + 1))
                 writer, first = Writer(system.open_output_stream(f"{root}/{name}"), bits, keys.type), keys[:1]

@@ -18,7 +18,7 @@ LIBRARY = Tokenizer.from_file(PATH)
 LIBRARY.encode_special_tokens = True
 ENCODER = token_files.Encoder(DEFINITION)
 PIECES = st.sampled_from(
-    ["a", "'s", "'", " ", "  ", "\n", "9", "12", "!", "é", "漢", "I'll", "<|endoftext|>", "\t", "ß", "\x00", "\x1c", "\x85", "\xa0", "　", "​"]
+    ["a", "'s", "'", " ", "  ", "\n", "9", "12", "!", "é", "漢", "I'll", "<|endoftext|>", "\t", "ß", "\x00", "\x1c", ".", ",", ". ", ", ", ".\n", "b", "\x85", "\xa0", "　", "​"]
 )
 
 
@@ -26,7 +26,7 @@ def by_library(text):
     return LIBRARY.encode(text, add_special_tokens=False).ids
 
 
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(st.lists(st.lists(PIECES, max_size=30).map("".join), max_size=4), st.integers(1, 6))
 def test_ids_are_the_librarys(texts, size):
     assert ENCODER.splits
@@ -39,7 +39,7 @@ def test_ids_are_the_librarys(texts, size):
         assert [i for p in parts for i in by_library(p)] == by_library(text)
 
 
-def test_segments_are_forgotten(monkeypatch):
+def test_pieces_are_forgotten(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 10)
     encoder = token_files.Encoder(DEFINITION)
     for text in ["one two", "two three four", "one", "", "three"]:
