@@ -25,6 +25,10 @@ def _start(period: str) -> Column:
     return F.window("ts", period)["start"]
 
 
+def hour_start() -> Column:
+    return _start("1 hour")
+
+
 def signals() -> Column:
     """The alarms that a metric counts for: an error of its function, a failure, a timeout."""
     each = F.array(
@@ -75,6 +79,15 @@ def daily_sends(metrics: DataFrame) -> DataFrame:
     )
 
 
+def alert_level(spent: Column, cap: float = BUDGET_CAP) -> Column:
+    """The highest share of the cap, in per cent, that ``spent`` is above; NULL below the lowest."""
+    percent = spent * 100 / F.lit(cap).cast("decimal(18,2)")
+    crossed = F.lit(None).cast("int")
+    for level in BUDGET_PERCENTS:
+        crossed = F.when(percent > level, level).otherwise(crossed)
+    return crossed
+
+
 def budget_alerts(metrics: DataFrame, cap: float = BUDGET_CAP) -> DataFrame:
     """Days on which the month's cost so far is above a share of the cap.
 
@@ -86,8 +99,4 @@ def budget_alerts(metrics: DataFrame, cap: float = BUDGET_CAP) -> DataFrame:
     spent = days.withColumn(
         "month_to_date", F.sum("cost").over(month.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    percent = F.col("month_to_date") * 100 / F.lit(cap).cast("decimal(18,2)")
-    crossed = F.lit(None).cast("int")
-    for level in BUDGET_PERCENTS:
-        crossed = F.when(percent > level, level).otherwise(crossed)
-    return spent.withColumn("alert_percent", crossed).filter("alert_percent IS NOT NULL")
+    return spent.withColumn("alert_percent", alert_level(F.col("month_to_date"), cap)).filter("alert_percent IS NOT NULL")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -180,32 +181,61 @@ def attach_replies(articles: DataFrame, responses: DataFrame) -> DataFrame:
     return articles.join(one, "id", "left")
 
 
-def _mentions(terms: tuple[str, ...]) -> Column:
-    """Whether a term occurs as whole words; the cheap search comes first."""
-    text = F.col("_text")
-    found = F.lit(False)
-    for term in terms:
-        words = term.replace(".", r"\.")
-        found = found | (F.contains(text, F.lit(term)) & text.rlike(rf"(?:^|[^a-z0-9]){words}(?:[^a-z0-9]|$)"))
-    return found
+#: What separates the words of the rules' terms; all else in a text does so as well.
+_APART = r"[^a-z0-9]+"
+
+
+def _words(text: Column) -> Column:
+    return F.split(text, _APART)
+
+
+def mentions(term_sets: Mapping[str, Sequence[str]], text: Column | str = "text") -> Column:
+    """Names of the sets of which a term occurs in ``text`` (lower case) as whole words: array<string>.
+
+    The text is cut into words once. A term of one word is looked up among them, all terms
+    of a set at a time; one of several words is searched only where its words are there,
+    with the characters between them as they are written.
+    """
+    whole = F.col(text) if isinstance(text, str) else text
+
+    def found(words: Column) -> Column:
+        names = []
+        for name, terms in term_sets.items():
+            single = [t for t in terms if re.fullmatch("[a-z0-9]+", t)]
+            hit = F.arrays_overlap(words, F.array(*map(F.lit, single))) if single else F.lit(False)
+            for term in (t for t in terms if t not in single):
+                longest = max(re.split(_APART, term), key=len)
+                pattern = rf"(?:^|[^a-z0-9]){re.escape(term)}(?:[^a-z0-9]|$)"
+                hit = hit | (F.array_contains(words, longest) & F.contains(whole, F.lit(term)) & whole.rlike(pattern))
+            names.append(F.when(hit, F.lit(name)))
+        return F.array_compact(F.array(*names))
+
+    return once(_words(whole), found)
 
 
 def rule_triage(articles: DataFrame) -> DataFrame:
     """Triage by the written rules alone; a baseline, not equal to a model."""
-    named = _mentions(CLOUD_SERVICE_TERMS)
+    sets = {
+        "bedrock": BEDROCK_TERMS, "ai": AI_TERMS, "cloud": CLOUD_SERVICE_TERMS, "infrastructure": INFRASTRUCTURE_TERMS, **dict(SEVERITY_TERMS),
+    }
+
+    def mentioned(name: str) -> Column:
+        return F.array_contains("_mentions", name)
+
     category = (
-        F.when(_mentions(BEDROCK_TERMS), "BEDROCK_AGENTCORE")
-        .when(_mentions(AI_TERMS), "AI_GENERAL")
-        .when(_mentions(INFRASTRUCTURE_TERMS) & ~named, "OTHER")
-        .when(named, "AWS_SECURITY")
+        F.when(mentioned("bedrock"), "BEDROCK_AGENTCORE")
+        .when(mentioned("ai"), "AI_GENERAL")
+        .when(mentioned("infrastructure") & ~mentioned("cloud"), "OTHER")
+        .when(mentioned("cloud"), "AWS_SECURITY")
         .otherwise("OTHER")
     )
     severity = F.lit("INFO")
-    for name, terms in reversed(SEVERITY_TERMS):
-        severity = F.when(_mentions(terms), name).otherwise(severity)
+    for name, _ in reversed(SEVERITY_TERMS):
+        severity = F.when(mentioned(name), name).otherwise(severity)
     score = F.when(F.col("relevance_category") == "OTHER", 0).otherwise(60)
+    text = F.lower(F.concat_ws(" ", "title", "content"))
     return (
-        articles.withColumn("_text", F.lower(F.concat_ws(" ", "title", "content")))
+        articles.withColumn("_mentions", once(text, lambda t: mentions(sets, t)))
         .withColumn("relevance_category", category)
         .select(
             *articles.columns,

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from newsmill import schemas
 from newsmill.functions.dates import iso_millis, recent, run_date
 from newsmill.functions.text import article_id, paper_url, strip_html
-from newsmill.operators import digest, metrics, policy, retention, seen, stats, triage
+from newsmill.operators import digest, metrics, policy, retention, seen, sketches, stats, triage
 from newsmill.operators.dedup import dedup_first
+from newsmill.operators.quantile import selected_quantile
 from newsmill.plans import daily, views
 from newsmill.session import configure, materialize, work_dir
 from newsmill.sources import cves, feeds, papers, registry, tables
-from newsmill.streaming import alarms, ingest
+from newsmill.streaming import alarms, budget, ingest
+from newsmill.streaming import replies as reply_stream
 from newsmill.streaming import seen as seen_stream
-from newsmill.streaming.runs import Step, drain, read_batches, write_batches
+from newsmill.streaming.memory import Memory
+from newsmill.streaming.runs import Step, drain, read_batches, write_available, write_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,39 +60,51 @@ def enabled_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.feeds(spark, sf_dir, partitions=spark.sparkContext.defaultParallelism)
+
+
+def _papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.papers(spark, sf_dir, partitions=spark.sparkContext.defaultParallelism)
+
+
+def _cves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.cves(spark, sf_dir, partitions=spark.sparkContext.defaultParallelism)
+
+
 def feed_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feeds.normalize_feeds(views.feeds(spark, sf_dir)).select(
+    return feeds.normalize_feeds(_feeds(spark, sf_dir)).select(
         "id", "title", "url", "source", "content", iso_millis(F.col("published_at")).alias("published"), "pos"
     )
 
 
 def arxiv_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return papers.normalize_papers(views.papers(spark, sf_dir)).select(
+    return papers.normalize_papers(_papers(spark, sf_dir)).select(
         "id", "title", "url", "content", iso_millis(F.col("published_at")).alias("published"), "pos"
     )
 
 
 def paper_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = papers.newest_on_topic(papers.normalize_papers(views.papers(spark, sf_dir)))
+    newest = papers.newest_on_topic(papers.normalize_papers(_papers(spark, sf_dir)))
     return newest.select("id", "title", iso_millis(F.col("published_at")).alias("published"))
 
 
 def cve_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cves.normalize_cves(views.cves(spark, sf_dir)).select(
+    return cves.normalize_cves(_cves(spark, sf_dir)).select(
         "id", "title", "url", "content", iso_millis(F.col("published_at")).alias("published"), "pos", "base_severity"
     )
 
 
 def cve_recent_severe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    severe = cves.recent_severe(cves.normalize_cves(views.cves(spark, sf_dir)), AS_OF, hours=48)
+    severe = cves.recent_severe(cves.normalize_cves(_cves(spark, sf_dir)), AS_OF, hours=48)
     return severe.select("id", "title", "content", "base_severity")
 
 
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = {
-        "rss": feeds.normalize_feeds(views.feeds(spark, sf_dir)),
-        "nvd": cves.normalize_cves(views.cves(spark, sf_dir)),
-        "arxiv": papers.normalize_papers(views.papers(spark, sf_dir)),
+        "rss": feeds.normalize_feeds(_feeds(spark, sf_dir)),
+        "nvd": cves.normalize_cves(_cves(spark, sf_dir)),
+        "arxiv": papers.normalize_papers(_papers(spark, sf_dir)),
         "x": None,
     }
     merged = tables.union_sources(parts)
@@ -219,9 +234,9 @@ def _damaged(documents: DataFrame, every: int, chars: int) -> DataFrame:
 
 def scrape_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = daily.scrape_errors(
-        _damaged(views.feeds(spark, sf_dir), 7, 12),
-        _damaged(views.cves(spark, sf_dir), 13, 5),
-        _damaged(views.papers(spark, sf_dir), 11, 9),
+        _damaged(_feeds(spark, sf_dir), 7, 12),
+        _damaged(_cves(spark, sf_dir), 13, 5),
+        _damaged(_papers(spark, sf_dir), 11, 9),
         registry.api_gates(views.registries(spark, sf_dir)),
     )
     return errors.groupBy("source_type", "source", "error").agg(F.count("*").alias("n"))
@@ -306,7 +321,7 @@ def parse_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = papers.normalize_papers(views.papers(spark, sf_dir))
+    listed = papers.normalize_papers(_papers(spark, sf_dir))
     return triage.triage(listed, "rules").select(
         "id", "severity", F.col("relevance.category").alias("category"), F.col("relevance.score").alias("score")
     )
@@ -329,6 +344,30 @@ def hourly_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _naive(p95.withColumn("p95", F.round("p95", 6)))
 
 
+def p95_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact 95th percentile of one group that holds all metrics, at most 200 of them sorted in one task."""
+    p95 = selected_quantile(views.metrics(spark, sf_dir), [], "duration", 0.95, "p95", most=200)
+    return p95.select(F.round("p95", 6).alias("p95"))
+
+
+def sketched_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days and months from stored hourly sketches: their sizes, and whether the exact ranks of the estimates are near enough."""
+    durations = views.metrics(spark, sf_dir).filter(F.col("duration").isNotNull() & ~F.isnan("duration"))
+    hours = materialize(sketches.hourly_sketches(durations), "sketches")
+    error = 2 * sketches.rank_error()  # twice what holds for 99 of 100 sketches
+    found = []
+    for period in ("day", "month"):
+        estimated = sketches.estimates(sketches.merged(hours, period, "fn"), 0.95, "p95")
+        own = durations.select(F.date_trunc(period, "ts").alias("period_start"), "fn", "duration").join(estimated, ["period_start", "fn"])
+        ranks = own.groupBy("period_start", "fn").agg(
+            F.max("n").alias("n"), F.count_if(F.col("duration") < F.col("p95")).alias("below"),
+            F.count_if(F.col("duration") <= F.col("p95")).alias("upto"),
+        )
+        near = (F.col("below") <= F.col("n") * (0.95 + error) + 1) & (F.col("upto") >= F.col("n") * (0.95 - error) - 1)
+        found.append(ranks.select(F.lit(period).alias("period"), F.to_date("period_start").alias("day"), "fn", "n", near.alias("near")))
+    return found[0].unionByName(found[1])
+
+
 def rate_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     alarm = metrics.rate_alarm(views.metrics(spark, sf_dir))
     return _naive(alarm.withColumn("bounce_rate", F.round("bounce_rate", 9)))
@@ -348,14 +387,18 @@ def _naive(df: DataFrame) -> DataFrame:
     return df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-def land_and_run(landings: list[DataFrame], label: str, step: Step, schema: str) -> DataFrame:
-    """Land tables one after the other and run the stream over each."""
+def land_and_run(
+    landings: list[DataFrame], label: str, step: Step, schema: str,
+    remember: Callable[[DataFrame], DataFrame] | None = None, **memory,
+) -> DataFrame:
+    """Land tables one after the other and run the stream over each; with ``remember``, by a memory."""
     spark = landings[0].sparkSession
     root = work_dir(spark, label)
+    known = Memory(f"{root}/memory", **memory) if remember else None
     for landing in landings:
         landing.write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(landing.schema).parquet(f"{root}/in")
-        write_batches(stream, f"{root}/out", f"{root}/checkpoint", step, schema)
+        write_batches(stream, f"{root}/out", f"{root}/checkpoint", step, schema, known, remember)
     return read_batches(spark, f"{root}/out", schema).drop("batch_id")
 
 
@@ -373,6 +416,66 @@ def stream_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land_and_run(landings, "seen", seen_stream.send_batch, seen_stream.OUTPUT)
 
 
+def stream_dedup_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First arrivals within five days, over six landings in order of scraping, with a memory of five days."""
+    articles = tables.article_columns(views.articles(spark, sf_dir)).withColumn("scraped_at", F.col("published_at"))
+    landings = [articles.filter(F.floor((F.dayofmonth("scraped_at") - 1) / 5) == i) for i in range(6)]
+    found = land_and_run(
+        landings, "dedup-days", lambda batch, known: ingest.remembered_arrivals(batch, known, days=5), schemas.ARTICLE,
+        ingest.arrival_times, keep_days=5, every=2,
+    )
+    return found.select("id", "pos")
+
+
+def stream_seen_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stream_seen`` over six landings, with a memory of nine days."""
+    chosen = materialize(included(spark, sf_dir).select("id", "run_date"), "appearances")
+    landings = [chosen.filter(F.floor((F.dayofmonth("run_date") - 1) / 5) == i) for i in range(6)]
+    return land_and_run(
+        landings, "seen-days", lambda batch, known: seen_stream.send_remembered(batch, known, keep_days=9), seen_stream.OUTPUT,
+        seen_stream.send_dates, time="date", keep_days=9, every=2,
+    )
+
+
+def late_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triage of articles and replies that land side by side in three parts; replies take up to 36 hours, 24 are waited for."""
+    unique = materialize(dedup_first(views.articles(spark, sf_dir)).withColumn("arrived_at", F.col("published_at")), "unique")
+    delay = F.make_dt_interval(hours=(F.pmod("pos", F.lit(5)) * 9).cast("int"))
+    answers = unique.select("id", views.reply_of(F.col("pos")).alias("response_text"), (F.col("arrived_at") + delay).alias("replied_at"), "pos")
+    answers = answers.filter("response_text IS NOT NULL")
+    again = answers.filter(F.pmod("pos", F.lit(3)) == 0).withColumns(
+        {"response_text": F.lit("~ a later reply"), "replied_at": F.col("replied_at") + F.make_dt_interval(hours=F.lit(1))}
+    )
+    answers = materialize(answers.unionByName(again).drop("pos"), "answers")
+    root = work_dir(spark, "replies")
+    # The last landing brings a row to either stream from later on, which ends the wait of all others.
+    later = F.lit("2024-03-01 00:00:00").cast("timestamp")
+    for part in range(4):
+        for df, time, name in ((unique, "arrived_at", "asked"), (answers, "replied_at", "answered")):
+            third = F.least(F.lit(2), F.floor(F.date_diff(F.to_date(time), F.lit("2024-01-01").cast("date")) / 10))
+            if part < 3:
+                landing = df.filter(third == part)
+            else:
+                beat = {"id": F.lit("later"), time: later}
+                landing = spark.range(1).select(*(beat.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in df.schema.fields))
+            landing.write.mode("append").parquet(f"{root}/{name}")
+        asked = spark.readStream.schema(unique.schema).parquet(f"{root}/asked")
+        answered = spark.readStream.schema(answers.schema).parquet(f"{root}/answered")
+        waited = reply_stream.await_replies(asked, answered)
+        write_available(waited, f"{root}/out", f"{root}/checkpoint")
+    stored = spark.read.schema(waited.schema).parquet(f"{root}/out").filter("id <> 'later'").drop("arrived_at")
+    return reply_stream.triaged(stored).select(
+        "id", "pos", "triage_status", "summary", "severity",
+        F.col("relevance.category").alias("category"), F.col("relevance.score").alias("score"),
+    )
+
+
+def stream_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = views.metrics_of(views.stream(spark, sf_dir, "events"))
+    alerts = drain(budget.budget_stream(landed), "budget")
+    return alerts.select("day", F.col("month_to_date").cast("double").alias("month_to_date"), "alert_percent")
+
+
 def stream_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = views.metrics_of(views.stream(spark, sf_dir, "events"))
     return _naive(drain(alarms.error_alarm_stream(landed), "alarms"))
@@ -426,11 +529,17 @@ REGISTERED: dict[str, Query] = {
     "hourly_status": hourly_status,
     "hourly_errors": hourly_errors,
     "hourly_p95": hourly_p95,
+    "p95_of_all": p95_of_all,
+    "sketched_p95": sketched_p95,
     "rate_alarm": rate_alarm,
     "daily_sends": daily_sends,
     "budget_alerts": budget_alerts,
     "stream_dedup": stream_dedup,
     "stream_seen": stream_seen,
+    "stream_dedup_days": stream_dedup_days,
+    "stream_seen_days": stream_seen_days,
+    "late_replies": late_replies,
+    "stream_budget": stream_budget,
     "stream_alarms": stream_alarms,
     "stream_p95": stream_p95,
 }

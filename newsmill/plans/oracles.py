@@ -454,6 +454,11 @@ select {hour}, count(*) filter (status = 'succeeded') succeeded, count(*) filter
 select {hour}, fn, count(*) filter (is_error) errors from metrics group by 1, 2"""
     sql["hourly_p95"] = _with(METRICS) + f"""
 select {hour}, fn, round(quantile_cont(duration, 0.95), 6) p95 from metrics group by 1, 2"""
+    sql["p95_of_all"] = _with(METRICS) + "select round(quantile_cont(duration, 0.95), 6) p95 from metrics"
+    sql["sketched_p95"] = _with(METRICS) + """
+select 'day' period, cast(ts as date) "day", fn, count(*) n, true "near" from metrics group by 2, 3
+union all
+select 'month', cast(date_trunc('month', ts) as date), fn, count(*), true from metrics group by 2, 3"""
     sql["rate_alarm"] = _with(METRICS) + f"""
 select window_start, sends, bounces, round(bounces / cast(sends + bounces as double), 9) bounce_rate from (
   select {hour}, cast(sum(sends) as bigint) sends, cast(sum(bounces) as bigint) bounces from metrics group by 1)
@@ -471,9 +476,23 @@ from spent where month_to_date * 100 / 20 > 80"""
     sql["stream_dedup"] = _with(ARTICLES) + """
 select id, pos from articles
 qualify row_number() over (partition by id order by (pos + 1) % 3, source_ord, pos) = 1"""
+    sql["stream_dedup_days"] = _with(ARTICLES, recursive=True) + """,
+firsts as (
+  select id, pos, published_at seen_at, (dayofmonth(published_at) - 1) // 5 landing from articles
+  qualify row_number() over (partition by id, landing order by source_ord, pos) = 1),
+kept as (
+  select id, min(seen_at) seen_at from firsts group by id
+  union all
+  select k.id, min(f.seen_at) from kept k join firsts f on f.id = k.id and f.seen_at > k.seen_at + interval 5 days
+  group by k.id, k.seen_at)
+select firsts.id, pos from firsts join kept using (id, seen_at)"""
+    sql["stream_seen_days"] = sql["stream_seen"]
+    late = REPLIES.replace("case when pos % 29 = 0 then null", "case when pos % 29 = 0 or pos % 5 >= 3 then null")
+    sql["late_replies"] = _with(late) + "select id, pos, triage_status, summary, severity, category, score from parsed"
     closed = "(select max(ts) from metrics) - interval '10 minutes'"
     sql["stream_alarms"] = sql["error_alarms"].replace("\nselect", "\nselect * from (select", 1) + f"""
 ) where window_start + interval '5 minutes' <= {closed}"""
+    sql["stream_budget"] = sql["budget_alerts"] + f""" and "day" + interval '1 day' <= {closed}"""
     sql["stream_p95"] = _with(METRICS) + f"""
 select window_start, fn, p95 from (
   select {hour}, fn, quantile_disc(duration, 0.95) p95 from metrics group by 1, 2)

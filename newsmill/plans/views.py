@@ -23,8 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def documents_to_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+def documents_to_parse(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """Documents as they are scanned; where ``partitions`` is given and a scan has fewer tasks, dealt out to so many.
+
+    Parsing costs far more than moving the text, and a table of one row group is one task.
+    A table that is scanned in enough tasks is never shuffled.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    if partitions is None or docs.rdd.getNumPartitions() >= partitions:
+        return docs
+    return docs.repartition(partitions)
 
 
 def pick(values: tuple[str, ...], index: Column) -> Column:
@@ -127,7 +135,7 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feeds(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """One feed per document, one item per line: RSS and Atom in turn."""
     doc, when = _text("doc_id"), _published(F.col("doc_id"))
 
@@ -162,7 +170,7 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform(_lines(), atom_entry), ""),
         F.lit("</feed>"),
     )
-    return documents_to_parse(spark, sf_dir).select(
+    return documents_to_parse(spark, sf_dir, partitions).select(
         F.col("source").alias("source_name"),
         F.when(F.col("doc_id") % 2 == 0, rss).otherwise(atom).alias("body"),
         F.lit(SCRAPED_AT).cast("timestamp").alias("scraped_at"),
@@ -170,7 +178,7 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def papers(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """One paper listing per document, one entry per line."""
     doc = F.col("doc_id")
 
@@ -189,12 +197,12 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform(_lines(), entry), ""),
         F.lit("</feed>"),
     )
-    return documents_to_parse(spark, sf_dir).select(
+    return documents_to_parse(spark, sf_dir, partitions).select(
         body.alias("body"), F.lit(SCRAPED_AT).cast("timestamp").alias("scraped_at"), doc.alias("doc_pos")
     )
 
 
-def cves(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cves(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """One vulnerability page per document, one record per line."""
     doc = F.col("doc_id")
 
@@ -229,7 +237,7 @@ def cves(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(_lines()).alias("resultsPerPage"),
         F.transform(_lines(), record).alias("vulnerabilities"),
     )
-    return documents_to_parse(spark, sf_dir).select(
+    return documents_to_parse(spark, sf_dir, partitions).select(
         F.to_json(page).alias("body"), F.lit(SCRAPED_AT).cast("timestamp").alias("scraped_at"), doc.alias("doc_pos")
     )
 

@@ -28,6 +28,19 @@ def first_arrivals(batch: DataFrame, earlier: DataFrame, days: int | None = None
     return first.join(seen, match, "left_anti")
 
 
+def remembered_arrivals(batch: DataFrame, known: DataFrame, days: int) -> DataFrame:
+    """``first_arrivals`` by what a ``Memory`` holds of earlier ones: only the days that can matter are read."""
+    oldest = batch.agg(F.min("scraped_at").alias("at")).first().at
+    if oldest is not None:
+        known = known.filter(F.col("day") >= F.date_sub(F.to_date(F.lit(oldest)), days))
+    return first_arrivals(batch, known.select("id", F.col("at").alias("scraped_at")), days)
+
+
+def arrival_times(results: DataFrame) -> DataFrame:
+    """What a ``Memory`` keeps of stored arrivals."""
+    return results.select("id", F.col("scraped_at").alias("at"))
+
+
 def ingest_stream(articles: DataFrame, path: str, checkpoint: str, days: int | None = None) -> None:
     """Store the first arrival of every id among the articles that have landed."""
     write_batches(articles, path, checkpoint, lambda batch, earlier: first_arrivals(batch, earlier, days), schemas.ARTICLE)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsmill.session import work_dir
 from newsmill.sources.tables import read_stored
+from newsmill.streaming.memory import Memory
 
 Step = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -34,17 +35,27 @@ def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_stored(spark, path, f"{schema}, batch_id bigint")
 
 
-def write_batches(stream: DataFrame, path: str, checkpoint: str, step: Step, schema: str) -> None:
-    """Store ``step(batch, earlier results)`` of every available micro-batch, then stop.
+def write_batches(
+    stream: DataFrame, path: str, checkpoint: str, step: Step, schema: str,
+    memory: Memory | None = None, remember: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Store ``step(batch, earlier)`` of every available micro-batch, then stop.
 
-    State is the stored table itself. A batch has a folder of its own that is
+    State is the stored table itself, or what ``memory`` holds of it: ``(id, at)`` rows that
+    ``remember`` makes of each result. A batch has a folder of its own that is
     written as a whole, so a batch that is run again after a failure replaces its
     result, and it only sees those of earlier batches.
     """
 
     def store(batch: DataFrame, number: int) -> None:
-        earlier = read_batches(batch.sparkSession, path, schema).filter(F.col("batch_id") < number).drop("batch_id")
-        step(batch, earlier).write.mode("overwrite").parquet(f"{path}/batch_id={number}")
+        spark, own = batch.sparkSession, f"{path}/batch_id={number}"
+        if memory is None:
+            earlier = read_batches(spark, path, schema).filter(F.col("batch_id") < number).drop("batch_id")
+        else:
+            earlier = memory.read(spark, number)
+        step(batch, earlier).write.mode("overwrite").parquet(own)
+        if memory is not None:
+            memory.write(remember(read_stored(spark, own, schema)), number)
 
     query = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
