@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsmill import schemas
-from newsmill.functions.dates import iso_millis, recent, run_date
+from newsmill.functions.dates import display_date, iso_millis, recent, run_date
 from newsmill.functions.text import article_id, paper_url, strip_html
 from newsmill.operators import digest, metrics, policy, retention, seen, sketches, stats, triage
 from newsmill.operators.dedup import dedup_first
@@ -203,6 +203,16 @@ def render_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return body.select("digest_date", "page", F.sha2("body", 256).alias("body_sha"), F.length("body").alias("body_len"))
 
 
+def render_small_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both reports on pages of three articles."""
+    made = digest.prepare(stored_rated(spark, sf_dir))
+    parts = [
+        render(made, page_size=3).select("digest_date", F.lit(kind).alias("kind"), "page", F.sha2("body", 256).alias("body_sha"))
+        for kind, render in (("text", digest.render_text), ("html", digest.render_html))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def render_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = digest.render_html(digest.prepare(stored_rated(spark, sf_dir)))
     return body.select("digest_date", "page", F.sha2("body", 256).alias("body_sha"), F.length("body").alias("body_len"))
@@ -242,6 +252,42 @@ def scrape_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return errors.groupBy("source_type", "source", "error").agg(F.count("*").alias("n"))
 
 
+def landed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole scrape: feed files, a registry file and listings are landed and read, articles go through the raw table.
+
+    One service is switched off, a part of the listings has bad dates, and the look-back
+    holds for every source. Errors are listed beside the articles.
+    """
+    root = work_dir(spark, "landed")
+    views.land_feeds(spark, sf_dir, f"{root}/feeds")
+    views.land_registry(spark, sf_dir, f"{root}/sources")
+    landed = {
+        "rss": feeds.read_landed(spark, f"{root}/feeds"),
+        "nvd": views.with_bad_dates(_cves(spark, sf_dir), 5),
+        "arxiv": views.with_bad_dates(_papers(spark, sf_dir), 5),
+    }
+    sources, errors = daily.scrape(registry.read_registry(spark, f"{root}/sources"), landed, AS_OF)
+    tables.write_raw(tables.union_sources(sources), f"{root}/raw", AS_OF[:10])
+    raw = tables.read_raw(spark, f"{root}/raw", AS_OF[:10]).select(
+        "source_type", "source", "id", "title", "content", iso_millis(F.col("published_at")).alias("published"), F.lit(None).cast("string").alias("error")
+    )
+    counted = errors.groupBy("source_type", "source", "error").agg(F.count("*").cast("string").alias("content"))
+    return raw.unionByName(counted, allowMissingColumns=True)
+
+
+def bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of unreadable dates: listings and records give errors, feeds take the scrape time, reports show the text."""
+    wrong = F.when(F.pmod("doc_pos", F.lit(3)) == 0, F.regexp_replace("body", r", \d+ Jan 2024", ", soon"))
+    odd = _feeds(spark, sf_dir).withColumn("body", F.coalesce(wrong, F.col("body")))
+    kept = feeds.normalize_feeds(views.with_bad_dates(odd, 5)).select(
+        F.lit("rss").alias("source_type"), F.col("title").alias("item"), display_date(iso_millis(F.col("published_at"))).alias("shown")
+    )
+    listed = cves.cve_errors(views.with_bad_dates(_cves(spark, sf_dir), 5)).unionByName(
+        papers.paper_errors(views.with_bad_dates(_papers(spark, sf_dir), 5))
+    )
+    return kept.unionByName(listed.select("source_type", F.lit("error").alias("item"), display_date(F.col("error")).alias("shown")))
+
+
 def source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.source_stats(dedup_first(views.articles(spark, sf_dir)), landing_errors(spark, sf_dir))
 
@@ -510,9 +556,12 @@ REGISTERED: dict[str, Query] = {
     "digest_subjects": digest_subjects,
     "render_text": render_text,
     "render_html": render_html,
+    "render_small_pages": render_small_pages,
     "dedup_first": dedup_query,
     "run_funnel": run_funnel,
     "scrape_errors": scrape_errors,
+    "landed_run": landed_run,
+    "bad_dates": bad_dates,
     "source_stats": source_stats,
     "source_errors": source_errors,
     "seen_window": seen_window,

@@ -56,31 +56,34 @@ def run_day(
 
 
 def scrape(
-    config: DataFrame, landed: Mapping[str, DataFrame], as_of: str, hours: float = 26, cve_hours: float = 48
+    config: DataFrame, landed: Mapping[str, DataFrame], as_of: str, hours: float = 26, cve_hours: float | None = None
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Articles and errors of what has landed, as a run takes them.
 
     ``config`` is the registry; ``landed`` has the documents of ``rss``, ``nvd``
-    and ``arxiv``. Feeds and services that are switched off give no articles, and
-    services then give an error; articles of feeds are those of the look-back.
+    and ``arxiv``. Articles of every source are those of the look-back of ``hours``
+    (``cve_hours`` sets another one for vulnerabilities). Feeds and services that are
+    switched off are not parsed; a service gives the one error that says so.
     """
-    docs = feeds.from_registry(landed["rss"], registry.enabled_rss(config))
     gates = registry.api_gates(config)
-
-    def open_gate(df: DataFrame, kind: str) -> DataFrame:
-        on = gates.filter((F.col("source_type") == kind) & F.col("enabled")).select("source_type").distinct()
-        return df.join(on, "source_type", "left_semi")
-
+    docs = feeds.from_registry(landed["rss"], registry.enabled_rss(config))
+    nvd, arxiv = (open_gate(landed[kind], gates, kind) for kind in ("nvd", "arxiv"))
     sources = {
         "rss": feeds.normalize_feeds(docs).filter(recent(F.col("published_at"), as_of, hours=hours)),
-        "nvd": open_gate(cves.recent_severe(cves.normalize_cves(landed["nvd"]), as_of, hours=cve_hours), "nvd"),
-        "arxiv": open_gate(papers.newest_on_topic(papers.normalize_papers(landed["arxiv"])), "arxiv"),
+        "nvd": cves.recent_severe(cves.normalize_cves(nvd), as_of, hours=hours if cve_hours is None else cve_hours),
+        "arxiv": papers.newest_on_topic(papers.normalize_papers(arxiv)).filter(recent(F.col("published_at"), as_of, hours=hours)),
     }
-    return sources, scrape_errors(docs, landed["nvd"], landed["arxiv"], gates)
+    return sources, scrape_errors(docs, nvd, arxiv, gates)
+
+
+def open_gate(landed: DataFrame, gates: DataFrame, kind: str) -> DataFrame:
+    """The documents of a service if it is switched on, else none."""
+    on = gates.filter((F.col("source_type") == kind) & F.col("enabled")).select(F.col("source_type").alias("_kind")).distinct()
+    return landed.withColumn("_kind", F.lit(kind)).join(on, "_kind", "left_semi").drop("_kind")
 
 
 def scrape_errors(rss: DataFrame, nvd: DataFrame, arxiv: DataFrame, gates: DataFrame) -> DataFrame:
-    """Errors of all sources: unreadable documents, bad dates, and services that are switched off."""
+    """Errors of documents that are read (unreadable ones, bad dates), and services that are switched off."""
     off = gates.filter("not enabled").select("source_type", F.col("source_type").alias("source"), "error")
     return feeds.feed_errors(rss).unionByName(cves.cve_errors(nvd)).unionByName(papers.paper_errors(arxiv)).unionByName(off)
 

@@ -389,6 +389,36 @@ union all
 select 'arxiv', 'ArXiv', 'ArXiv: malformed XML', count(*) n from documents where doc_id % 11 = 0 having n > 0
 union all
 select name, name, error, count(*) n from ({sql["source_registry"]}) where kind = 'api' and not enabled group by all"""
+    sql["landed_run"] = _with(LINES, ",", PAPER_ROWS, ",", CVE_ROWS) + f""",
+items as (
+  select 'https://example.com/' || source || '/' || doc_id || '/' || i url, source, 'Item ' || doc_id || '-' || i title,
+         trim(regexp_replace(line, '{SPACE}+', ' ', 'g')) content, {_published("doc_id")} ts
+  from lines where source in (select source from documents group by 1 having sum(n_chars) % 3 > 0)),
+newest as (
+  select * from papers where doc_id % 5 <> 0 and class in ('cs.CR', 'cs.AI', 'cs.LG')
+    and topic in ('Adversarial', 'Security', 'Prompt_injection', 'LLM') order by ts desc, sha256(url) limit 100)
+select 'rss' source_type, source, sha256(url) id, title, content, {_iso("ts")} published, null error from items
+where ts >= timestamp '2024-01-19 04:00:00'
+union all
+select 'arxiv', 'ArXiv', sha256(url), title, content, {_iso("ts")}, null from newest where ts >= timestamp '2024-01-19 04:00:00'
+union all
+select 'nvd', 'nvd', null, null, '1', null, 'NVD source is disabled in sources.json'
+union all
+select 'arxiv', 'ArXiv', null, null, count(*)::varchar, null,
+       'ArXiv: invalid date ' || strftime(ts, '%Y-17-%dT%H:%M:%SZ') || ' in ' || url
+from papers where doc_id % 5 = 0 group by ts, url"""
+    sql["bad_dates"] = _with(LINES, ",", PAPER_ROWS, ",", CVE_ROWS) + f"""
+select 'rss' source_type, 'Item ' || doc_id || '-' || i item,
+       strftime(case when case when doc_id % 2 = 0 then doc_id % 3 = 0 else doc_id % 5 = 0 end
+         then timestamp '2024-02-01 06:00:00' else {_published("doc_id")} end, '%b %-d, %Y') shown from lines
+union all
+select 'nvd', 'error', 'NVD: invalid date ' || strftime(ts, '%Y-17-%dT%H:%M:%S.000') || ' in ' || title from cves
+where (pos // 1048576) % 5 = 0
+union all
+select 'arxiv', 'error', 'ArXiv: invalid date ' || strftime(ts, '%Y-17-%dT%H:%M:%SZ') || ' in ' || url from papers where doc_id % 5 = 0"""
+    sql["render_small_pages"] = f"""
+select digest_date, 'text' kind, page, body_sha from ({sql["render_text"]})
+union all select digest_date, 'html', page, body_sha from ({sql["render_html"]})""".replace("// 500", "// 3").replace("cast(500 as", "cast(3 as")
     sql["seen_window"] = _with(ANALYZED) + sent + """
 select distinct cast(sent_date + cast(k as integer) as date) run_date, id from sent, range(1, 8) t(k)"""
     sql["unseen_articles"] = _with(ANALYZED) + sent + """

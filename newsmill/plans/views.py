@@ -242,6 +242,53 @@ def cves(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> Dat
     )
 
 
+#: Documents whose items are landed as one feed file.
+FILE_DOCS = 200
+
+
+def land_feeds(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """One RSS file per source and so many documents; the lines of a document are its items."""
+    doc, when = _text("doc_id"), _published(F.col("doc_id"))
+
+    def item(line: Column, i: Column) -> Column:
+        place = F.concat(F.lit("https://example.com/"), "source", F.lit("/"), doc, F.lit("/"), i.cast("string"))
+        return F.concat(
+            F.lit("<item><title>Item "), doc, F.lit("-"), i.cast("string"), F.lit("</title><link>"), place,
+            F.lit("</link><description>"), escape_markup(line), F.lit("</description><pubDate>"), _rfc822(when), F.lit("</pubDate></item>"),
+        )
+
+    docs = table(spark, sf_dir, "documents").select(
+        "source", F.floor(F.col("doc_id") / FILE_DOCS).alias("block"), "doc_id", F.array_join(F.transform(_lines(), item), "").alias("items")
+    )
+    files = docs.groupBy("source", "block").agg(F.sort_array(F.collect_list(F.struct("doc_id", "items"))).alias("docs"))
+    body = F.concat(
+        F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>Feed</title>'),
+        F.array_join(F.col("docs.items"), ""), F.lit("</channel></rss>"),
+    )
+    landed = files.select(F.col("source").alias("source_name"), body.alias("body"))
+    landed.write.option("maxRecordsPerFile", 1).partitionBy("source_name").text(path)
+
+
+def land_registry(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A registry file: every source as a feed, switched on by its amount of text; one service on, one off."""
+    amounts = table(spark, sf_dir, "documents").groupBy("source").agg(F.sum("n_chars").alias("amount"))
+    entry = F.struct(
+        F.col("source").alias("name"), F.concat(F.lit("https://example.com/"), "source").alias("url"), (F.col("amount") % 3 > 0).alias("enabled")
+    )
+    listed = amounts.agg(F.sort_array(F.collect_list(entry)).alias("rss"))
+    services = F.from_json(
+        F.lit('[{"name": "Papers", "type": "arxiv", "enabled": true}, {"name": "Records", "type": "nvd", "enabled": false}]'),
+        "array<struct<name: string, type: string, enabled: boolean>>",
+    )
+    listed.select(F.to_json(F.struct("rss", services.alias("apis")))).coalesce(1).write.text(path)
+
+
+def with_bad_dates(landed: DataFrame, every: int) -> DataFrame:
+    """Documents of which every so many have months that do not exist."""
+    body = F.when(F.pmod("doc_pos", F.lit(every)) == 0, F.replace(F.col("body"), F.lit("2024-01-"), F.lit("2024-17-")))
+    return landed.withColumn("body", F.coalesce(body, F.col("body")))
+
+
 def registries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One registry per source, with switches made from its amount of text."""
 

@@ -75,16 +75,17 @@ def normalize_cves(landed: DataFrame) -> DataFrame:
 
 
 def cve_errors(landed: DataFrame) -> DataFrame:
-    """Pages that could not be read, or not wholly, and records without a readable date."""
-    page = F.from_json("body", CVE_PAGE, JSON_OPTIONS)
-    whole = page["vulnerabilities"].isNotNull() & page["_corrupt_record"].isNull()
-    pages = landed.filter(~F.coalesce(whole, F.lit(False))).select(
-        F.lit("nvd").alias("source_type"), F.lit("NVD").alias("source"), F.lit("NVD: unreadable page").alias("error")
+    """Pages that could not be read, or not wholly, and records without a readable date; each page is parsed once."""
+    whole = F.coalesce(F.col("_page.vulnerabilities").isNotNull() & F.col("_page._corrupt_record").isNull(), F.lit(False))
+    page = F.when(~whole, F.array(F.lit("NVD: unreadable page"))).otherwise(F.array().cast("array<string>"))
+    bad = F.filter("_page.vulnerabilities", lambda v: parse_iso(v["cve"]["published"]).isNull())
+    shown = F.transform(
+        bad, lambda v: F.concat(F.lit("NVD: invalid date "), F.coalesce(v["cve"]["published"], F.lit("(none)")), F.lit(" in "), v["cve"]["id"])
+    )
+    errors = F.concat(page, F.coalesce(F.array_compact(shown), F.array().cast("array<string>")))
+    return landed.withColumn("_page", F.from_json("body", CVE_PAGE, JSON_OPTIONS)).select(
+        F.lit("nvd").alias("source_type"), F.lit("NVD").alias("source"), F.explode(errors).alias("error")
     )
-    shown = F.coalesce("_date", F.lit("(none)"))
-    rows = _records(landed).filter("published_at IS NULL")
-    error = F.concat(F.lit("NVD: invalid date "), shown, F.lit(" in "), "title")
-    return pages.unionByName(rows.select("source_type", "source", error.alias("error")))
 
 
 def recent_severe(cves: DataFrame, as_of: str, hours: float = 48) -> DataFrame:

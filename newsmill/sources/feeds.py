@@ -28,13 +28,13 @@ XML_OPTIONS = {"columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSI
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Landed documents: files below ``path/<source name>/``, one body each.
 
-    The scrape time is the file's modification time. ``from_registry`` numbers
+    The folder may also be a partition, ``source_name=<source name>``. The scrape time is the file's modification time. ``from_registry`` numbers
     the documents by their registry entry and file name.
     """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     parent = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     return files.select(
-        F.url_decode(parent).alias("source_name"),
+        F.url_decode(F.regexp_replace(parent, r"\Asource_name=", "")).alias("source_name"),
         F.col("value").alias("body"),
         F.col("_metadata.file_modification_time").alias("scraped_at"),
         F.col("_metadata.file_path").alias("file"),

@@ -76,15 +76,19 @@ def normalize_papers(landed: DataFrame) -> DataFrame:
 
 
 def paper_errors(landed: DataFrame) -> DataFrame:
-    """Listings that could not be read, and entries without a readable date."""
+    """Listings that could not be read, and entries without a readable date; each document is parsed once."""
     reason = F.when(F.col("body").isNull() | (F.trim("body") == ""), "empty document")
     reason = reason.when(F.col("_doc").isNull(), "not a listing").when(F.col("_doc._corrupt_record").isNotNull(), "malformed XML")
-    pages = landed.withColumn("_doc", _listing()).withColumn("_reason", reason).filter("_reason IS NOT NULL").select(
-        F.lit("arxiv").alias("source_type"), F.lit("ArXiv").alias("source"), F.concat(F.lit("ArXiv: "), "_reason").alias("error")
+    dated = F.transform(
+        "_doc.entry",
+        lambda e: F.struct(paper_url(F.coalesce(e["id"], F.lit(""))).alias("url"), F.coalesce(e["published"], e["updated"]).alias("date")),
+    )
+    bad = F.filter(dated, lambda e: (e["url"] != "") & e["date"].isNotNull() & parse_iso(e["date"]).isNull())
+    listed = F.transform(bad, lambda e: F.concat(F.lit("ArXiv: invalid date "), e["date"], F.lit(" in "), e["url"]))
+    errors = F.concat(F.array_compact(F.array(F.concat(F.lit("ArXiv: "), reason))), F.coalesce(listed, F.array().cast("array<string>")))
+    return landed.withColumn("_doc", _listing()).select(
+        F.lit("arxiv").alias("source_type"), F.lit("ArXiv").alias("source"), F.explode(errors).alias("error")
     )
-    bad = _entries(landed).filter("published_at IS NULL")
-    error = F.concat(F.lit("ArXiv: invalid date "), "_date", F.lit(" in "), "url")
-    return pages.unionByName(bad.select("source_type", "source", error.alias("error")))
 
 
 def on_topic(title: Column, categories: Column) -> Column:
