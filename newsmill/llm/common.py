@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -10,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+#: The C library, where it can be told to give free memory back (glibc).
+_LIBC = ctypes.CDLL(None) if hasattr(ctypes.CDLL(None), "malloc_trim") else None
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: The ASCII white space that ends a word.
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
@@ -45,6 +49,26 @@ def without(df: DataFrame, names: Sequence[str]) -> list[StructField]:
     return [f for f in df.schema.fields if f.name.lower() not in own]
 
 
+#: Bytes of an Arrow batch. Spark's own default lets a few long texts, or many short ones, fill
+#: buffers on both sides of a worker several times over.
+BATCH_BYTES = 8 << 20
+_BATCH, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send batches of ``BATCH_BYTES`` to Python, unless the session has a size of its own."""
+    if spark.conf.get(_BATCH, None) == _DEFAULT:
+        spark.conf.set(_BATCH, BATCH_BYTES)
+
+
+def give_back() -> None:
+    """Return what a finished task no longer holds to the system: Spark keeps its workers for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def arrow_columns(
     df: DataFrame,
     inputs: Sequence[str],
@@ -59,6 +83,7 @@ def arrow_columns(
     the columns that stay, all by default. An output replaces an input column
     of the same name.
     """
+    small_batches(df.sparkSession)
     made = StructType.fromDDL(outputs)
     stay = [f for f in without(df, made.names) if keep is None or f.name in keep]
     schema = StructType(stay + made.fields)
@@ -77,6 +102,8 @@ def arrow_columns(
             columns = batch.columns
             results = list(apply(*(columns[i] for i in order)))
             yield pa.RecordBatch.from_arrays(columns[:n_stay] + results, names=schema.names)
+        del apply
+        give_back()
 
     return source.mapInArrow(run, schema)
 
@@ -92,7 +119,7 @@ def list_array(parts: Sequence[np.ndarray], dtype: str, value_type: pa.DataType)
 class WordHashes(dict):
     """64-bit hashes of words (bytes), remembered up to a number of words."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __init__(self, digest: Callable[[bytes], int]):
         super().__init__()

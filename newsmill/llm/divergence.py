@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsmill.llm.common import arrow_columns
+from newsmill.llm.common import arrow_columns, small_batches
 from newsmill.session import materialize
 
 #: Counts held by a task before they are passed on.
@@ -197,6 +197,7 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     each; texts of any length are counted whole. Other columns are ignored; an empty table
     gives no rows. All sums are exact.
     """
+    small_batches(docs.sparkSession)
     blank = F.lit("")
     own = docs.select(*(F.coalesce(F.col(f"`{c}`"), blank).alias(a) for c, a in ((lang, "lang"), (source, "source"), (text, "text"))))
     sums = [F.sum("n").alias("n"), F.sum("docs").alias("docs")]

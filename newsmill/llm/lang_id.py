@@ -12,12 +12,15 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from array import array
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -99,8 +102,8 @@ def _grams(max_n: int) -> Column:
 
 
 def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-          settings: Settings = Settings()) -> list:
-    """Rows ``(size, item, lang, cost)`` of a model; size 0 holds whole words.
+          settings: Settings = Settings()) -> Rows:
+    """Rows ``(size, item, lang, cost, total)`` of a model; size 0 holds whole words.
 
     Rows without a text or language teach nothing; without any row the model is
     empty. ``cost`` is minus the decimal logarithm of the relative frequency. The
@@ -121,106 +124,166 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
         items = items.withColumn("place", F.row_number().over(group)).filter(F.col("place") <= share)
     cost = -F.log10(F.col("n") / F.col("total"))
     found = items.join(F.broadcast(totals), ["lang", "size"])  # a row for each language and length
-    found = found.select("size", "item", "lang", cost.alias("cost"), "total").toArrow()
-    return list(zip(*(c.to_pylist() for c in found.columns), strict=True))
+    return Rows(found.select("size", "item", "lang", cost.alias("cost"), "total").toArrow())
+
+
+@dataclass(frozen=True)
+class Rows:
+    """The rows of a model as an Arrow table, which holds them in far less than Python objects."""
+
+    table: pa.Table
+
+    def __len__(self) -> int:
+        return self.table.num_rows
+
+    def __iter__(self) -> Iterator[tuple]:
+        for batch in self.table.to_batches(10_000):
+            yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
 
 @dataclass(frozen=True)
 class Model:
-    """Items by length (0 for words) and their costs by language, NaN where a language lacks an item."""
+    """Hashes of items by length (0 for words), sorted, and their costs by language, NaN where a language lacks an item."""
 
     langs: list[str]
-    places: list[dict[str, int]]
+    keys: list[np.ndarray]
     costs: list[np.ndarray]
     worst: np.ndarray
 
 
-def compact(rows: list, max_n: int) -> Model:
-    """The rows of ``train`` as one table of costs for each length."""
-    langs = sorted({r[2] for r in rows})
-    column = {lang: i for i, lang in enumerate(langs)}
-    places: list[dict[str, int]] = [{} for _ in range(max_n + 1)]
+_hash = xxhash.xxh3_64_intdigest
+
+
+def compact(rows: Iterable[tuple], max_n: int) -> Model:
+    """The rows of ``train`` as one sorted array of hashes and one table of costs for each length."""
+    hashes, sizes, names, costs, totals = (array(kind) for kind in "QqqdQ")
+    column: dict[str, int] = {}
+    for size, item, lang, cost, total in rows:
+        hashes.append(_hash(item))
+        sizes.append(size)
+        names.append(column.setdefault(lang, len(column)))
+        costs.append(cost)
+        totals.append(total)
+    langs = sorted(column)
+    place = np.argsort(np.argsort(list(column))) if column else np.empty(0, np.int64)
+    hashes, sizes, costs, totals = (np.array(x) for x in (hashes, sizes, costs, totals))
+    lang = place[np.array(names, np.int64)] if column else np.empty(0, np.int64)
     worst = np.zeros((max_n + 1, len(langs)))
-    for size, item, lang, _, total in rows:
-        places[size].setdefault(item, len(places[size]))
-        worst[size, column[lang]] = math.log10(total) + PENALTY
-    costs = [np.full((len(p), len(langs)), np.nan, np.float32) for p in places]
-    for size, item, lang, cost, _ in rows:
-        costs[size][places[size][item], column[lang]] = cost
+    keys, tables = [], []
+    for size in range(max_n + 1):
+        own = sizes == size
+        found, at = np.unique(hashes[own].astype(np.uint64), return_inverse=True)
+        table = np.full((len(found), len(langs)), np.nan, np.float32)
+        table[at, lang[own]] = costs[own]
+        worst[size, lang[own]] = np.log10(totals[own].astype(np.float64)) + PENALTY
+        keys.append(found)
+        tables.append(table)
     for row in worst:  # a language without items of this length pays as much as the others
         row[row == 0] = row.max(initial=PENALTY)
-    return Model(langs, places, costs, worst)
+    return Model(langs, keys, tables, worst)
+
+
+class _Numbers(dict):
+    """Numbers of words in the order in which they are first asked for."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
 
 
 class Scorer:
-    """Scores of texts by a model."""
+    """Scores of texts by a model. The new words of many texts are looked up together."""
 
-    #: Words whose scores are remembered.
-    LIMIT = 200_000
+    #: Words whose scores are remembered, and characters of texts that are scored together.
+    LIMIT, TOGETHER = 200_000, 1 << 20
 
     def __init__(self, model: Model, max_n: int):
-        self.langs, self.items, self.max_n = model.langs, model.places, max_n
-        self.costs, self.worst = model.costs, model.worst
-        self.known: dict[str, int] = {}
-        self.scores = np.zeros((1024, len(self.langs)), np.float64)
-        self.parts = np.zeros(1024, np.float64)
-
-    def _vector(self, size: int, place: int) -> np.ndarray:
-        costs = self.costs[size][place]
-        return np.where(np.isnan(costs), self.worst[size], costs)
+        self.langs, self.model, self.max_n = model.langs, model, max_n
+        self._forget()
+
+    def _forget(self) -> None:
+        self._numbers = _Numbers()
+        self._scores = np.empty((0, len(self.langs)))
+        self._parts = np.empty(0)
+
+    def _found(self, size: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes the model knows, and the costs of those."""
+        keys = self.model.keys[size]
+        if not len(keys):
+            return np.zeros(len(hashes), bool), np.empty((0, len(self.langs)))
+        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        known = keys[at] == hashes
+        costs = self.model.costs[size][at[known]].astype(np.float64)
+        return known, np.where(np.isnan(costs), self.model.worst[size], costs)
+
+    def _learnt(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of words, and the part of each that is known: 1 in the dictionary, else that of its longest n-grams."""
+        scores, parts = np.zeros((len(words), len(self.langs))), np.zeros(len(words))
+        known, costs = self._found(0, np.fromiter(map(_hash, words), np.uint64, len(words)))
+        scores[known], parts[known] = costs, 1.0
+        left = np.flatnonzero(~known)
+        for n in range(self.max_n, 0, -1):
+            padded = [f" {words[i]} " for i in left]
+            lengths = np.maximum(np.fromiter(map(len, padded), np.int64, len(left)) - n + 1, 0)
+            grams = (_hash(w[k : k + n]) for w in padded for k in range(len(w) - n + 1))
+            known, costs = self._found(n, np.fromiter(grams, np.uint64, int(lengths.sum())))
+            owner = np.repeat(np.arange(len(left)), lengths)[known]
+            hits = np.bincount(owner, minlength=len(left))
+            longest = (lengths > 0) & (n == np.minimum(self.max_n, lengths + n - 1))
+            parts[left[longest]] = hits[longest] / lengths[longest]
+            sums = np.zeros((len(left), len(self.langs)))
+            np.add.at(sums, owner, costs)
+            done = hits > 0
+            scores[left[done]] = sums[done] / hits[done, None]
+            left = left[~done]
+        return scores, parts
 
     def word(self, word: str) -> np.ndarray:
-        if (found := self.items[0].get(word)) is not None:
-            return self._vector(0, found)
-        padded = f" {word} "
-        for n in range(min(self.max_n, len(padded)), 0, -1):
-            have = self.items[n]
-            hits = [h for i in range(len(padded) - n + 1) if (h := have.get(padded[i : i + n])) is not None]
-            if hits:
-                return sum(self._vector(n, h) for h in hits) / len(hits)
-        return np.zeros(len(self.langs))
-
-    def part(self, word: str) -> float:
-        """The part of a word that is known: 1 in the dictionary, else that of its longest n-grams."""
-        if word in self.items[0]:
-            return 1.0
-        padded = f" {word} "
-        n = min(self.max_n, len(padded))
-        return sum(padded[i : i + n] in self.items[n] for i in range(len(padded) - n + 1)) / (len(padded) - n + 1)
-
-    def _place(self, word: str) -> int:
-        place = self.known.get(word)
-        if place is None:
-            place = len(self.known)
-            if place == len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-                self.parts = np.concatenate([self.parts, np.zeros_like(self.parts)])
-            self.known[word] = place
-            self.scores[place] = self.word(word)
-            self.parts[place] = self.part(word)
-        return place
+        return self._learnt([word])[0][0]
 
     def text(self, text: str | None) -> tuple[str, float]:
         """The language of a text and its share of the probability."""
-        return self.judged(text)[:2]
-
-    def judged(self, text: str | None) -> tuple[str, float, float]:
-        """The language of a text, its share of the probability and the mean known part of the words."""
-        words = words_of(text) if text else []
-        if not words or not self.langs:
-            return UNKNOWN, 0.0, 0.0
-        if len(self.known) > self.LIMIT:
-            self.known.clear()
-            self.scores = np.zeros((1024, len(self.langs)), np.float64)
-            self.parts = np.zeros(1024, np.float64)
-        places = np.fromiter(map(self._place, words), np.int64, len(words))
-        totals = self.scores[places].sum(axis=0)
-        best = int(totals.argmin())
-        share = 1.0 / np.exp(np.maximum((totals[best] - totals) * math.log(10), -700)).sum()
-        return self.langs[best], float(min(1.0, share)), float(self.parts[places].mean())
-
-
-def predict(spark: SparkSession, docs: DataFrame, rows: list, text: str = "text", keep: list[str] | None = None,
+        return self.judged([text])[0][:2]
+
+    def judged(self, texts: Iterable[str | None]) -> list[tuple[str, float, float]]:
+        """The language of each text, its share of the probability and the mean known part of the words."""
+        results, held, size = [], [], 0
+        for text in texts:
+            held.append(words_of(text) if text else [])
+            size += len(text or "")
+            if size > self.TOGETHER:
+                results += self._judged(held)
+                held, size = [], 0
+        return results + self._judged(held)
+
+    def _judged(self, texts: list[list[str]]) -> list[tuple[str, float, float]]:
+        if len(self._numbers) > self.LIMIT:
+            self._forget()
+        flat = [w for words in texts for w in words]
+        at = np.fromiter(map(self._numbers.__getitem__, flat), np.int64, len(flat))
+        new, self._numbers.new = self._numbers.new, []
+        if new:
+            scores, parts = self._learnt(new)
+            self._scores, self._parts = np.concatenate([self._scores, scores]), np.concatenate([self._parts, parts])
+        results, start = [], 0
+        for words in texts:
+            places, start = at[start : start + len(words)], start + len(words)
+            if not words or not self.langs:
+                results.append((UNKNOWN, 0.0, 0.0))
+                continue
+            totals = self._scores[places].sum(axis=0)
+            best = int(totals.argmin())
+            share = 1.0 / np.exp(np.maximum((totals[best] - totals) * math.log(10), -700)).sum()
+            results.append((self.langs[best], float(min(1.0, share)), float(self._parts[places].mean())))
+        return results
+
+
+def predict(spark: SparkSession, docs: DataFrame, rows: Iterable[tuple], text: str = "text", keep: list[str] | None = None,
             max_n: int = Settings.max_n) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1) of the whole ``text``.
 
@@ -231,7 +294,7 @@ def predict(spark: SparkSession, docs: DataFrame, rows: list, text: str = "text"
     return _judged(spark, docs, rows, text, keep, max_n, ("lang_pred string", "score double"))
 
 
-def _judged(spark: SparkSession, docs: DataFrame, rows: list, text: str, keep: list[str] | None, max_n: int,
+def _judged(spark: SparkSession, docs: DataFrame, rows: Iterable[tuple], text: str, keep: list[str] | None, max_n: int,
             outputs: tuple[str, ...]) -> DataFrame:
     model = spark.sparkContext.broadcast(compact(rows, max_n))
     kinds = [pa.string(), pa.float64(), pa.float64()][: len(outputs)]
@@ -240,7 +303,7 @@ def _judged(spark: SparkSession, docs: DataFrame, rows: list, text: str, keep: l
         scorer = Scorer(model.value, max_n)
 
         def apply(texts: pa.Array):
-            results = [scorer.judged(t.as_py()) for t in texts]
+            results = scorer.judged(t.as_py() for t in texts)
             return [pa.array([r[i] for r in results], kind) for i, kind in enumerate(kinds)]
 
         return apply

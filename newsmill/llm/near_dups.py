@@ -6,10 +6,9 @@ bins drawn at random until one is full (optimal densification), so that each bin
 agrees between two texts with a chance equal to their similarity. Runs of bins
 are banded into buckets. In a bucket, candidate edges form a star around its most
 central member instead of all pairs. Where a bucket still holds several components
-after that, its members are compared by their rarest shingles: two texts that are
-similar enough must share one of a few, at places that leave enough to share. That
-finds every link that the stars left out, and texts that differ too much from all
-others meet nobody. Links are confirmed on the full sets.
+after that, its members are compared in blocks of bounded size: a block counts what its
+sets share by an index of their shingles, and returns no more links than it joins
+members. Links are confirmed on the full sets, and pairs are never a table.
 """
 
 from __future__ import annotations
@@ -21,15 +20,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 from pyspark.sql.window import Window
 
-from newsmill.llm.common import WordHashes, arrow_columns, free_name, gram_hashes, list_array, mix
+from newsmill.llm.common import WordHashes, arrow_columns, free_name, give_back, gram_hashes, list_array, mix, small_batches
 from newsmill.llm.components import components
 from newsmill.session import materialize
 
 
 #: Keys of candidates up to this number are broadcast; beyond it the texts are dealt out by key.
 BROADCAST_ROWS = 1_000_000
+#: Pairs of the centre of a star in one task.
+PAIRS_OF_HUB = 500
+#: Members of a block, and shingles of their sets, on average at most.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -132,13 +136,45 @@ def _shingles(docs: DataFrame, settings: Settings) -> DataFrame:
     return arrow_columns(docs, ["text"], "shingles array<long>", make, keep=["node", "same"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(u, v)`` whose full sets are similar enough."""
-    left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
-    right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    both = pairs.join(right, "v").join(left, "u").withColumn("common", F.size(F.array_intersect("a", "b")))
-    union = F.size("a") + F.size("b") - F.col("common")
-    return both.filter(F.col("common").cast("long") * 100 >= union.cast("long") * percent).select("u", "v").distinct()
+def _enough(common: np.ndarray | int, a: np.ndarray | int, b: np.ndarray | int, percent: int):
+    return common * 100 >= (a + b - common) * percent
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(u, v)`` whose full sets are similar enough.
+
+    All pairs of a ``u`` follow its set through a task, one after the other. Very
+    many are dealt out to several, each of which gets the set of ``u`` too.
+    """
+    small_batches(pairs.sparkSession)
+    sizes = pairs.groupBy("u").agg(F.ceil(F.count("*") / PAIRS_OF_HUB).alias("parts"))
+    dealt = pairs.join(sizes, "u").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")))
+    hubs = sizes.select("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    sets = sets.select("node", "shingles")
+    rows = hubs.join(sets.withColumnRenamed("node", "u"), "u").select("u", "part", F.lit(None).cast(pairs.schema["v"].dataType).alias("v"), "shingles")
+    rows = rows.unionByName(dealt.select("u", "part", "v").join(sets.withColumnRenamed("node", "v"), "v"))
+    rows = rows.repartition("u", "part").sortWithinPartitions("u", "part", F.col("v").asc_nulls_first())
+    kind = pairs.schema["u"].dataType
+
+    def run(batches):
+        hub, own = object(), []
+        for batch in batches:
+            us, vs, lists = batch.column("u").to_pylist(), batch.column("v").to_pylist(), batch.column("shingles")
+            links = []
+            for i, (u, v) in enumerate(zip(us, vs, strict=True)):
+                found = lists[i].values.to_numpy()
+                if v is None:
+                    own = [*own, found] if hub == u and fresh else [found]
+                    hub, fresh = u, True
+                    continue
+                fresh = False
+                if any(_enough(len(np.intersect1d(x, found, assume_unique=True)), len(x), len(found), percent) for x in own):
+                    links.append((u, v))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], batch.schema.field(n).type) for k, n in enumerate("uv")], names=["u", "v"])
+        give_back()
+
+    schema = StructType([StructField("u", kind), StructField("v", kind)])
+    return rows.select("u", "v", "shingles").mapInArrow(run, schema).distinct()
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -163,45 +199,92 @@ def _sizes_allow(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _rare_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of ``nodes`` (node, comp) in different components that may be similar enough; no such pair is missing.
+def block_links(comp: np.ndarray, sets: list[np.ndarray], bands: np.ndarray, here: int, first: int, percent: int) -> list[tuple[int, int]]:
+    """Pairs of rows that link rows of different components ``comp``, no more than it takes.
 
-    With the shingles of a set of ``n`` ordered from the rarest on, a set that is
-    similar enough lacks at most ``n - percent * n`` of them, so it holds one of the
-    first ones, in its own first part too; the first they share leaves only what
-    comes after it to be shared as well.
+    Rows meet in band ``here``; a pair that met in an earlier one is left to that. With
+    ``first`` above 0, rows before it are compared with those from there on only.
+    """
+    sizes = np.array([len(x) for x in sets], np.int64)
+    values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    top = {c: c for c in comp.tolist()}
+
+    def root(c):
+        while top[c] != c:
+            top[c] = c = top[top[c]]
+        return c
+
+    links = []
+    for i in range(first or len(sets)):
+        others = np.arange(max(first, i + 1), len(sets))
+        small, large = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
+        others = others[(small * 100 >= large * percent) & (comp[others] != comp[i])]
+        others = others[~(bands[others, :here] == bands[i, :here]).any(axis=1)]
+        if not len(others):
+            continue
+        starts, stops = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
+        lengths = stops - starts
+        at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        common = np.bincount(owner[at], minlength=len(sets))[others]
+        for j in others[_enough(common, sizes[i], sizes[others], percent)].tolist():
+            a, b = root(comp[i].item()), root(comp[j].item())
+            if a != b:
+                top[b] = a
+                links.append((i, j))
+    return links
+
+
+def _block_links(mixed: DataFrame, classes: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links ``(u, v)`` between different components of the rows ``(bucket, node, comp)``.
+
+    The members of a bucket go to one block, or where they are many to several, and every
+    two blocks of it to a task. A member thus goes to as many tasks as its bucket has blocks.
     """
-    own = sets.join(nodes, "node").withColumn("n", F.size("shingles"))
-    tokens = own.select("node", "same", "comp", "n", F.explode("shingles").alias("g"))
-    often = tokens.groupBy("g").agg(F.count("*").alias("often"))
-    order = Window.partitionBy("node", "same").orderBy("often", "g")
-    ranked = tokens.join(often, "g").withColumn("place", F.row_number().over(order) - 1)
-    first = ranked.filter((F.col("n") - F.col("place")) * 100 >= F.col("n") * percent).filter("often > 1")
-    first = materialize(first.select("g", "node", "comp", "n", "place"), "near-rare")
-    other = first.select(*(F.col(c).alias(f"{c}_b") for c in first.columns))
-    left = F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b"))
-    enough = left * (100 + percent) >= (F.col("n") + F.col("n_b")) * percent
-    apart = (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b"))
-    met = first.join(other, (F.col("g") == F.col("g_b")) & apart & enough & _sizes_allow("n", "n_b", percent))
-    return met.select(F.col("node").alias("u"), F.col("node_b").alias("v")).distinct()
-
-
-def _links(members: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    weight = F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum(F.col("n_shingles").cast("double")) / BLOCK_SHINGLES)
+    sized = classes.select("node", "n_shingles", "bands")
+    members = mixed.join(sized, "node")
+    blocks = members.groupBy("bucket").agg(F.ceil(weight).alias("blocks"))
+    members = members.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    members = members.select("bucket", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "comp", "bands")
+    kind = classes.schema["node"].dataType
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks().sort_by([("own", "ascending"), ("node", "ascending")])
+        bands = np.array(rows["bands"].to_pylist(), np.int64)
+        here = int(np.flatnonzero((bands == key[0].as_py()).any(axis=0))[0])
+        # A key that repeats with other texts has the bands of each; those of this bucket count.
+        met = bands[:, here] == key[0].as_py()
+        rows, bands = rows.filter(pa.array(met)).combine_chunks(), bands[met]
+        own, comp = rows["own"].to_numpy(), rows["comp"].combine_chunks().dictionary_encode().indices.to_numpy()
+        found = [x.values.to_numpy() for x in rows["shingles"].combine_chunks()]
+        a, b = key[1].as_py(), key[2].as_py()
+        first = int(np.searchsorted(own, b)) if a != b else 0
+        links = block_links(comp, found, bands, here, first, settings.percent) if a == b or 0 < first < len(own) else []
+        nodes = rows["node"].combine_chunks()
+        return pa.table({n: nodes.take(pa.array([x[k] for x in links], pa.int64())) for k, n in enumerate("uv")})
+
+    schema = StructType([StructField("u", kind), StructField("v", kind)])
+    return members.join(sets.select("node", "shingles"), "node").groupBy("bucket", "a", "b").applyInArrow(run, schema)
+
+
+def _links(members: DataFrame, classes: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """Each class but the smallest of its component, and the smallest: ``(u, v)``."""
     nodes = materialize(members.select("node").distinct(), "near-nodes")
     few = nodes.count() <= BROADCAST_ROWS
     texts = docs.join(F.broadcast(nodes) if few else nodes, "node", "left_semi").withColumn("same", F.xxhash64("text"))
     sets = materialize(_shingles(texts.dropDuplicates(["node", "same"]), settings), "near-sets")
     pairs = materialize(_star_pairs(members, settings.percent), "near-pairs")
-    forest = components(_verified(pairs, sets, settings.percent), "near-forest")
+    forest = components(_confirmed(pairs, sets, settings.percent), "near-forest")
 
     tops = forest.select(F.col("u").alias("node"), F.col("v").alias("comp"))
     named = members.select("bucket", "node").join(tops, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    mixed = mixed.filter(F.col("lo") != F.col("hi")).select("bucket")
-    open_nodes = materialize(named.join(mixed, "bucket", "left_semi").select("node", "comp").distinct(), "near-open")
-    pairs = materialize(_rare_pairs(sets, open_nodes, settings.percent), "near-pairs")
-    return components(_verified(pairs, sets, settings.percent).unionByName(forest), "near-forest")
+    mixed = materialize(named.join(mixed.filter("lo <> hi").select("bucket"), "bucket", "left_semi"), "near-mixed")
+    links = materialize(_block_links(mixed, classes, sets, settings), "near-links")
+    return components(links.unionByName(forest), "near-forest")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -219,8 +302,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
     same = sketches.filter(F.col("set_key").isNotNull()).groupBy("set_key")
     classes = same.agg(F.min("node").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     classes = materialize(classes, "near-classes")
-    members = _buckets(classes.filter(F.col("node").isNotNull()))
-    forest = _links(members, own, settings)
+    known = classes.filter(F.col("node").isNotNull())
+    forest = _links(_buckets(known), known, own, settings)
     firsts = classes.select("set_key", F.col("node").alias("first"))
     tops = forest.select(F.col("u").alias("first"), F.col("v").alias("top"))
     named = sketches.select("node", "n_shingles", "set_key").join(firsts, "set_key", "left").join(tops, "first", "left")

@@ -37,7 +37,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from newsmill.llm.common import free_name
+from newsmill.llm.common import small_batches
 
 MAGIC = b"PKIDS1\0\0"
 _HEADER, _TRAILER = struct.Struct("<8sII"), struct.Struct("<QQQ8s")
@@ -429,6 +429,7 @@ def write(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: str, end
         StructField("part", LongType()), *StructType.fromDDL("file string"), StructField("n_docs", LongType()), StructField("n_ids", LongType()),
         StructField("first_key", kind.dataType), StructField("last_key", kind.dataType),
     ])
+    small_batches(spark)
     system, root = filesystem(folder)
     system.create_dir(root, recursive=True)
 

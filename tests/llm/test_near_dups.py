@@ -94,3 +94,40 @@ def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 150)] + [(7, 7)]
     found = {r.u: r.v for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert found == {i: 0 for i in range(1, 51)} | {i: 100 for i in range(101, 150)}
+
+
+def test_a_family_below_the_threshold_writes_few_pairs(spark, monkeypatch):
+    """Copies that share buckets but few links: what is written grows with the copies, not with their pairs."""
+    written = {}
+    store = near_dups.materialize
+
+    def counted(df, label):
+        made = store(df, label)
+        if label in ("near-pairs", "near-links", "near-mixed"):
+            written[label] = made.count()
+        return made
+
+    monkeypatch.setattr(near_dups, "materialize", counted)
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(170)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(4):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    found = near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_force(rows)
+    assert len({r.component_id for r in found}) > 100  # most of the copies link with nobody
+    assert written["near-links"] < 400 and written["near-pairs"] < 32 * 400
+
+
+@pytest.mark.parametrize("limits", [(3, 1 << 21), (512, 400)])
+def test_small_blocks_find_the_same(spark, limits, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK_MEMBERS", limits[0])
+    monkeypatch.setattr(near_dups, "BLOCK_SHINGLES", limits[1])
+    monkeypatch.setattr(near_dups, "PAIRS_OF_HUB", 4)
+    rng = random.Random(9)
+    rows = list(enumerate(variants(rng, [f"w{i}" for i in range(120)], 60, 6)))
+    found = near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_force(rows)
