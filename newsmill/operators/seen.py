@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +63,47 @@ def save_sent(included: DataFrame, root: str, date: str, mode: str = "overwrite"
     included.select("id").write.mode(mode).parquet(f"{root}/sent_date={date}")
 
 
+@dataclass(frozen=True)
+class BucketedSent:
+    """The sent ids as a table that is dealt out by id once, when they are written.
+
+    ``buckets`` folders of hash values per date stand below ``root``: a join on id reads them
+    in place, and only the other side is shuffled, into as many partitions. The
+    number should follow the size of the ids of the look-back, and stays as it is.
+    """
+
+    root: str
+    buckets: int
+
+    @property
+    def name(self) -> str:
+        return "sent_" + hashlib.sha256(self.root.encode()).hexdigest()[:16]
+
+    def open(self, spark: SparkSession) -> DataFrame:
+        """The table, with the dates that other sessions have written."""
+        if not spark.catalog.tableExists(self.name):
+            spark.sql(
+                f"CREATE TABLE {self.name} (id STRING, sent_date DATE) USING parquet PARTITIONED BY (sent_date) "
+                f"CLUSTERED BY (id) INTO {self.buckets} BUCKETS LOCATION '{self.root}'"
+            )
+            # No rows, but the folder, which the search for partitions needs.
+            spark.createDataFrame([], schemas.SENT_ID).write.insertInto(self.name)
+        spark.catalog.recoverPartitions(self.name)
+        return spark.table(self.name)
+
+    def save(self, included: DataFrame, date: str) -> None:
+        """Write the ids sent on ``date``, replacing those of an earlier run."""
+        dt.date.fromisoformat(date)
+        spark = included.sparkSession
+        self.open(spark)
+        spark.sql(f"INSERT OVERWRITE {self.name} PARTITION (sent_date = DATE'{date}') SELECT id FROM {{df}}", df=included.select("id"))
+
+    def append(self, sent: DataFrame) -> None:
+        """Add ids of many dates, ``(id, sent_date)``."""
+        self.open(sent.sparkSession)
+        sent.select("id", "sent_date").write.insertInto(self.name)
+
+
 def send_decisions(days: DataFrame, lookback: int = LOOKBACK_DAYS, carry: Sequence[str] = ()) -> DataFrame:
     """Replay the daily seen check over many days in one shuffle.
 

@@ -16,7 +16,7 @@ from newsmill.operators.quantile import selected_quantile
 from newsmill.plans import daily, views
 from newsmill.session import configure, materialize, work_dir
 from newsmill.sources import cves, feeds, papers, registry, tables
-from newsmill.streaming import alarms, budget, ingest
+from newsmill.streaming import alarms, budget, ingest, late
 from newsmill.streaming import replies as reply_stream
 from newsmill.streaming import seen as seen_stream
 from newsmill.streaming.memory import Memory
@@ -324,6 +324,25 @@ def retention_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retention.expired_partitions(parts, LATE_REPORT_DATE)
 
 
+def retention_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``retention_expired`` of stored tables, from their folders and footers."""
+    root = work_dir(spark, "retention")
+    parts = {"raw": views.articles(spark, sf_dir), "processed": views.analyzed(spark, sf_dir),
+             "digests": included(spark, sf_dir), "sent_ids": sent(spark, sf_dir)}
+    for dataset, df in parts.items():
+        date = retention.DATE_COLUMNS[dataset]
+        df.select("id", date).write.partitionBy(date).parquet(f"{root}/{dataset}")
+    return retention.expired_stored(spark, {dataset: f"{root}/{dataset}" for dataset in parts}, LATE_REPORT_DATE)
+
+
+def unseen_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``unseen_articles`` against a table of sent ids that is dealt out by id once."""
+    unique = dedup_first(views.articles(spark, sf_dir), ["id", "run_date"])
+    store = seen.BucketedSent(work_dir(spark, "sent-buckets"), buckets=16)
+    store.append(sent(spark, sf_dir))
+    return seen.unseen_by_date(unique, store.open(spark)).select("id", "run_date", "pos")
+
+
 def stored_seen_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of the look-back before a date, read from a stored table of which one day was rewritten as empty."""
     root = work_dir(spark, "sent")
@@ -527,6 +546,21 @@ def stream_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _naive(drain(alarms.error_alarm_stream(landed), "alarms"))
 
 
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alarms of three landings, of which a tenth of the rows comes one landing late, and the signals that were too late."""
+    events = views.table(spark, sf_dir, "events")
+    part = F.least(F.lit(2), F.floor((F.dayofmonth("ts") - 1) / 10) + (F.pmod("user_id", F.lit(10)) == 0).cast("int"))
+    root = work_dir(spark, "late")
+    for i in range(3):
+        events.filter(part == i).write.mode("append").parquet(f"{root}/in")
+        landed = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        late.write_alarms(views.metrics_of(landed), root, f"{root}/checkpoint")
+    listed = late.read_late(spark, root).groupBy("window_start", "alarm").agg(F.count("*").alias("n"))
+    kinds = [df.select(F.lit(kind).alias("kind"), "window_start", "alarm", "n")
+             for kind, df in (("alarm", late.read_alarms(spark, root)), ("late", listed))]
+    return _naive(kinds[0].unionByName(kinds[1]))
+
+
 def stream_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = views.metrics_of(views.stream(spark, sf_dir, "events"))
     return _naive(drain(alarms.hourly_p95_stream(landed), "p95"))
@@ -567,9 +601,11 @@ REGISTERED: dict[str, Query] = {
     "seen_window": seen_window,
     "stored_seen_window": stored_seen_window,
     "unseen_articles": unseen_articles,
+    "unseen_bucketed": unseen_bucketed,
     "seen_backfill": seen_backfill,
     "backfill_digests": backfill_digests,
     "retention_expired": retention_expired,
+    "retention_stored": retention_stored,
     "build_prompts": build_prompts,
     "parse_triage": parse_triage,
     "rule_triage": rule_triage,
@@ -590,6 +626,7 @@ REGISTERED: dict[str, Query] = {
     "late_replies": late_replies,
     "stream_budget": stream_budget,
     "stream_alarms": stream_alarms,
+    "stream_late": stream_late,
     "stream_p95": stream_p95,
 }
 

@@ -426,6 +426,7 @@ select id, run_date, pos from (
   select id, run_date, pos, row_number() over (partition by id, run_date order by source_ord, pos) n from articles) a
 where n = 1 and not exists (
   select 1 from sent s where s.id = a.id and s.sent_date between a.run_date - 7 and a.run_date - 1)"""
+    sql["unseen_bucketed"] = sql["unseen_articles"]
     sql["seen_backfill"] = _with(ANALYZED, CANDIDATES, SENDS, recursive=True) + "select id, cast(d as date) sent_date from sends"
     sql["stream_seen"] = sql["seen_backfill"].replace("sent_date from", "sent_date, false late from")
     sql["stored_seen_window"] = _with(ANALYZED) + sent + """
@@ -445,6 +446,7 @@ select 'digests', run_date, count(*) from rated where included and run_date < da
 union all
 select 'sent_ids', run_date, count(distinct id) from rated where included and run_date < date '2024-04-12' - 90 group by 2"""
 
+    sql["retention_stored"] = sql["retention_expired"]
     sql["build_prompts"] = _with(ARTICLES) + f"""
 select pos, 'Title: ' || title || chr(10) || 'Source: ' || source || ' (' || source_type || ')' || chr(10) ||
        'Published: ' || {_iso("published_at")} || chr(10) || 'URL: ' || url || chr(10) || chr(10) || 'Content:' ||
@@ -522,6 +524,20 @@ select firsts.id, pos from firsts join kept using (id, seen_at)"""
     closed = "(select max(ts) from metrics) - interval '10 minutes'"
     sql["stream_alarms"] = sql["error_alarms"].replace("\nselect", "\nselect * from (select", 1) + f"""
 ) where window_start + interval '5 minutes' <= {closed}"""
+    landed = METRICS.replace("select ts,", "select ts, least(2, (dayofmonth(ts) - 1) // 10 + cast(user_id % 10 = 0 as integer)) landing,")
+    sql["stream_late"] = _with(landed) + f""",
+marks as (select landing + 1 landing, max(max(ts)) over (order by landing) - interval '10 minutes' passed from metrics group by landing),
+signals as (
+  select *, {five} from (
+    select ts, landing, lower(fn) || '-errors' alarm from metrics where is_error
+    union all select ts, landing, 'run-failures' from metrics where status = 'failed'
+    union all select ts, landing, 'run-timeouts' from metrics where status = 'timed_out')),
+judged as (
+  select s.*, coalesce(window_start + interval '5 minutes' <= passed, false) late from signals s left join marks using (landing))
+select 'late' kind, window_start, alarm, count(*) n from judged where late group by all
+union all
+select 'alarm', window_start, alarm, count(*) from judged
+where not late and window_start + interval '5 minutes' <= (select max(passed) from marks) group by all"""
     sql["stream_budget"] = sql["budget_alerts"] + f""" and "day" + interval '1 day' <= {closed}"""
     sql["stream_p95"] = _with(METRICS) + f"""
 select window_start, fn, p95 from (

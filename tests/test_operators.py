@@ -246,3 +246,44 @@ def test_retention(spark):
     )
     assert Counter(r.dataset for r in expired.collect()) == {"raw": 92, "processed": 69, "digests": 9}
     assert retention.retained(days, "raw", "2026-04-19").count() == 8
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_expired_rows_are_counted_from_footers(spark, tmp_path):
+    dates = spark.range(90).select(F.date_sub(F.lit("2025-06-01").cast("date"), F.col("id").cast("int")).alias("run_date"), "id")
+    for dataset in ("raw", "processed"):
+        dates.write.partitionBy("run_date").parquet(f"{tmp_path}/{dataset}")
+    paths = {dataset: f"{tmp_path}/{dataset}" for dataset in ("raw", "processed")}
+    report = retention.expired_stored(spark, paths, "2025-06-01")
+    plain = retention.expired_partitions({d: spark.read.parquet(p) for d, p in paths.items()}, "2025-06-01")
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, plain.collect()))
+    assert report.count() == (90 - 8) + (90 - 31)
+    assert _plan(report).count("COUNT(*)") >= 2
+    assert "BatchScan" not in _plan(plain)
+
+
+def test_bucketed_ids_are_not_shuffled_again(spark, tmp_path):
+    store = seen.BucketedSent(f"{tmp_path}/sent", buckets=4)
+    ids = spark.range(40).select(F.col("id").cast("string").alias("id"))
+    for day in ("2025-06-01", "2025-06-02"):
+        store.save(ids, day)
+    store.save(ids.filter("id < 10"), "2025-06-02")
+    table = store.open(spark)
+    assert table.groupBy("sent_date").count().orderBy("sent_date").toPandas()["count"].tolist() == [40, 10]
+    days = spark.range(60).select(F.col("id").cast("string").alias("id"), F.lit("2025-06-09").cast("date").alias("run_date"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one = seen.unseen(days, seen.seen_window(table, "2025-06-09"))
+        many = seen.unseen_by_date(days, table)
+        # One exchange each: that of the articles.
+        assert _plan(one).count("Exchange hashpartitioning") == _plan(many).count("Exchange hashpartitioning") == 1
+        assert one.count() == many.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # Another session finds the dates again.
+    spark.sql(f"DROP TABLE {store.name}")
+    assert seen.BucketedSent(f"{tmp_path}/sent", buckets=4).open(spark).count() == 50

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from newsmill import schemas
 from newsmill.operators import metrics
-from newsmill.streaming import budget, ingest, replies
+from newsmill.streaming import budget, ingest, late, replies
 from newsmill.streaming.memory import Memory
 from newsmill.streaming.runs import read_batches, write_available, write_batches
 from newsmill.streaming.seen import OUTPUT, send_batch, send_dates, send_remembered
@@ -151,3 +151,39 @@ def test_budget_stream_across_months(spark, tmp_path):
         if dt.datetime.combine(r.day, dt.time()) + dt.timedelta(1) <= last
     }
     assert found == expected and len({d.month for d, *_ in found}) >= 2
+
+
+def test_late_signals_are_listed_and_nothing_is_lost(spark, tmp_path):
+    """Random landings: alarms of closed windows and listed signals add up to the counts of the batch form."""
+    rng = random.Random(4)
+    start = dt.datetime(2025, 3, 1)
+    schema = "ts timestamp, fn string, status string, is_error boolean"
+    rows = [(start + dt.timedelta(minutes=rng.randrange(90)), "Filter", rng.choice(["failed", "timed_out", None]), rng.random() < 0.4) for _ in range(200)]
+    root, read = str(tmp_path), []
+    for n in range(4):
+        spark.createDataFrame(rows[n * 50 : n * 50 + 50], schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        late.write_alarms(spark.readStream.schema(schema).parquet(f"{root}/in"), root, f"{root}/checkpoint")
+        read.append(late.read_late(spark, root).count())
+    closed = max(r[0] for r in rows) - late.DELAY
+    expected = {}
+    for r in metrics.error_alarms(spark.createDataFrame(rows, schema)).collect():
+        if r.window_start + dt.timedelta(minutes=5) <= closed:
+            expected[r.window_start, r.alarm] = r.n
+    found = {(r.window_start, r.alarm): r.n for r in late.read_alarms(spark, root).collect()}
+    assert read[0] == 0 < read[1] < read[-1]
+    for r in late.read_late(spark, root).collect():
+        assert r.window_start <= r.ts < r.window_start + dt.timedelta(minutes=5)
+        found[r.window_start, r.alarm] = found.get((r.window_start, r.alarm), 0) + 1
+    assert found == expected
+
+
+def test_late_batch_that_runs_again_replaces_its_counts(spark, tmp_path):
+    root = str(tmp_path)
+    schema = "ts timestamp, fn string, status string, is_error boolean"
+    for minute in (0, 40):
+        row = (dt.datetime(2025, 3, 1, 0, minute), "Filter", "failed", False)
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        for checkpoint in (("a",) if minute else ("lost", "a")):
+            late.write_alarms(spark.readStream.schema(schema).parquet(f"{root}/in"), root, f"{root}/{checkpoint}")
+    assert [(r.alarm, r.n) for r in late.read_alarms(spark, root).collect()] == [("run-failures", 1)]
+    assert late.read_late(spark, root).count() == 0
