@@ -303,7 +303,7 @@ def _stored_grams(packed: DataFrame, folder: str, buckets: int, order: int, sent
             _save_counts(folder, level, name, keys, n)
             totals[4 * (level - 2) : 4 * (level - 1)] = np.bincount(np.minimum(n, 5).astype(np.int64), minlength=6)[1:5]
             columns, n = columns[:-1], np.ones(len(n), np.uint64)
-        rows.append((-1, "total", totals.tobytes(), *[None] * 4))
+        rows.append((-1, "total", totals.tobytes(), np.array(key[0].as_py(), np.uint64).tobytes(), *[None] * 3))
         types = [pa.int32(), pa.string(), *[pa.binary()] * 5]
         names = ["home", "kind", "keys", "a", "b", "c", "d"]
         return pa.table({c: pa.array([r[i] for r in rows], t) for i, (c, t) in enumerate(zip(names, types, strict=True))})
@@ -311,8 +311,10 @@ def _stored_grams(packed: DataFrame, folder: str, buckets: int, order: int, sent
     return packed.groupBy("bucket").applyInArrow(store, SUMS)
 
 
-def _stored_words(sums: DataFrame, folder: str, order: int, after: np.ndarray, buckets: int) -> tuple[np.ndarray, dict[int, int]]:
-    """Stores the words and frequent contexts of each home; the totals of the model, and the counts of hot pairs.
+def _stored_words(sums: DataFrame, folder: str, order: int, after: np.ndarray, buckets: int) -> tuple[np.ndarray, dict[int, int], tuple[bytes, bytes]]:
+    """Stores the words and frequent contexts of each home; the totals of the model, the counts of hot pairs, and a manifest.
+
+    The manifest has a bit for each bucket and each home of words whose files were written.
 
     ``after``: the last words of the hot pairs, whose spread no bucket knows.
     """
@@ -321,7 +323,9 @@ def _stored_words(sums: DataFrame, folder: str, order: int, after: np.ndarray, b
     def store(key: tuple, table: pa.Table) -> pa.Table:
         kinds = np.array(table.column("kind").to_pylist())
         totals, pairs = np.zeros(counts + 6, np.int64), [np.empty(0, np.uint64)] * 2
+        stored = np.zeros(buckets, np.uint8)
         if key[0].as_py() < 0:
+            stored[_column(table, "a", "uint64").astype(np.int64)] = 1
             totals[:counts] = _column(table, "keys", "int64").reshape(-1, counts).sum(axis=0)
         else:
             of = {k: table.filter(pa.array(kinds == k)) for k in ("word", "pair", *(f"context{i + 2}" for i in range(order - 1)))}
@@ -350,14 +354,21 @@ def _stored_words(sums: DataFrame, folder: str, order: int, after: np.ndarray, b
             totals[counts : counts + 4] = np.bincount(np.minimum(word[2], 5).astype(np.int64), minlength=6)[1:5]
             totals[counts + 4 :] = len(word[0]), int(word[1].sum())
             pairs = _grouped(*(_column(of["pair"], c, "uint64") for c in ("keys", "a")))
-        row = [totals.tobytes(), *(p.tobytes() for p in pairs)]
-        return pa.table({c: pa.array([v], pa.binary()) for c, v in zip(("totals", "pairs", "n"), row, strict=True)})
-
-    totals, pairs = np.zeros(counts + 6, np.int64), {}
-    for r in sums.groupBy("home").applyInArrow(store, "totals binary, pairs binary, n binary").toLocalIterator():
+        stored = np.packbits(stored) if stored.any() else stored[:0]
+        row = [totals.tobytes(), *(p.tobytes() for p in pairs), stored.tobytes()]
+        columns = {c: pa.array([v], pa.binary()) for c, v in zip(("totals", "pairs", "n", "stored"), row, strict=True)}
+        return pa.table({"home": pa.array([key[0].as_py()], pa.int32()), **columns})
+
+    totals, pairs, homes, grams = np.zeros(counts + 6, np.int64), {}, np.zeros(buckets, np.uint8), b""
+    rows = sums.groupBy("home").applyInArrow(store, "home int, totals binary, pairs binary, n binary, stored binary")
+    for r in rows.toLocalIterator():
+        if r.home < 0:
+            grams = bytes(r.stored)
+        else:
+            homes[r.home] = 1
         totals += np.frombuffer(r.totals, np.int64)
         pairs.update(zip(np.frombuffer(r.pairs, np.uint64).tolist(), np.frombuffer(r.n, np.uint64).tolist(), strict=True))
-    return totals, pairs
+    return totals, pairs, (grams, np.packbits(homes).tobytes())
 
 
 def _top(values: np.ndarray) -> int:
@@ -383,6 +394,8 @@ class Model:
     vocabulary: int
     n_tokens: int
     order: int
+    stored: tuple[bytes, bytes] = (b"", b"")
+    """The manifest: a bit for each bucket of n-grams, and for each home of words, that has files."""
 
 
 def train(spark: SparkSession, docs: DataFrame, text: str = "text", order: int = 2) -> Model:
@@ -399,14 +412,14 @@ def train(spark: SparkSession, docs: DataFrame, text: str = "text", order: int =
     sent, pairs = spark.sparkContext.broadcast(common), join_hashes(before, after)
     packed = _grams(texts, buckets, order, sent, hot, np.sort(pairs))
     stored = _stored_grams(packed, folder, buckets, order, sent, hot, np.sort(pairs))
-    t, counts = _stored_words(stored, folder, order, after, buckets)
+    t, counts, manifest = _stored_words(stored, folder, order, after, buckets)
     of_pairs = np.array([counts[p] for p in pairs.tolist()], np.int64)
     t[:4] += np.bincount(np.minimum(of_pairs, 5), minlength=6)[1:5]
     levels = 4 * (order - 1)
     of_counts = tuple(tuple(map(int, t[i : i + 4])) for i in range(0, levels, 4))
     t = t[levels:].tolist()
     hot_pairs = tuple(zip(before.tolist(), after.tolist(), of_pairs.tolist(), strict=True))
-    return Model(folder, buckets, tuple(hot.tolist()), hot_pairs, of_counts, tuple(t[1:5]), t[0] + len(pairs), t[5], t[6], order)
+    return Model(folder, buckets, tuple(hot.tolist()), hot_pairs, of_counts, tuple(t[1:5]), t[0] + len(pairs), t[5], t[6], order, manifest)
 
 
 # --- scoring ----------------------------------------------------------------------
@@ -429,12 +442,18 @@ class Reader:
         before, after, n = np.array(model.hot_pairs, np.uint64).reshape(-1, 3).T
         self.hot_pairs, self.hot_counts = _grouped(join_hashes(before, after), n)
         self.hot_before = _followed(before, n)
+        self.stored = [np.unpackbits(np.frombuffer(bits, np.uint8)) for bits in model.stored]
         self._open = lru_cache(maxsize=4096)(self._mapped)
 
     def _mapped(self, name: str) -> np.ndarray | None:
+        """The array of a bucket; None if the manifest says that nothing was stored for it."""
+        kind, bucket = name.rsplit("-", 1)
+        stored = self.stored[kind.startswith(("word", "value", "hotcontext"))]
+        if int(bucket) >= len(stored) or not stored[int(bucket)]:
+            return None
         path = f"{self.model.folder}/{name}.npy"
         if not os.path.exists(path):
-            return None
+            raise FileNotFoundError(f"{path}: a file of the model is missing; is its folder mounted here?")
         return np.load(path, mmap_mode="r") if os.path.getsize(path) > 128 else np.load(path)
 
     def _by_bucket(self, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:

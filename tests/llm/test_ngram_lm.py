@@ -1,3 +1,4 @@
+import dataclasses
 import math
 import random
 from collections import Counter, defaultdict
@@ -128,3 +129,16 @@ def test_longer_order_tells_scrambled_text_of_common_pairs(spark):
     of = lambda order: [r.score for r in ngram_lm.score(spark, docs, ngram_lm.train(spark, train, order=order)).orderBy("doc_id").collect()]
     pairs, threes = of(2), of(3)
     assert pairs[0] == pytest.approx(pairs[1]) and threes[0] > threes[1] + 0.5
+
+
+def test_missing_files_are_an_error(spark):
+    """Where a file of the model cannot be seen, nothing is scored as unseen words."""
+    docs = spark.createDataFrame([("a b c a b",)] * 3, "text string")
+    for order in (2, 3):
+        model = ngram_lm.train(spark, docs, order=order)
+        elsewhere = dataclasses.replace(model, folder=model.folder + "-not-mounted")
+        with pytest.raises(FileNotFoundError, match="is its folder mounted"):
+            ngram_lm.Scorer(elsewhere).texts([ngram_lm.tokens("a b", ngram_lm.WordHashes(ngram_lm.xxhash.xxh3_64_intdigest), order)])
+        with pytest.raises(Exception, match="is its folder mounted"):
+            ngram_lm.score(spark, docs, elsewhere).collect()
+        assert all(r.n_known == r.n_tokens for r in ngram_lm.score(spark, docs, model).collect())
