@@ -7,7 +7,9 @@ each of 32 hashes over a window is a band of one row; a window retrieves the
 templates that share a band. A window that holds the required part of a template
 has a similarity of 1/4 with it at least, so a template is missed with a chance of
 ``(3/4) ** 32``, 1e-4, at most, and where several windows hold it, of less. What is
-retrieved is verified: enough of the template's shingles must lie in the window.
+retrieved is verified: enough of the template's shingles must lie in the window, and
+enough of those that tell it from each similar template of another license, such as
+the words of its version.
 
 A band can only be shared if the template's own least shingle is in the window, so
 texts and windows without any of those are left out first, which changes no result.
@@ -39,9 +41,22 @@ TEMPLATES = {
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ),
     "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     ),
+    "LGPL-3.0": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -74,6 +89,8 @@ TEMPLATES = {
 class Settings:
     """Words of a shingle, least part of a template's shingles in per cent, bands.
 
+    Templates of two licenses are rivals if ``rival`` per cent of the one's shingles are the
+    other's too; half of the shingles that a rival lacks must be found as well.
     Windows have ``blocks`` blocks and start a block apart; the block size is the
     least power of two that lets a template fit into all but one block.
     """
@@ -82,6 +99,7 @@ class Settings:
     percent: int = 80
     bands: int = 32
     blocks: int = 4
+    rival: int = 50
 
 
 def _shingles(text: Column, size: int) -> Column:
@@ -133,6 +151,16 @@ def prepare(spark: SparkSession, templates: Mapping[str, tuple[str, ...]], setti
     return out
 
 
+def rivals(known: list[Template], settings: Settings) -> list[list[list[int]]]:
+    """For each template, the shingles that each of its rivals lacks."""
+    sets = [set(t.shingles) for t in known]
+    return [
+        [[s for s in t.shingles if s not in b] for other, b in zip(known, sets, strict=True)
+         if other.license != t.license and 100 * len(a & b) >= settings.rival * len(a)]
+        for t, a in zip(known, sets, strict=True)
+    ]
+
+
 def _with_hash(band: int):
     return lambda s: F.struct(_hash(s, band).alias("hash"), s.alias("shingle"))
 
@@ -197,8 +225,10 @@ def scan(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str =
     windows = windows.select("key", "w.*")
     bands = [(i, t.block, m) for i, t in enumerate(known) for m in set(t.minima)]
     lookup = spark.createDataFrame(bands, "template int, block int, band long")
+    apart = rivals(known, settings)
     names = spark.createDataFrame(
-        [(i, t.license, list(t.shingles)) for i, t in enumerate(known)], "template int, license string, shingles array<long>"
+        [(i, t.license, list(t.shingles), apart[i]) for i, t in enumerate(known)],
+        "template int, license string, shingles array<long>, apart array<array<long>>",
     )
     # Both tables are the catalogue of templates, which is a literal parameter.
     hits = windows.select("key", "first_word", "block", "inside", F.explode("bands").alias("band"))
@@ -206,6 +236,7 @@ def scan(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str =
     hits = hits.agg(F.first("inside").alias("inside")).join(F.broadcast(names), "template")
     common = F.size(F.array_intersect("inside", "shingles"))
     found = hits.withColumn("common", common).filter(F.col("common") * 100 >= F.size("shingles") * settings.percent)
+    found = found.filter(F.forall("apart", lambda own: F.size(F.array_intersect("inside", own)) * 2 >= F.size(own)))
     places = F.filter(F.sequence(F.lit(0), F.size("inside") - 1), lambda i: F.array_contains("shingles", F.get("inside", i)))
     found = found.withColumn("first_word", F.col("first_word") + F.get(places, F.lit(0)))
     best = found.groupBy("key", "license").agg(

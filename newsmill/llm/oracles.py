@@ -85,6 +85,10 @@ with docs as (
   from (select license, number, {_WORDS} as w from (values {_TEMPLATES}) as v(license, number, text))
 ), sized as (
   select license, number, t, len(t) as n, (2 ** greatest(0, ceil(log2(len(t) / 3.0))))::bigint as block from templates
+), rivals as (
+  select a.license, a.number, list_filter(a.t, lambda g: not list_contains(b.t, g)) as own
+  from templates a join templates b on a.license <> b.license
+  where 100 * len(list_filter(a.t, lambda g: list_contains(b.t, g))) >= 50 * len(a.t)
 ), hits as (
   select doc_id, size, p, placed.g, license, number, n, block
   from placed join (select *, unnest(t) as g from sized) using (g)
@@ -94,11 +98,15 @@ with docs as (
     least(p // block, greatest(size - block, 0) // block))) * block as start
   from hits
 ), parts as (
-  select doc_id, license, min(p) as place, count(distinct g) / n as part
+  select doc_id, license, number, min(p) as place, count(distinct g) / n as part, list(distinct g) as found
   from windowed group by doc_id, license, number, n, start having count(distinct g) * 100 >= n * 80
+), verified as (
+  select doc_id, license, place, part from parts anti join rivals
+  on parts.license = rivals.license and parts.number = rivals.number
+    and 2 * len(list_filter(own, lambda g: list_contains(found, g))) < len(own)
 )
 select doc_id, license, place::int as first_word, part as containment
-from parts qualify row_number() over (partition by doc_id, license order by part desc, place) = 1
+from verified qualify row_number() over (partition by doc_id, license order by part desc, place) = 1
 """
 
 OP11 = """
