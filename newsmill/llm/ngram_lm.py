@@ -100,6 +100,50 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(part, f"{folder}/{name}.npy")
 
 
+#: Arrays of at least so many sorted keys are stored without their first bits.
+PACKED = 1 << 18
+PACKED_BITS = 16
+
+
+def _save_keys(folder: str, name: str, keys: np.ndarray) -> None:
+    """Sorted keys; large arrays as six bytes a key, and the place where each start of two bytes begins."""
+    if len(keys) < PACKED:
+        _save(folder, name, keys)
+        return
+    starts = np.arange((1 << PACKED_BITS) + 1, dtype=np.uint64)[:-1] << np.uint64(64 - PACKED_BITS)
+    places = np.append(np.searchsorted(keys, starts), len(keys)).astype(np.uint32)
+    _save(folder, f"{name}.low", keys.astype(np.uint32))
+    _save(folder, f"{name}.mid", (keys >> np.uint64(32)).astype(np.uint16))
+    _save(folder, name, places[:, None])
+
+
+class PackedKeys:
+    """Sorted keys as ``_save_keys`` stores large arrays of them, searched in place."""
+
+    def __init__(self, places: np.ndarray, mid: np.ndarray, low: np.ndarray):
+        self.places, self.mid, self.low = places, mid, low
+
+    def __len__(self) -> int:
+        return len(self.low)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of keys, and which of them are there: a binary search among those of the same start, all at once."""
+        start = (wanted >> np.uint64(64 - PACKED_BITS)).astype(np.int64)
+        rest = wanted & np.uint64((1 << 48) - 1)
+        a, b = (self.places[start + i, 0].astype(np.int64) for i in (0, 1))
+        end = b.copy()
+        while (open_ := np.flatnonzero(a < b)).size:
+            middle = (a[open_] + b[open_]) >> 1
+            less = self._rest(middle) < rest[open_]
+            a[open_[less]] = middle[less] + 1
+            b[open_[~less]] = middle[~less]
+        place = np.minimum(a, len(self) - 1)
+        return place, (a < end) & (self._rest(place) == rest)
+
+    def _rest(self, at: np.ndarray) -> np.ndarray:
+        return (self.mid[at].astype(np.uint64) << np.uint64(32)) | self.low[at]
+
+
 def _grouped(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     """The distinct keys in order and the sums of their values."""
     order = np.argsort(keys, kind="stable")
@@ -236,7 +280,7 @@ SUMS = "home int, kind string, keys binary, a binary, b binary, c binary, d bina
 
 
 def _save_counts(folder: str, level: int, name: str, keys: np.ndarray, n: np.ndarray) -> None:
-    _save(folder, f"gram{level}-{name}", keys)
+    _save_keys(folder, f"gram{level}-{name}", keys)
     _save(folder, f"count{level}-{name}", np.minimum(n, BIG).astype(np.uint8))
     _save(folder, f"bigkey{level}-{name}", keys[n >= BIG])
     _save(folder, f"bigcount{level}-{name}", n[n >= BIG])
@@ -245,8 +289,8 @@ def _save_counts(folder: str, level: int, name: str, keys: np.ndarray, n: np.nda
 def _save_contexts(folder: str, kind: str, level: int, name: str, keys: np.ndarray, *sums: np.ndarray) -> None:
     """Contexts that were followed once by one word need no numbers."""
     once = sums[0] == 1
-    _save(folder, f"{kind}once{level}-{name}", keys[once])
-    _save(folder, f"{kind}{level}-{name}", keys[~once])
+    _save_keys(folder, f"{kind}once{level}-{name}", keys[once])
+    _save_keys(folder, f"{kind}{level}-{name}", keys[~once])
     values = np.stack([s[~once] for s in sums], axis=1)
     _save(folder, f"{kind}value{level}-{name}", values.astype(np.min_scalar_type(_top(values))))
 
@@ -445,12 +489,18 @@ class Reader:
         self.stored = [np.unpackbits(np.frombuffer(bits, np.uint8)) for bits in model.stored]
         self._open = lru_cache(maxsize=4096)(self._mapped)
 
-    def _mapped(self, name: str) -> np.ndarray | None:
-        """The array of a bucket; None if the manifest says that nothing was stored for it."""
+    def _mapped(self, name: str) -> np.ndarray | PackedKeys | None:
+        """The array or packed keys of a bucket; None if the manifest says that nothing was stored for it."""
         kind, bucket = name.rsplit("-", 1)
         stored = self.stored[kind.startswith(("word", "value", "hotcontext"))]
         if int(bucket) >= len(stored) or not stored[int(bucket)]:
             return None
+        first = self._file(name)
+        if first.ndim == 2 and "value" not in kind:
+            return PackedKeys(np.array(first), self._file(f"{name}.mid"), self._file(f"{name}.low"))
+        return first
+
+    def _file(self, name: str) -> np.ndarray:
         path = f"{self.model.folder}/{name}.npy"
         if not os.path.exists(path):
             raise FileNotFoundError(f"{path}: a file of the model is missing; is its folder mounted here?")
@@ -463,9 +513,11 @@ class Reader:
             yield int(bucket[order[a]]), order[a:b]
 
     @staticmethod
-    def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _find(keys: np.ndarray | PackedKeys | None, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if keys is None or len(keys) == 0:
             return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+        if isinstance(keys, PackedKeys):
+            return keys.find(wanted)
         place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
         return place, keys[place] == wanted
 

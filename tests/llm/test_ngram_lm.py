@@ -1,8 +1,11 @@
 import dataclasses
+import glob
 import math
+import os
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from newsmill.llm import ngram_lm
@@ -142,3 +145,36 @@ def test_missing_files_are_an_error(spark):
         with pytest.raises(Exception, match="is its folder mounted"):
             ngram_lm.score(spark, docs, elsewhere).collect()
         assert all(r.n_known == r.n_tokens for r in ngram_lm.score(spark, docs, model).collect())
+
+
+@pytest.mark.parametrize("size", [1, 7, 5000])
+def test_packed_keys_find_what_plain_ones_find(tmp_path, monkeypatch, size):
+    monkeypatch.setattr(ngram_lm, "PACKED", 1)
+    rng = np.random.default_rng(size)
+    keys = np.unique(np.concatenate([rng.integers(0, 1 << 64, size, np.uint64), rng.integers(0, 60, size, np.uint64), [np.uint64((1 << 64) - 1)]]))
+    ngram_lm._save_keys(str(tmp_path), "gram2-0000000", keys)
+    model = ngram_lm.Model(str(tmp_path), 1, (), (), ((0,) * 4,), (0,) * 4, 0, 0, 0, 2, (b"\x80", b"\x80"))
+    reader = ngram_lm.Reader(model)
+    packed = reader._open("gram2-0000000")
+    assert isinstance(packed, ngram_lm.PackedKeys) and len(packed) == len(keys)
+    wanted = np.concatenate([keys, keys + np.uint64(1), keys - np.uint64(1), rng.integers(0, 1 << 64, 100, np.uint64)])
+    place, found = packed.find(wanted)
+    assert found.tolist() == np.isin(wanted, keys).tolist() and (keys[place[found]] == wanted[found]).all()
+
+
+def test_packed_files_score_the_same(spark, monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.randrange(30)}" for _ in range(rng.randrange(40))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plain = ngram_lm.score(spark, docs, ngram_lm.train(spark, docs, order=3)).orderBy("doc_id").collect()
+    save = ngram_lm._save_keys
+    monkeypatch.setattr(ngram_lm, "PACKED", 1)
+    folder = str(ngram_lm.mounted(ngram_lm.work_dir(spark, "packed")))
+    model = ngram_lm.train(spark, docs, order=3)
+    for path in glob.glob(f"{model.folder}/*.npy"):
+        name = os.path.basename(path)[:-4]
+        os.makedirs(folder, exist_ok=True)
+        array = np.load(path)
+        keys = "value" not in name and array.ndim == 1 and array.dtype == np.uint64 and name.startswith(("gram", "context", "hotcontext"))
+        (save if keys and len(array) else ngram_lm._save)(folder, name, array)
+    assert ngram_lm.score(spark, docs, dataclasses.replace(model, folder=folder)).orderBy("doc_id").collect() == plain
