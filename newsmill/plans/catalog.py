@@ -230,6 +230,16 @@ def run_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.run_funnel(appearances(spark, sf_dir))
 
 
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All articles as one day's run, from raw rows to reports; what its steps counted as they wrote."""
+    articles = views.articles(spark, sf_dir)
+    by_type = {kind: articles.filter(F.col("source_type") == kind) for kind in schemas.SOURCE_TYPES}
+    replies = views.responses(materialize(dedup_first(articles).select("id", "pos"), "unique"))
+    store = daily.Store(work_dir(spark, "day"))
+    daily.run_day(spark, store, AS_OF[:10], by_type, replies, AS_OF)
+    return daily.read_counts(spark, store, AS_OF[:10])
+
+
 def landing_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model replies that could not be used, as errors of their source type."""
     failed = parsed_replies(spark, sf_dir).filter("triage_status <> 'parsed'")
@@ -593,6 +603,7 @@ REGISTERED: dict[str, Query] = {
     "render_small_pages": render_small_pages,
     "dedup_first": dedup_query,
     "run_funnel": run_funnel,
+    "run_counts": run_counts,
     "scrape_errors": scrape_errors,
     "landed_run": landed_run,
     "bad_dates": bad_dates,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newsmill import schemas
@@ -48,11 +48,23 @@ def run_day(
     the date again replaces its tables.
     """
     configure(spark)
-    tables.write_raw(tables.union_sources(sources), store.path("raw"), date)
+    landed = Observation()
+    tables.write_raw(tables.union_sources(sources).observe(landed, F.count("*").alias("raw")), store.path("raw"), date)
     if errors is not None:
         errors.write.mode("overwrite").parquet(store.path("errors", date))
-    triage_day(spark, store, date, scorer)
-    digest_day(spark, store, date, generated_at, title, page_size)
+    counts = landed.get | triage_day(spark, store, date, scorer) | digest_day(spark, store, date, generated_at, title, page_size)
+    row = spark.createDataFrame([tuple(counts[c] for c in COUNTS)], ", ".join(f"{c} bigint" for c in COUNTS))
+    row.write.mode("overwrite").parquet(store.path("counts", date))
+
+
+#: Rows of a run that each step counts as it writes them.
+COUNTS = ("raw", "unseen", "quarantined", "included", "excluded")
+
+
+def read_counts(spark: SparkSession, store: Store, date: str) -> DataFrame:
+    """What the steps of a finished day counted while they wrote, one row; no table of the day is read again."""
+    schema = "run_date date, " + ", ".join(f"{c} bigint" for c in COUNTS)
+    return tables.read_stored(spark, store.path("counts", date), schema, store.path("counts"))
 
 
 def scrape(
@@ -90,11 +102,12 @@ def scrape_errors(rss: DataFrame, nvd: DataFrame, arxiv: DataFrame, gates: DataF
 
 def triage_day(
     spark: SparkSession, store: Store, date: str, scorer: DataFrame | Callable[[], triage.ReplyFunction] | str
-) -> None:
-    """Deduplicate, drop what was sent, triage the rest.
+) -> dict[str, int]:
+    """Deduplicate, drop what was sent, triage the rest; how many were triaged, and are in quarantine.
 
     Both reductions come before the scorer, the costly step. Articles without
-    a reply go to the quarantine table.
+    a reply go to the quarantine table. Rows are counted in the stage that writes them,
+    whose tasks count once however often they run.
     """
     raw = dedup_first(tables.read_raw(spark, store.path("raw"), date))
     fresh = seen.unseen(raw, seen.seen_window(seen.read_sent(spark, store.path("sent_ids")), date)).drop("run_date")
@@ -102,8 +115,11 @@ def triage_day(
         replies = store.path("responses", date)
         triage.score_with(fresh, scorer).select("id", "response_text").write.mode("overwrite").parquet(replies)
         scorer = spark.read.parquet(replies)
-    done = triage.triage(fresh, scorer)
+    seen_now = Observation()
+    missing = F.count_if(F.col("triage_status") == "missing")
+    done = triage.triage(fresh, scorer).observe(seen_now, F.count("*").alias("unseen"), missing.alias("quarantined"))
     done.write.mode("overwrite").partitionBy("triage_status").parquet(store.path("processed", date))
+    return seen_now.get
 
 
 def read_processed(spark: SparkSession, store: Store, date: str) -> DataFrame:
@@ -138,8 +154,8 @@ def rate_day(spark: SparkSession, store: Store, date: str) -> DataFrame:
 def digest_day(
     spark: SparkSession, store: Store, date: str, generated_at: str,
     title: str = digest.TITLE, page_size: int = digest.PAGE_SIZE,
-) -> None:
-    """Rank once into a table, and make every output from it."""
+) -> dict[str, int]:
+    """Rank once into a table, and make every output from it; how many articles were included and excluded."""
 
     def write(df: DataFrame, table: str) -> DataFrame:
         path = store.path(table, date, "digest_date")
@@ -148,7 +164,9 @@ def digest_day(
 
     # The date is named, so a day without articles has an empty digest.
     day = spark.range(1).select(F.lit(date).cast("date").alias("digest_date"))
-    rated = write(rate_day(spark, store, date), "rated")
+    judged = Observation()
+    included, excluded = F.count_if("included").alias("included"), F.count_if(~F.col("included")).alias("excluded")
+    rated = write(rate_day(spark, store, date).observe(judged, included, excluded), "rated")
     made = digest.prepare(rated, day)
     made = digest.Digest(write(made.totals, "totals"), write(made.ranked, "ranked"))
     pages = digest.digest_pages(made, generated_at, DIGEST_FIELDS, page_size)
@@ -157,6 +175,7 @@ def digest_day(
         write(render(made, title, page_size=page_size), f"reports_{kind}")
     write(digest.digest_subjects(made.totals, title), "subjects")
     seen.save_sent(made.ranked, store.path("sent_ids"), date)
+    return judged.get
 
 
 def replay(rated: DataFrame, lookback: int = seen.LOOKBACK_DAYS) -> DataFrame:

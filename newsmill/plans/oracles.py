@@ -446,6 +446,17 @@ select 'digests', run_date, count(*) from rated where included and run_date < da
 union all
 select 'sent_ids', run_date, count(distinct id) from rated where included and run_date < date '2024-04-12' - 90 group by 2"""
 
+    sql["run_counts"] = _with(REPLIES) + """,
+judged as (
+  select triage_status, case category when 'BEDROCK_AGENTCORE' then true
+      when 'AI_GENERAL' then severity in ('CRITICAL', 'HIGH', 'MEDIUM') and score >= 30
+      when 'AWS_SECURITY' then severity in ('CRITICAL', 'HIGH') and score >= 50
+      else severity = 'CRITICAL' end included
+  from parsed)
+select date '2024-01-20' run_date, (select count(*) from articles) raw, count(*) unseen,
+       count(*) filter (triage_status = 'missing') quarantined,
+       count(*) filter (triage_status <> 'missing' and included) included,
+       count(*) filter (triage_status <> 'missing' and not included) excluded from judged"""
     sql["retention_stored"] = sql["retention_expired"]
     sql["build_prompts"] = _with(ARTICLES) + f"""
 select pos, 'Title: ' || title || chr(10) || 'Source: ' || source || ' (' || source_type || ')' || chr(10) ||

@@ -115,3 +115,14 @@ def test_a_day_without_articles_has_an_empty_digest(spark, tmp_path):
     daily.run_day(spark, store, "2026-04-18", {"rss": None}, "rules", GENERATED)
     assert titles(store, spark, "2026-04-18") == (0, 0, [])
     assert daily.run_summary(spark, store, "2026-04-18").first().raw == 0
+
+
+def test_counts_of_a_run_equal_its_tables(spark, tmp_path):
+    """Each step counts what it writes: the same figures as the tables give, a repeated day too."""
+    store = daily.Store(str(tmp_path))
+    for date, names in (("2026-04-18", "C1 H1 C1 C2"), ("2026-04-19", "C1 C4 I1 I2"), ("2026-04-19", "C1 C4 I1")):
+        daily.run_day(spark, store, date, {"rss": source(spark, *names.split())}, scorer(), GENERATED)
+    counted, scanned = daily.read_counts(spark, store, "2026-04-19").first(), daily.run_summary(spark, store, "2026-04-19").first()
+    assert (counted.raw, counted.unseen, counted.included, counted.excluded) == (3, 2, 1, 1)
+    assert all(counted[c] == scanned[c] for c in ("run_date", "raw", "quarantined", "included", "excluded"))
+    assert daily.read_counts(spark, store, "2026-04-20").count() == 0
