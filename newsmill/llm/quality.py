@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -156,23 +158,21 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), k
     rows = materialize(_hashed(rows, settings), "quality-features")
     size = 1 << settings.bits
     vector = F.udf(lambda p, w: SparseVector(size, p, w), VectorUDT())
+    # Vectors are made once: the iterations of the fit read them.
     rows = rows.select(F.col("label").cast("double").alias("label"), "part", vector("places", "weights").alias("features"))
-    rows = rows.cache()
-    try:
-        seen = {r.label for r in rows.filter("part > 0").select("label").distinct().collect()}
-        if len(seen) < 2:
-            return Model(np.zeros(size), 0.0, 0.0, 700.0 if seen != {0.0} else -700.0)
-        fit = LogisticRegression(regParam=settings.penalty, maxIter=60).fit(rows.filter("part > 0"))
-        weights, intercept = fit.coefficients.toArray(), float(fit.intercept)
-        margins = fit.transform(rows.filter("part = 0")).select(
-            "label", F.udf(lambda v: SparseVector(1, [0], [float(v[1])]), VectorUDT())("rawPrediction").alias("margin")
-        )
-        if margins.select("label").distinct().count() < 2:
-            return Model(weights, intercept, 1.0, 0.0)
-        line = LogisticRegression(featuresCol="margin", regParam=1e-3, maxIter=60).fit(margins)
-        return Model(weights, intercept, float(line.coefficients[0]), float(line.intercept))
-    finally:
-        rows.unpersist()
+    rows = materialize(rows, "quality-vectors")
+    learnt, held = rows.filter("part > 0"), rows.filter("part = 0")
+    seen = {r.label for r in learnt.select("label").distinct().collect()}  # two labels
+    if len(seen) < 2:
+        return Model(np.zeros(size), 0.0, 0.0, 700.0 if seen != {0.0} else -700.0)
+    fit = LogisticRegression(regParam=settings.penalty, maxIter=60).fit(learnt)
+    weights, intercept = fit.coefficients.toArray(), float(fit.intercept)
+    margins = fit.transform(held).select("label", vector_to_array("rawPrediction")[1].alias("value"))
+    margins = materialize(VectorAssembler(inputCols=["value"], outputCol="margin").transform(margins), "quality-margins")
+    if margins.select("label").distinct().count() < 2:
+        return Model(weights, intercept, 1.0, 0.0)
+    line = LogisticRegression(featuresCol="margin", regParam=1e-3, maxIter=60).fit(margins)
+    return Model(weights, intercept, float(line.coefficients[0]), float(line.intercept))
 
 
 # --- verdicts -----------------------------------------------------------------------
