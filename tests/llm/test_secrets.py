@@ -75,3 +75,35 @@ def test_all_candidates_of_a_word(spark):
     assert rows[2].after == "end" and rows[4].before == "&token="
     found = {(r.doc_id, r.ordinal): r.is_secret for r in secrets.scan(docs).collect()}
     assert len(found) == 5 and found[2, 1] and not found[2, 0]
+
+
+def test_values_of_secret_names_need_no_digit(spark):
+    docs = spark.createDataFrame(
+        [(1, 'the password = "correcthorsebatterystaple" and so', "p"), (2, "api_key=ABCDEFGHIJKLMNOPqrstuvwxyz", "p"),
+         (3, "token=Ab3dE5gH1jK end", "p"), (4, '{"secret": "p@ss-w0rd!x", "id": "plainwordsonly"}', "p"),
+         (5, "Authorization: Bearer abcDEFghiJKL\nnext", "p"), (6, "the author: nobody, a token of love", "p"), (7, "pwd: \x01abcdefg", "p")],
+        "doc_id long, text string, source string",
+    )
+    rows = secrets.candidates(docs).collect()
+    assert sorted((r.key, r.finding) for r in rows) == [
+        (1, "correcthorsebatterystaple"), (2, "ABCDEFGHIJKLMNOPqrstuvwxyz"), (3, "Ab3dE5gH1jK"), (4, "p@ss-w0rd!x"), (5, "abcDEFghiJKL"),
+        (7, "\ufffdabcdefg"),
+    ]
+    assert not any(secrets.MARK in r.before + r.after for r in rows)
+    found = {r.doc_id: r.is_secret for r in secrets.scan(docs).collect()}
+    assert all(found[i] for i in (1, 2, 3, 4, 5))
+
+
+def test_evidence_is_of_other_documents(spark):
+    issued = "ghp_" + "aB3dE6gH9j" * 4
+    docs = spark.createDataFrame(
+        [(1, f'token = "{HEX}"', "p"), (2, f"leaked {HEX} here", "p"), (3, f"seen {issued} alone", "p"),
+         (4, "card 4111111111111111 and 4111111111111112", "p"), (5, "build a1b2c3d4e5f6a7", "p"), (6, "build a1b2c3d4e5f6a7", "p"),
+         (7, "once x1y2z3x1y2z3", "p")],
+        "doc_id long, text string, source string",
+    )
+    described = secrets.features(secrets.candidates(docs), docs)
+    labels = sorted((r.key, r.finding, r.label) for r in secrets.evidence_labels(described).collect())
+    assert labels == [
+        (2, HEX, 1.0), (3, issued, 1.0), (4, "4111111111111111", 0.0), (5, "a1b2c3d4e5f6a7", 0.0), (6, "a1b2c3d4e5f6a7", 0.0)
+    ]
