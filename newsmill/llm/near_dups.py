@@ -316,11 +316,17 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", setti
     """One row of each group of near duplicates, columns unchanged.
 
     Rows whose key is the smallest of their group stay; of rows that repeat that
-    key one stays. Rows without a key all stay.
+    key one stays. Rows without a key all stay. Only rows that repeat a key are put
+    in order; the texts of all others are never shuffled for that.
     """
     names, place = docs.columns, free_name(docs, "place")
-    found = near_duplicates(docs, key, text, settings).filter("kept").select(key).distinct()
-    keyed = docs.join(found.filter(F.col(key).isNotNull()), key, "left_semi").select(*names)
-    first = F.row_number().over(Window.partitionBy(key).orderBy(F.col(text).asc_nulls_last()))
-    once = keyed.withColumn(place, first).filter(F.col(place) == 1).drop(place)
+    rows, kept = free_name(docs, "rows"), free_name(docs, "kept")
+    by_key = near_duplicates(docs, key, text, settings).groupBy(key).agg(F.count("*").alias(rows), F.max("kept").alias(kept))
+    found = materialize(by_key.filter(F.col(kept) & F.col(key).isNotNull()).select(key, rows), "near-kept")
+    once = docs.join(found.filter(F.col(rows) == 1).select(key), key, "left_semi").select(*names)
+    repeated = found.filter(F.col(rows) > 1).select(key)
+    if not repeated.isEmpty():
+        first = F.row_number().over(Window.partitionBy(key).orderBy(F.col(text).asc_nulls_last()))
+        several = docs.join(repeated, key, "left_semi").select(*names).withColumn(place, first)
+        once = once.unionByName(several.filter(F.col(place) == 1).drop(place))
     return once.unionByName(docs.filter(F.col(key).isNull()))

@@ -131,3 +131,14 @@ def test_small_blocks_find_the_same(spark, limits, monkeypatch):
     rows = list(enumerate(variants(rng, [f"w{i}" for i in range(120)], 60, 6)))
     found = near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_force(rows)
+
+
+def test_only_repeated_keys_are_put_in_order(spark):
+    """Texts of keys that are there once go through no window, and of a repeated key the first text stays."""
+    docs = spark.createDataFrame([(i, f"these are the very own words of row {i} and of no other") for i in range(50)], "doc_id long, text string")
+    plan = near_dups.deduplicated(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    more = docs.unionByName(spark.createDataFrame([(7, "another text of row seven"), (7, None)], docs.schema))
+    kept = near_dups.deduplicated(more)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(50))
+    assert [r.text for r in kept.filter("doc_id = 7").collect()] == ["another text of row seven"]
