@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from newsmill.functions.text import escape_markup
 from newsmill.operators.policy import CATEGORY_NAMES, SEVERITY_NAMES
 from newsmill.schemas import SOURCE_TYPES
+from newsmill.session import materialize
 
 SCRAPED_AT = "2024-02-01 06:00:00"
 FUNCTIONS = ("RssScraper", "NvdScraper", "ArxivScraper", "XScraper", "Processor", "Filter", "Notifier")
@@ -242,12 +243,15 @@ def cves(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> Dat
     )
 
 
-#: Documents whose items are landed as one feed file.
-FILE_DOCS = 200
+#: Bytes of the documents whose items are landed as one feed file, about.
+FILE_BYTES = 1 << 19
 
 
 def land_feeds(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """One RSS file per source and so many documents; the lines of a document are its items."""
+    """RSS files of each source, of about ``FILE_BYTES`` of documents each; the lines of a document are its items.
+
+    The number of files follows the size of a source, and not the numbers its documents have.
+    """
     doc, when = _text("doc_id"), _published(F.col("doc_id"))
 
     def item(line: Column, i: Column) -> Column:
@@ -257,8 +261,13 @@ def land_feeds(spark: SparkSession, sf_dir: str, path: str) -> None:
             F.lit("</link><description>"), escape_markup(line), F.lit("</description><pubDate>"), _rfc822(when), F.lit("</pubDate></item>"),
         )
 
-    docs = table(spark, sf_dir, "documents").select(
-        "source", F.floor(F.col("doc_id") / FILE_DOCS).alias("block"), "doc_id", F.array_join(F.transform(_lines(), item), "").alias("items")
+    documents = table(spark, sf_dir, "documents")
+    # A document counts a byte more, so that bytes bound the items of a file too.
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1)
+    files = documents.groupBy(F.col("source").alias("of")).agg(F.greatest(F.lit(1), F.ceil(size / FILE_BYTES)).alias("files"))
+    files = materialize(files, "feed-files")
+    docs = documents.join(files, F.col("source").eqNullSafe(F.col("of"))).select(
+        "source", F.pmod(F.xxhash64("doc_id"), "files").alias("block"), "doc_id", F.array_join(F.transform(_lines(), item), "").alias("items")
     )
     files = docs.groupBy("source", "block").agg(F.sort_array(F.collect_list(F.struct("doc_id", "items"))).alias("docs"))
     body = F.concat(

@@ -294,3 +294,20 @@ def test_positions_that_do_not_fit_raise(spark):
         with pytest.raises(Exception, match="too many"):
             spark.range(1).select(item_pos(F.lit(doc), F.lit(item))).collect()
     assert spark.range(1).select(item_pos(F.lit(1), F.lit(5)).alias("p")).first().p == (1 << 20) + 5
+
+
+def test_landed_feed_files_follow_the_size_of_a_source(spark, tmp_path, monkeypatch):
+    """Neither gaps between the numbers of documents nor other sources make more files; a large source has several."""
+    from newsmill.plans import views
+
+    rows = [(i * 1000, "small" if i % 2 else "other", f"one line\nline {i}") for i in range(40)]
+    rows += [(7 + i, "large", "x" * 500) for i in range(40)] + [(99, "empty", None)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(views, "FILE_BYTES", 5000)
+    views.land_feeds(spark, str(tmp_path), f"{tmp_path}/feeds")
+    landed = feeds.read_landed(spark, f"{tmp_path}/feeds")
+    files = {r.source_name: r["count"] for r in landed.groupBy("source_name").count().collect()}
+    assert files.pop("large") in (3, 4, 5) and files == {"small": 1, "other": 1, "empty": 1}
+    numbered = landed.withColumn("doc_pos", F.lit(0).cast("bigint"))
+    titles = {r.title for r in feeds.normalize_feeds(numbered.select("source_name", "body", "scraped_at", "doc_pos")).collect()}
+    assert titles == {f"Item {d}-{i}" for d, _, text in rows if text for i in range(len(text.split("\n")))}
