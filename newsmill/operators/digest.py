@@ -73,18 +73,19 @@ def prepare(rated: DataFrame, dates: DataFrame | None = None) -> Digest:
 
 
 def _paged(source: Digest, item: Column, page_size: int) -> DataFrame:
-    """Pages of ``item`` with the totals of their date; empty dates included."""
+    """Pages of ``item`` with the totals of their date; empty dates included.
+
+    Totals have a row for each page, so that pages meet them by date and page: the
+    pages of a date are never in one task.
+    """
     items = source.ranked.select("digest_date", "rank", item.alias("_item"))
     pages = collect_pages(items, ["digest_date"], F.col("_item"), page_size=page_size)
     none = F.array().cast(pages.schema["items"].dataType)
-    last = F.greatest(F.lit(0), F.ceil(F.col("total_included") / page_size) - 1)
-    return source.totals.join(pages, "digest_date", "left").withColumns(
-        {
-            "page": F.coalesce("page", F.lit(0).cast("bigint")),
-            "items": F.coalesce("items", none),
-            "last_page": last.cast("bigint"),
-        }
-    )
+    last = F.greatest(F.lit(0), F.ceil(F.col("total_included") / page_size) - 1).cast("bigint")
+    totals = source.totals.withColumn("last_page", last)
+    totals = totals.withColumn("page", F.explode(F.sequence(F.lit(0).cast("bigint"), "last_page")))
+    paged = totals.join(pages, ["digest_date", "page"], "left").filter(F.col("items").isNotNull() | (F.col("page") == 0))
+    return paged.withColumn("items", F.coalesce("items", none))
 
 
 def digest_pages(

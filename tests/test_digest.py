@@ -121,3 +121,23 @@ def test_severity_counts(spark):
     rows = rated(spark, *(THREE + THREE[:1])).filter("included")
     counts = digest.severity_counts(rows).orderBy(F.desc("severity_rank")).collect()
     assert [(r.severity, r.n) for r in counts] == [("CRITICAL", 1), ("HIGH", 2), ("MEDIUM", 1)]
+
+
+def test_pages_of_one_date_are_in_many_tasks(spark, monkeypatch):
+    """A date's pages meet its totals where they are; a date without articles still has its empty page."""
+    many = rated(spark, *[(f"t{i}", "HIGH", "AWS_SECURITY", i % 20 + 80, []) for i in range(200)])
+    empty = spark.createDataFrame([("2026-04-19",), (DATE,)], "d string").select(F.col("d").cast("date").alias("digest_date"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(before, ("false", "-1"), strict=True):
+            spark.conf.set(k, v)
+        made = digest.prepare(many, empty)
+        pages = digest.digest_pages(made, "2026-04-20 00:00:00", ["id"], page_size=5).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    of = {d: [r for r in pages if str(r.digest_date) == d] for d in (DATE, "2026-04-19")}
+    n = of[DATE][0].total_included
+    assert n == 200 and sorted(r.page for r in of[DATE]) == list(range(n // 5)) and all(len(r.articles) == 5 and r.last_page == 39 for r in of[DATE])
+    assert len({r.task for r in of[DATE]}) > 3
+    assert [(r.page, r.last_page, r.articles) for r in of["2026-04-19"]] == [(0, 0, [])]
