@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsmill.llm.common import WordHashes, arrow_columns, join_hashes
-from newsmill.session import work_dir
+from newsmill.session import materialize, work_dir
 
 #: Training bytes of a bucket, and tokens that a task sums at a time.
 BUCKET_BYTES = 16 << 20
 BATCH_TOKENS = 3_000_000
 START, END = np.uint64(0x5EED0001), np.uint64(0x5EED0002)
-#: Words that are sent as a rank of three bytes or less, at most.
-COMMON_WORDS = 1 << 22
+#: Words that are sent as a rank of three bytes or less, at most: the ranks hold 22 bits, and every task has the words.
+COMMON_WORDS = 1 << 20
 #: Counts of an array that fits a byte; larger ones stand in a second array.
 BIG = 255
 
@@ -81,14 +81,18 @@ def tokens(text: str | None, hashes: WordHashes, order: int = 2) -> np.ndarray:
     return np.concatenate([[START] * (order - 1), words, [END]])
 
 
+def _last_places(arrays: list[np.ndarray], order: int) -> np.ndarray:
+    """Places of the last words of all n-grams of texts that stand one after the other."""
+    starts = np.cumsum([0, *(len(a) for a in arrays)])
+    ends = np.ones(starts[-1], bool)
+    for i in range(order - 1):
+        ends[starts[:-1] + i] = False
+    return np.flatnonzero(ends)
+
+
 def columns_of(arrays: list[np.ndarray], order: int) -> list[np.ndarray]:
     """The words of all n-grams of texts, from the last one back."""
-    own = np.concatenate([*arrays, np.empty(0, np.uint64)])
-    starts = np.cumsum([0, *(len(a) for a in arrays)])[:-1]
-    ends = np.ones(len(own), bool)
-    for i in range(order - 1):
-        ends[starts + i] = False
-    at = np.flatnonzero(ends)
+    own, at = np.concatenate([*arrays, np.empty(0, np.uint64)]), _last_places(arrays, order)
     return [own[at - i] for i in range(order)]
 
 
@@ -152,14 +156,59 @@ def _grouped(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     return [keys[first], *(np.add.reduceat(v[order], first, dtype=v.dtype) if len(keys) else v for v in values)]
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs, those of one place together, compressed."""
+    size = next(w for w in (1, 2, 4, 8) if _top(values) < 1 << 8 * w)
+    planes = values.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T
+    return bytes([size]) + len(values).to_bytes(7, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(data: pa.Buffer, dtype: str) -> np.ndarray:
+    head = data[:8].to_pybytes()
+    size, n = head[0], int.from_bytes(head[1:], "little")
+    raw = pa.decompress(data[8:], decompressed_size=size * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(f"<u{size}").reshape(n).astype(dtype)
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Sorted keys as the steps between them."""
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
 def _column(table: pa.Table, name: str, dtype: str) -> np.ndarray:
-    parts = [np.frombuffer(x.as_buffer(), dtype) for x in table.column(name) if x.is_valid]
+    parts = [unpack(x.as_buffer(), dtype) for x in table.column(name) if x.is_valid]
+    parts = [np.cumsum(p, dtype=dtype) for p in parts] if name == "keys" else parts
     return np.concatenate([*parts, np.empty(0, dtype)])
 
 
 # --- counting ---------------------------------------------------------------------
 
 
+def _by_tokens(batches: Iterator[pa.RecordBatch], hashes: WordHashes, order: int) -> Iterator[list[np.ndarray]]:
+    """The tokens of texts, about ``BATCH_TOKENS`` at a time."""
+    held, size = [], 0
+    for batch in batches:
+        for text in batch.column(0):
+            held.append(tokens(text.as_py(), hashes, order))
+            size += len(held[-1])
+            if size >= BATCH_TOKENS:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def _least(words: DataFrame, size: int) -> int:
+    """The least count that fewer than ``COMMON_WORDS`` words exceed; of ``size`` tokens or fewer, ``size // COMMON_WORDS`` always is one."""
+    top = max(1, size // COMMON_WORDS)
+    of = {r.n: r["count"] for r in words.groupBy(F.least("n", F.lit(top + 1)).alias("n")).count().collect()}
+    above, least = of.get(top + 1, 0), top
+    while least > 1 and above + of.get(least, 0) < COMMON_WORDS:
+        above += of.get(least, 0)
+        least -= 1
+    return least
+
+
 def _frequent(texts: DataFrame, limit: int, size: int, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Common words by falling count, words before another more than ``limit`` times, and pairs about so frequent.
 
@@ -170,8 +219,8 @@ def _frequent(texts: DataFrame, limit: int, size: int, order: int) -> tuple[np.n
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes(xxhash.xxh3_64_intdigest)
-        for batch in batches:
-            word, before = columns_of([tokens(t.as_py(), hashes) for t in batch.column(0)], 2)
+        for held in _by_tokens(batches, hashes, 2):
+            word, before = columns_of(held, 2)
             words, n = np.unique(before, return_counts=True)
             after = np.zeros(len(words), np.int64)
             none = np.ones(len(words), bool)
@@ -185,7 +234,8 @@ def _frequent(texts: DataFrame, limit: int, size: int, order: int) -> tuple[np.n
             yield pa.RecordBatch.from_arrays(columns, names=["word", "next", "n"])
 
     counts = texts.mapInArrow(count, schema).groupBy("word", "next").agg(F.sum("n").alias("n"))
-    least = min(limit, size // COMMON_WORDS)
+    counts = materialize(counts.filter((F.col("n") > 1) & (F.col("next").isNull() | (F.col("n") > limit))), "ngram-words")
+    least = min(limit, _least(counts.filter(F.col("next").isNull()), size))
     found = counts.filter(F.col("n") > F.when(F.col("next").isNull(), least).otherwise(limit)).toArrow()
     word, n = (found.column(c).to_numpy() for c in ("word", "n"))
     pair = found.column("next").is_valid().to_numpy()
@@ -239,11 +289,12 @@ def _grams(texts: DataFrame, buckets: int, order: int, sent, hot: np.ndarray, ho
 
     def flush(arrays: list[np.ndarray], codes: Codes) -> pa.RecordBatch:
         columns = columns_of(arrays, order)
+        every, last = codes.of(np.concatenate(arrays)), _last_places(arrays, order)
         contexts = contexts_of(columns)
         _, first, n = np.unique(join_hashes(contexts[-1], columns[0]), return_index=True, return_counts=True)
         columns, contexts = [x[first] for x in columns], [x[first] for x in contexts]
         bucket = gram_home(contexts, columns[0], hot, hot_pairs, buckets)
-        ranks = [codes.of(x) for x in columns]
+        ranks = [every[last[first] - i] for i in range(order)]
         by = bucket.astype(np.uint64) << np.uint64(44) | ranks[1].astype(np.uint64) << np.uint64(22) | ranks[0]
         at = np.argsort(by, kind="stable")
         bucket, n = bucket[at], n[at]
@@ -262,15 +313,8 @@ def _grams(texts: DataFrame, buckets: int, order: int, sent, hot: np.ndarray, ho
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size, codes = WordHashes(xxhash.xxh3_64_intdigest), [], 0, Codes(sent.value)
-        for batch in batches:
-            for text in batch.column(0):
-                held.append(tokens(text.as_py(), hashes, order))
-                size += len(held[-1])
-                if size >= BATCH_TOKENS:
-                    yield flush(held, codes)
-                    held, size = [], 0
-        if held:
+        codes = Codes(sent.value)
+        for held in _by_tokens(batches, WordHashes(xxhash.xxh3_64_intdigest), order):
             yield flush(held, codes)
 
     return texts.mapInArrow(run, "bucket int, rows int, size long, data binary")
@@ -314,7 +358,7 @@ def _stored_grams(packed: DataFrame, folder: str, buckets: int, order: int, sent
         for i in range(buckets):
             piece = slice(cuts[i], cuts[i + 1])
             if piece.start < piece.stop:
-                yield i, kind, keys[piece].tobytes(), *(v[piece].tobytes() for v in values), *[None] * (4 - len(values))
+                yield i, kind, pack_sorted(keys[piece]), *(pack(v[piece]) for v in values), *[None] * (4 - len(values))
 
     def store(key: tuple, table: pa.Table) -> pa.Table:
         codes, name = Codes(sent.value), f"{key[0].as_py():07d}"
@@ -332,12 +376,15 @@ def _stored_grams(packed: DataFrame, folder: str, buckets: int, order: int, sent
             at = at[first]
             keys, context, columns = keys[at], contexts[-1][at], [c[at] for c in columns]
             if level == order:
-                rows += by_home("word", *_grouped(columns[0], n, np.zeros(len(n), np.uint32)))
+                words = _grouped(columns[0], n)
             if level == 2:
                 spread = _in(keys, hot_pairs) if order > 2 else np.zeros(len(keys), bool)
                 rows += by_home("pair", keys[spread], n[spread])
                 keys, n, context, columns = keys[~spread], n[~spread], context[~spread], [c[~spread] for c in columns]
-                rows += by_home("word", *_grouped(columns[0], np.zeros(len(n), np.uint64), np.ones(len(n), np.uint32)))
+                spreads = np.zeros(len(words[0]), np.uint32)
+                last, follows = np.unique(columns[0], return_counts=True)
+                spreads[np.searchsorted(words[0], last)] = follows
+                rows += by_home("word", *words, spreads)
                 rows += by_home("context2", *_followed(context, n))
                 totals[-1] = len(n)
             else:
@@ -347,7 +394,7 @@ def _stored_grams(packed: DataFrame, folder: str, buckets: int, order: int, sent
             _save_counts(folder, level, name, keys, n)
             totals[4 * (level - 2) : 4 * (level - 1)] = np.bincount(np.minimum(n, 5).astype(np.int64), minlength=6)[1:5]
             columns, n = columns[:-1], np.ones(len(n), np.uint64)
-        rows.append((-1, "total", totals.tobytes(), np.array(key[0].as_py(), np.uint64).tobytes(), *[None] * 3))
+        rows.append((-1, "total", pack(totals), pack(np.array([key[0].as_py()], np.uint64)), *[None] * 3))
         types = [pa.int32(), pa.string(), *[pa.binary()] * 5]
         names = ["home", "kind", "keys", "a", "b", "c", "d"]
         return pa.table({c: pa.array([r[i] for r in rows], t) for i, (c, t) in enumerate(zip(names, types, strict=True))})
@@ -370,7 +417,8 @@ def _stored_words(sums: DataFrame, folder: str, order: int, after: np.ndarray, b
         stored = np.zeros(buckets, np.uint8)
         if key[0].as_py() < 0:
             stored[_column(table, "a", "uint64").astype(np.int64)] = 1
-            totals[:counts] = _column(table, "keys", "int64").reshape(-1, counts).sum(axis=0)
+            for x in table.column("keys"):
+                totals[:counts] += unpack(x.as_buffer(), "int64")
         else:
             of = {k: table.filter(pa.array(kinds == k)) for k in ("word", "pair", *(f"context{i + 2}" for i in range(order - 1)))}
             own = after[home(after, buckets) == key[0].as_py()]

@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from newsmill.llm import ngram_lm
@@ -178,3 +179,26 @@ def test_packed_files_score_the_same(spark, monkeypatch):
         keys = "value" not in name and array.ndim == 1 and array.dtype == np.uint64 and name.startswith(("gram", "context", "hotcontext"))
         (save if keys and len(array) else ngram_lm._save)(folder, name, array)
     assert ngram_lm.score(spark, docs, dataclasses.replace(model, folder=folder)).orderBy("doc_id").collect() == plain
+
+
+def test_packed_sums_are_what_went_in():
+    rng = np.random.default_rng(1)
+    for top in (1, 255, 256, 70_000, 1 << 33, 1 << 64):
+        values = rng.integers(0, top, 500, np.uint64, endpoint=top < 1 << 64)
+        data = ngram_lm.pack(values)
+        assert ngram_lm.unpack(pa.py_buffer(data), "uint64").tolist() == values.tolist()
+        keys = np.sort(values)
+        table = pa.table({"keys": pa.array([ngram_lm.pack_sorted(keys), None, ngram_lm.pack_sorted(keys[:3])], pa.binary())})
+        assert ngram_lm._column(table, "keys", "uint64").tolist() == keys.tolist() + keys[:3].tolist()
+    assert len(ngram_lm.pack(np.ones(1000, np.uint64))) < 100
+    assert ngram_lm.unpack(pa.py_buffer(ngram_lm.pack(np.empty(0, np.uint64))), "uint32").size == 0
+
+
+def test_as_many_words_are_common_as_there_is_room_for(spark, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "COMMON_WORDS", 20)
+    counts = [(f"w{i}", 2 + i % 9) for i in range(50)]
+    words = spark.createDataFrame(counts, "word string, n long")
+    least = ngram_lm._least(words, sum(n for _, n in counts))
+    above = lambda k: sum(n > k for _, n in counts)
+    assert above(least) < 20 <= above(least - 1)
+    assert ngram_lm._least(words.limit(5), 100) == 1
