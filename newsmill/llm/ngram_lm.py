@@ -17,7 +17,7 @@ import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from urllib.parse import urlparse
 
 import numpy as np
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm.common import WordHashes, arrow_columns, join_hashes
+from newsmill.llm.common import WordHashes, arrow_columns, give_back, join_hashes, small_batches, split_words, word_hashes
 from newsmill.session import materialize, work_dir
 
 #: Training bytes of a bucket, and tokens that a task sums at a time.
@@ -35,8 +35,10 @@ BATCH_TOKENS = 3_000_000
 START, END = np.uint64(0x5EED0001), np.uint64(0x5EED0002)
 #: Words that are sent as a rank of three bytes or less, at most: the ranks hold 22 bits, and every task has the words.
 COMMON_WORDS = 1 << 20
-#: Counts of an array that fits a byte; larger ones stand in a second array.
-BIG = 255
+#: Counts take half a byte each; from this one on they stand in a second array.
+BIG = 15
+#: Sums of a context take a byte each; from this total on they stand behind the others.
+BIG_TOTAL = 255
 
 
 def mounted(path: str) -> str:
@@ -68,10 +70,13 @@ def contexts_of(columns: list[np.ndarray]) -> list[np.ndarray]:
 
 def gram_home(contexts: list[np.ndarray], word: np.ndarray, hot: np.ndarray, hot_pairs: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket of n-grams: by the word before the last, if that is hot by both, and if these are hot by three."""
-    pair = join_hashes(contexts[0], word)
-    at = np.where(_in(contexts[0], hot), pair, contexts[0])
-    if len(contexts) > 1:
-        at = np.where(_in(pair, hot_pairs), join_hashes(contexts[1], word), at)
+    at, rows = contexts[0], np.flatnonzero(_in(contexts[0], hot))
+    if len(rows):  # hot pairs begin with hot words
+        at, pair = at.copy(), join_hashes(contexts[0][rows], word[rows])
+        if len(contexts) > 1:
+            three = _in(pair, hot_pairs)
+            pair[three] = join_hashes(contexts[1][rows[three]], word[rows[three]])
+        at[rows] = pair
     return home(at, buckets)
 
 
@@ -81,19 +86,69 @@ def tokens(text: str | None, hashes: WordHashes, order: int = 2) -> np.ndarray:
     return np.concatenate([[START] * (order - 1), words, [END]])
 
 
-def _last_places(arrays: list[np.ndarray], order: int) -> np.ndarray:
-    """Places of the last words of all n-grams of texts that stand one after the other."""
-    starts = np.cumsum([0, *(len(a) for a in arrays)])
-    ends = np.ones(starts[-1], bool)
-    for i in range(order - 1):
-        ends[starts[:-1] + i] = False
-    return np.flatnonzero(ends)
+def numbered(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct key, in their order, and the number of each key among them; keys have ``bits`` bits at most."""
+    shift = len(keys).bit_length()
+    if bits + shift <= 64:  # one array is sorted faster than the places of another
+        both = np.sort(keys.astype(np.uint64) << np.uint64(shift) | np.arange(len(keys), dtype=np.uint64))
+        own, order = both >> np.uint64(shift), (both & np.uint64((1 << shift) - 1)).astype(np.int64)
+    else:
+        order = places_in_order(keys.astype(np.uint64, copy=False))
+        own = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = own[1:] != own[:-1]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
+def places_in_order(keys: np.ndarray) -> np.ndarray:
+    """Places of 64-bit keys in their order: sorted by their first bits, and again where these do not tell."""
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = (np.sort(keys & ~low | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    own = keys[order]
+    return order[np.argsort(own, kind="stable")] if (own[1:] < own[:-1]).any() else order
+
+
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.diff(first, append=len(keys))
 
 
-def columns_of(arrays: list[np.ndarray], order: int) -> list[np.ndarray]:
-    """The words of all n-grams of texts, from the last one back."""
-    own, at = np.concatenate([*arrays, np.empty(0, np.uint64)]), _last_places(arrays, order)
-    return [own[at - i] for i in range(order)]
+@dataclass(frozen=True)
+class Words:
+    """Texts one after the other with their marks: the ``numbers`` of their words among ``hashes``, and the length of each text."""
+
+    hashes: np.ndarray
+    numbers: np.ndarray
+    lengths: np.ndarray
+
+    @property
+    def bits(self) -> int:
+        return len(self.hashes).bit_length()
+
+    def last(self, order: int) -> np.ndarray:
+        """Places of the last words of all n-grams."""
+        starts = np.cumsum(self.lengths) - self.lengths
+        ends = np.ones(len(self.numbers), bool)
+        for i in range(order - 1):
+            ends[starts + i] = False
+        return np.flatnonzero(ends)
+
+
+def _words(held: list[tuple[pa.DictionaryArray, np.ndarray]], order: int) -> Words:
+    """Split texts with ``order - 1`` marks of its start before and one of its end behind each."""
+    parts = pa.chunked_array([w for w, _ in held]).unify_dictionaries().chunks
+    found, counts = np.concatenate([p.indices.to_numpy() for p in parts]), np.concatenate([c for _, c in held])
+    hashes = word_hashes(parts[0].dictionary, xxhash.xxh3_64_intdigest)
+    lengths = counts + order
+    ends = np.cumsum(lengths)
+    numbers = np.full(int(lengths.sum()), len(hashes), np.int32)
+    numbers[np.arange(len(found)) + np.repeat(np.arange(len(counts)) * order + order - 1, counts)] = found
+    numbers[ends - 1] = len(hashes) + 1
+    return Words(np.append(hashes, [START, END]), numbers, lengths)
 
 
 def _save(folder: str, name: str, array: np.ndarray) -> None:
@@ -105,7 +160,7 @@ def _save(folder: str, name: str, array: np.ndarray) -> None:
 
 
 #: Arrays of at least so many sorted keys are stored without their first bits.
-PACKED = 1 << 18
+PACKED = 1 << 17
 PACKED_BITS = 16
 
 
@@ -116,16 +171,19 @@ def _save_keys(folder: str, name: str, keys: np.ndarray) -> None:
         return
     starts = np.arange((1 << PACKED_BITS) + 1, dtype=np.uint64)[:-1] << np.uint64(64 - PACKED_BITS)
     places = np.append(np.searchsorted(keys, starts), len(keys)).astype(np.uint32)
-    _save(folder, f"{name}.low", keys.astype(np.uint32))
-    _save(folder, f"{name}.mid", (keys >> np.uint64(32)).astype(np.uint16))
+    _save(folder, f"{name}.high", (keys >> np.uint64(16)).astype(np.uint32))
+    _save(folder, f"{name}.low", keys.astype(np.uint16))
     _save(folder, name, places[:, None])
 
 
 class PackedKeys:
     """Sorted keys as ``_save_keys`` stores large arrays of them, searched in place."""
 
-    def __init__(self, places: np.ndarray, mid: np.ndarray, low: np.ndarray):
-        self.places, self.mid, self.low = places, mid, low
+    #: Halvings of all wanted keys at once; where a start has more keys, only those that are left go on.
+    TOGETHER = 6
+
+    def __init__(self, places: np.ndarray, high: np.ndarray, low: np.ndarray):
+        self.places, self.high, self.low = places, high, low
 
     def __len__(self) -> int:
         return len(self.low)
@@ -133,24 +191,36 @@ class PackedKeys:
     def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of keys, and which of them are there: a binary search among those of the same start, all at once."""
         start = (wanted >> np.uint64(64 - PACKED_BITS)).astype(np.int64)
-        rest = wanted & np.uint64((1 << 48) - 1)
-        a, b = (self.places[start + i, 0].astype(np.int64) for i in (0, 1))
-        end = b.copy()
-        while (open_ := np.flatnonzero(a < b)).size:
-            middle = (a[open_] + b[open_]) >> 1
-            less = self._rest(middle) < rest[open_]
-            a[open_[less]] = middle[less] + 1
-            b[open_[~less]] = middle[~less]
+        high, low = (wanted >> np.uint64(16)).astype(np.uint32), wanted.astype(np.uint16)
+        a, end = (self.places[start + i, 0].astype(np.int64) for i in (0, 1))
+        left = end - a
+        for _ in range(min(self.TOGETHER, int(left.max(initial=0)).bit_length())):
+            a, left = self._halved(a, left, high)
+        while (open_ := np.flatnonzero(left)).size:
+            a[open_], left[open_] = self._halved(a[open_], left[open_], high[open_])
         place = np.minimum(a, len(self) - 1)
-        return place, (a < end) & (self._rest(place) == rest)
-
-    def _rest(self, at: np.ndarray) -> np.ndarray:
-        return (self.mid[at].astype(np.uint64) << np.uint64(32)) | self.low[at]
+        same = (a < end) & (self.high[place] == high)
+        found = same & (self.low[place] == low)
+        open_ = np.flatnonzero(same & ~found)
+        while open_.size:  # keys that differ in their last bits only
+            a[open_] += 1
+            at = np.minimum(a[open_], len(self) - 1)
+            same = (a[open_] < end[open_]) & (self.high[at] == high[open_])
+            hit = same & (self.low[at] == low[open_])
+            place[open_[hit]], found[open_[hit]] = at[hit], True
+            open_ = open_[same & ~hit]
+        return place, found
+
+    def _halved(self, a: np.ndarray, left: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        half = left >> 1
+        middle = a + half
+        less = (self.high.take(middle, mode="clip") < high) & (left > 0)
+        return np.where(less, middle + 1, a), np.where(less, left - half - 1, half)
 
 
 def _grouped(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     """The distinct keys in order and the sums of their values."""
-    order = np.argsort(keys, kind="stable")
+    order = places_in_order(keys)
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
     return [keys[first], *(np.add.reduceat(v[order], first, dtype=v.dtype) if len(keys) else v for v in values)]
@@ -184,18 +254,20 @@ def _column(table: pa.Table, name: str, dtype: str) -> np.ndarray:
 # --- counting ---------------------------------------------------------------------
 
 
-def _by_tokens(batches: Iterator[pa.RecordBatch], hashes: WordHashes, order: int) -> Iterator[list[np.ndarray]]:
-    """The tokens of texts, about ``BATCH_TOKENS`` at a time."""
-    held, size = [], 0
-    for batch in batches:
-        for text in batch.column(0):
-            held.append(tokens(text.as_py(), hashes, order))
-            size += len(held[-1])
-            if size >= BATCH_TOKENS:
-                yield held
-                held, size = [], 0
+def _by_tokens(texts: Iterator[pa.Array], order: int, size: int = BATCH_TOKENS) -> Iterator[Words]:
+    """The words of texts, about ``size`` at a time."""
+    held, n = [], 0
+    for array in texts:
+        for words, counts in split_words(array) if len(array) else ():
+            held.append((words, counts))
+            n += len(words) + len(counts)
+            if n >= size:
+                own, held, n = _words(held, order), [], 0
+                yield own
+                own = None
     if held:
-        yield held
+        own, held = _words(held, order), []
+        yield own
 
 
 def _least(words: DataFrame, size: int) -> int:
@@ -218,20 +290,24 @@ def _frequent(texts: DataFrame, limit: int, size: int, order: int) -> tuple[np.n
     schema = "word long, next long, n long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes(xxhash.xxh3_64_intdigest)
-        for held in _by_tokens(batches, hashes, 2):
-            word, before = columns_of(held, 2)
-            words, n = np.unique(before, return_counts=True)
+        for own in _by_tokens((b.column(0) for b in batches), 2):
+            last = own.last(2)
+            before = own.numbers[last - 1]
+            n = np.bincount(before, minlength=len(own.hashes))
+            words, n = own.hashes[n > 0], n[n > 0]
             after = np.zeros(len(words), np.int64)
             none = np.ones(len(words), bool)
-            if order > 2 and len(word):
-                _, first, pairs = np.unique(join_hashes(before, word), return_index=True, return_counts=True)
-                many = pairs > max(1, limit * len(word) / size)
-                words, n = np.concatenate([words, before[first[many]]]), np.concatenate([n, pairs[many]])
-                after = np.concatenate([after, word[first[many]].view(np.int64)])
-                none = np.concatenate([none, np.zeros(int(many.sum()), bool)])
+            if order > 2:
+                pairs, times = counted(before.astype(np.int64) << own.bits | own.numbers[last])
+                many = times > max(1, limit * len(last) / size)
+                pairs, times = pairs[many], times[many]
+                words, n = np.concatenate([words, own.hashes[pairs >> own.bits]]), np.concatenate([n, times])
+                after = np.concatenate([after, own.hashes[pairs & ((1 << own.bits) - 1)].view(np.int64)])
+                none = np.concatenate([none, np.zeros(len(pairs), bool)])
             columns = [pa.array(words.view(np.int64)), pa.array(after, mask=none), pa.array(n)]
             yield pa.RecordBatch.from_arrays(columns, names=["word", "next", "n"])
+            own = last = before = columns = None  # noqa: F841 (not held while the next ones are made)
+        give_back()
 
     counts = texts.mapInArrow(count, schema).groupBy("word", "next").agg(F.sum("n").alias("n"))
     counts = materialize(counts.filter((F.col("n") > 1) & (F.col("next").isNull() | (F.col("n") > limit))), "ngram-words")
@@ -252,18 +328,21 @@ class Codes:
     """Words as ranks among the common ones; others stand as hashes of their own."""
 
     def __init__(self, common: np.ndarray):
-        self.common = common
-        self.order = np.argsort(common)
-        self.sorted = common[self.order]
+        self.common = np.append(common, np.uint64(0))
+
+    @cached_property
+    def _sorted(self) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(self.common[:-1])
+        return order, self.common[order]
 
     def of(self, words: np.ndarray) -> np.ndarray:
-        distinct, back = np.unique(words, return_inverse=True)
-        codes = np.zeros(len(distinct), np.uint32)
-        if len(self.sorted):
-            place = np.minimum(np.searchsorted(self.sorted, distinct), len(self.sorted) - 1)
-            known = self.sorted[place] == distinct
-            codes[known] = self.order[place[known]] + 1
-        return codes[back]
+        order, those = self._sorted
+        codes = np.zeros(len(words), np.uint32)
+        if len(those):
+            place = np.minimum(np.searchsorted(those, words), len(those) - 1)
+            known = those[place] == words
+            codes[known] = order[place[known]] + 1
+        return codes
 
     @staticmethod
     def packed(codes: list[np.ndarray], words: list[np.ndarray], n: np.ndarray) -> bytes:
@@ -279,7 +358,7 @@ class Codes:
         codes = low.astype(np.int64) | high.astype(np.int64) << 16
         n = np.frombuffer(raw, np.uint32, rows, 3 * rows * order)
         rare = np.frombuffer(raw[3 * rows * order + 4 * rows :], np.uint64)
-        words = np.append(self.common, np.uint64(0))[codes - 1]
+        words = self.common[codes - 1]
         words[codes == 0] = rare
         return list(words), n
 
@@ -287,18 +366,41 @@ class Codes:
 def _grams(texts: DataFrame, buckets: int, order: int, sent, hot: np.ndarray, hot_pairs: np.ndarray) -> DataFrame:
     """Summed n-grams of each batch, packed by bucket."""
 
-    def flush(arrays: list[np.ndarray], codes: Codes) -> pa.RecordBatch:
-        columns = columns_of(arrays, order)
-        every, last = codes.of(np.concatenate(arrays)), _last_places(arrays, order)
-        contexts = contexts_of(columns)
-        _, first, n = np.unique(join_hashes(contexts[-1], columns[0]), return_index=True, return_counts=True)
-        columns, contexts = [x[first] for x in columns], [x[first] for x in contexts]
-        bucket = gram_home(contexts, columns[0], hot, hot_pairs, buckets)
-        ranks = [every[last[first] - i] for i in range(order)]
-        by = bucket.astype(np.uint64) << np.uint64(44) | ranks[1].astype(np.uint64) << np.uint64(22) | ranks[0]
-        at = np.argsort(by, kind="stable")
-        bucket, n = bucket[at], n[at]
-        columns, ranks = [x[at] for x in columns], [x[at] for x in ranks]
+    #: Words of an n-gram in the order by which those of a bucket are sent, counted from the last one back.
+    sending = [1, 0, *range(2, order)]
+
+    def summed(own: Words) -> tuple[list[np.ndarray], np.ndarray]:
+        """The numbers of the words of distinct n-grams, from the last one back, and their counts."""
+        last, bits = own.last(order), own.bits
+        if bits * order < 64:
+            keys = np.zeros(len(last), np.int64)
+            for i in sending:
+                keys = keys << bits | own.numbers[last - i]
+            keys, n = counted(keys)
+            return [(keys >> bits * (order - 1 - sending.index(i)) & ((1 << bits) - 1)).astype(np.int32) for i in range(order)], n
+        columns = [own.hashes[own.numbers[last - i]] for i in range(order)]
+        first, number = numbered(join_hashes(contexts_of(columns)[-1], columns[0]), 64)
+        numbers, n = [own.numbers[last[first] - i] for i in range(order)], np.bincount(number)
+        at = np.lexsort((numbers[0], numbers[1]))
+        return [x[at] for x in numbers], n[at]
+
+    def by_rank(own: Words, codes: Codes) -> tuple[Words, np.ndarray]:
+        """The same words with numbers in the order of their ranks, and these."""
+        ranks = codes.of(own.hashes)
+        at = np.argsort(ranks, kind="stable")
+        number = np.empty(len(at), np.int32)
+        number[at] = np.arange(len(at))
+        return Words(own.hashes[at], number[own.numbers], own.lengths), ranks[at]
+
+    def flush(own: Words, codes: Codes) -> pa.RecordBatch:
+        own, rank = by_rank(own, codes)
+        numbers, n = summed(own)
+        columns = [own.hashes[x] for x in numbers]
+        bucket = gram_home(contexts_of(columns), columns[0], hot, hot_pairs, buckets)
+        at = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+        del columns
+        bucket, n, numbers = bucket[at], n[at], [x[at] for x in numbers]
+        ranks = [rank[x] for x in numbers]
         cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist() + [len(bucket)]
         pieces = [slice(a, b) for a, b in zip(cuts, cuts[1:])]  # noqa: B905
         size = [(3 * order + 4) * (p.stop - p.start) + 8 * sum(int((x[p] == 0).sum()) for x in ranks) for p in pieces]
@@ -307,15 +409,19 @@ def _grams(texts: DataFrame, buckets: int, order: int, sent, hot: np.ndarray, ho
                 pa.array([int(bucket[p.start]) for p in pieces], pa.int32()),
                 pa.array([p.stop - p.start for p in pieces], pa.int32()),
                 pa.array(size, pa.int64()),
-                pa.array([Codes.packed([x[p] for x in ranks], [x[p] for x in columns], n[p]) for p in pieces], pa.binary()),
+                pa.array([Codes.packed([x[p] for x in ranks], [own.hashes[x[p]] for x in numbers], n[p]) for p in pieces], pa.binary()),
             ],
             names=["bucket", "rows", "size", "data"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes(sent.value)
-        for held in _by_tokens(batches, WordHashes(xxhash.xxh3_64_intdigest), order):
-            yield flush(held, codes)
+        for own in _by_tokens((b.column(0) for b in batches), order):
+            made = flush(own, codes)
+            own = None
+            yield made
+        made = None  # noqa: F841 (not held while the worker waits)
+        give_back()
 
     return texts.mapInArrow(run, "bucket int, rows int, size long, data binary")
 
@@ -325,18 +431,47 @@ SUMS = "home int, kind string, keys binary, a binary, b binary, c binary, d bina
 
 def _save_counts(folder: str, level: int, name: str, keys: np.ndarray, n: np.ndarray) -> None:
     _save_keys(folder, f"gram{level}-{name}", keys)
-    _save(folder, f"count{level}-{name}", np.minimum(n, BIG).astype(np.uint8))
+    _save(folder, f"count{level}-{name}", pack_halves(np.minimum(n, BIG)))
     _save(folder, f"bigkey{level}-{name}", keys[n >= BIG])
     _save(folder, f"bigcount{level}-{name}", n[n >= BIG])
 
 
+def pack_halves(values: np.ndarray) -> np.ndarray:
+    """Whole numbers below 16, two in a byte."""
+    two = np.zeros(len(values) + len(values) % 2, np.uint8)
+    two[: len(values)] = values
+    return two[::2] | two[1::2] << 4
+
+
+def halves_at(packed: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return packed[place >> 1] >> ((place & 1) << 2).astype(np.uint8) & 15
+
+
+def pack_sums(values: np.ndarray) -> np.ndarray:
+    """Rows of four sums, none above the first, as a byte each; rows too large for that have the place of their own numbers."""
+    big = values[:, 0] >= BIG_TOTAL
+    rows = values.astype(np.uint8)
+    rows[big, 0] = BIG_TOTAL
+    rows[big, 1:] = np.arange(int(big.sum()), dtype="<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+    return np.concatenate([rows, values[big].astype("<u8").view(np.uint8).reshape(-1, 4)])
+
+
+def sums_at(packed: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
+    """Rows of sums; ``n``: how many there are."""
+    rows = packed[place].astype(np.int64)
+    big = rows[:, 0] == BIG_TOTAL
+    if big.any():
+        at = n + 8 * (rows[big, 1:] @ np.array([1, 1 << 8, 1 << 16]))
+        rows[big] = packed[at[:, None] + np.arange(8)].reshape(-1, 32).view("<u8")
+    return rows
+
+
 def _save_contexts(folder: str, kind: str, level: int, name: str, keys: np.ndarray, *sums: np.ndarray) -> None:
     """Contexts that were followed once by one word need no numbers."""
     once = sums[0] == 1
     _save_keys(folder, f"{kind}once{level}-{name}", keys[once])
     _save_keys(folder, f"{kind}{level}-{name}", keys[~once])
-    values = np.stack([s[~once] for s in sums], axis=1)
-    _save(folder, f"{kind}value{level}-{name}", values.astype(np.min_scalar_type(_top(values))))
+    _save(folder, f"{kind}value{level}-{name}", pack_sums(np.stack([s[~once] for s in sums], axis=1)))
 
 
 def _followed(context: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
@@ -370,11 +505,12 @@ def _stored_grams(packed: DataFrame, folder: str, buckets: int, order: int, sent
         for level in range(order, 1, -1):
             contexts = contexts_of(columns)
             keys = join_hashes(contexts[-1], columns[0])
-            at = np.argsort(keys, kind="stable")
-            first = np.flatnonzero(np.concatenate([[True], keys[at][1:] != keys[at][:-1]]))
+            at = places_in_order(keys)
+            keys = keys[at]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             n = np.add.reduceat(n[at], first)
             at = at[first]
-            keys, context, columns = keys[at], contexts[-1][at], [c[at] for c in columns]
+            keys, context, columns = keys[first], contexts[-1][at], [c[at] for c in columns]
             if level == order:
                 words = _grouped(columns[0], n)
             if level == 2:
@@ -382,7 +518,7 @@ def _stored_grams(packed: DataFrame, folder: str, buckets: int, order: int, sent
                 rows += by_home("pair", keys[spread], n[spread])
                 keys, n, context, columns = keys[~spread], n[~spread], context[~spread], [c[~spread] for c in columns]
                 spreads = np.zeros(len(words[0]), np.uint32)
-                last, follows = np.unique(columns[0], return_counts=True)
+                last, follows = counted(columns[0])
                 spreads[np.searchsorted(words[0], last)] = follows
                 rows += by_home("word", *words, spreads)
                 rows += by_home("context2", *_followed(context, n))
@@ -397,6 +533,8 @@ def _stored_grams(packed: DataFrame, folder: str, buckets: int, order: int, sent
         rows.append((-1, "total", pack(totals), pack(np.array([key[0].as_py()], np.uint64)), *[None] * 3))
         types = [pa.int32(), pa.string(), *[pa.binary()] * 5]
         names = ["home", "kind", "keys", "a", "b", "c", "d"]
+        columns = contexts = keys = n = context = at = first = words = last = table = None  # noqa: F841
+        give_back()
         return pa.table({c: pa.array([r[i] for r in rows], t) for i, (c, t) in enumerate(zip(names, types, strict=True))})
 
     return packed.groupBy("bucket").applyInArrow(store, SUMS)
@@ -435,14 +573,17 @@ def _stored_words(sums: DataFrame, folder: str, order: int, after: np.ndarray, b
                 _save_contexts(folder, "hotcontext", level, name, *summed)
             context = _grouped(*(_column(of["context2"], c, t) for c, t in columns))
             keys = np.union1d(word[0], context[0])
-            _save(folder, f"word-{name}", keys)
             values = np.zeros((len(keys), 6), np.uint32 if max(_top(word[1]), _top(context[1])) < 1 << 32 else np.uint64)
             values[np.searchsorted(keys, word[0]), 0] = word[1]
             values[np.searchsorted(keys, word[0]), 1] = word[2]
             at = np.searchsorted(keys, context[0])
             for i in range(4):
                 values[at, 2 + i] = context[1 + i]
-            _save(folder, f"value-{name}", values)
+            # Words that occur once, before one word and after one, need no numbers.
+            once = (values == ONCE).all(axis=1)
+            _save(folder, f"wordonce-{name}", keys[once])
+            _save(folder, f"word-{name}", keys[~once])
+            _save(folder, f"value-{name}", values[~once])
             totals[counts : counts + 4] = np.bincount(np.minimum(word[2], 5).astype(np.int64), minlength=6)[1:5]
             totals[counts + 4 :] = len(word[0]), int(word[1].sum())
             pairs = _grouped(*(_column(of["pair"], c, "uint64") for c in ("keys", "a")))
@@ -463,6 +604,10 @@ def _stored_words(sums: DataFrame, folder: str, order: int, after: np.ndarray, b
     return totals, pairs, (grams, np.packbits(homes).tobytes())
 
 
+#: What is stored of a word: count, spread, total as a context, and its followers seen once, twice, more often.
+ONCE = np.array([1, 1, 1, 1, 0, 0], np.uint32)
+
+
 def _top(values: np.ndarray) -> int:
     return int(values.max(initial=0))
 
@@ -495,6 +640,7 @@ def train(spark: SparkSession, docs: DataFrame, text: str = "text", order: int =
     if order < 2:
         raise ValueError("the order is 2 at least")
     texts = docs.select(F.col(text).alias("text"))
+    small_batches(spark)
     size = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     size = (size[0] or 0) + size[1]
     buckets = max(1, -(-size // BUCKET_BYTES))
@@ -535,7 +681,7 @@ class Reader:
         self.hot_pairs, self.hot_counts = _grouped(join_hashes(before, after), n)
         self.hot_before = _followed(before, n)
         self.stored = [np.unpackbits(np.frombuffer(bits, np.uint8)) for bits in model.stored]
-        self._open = lru_cache(maxsize=4096)(self._mapped)
+        self._open = lru_cache(maxsize=1 << 14)(self._mapped)
 
     def _mapped(self, name: str) -> np.ndarray | PackedKeys | None:
         """The array or packed keys of a bucket; None if the manifest says that nothing was stored for it."""
@@ -545,17 +691,17 @@ class Reader:
             return None
         first = self._file(name)
         if first.ndim == 2 and "value" not in kind:
-            return PackedKeys(np.array(first), self._file(f"{name}.mid"), self._file(f"{name}.low"))
+            return PackedKeys(first, self._file(f"{name}.high"), self._file(f"{name}.low"))
         return first
 
     def _file(self, name: str) -> np.ndarray:
         path = f"{self.model.folder}/{name}.npy"
         if not os.path.exists(path):
             raise FileNotFoundError(f"{path}: a file of the model is missing; is its folder mounted here?")
-        return np.load(path, mmap_mode="r") if os.path.getsize(path) > 128 else np.load(path)
+        return np.asarray(np.load(path, mmap_mode="r")) if os.path.getsize(path) > 128 else np.load(path)
 
     def _by_bucket(self, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(bucket.astype(np.uint16) if self.model.buckets <= 1 << 16 else bucket, kind="stable")
         cuts = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0])).tolist() + [len(order)]
         for a, b in zip(cuts, cuts[1:]):  # noqa: B905
             yield int(bucket[order[a]]), order[a:b]
@@ -577,6 +723,9 @@ class Reader:
                 place, found = self._find(self._open(f"word-{bucket:07d}"), hashes[rows])
                 if found.any():
                     out[rows[found]] = self._open(f"value-{bucket:07d}")[place[found]]
+                rows = rows[~found]
+                _, found = self._find(self._open(f"wordonce-{bucket:07d}"), hashes[rows])
+                out[rows[found]] = ONCE
             place, found = self._find(self.hot_before[0], hashes)
             for i in range(4):
                 out[found, 2 + i] += self.hot_before[1 + i][place[found]]
@@ -593,11 +742,13 @@ class Reader:
             at = np.flatnonzero(those)
             for bucket, rows in self._by_bucket(home(by[at], self.model.buckets)) if len(at) else ():
                 rows = at[rows]
+                several = self._open(f"{kind}{level}-{bucket:07d}")
+                place, found = self._find(several, keys[rows])
+                if found.any():
+                    out[rows[found]] = sums_at(self._open(f"{kind}value{level}-{bucket:07d}"), place[found], len(several))
+                rows = rows[~found]
                 _, found = self._find(self._open(f"{kind}once{level}-{bucket:07d}"), keys[rows])
                 out[rows[found]] = 1, 1, 0, 0
-                place, found = self._find(self._open(f"{kind}{level}-{bucket:07d}"), keys[rows])
-                if found.any():
-                    out[rows[found]] = self._open(f"{kind}value{level}-{bucket:07d}")[place[found]]
         return out
 
     def bigrams(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -612,7 +763,7 @@ class Reader:
                 place, found = self._find(self._open(f"gram{level}-{bucket:07d}"), keys[rows])
                 if not found.any():
                     continue
-                n = self._open(f"count{level}-{bucket:07d}")[place[found]].astype(np.float64)
+                n = halves_at(self._open(f"count{level}-{bucket:07d}"), place[found]).astype(np.float64)
                 big = n >= BIG
                 if big.any():
                     own = keys[rows[found][big]]
@@ -635,35 +786,41 @@ class Scorer:
         self.unseen = left / self.spread_total if self.spread_total else 1.0
 
     def texts(self, arrays: list[np.ndarray]) -> list[tuple[int, int, float, float]]:
-        """Tokens, known tokens, base score and model score of texts."""
-        m = self.model
-        columns = columns_of(arrays, m.order)
-        starts = np.cumsum([0, *(len(a) - m.order + 1 for a in arrays)])[:-1]
-        vocabulary, place = np.unique(columns[0], return_inverse=True)
-        about = self.reader.words(vocabulary)
+        """Tokens, known tokens, base score and model score of texts that are hashes with marks."""
+        hashes, numbers = np.unique(np.concatenate(arrays), return_inverse=True)
+        found = self.words(Words(hashes, numbers, np.array([len(a) for a in arrays], np.int64)))
+        return [(int(n), int(k), float(b), float(s)) for n, k, b, s in zip(*found, strict=True)]
+
+    def words(self, own: Words) -> tuple[np.ndarray, ...]:
+        """Tokens, known tokens, base score and model score of each text."""
+        m, numbers, at = self.model, own.numbers, own.last(self.model.order)
+        tokens = own.lengths - m.order + 1
+        about = self.reader.words(own.hashes)
         count, spread = about[:, 0], about[:, 1]
         base = np.log10((count + 0.1) / (m.n_tokens + 0.1 * (m.vocabulary + 1)))
         low = self.unseen / (m.vocabulary + 1)
         if self.spread_total:
             low = low + np.maximum(spread - self.d1[np.minimum(spread, 3).astype(np.int64)], 0) / self.spread_total
         else:
-            low = np.full(len(vocabulary), low)
-        likely, contexts = low[place], contexts_of(columns)
+            low = np.full(len(own.hashes), low)
+        # An n-gram is the number of its context at the place before, and its last word; it is the context of the place behind.
+        likely, of, context, bits = low[numbers[at]], about[:, 2:], numbers.astype(np.int64), len(numbers).bit_length()
         for level, d in enumerate(self.d, 2):
-            _, first, back = np.unique(contexts[level - 2], return_index=True, return_inverse=True)
-            of = self.reader.contexts(level, [c[first] for c in contexts])
             seen = of[:, 0] > 0
             total = np.where(seen, of[:, 0], 1)
             share = np.where(seen, of[:, 1:] @ d[1:] / total, 1.0)
-            keys = join_hashes(contexts[level - 2], columns[0])
-            _, first, again = np.unique(keys, return_index=True, return_inverse=True)
-            counts = self.reader.grams(level, [c[first] for c in contexts], columns[0][first])[again]
-            high = np.maximum(counts - d[np.minimum(counts, 3).astype(np.int64)], 0) / total[back]
-            likely = high + share[back] * likely
-        score = np.log10(likely)
-        known = (count > 0)[place]
-        sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), base[place], score)]
-        return [(len(a) - m.order + 1, int(k), float(b), float(s)) for a, k, b, s in zip(arrays, *sums, strict=True)]
+            first, gram = numbered(context[level - 2 : -1] << own.bits | numbers[level - 1 :], max(bits, own.bits) + own.bits)
+            words = [own.hashes[numbers[first + level - 1 - i]] for i in range(level)]
+            counts = self.reader.grams(level, contexts_of(words), words[0])
+            high = np.maximum(counts - d[np.minimum(counts, 3).astype(np.int64)], 0)
+            gram = np.concatenate([np.zeros(level - 1, np.int64), gram])
+            before = context[at - 1]
+            likely = high[gram[at]] / total[before] + share[before] * likely
+            if level < m.order:
+                context, of = gram, self.reader.contexts(level + 1, contexts_of([words[0], *words]))
+        known = (count > 0).astype(np.int64)[numbers[at]]
+        starts = np.cumsum(tokens) - tokens
+        return tokens, *(np.add.reduceat(x, starts) for x in (known, base[numbers[at]], np.log10(likely)))
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -676,23 +833,17 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, text: str = "text"
     sent = spark.sparkContext.broadcast(model)
 
     def make():
-        scorer, hashes = Scorer(sent.value), WordHashes(xxhash.xxh3_64_intdigest)
+        scorer = Scorer(sent.value)
 
         def apply(texts: pa.Array):
-            rows, held, size = [], [], 0
-            for t in texts:
-                held.append(tokens(t.as_py(), hashes, sent.value.order))
-                size += len(held[-1])
-                if size >= BATCH_TOKENS // 3:
-                    rows += scorer.texts(held)
-                    held, size = [], 0
-            rows += scorer.texts(held) if held else []
-            perplexity = [10.0 ** min(300.0, -r[3] / r[0]) for r in rows]
+            parts = [scorer.words(own) for own in _by_tokens([texts], sent.value.order, BATCH_TOKENS // 3)]
+            tokens, known, base, own = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.empty(0)] * 4
+            perplexity = [10.0 ** min(300.0, -s / n) for s, n in zip(own.tolist(), tokens.tolist(), strict=True)]
             return [
-                pa.array([r[0] for r in rows], pa.int64()),
-                pa.array([r[1] for r in rows], pa.int64()),
-                pa.array([r[2] for r in rows], pa.float64()),
-                pa.array([r[3] for r in rows], pa.float64()),
+                pa.array(tokens.astype(np.int64)),
+                pa.array(known.astype(np.int64)),
+                pa.array(base, pa.float64()),
+                pa.array(own, pa.float64()),
                 pa.array(perplexity, pa.float64()),
             ]
 

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from newsmill.llm import ngram_lm
+from newsmill.llm import common, ngram_lm
 
 
 def tokens(text):
@@ -202,3 +202,39 @@ def test_as_many_words_are_common_as_there_is_room_for(spark, monkeypatch):
     above = lambda k: sum(n > k for _, n in counts)
     assert above(least) < 20 <= above(least - 1)
     assert ngram_lm._least(words.limit(5), 100) == 1
+
+
+def test_words_split_by_arrow_are_those_of_the_bytes(monkeypatch):
+    monkeypatch.setattr(common, "SPLIT_BYTES", 40)
+    every = "".join(f"A{chr(i)}b" for i in range(128))
+    texts = [every, None, "", " \t\n", " The the\u0085end \u00c9\u00a0x ", "a", *[f"w{i} w{i % 3}" for i in range(30)]]
+    hashes = ngram_lm.WordHashes(ngram_lm.xxhash.xxh3_64_intdigest)
+    for order in (2, 3):
+        parts = list(ngram_lm._by_tokens(iter([pa.array(texts[:4]), pa.array([], pa.string()), pa.array(texts).slice(4)]), order, 20))
+        assert len(parts) > 1
+        own = np.concatenate([p.hashes[p.numbers] for p in parts])
+        assert own.tolist() == np.concatenate([ngram_lm.tokens(t, hashes, order) for t in texts]).tolist()
+        assert np.concatenate([p.lengths for p in parts]).tolist() == [len(ngram_lm.tokens(t, hashes, order)) for t in texts]
+
+
+def test_small_counts_and_sums_take_little_room():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 501):
+        counts = rng.integers(0, 16, n)
+        packed = ngram_lm.pack_halves(counts)
+        assert packed.nbytes == (n + 1) // 2 and ngram_lm.halves_at(packed, np.arange(n)).tolist() == counts.tolist()
+        sums = np.sort(rng.integers(0, 300, (n, 4)), axis=1)[:, ::-1].astype(np.uint64)
+        sums[: n // 100] += np.uint64(1 << 40)
+        packed, place = ngram_lm.pack_sums(sums), rng.permutation(n)
+        assert packed.nbytes == 4 * n + 32 * int((sums[:, 0] >= 255).sum())
+        assert ngram_lm.sums_at(packed, place, n).tolist() == sums[place].astype(np.int64).tolist()
+
+
+def test_keys_in_order_where_first_bits_do_not_tell():
+    rng = np.random.default_rng(4)
+    for keys in (rng.integers(0, 1 << 64, 999, np.uint64), rng.integers(0, 2000, 999, np.uint64), np.empty(0, np.uint64)):
+        assert keys[ngram_lm.places_in_order(keys)].tolist() == sorted(keys.tolist())
+        for bits in (11, 64):
+            own = keys & np.uint64((1 << bits) - 1)
+            first, number = ngram_lm.numbered(own, bits)
+            assert own[first].tolist() == np.unique(own).tolist() and own[first][number].tolist() == own.tolist()
