@@ -13,6 +13,7 @@ members. Links are confirmed on the full sets, and pairs are never a table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 from pyspark.sql.window import Window
 
-from newsmill.llm.common import WordHashes, arrow_columns, free_name, give_back, gram_hashes, list_array, mix, small_batches
+from newsmill.llm.common import WordHashes, arrow_columns, free_name, give_back, gram_hashes, list_array, mix, small_batches, split_words, word_hashes
 from newsmill.llm.components import components
 from newsmill.session import materialize
 
@@ -56,13 +57,24 @@ class Settings:
 
 def shingle_set(text: str | None, hashes: WordHashes, size: int) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles of a text."""
-    words = hashes.of(text.encode().lower().split()) if text else np.empty(0, np.uint64)
+    return _set_of(hashes.of(text.encode().lower().split()) if text else np.empty(0, np.uint64), size)
+
+
+def _set_of(words: np.ndarray, size: int) -> np.ndarray:
     if len(words) == 0:
         return words
     grams = gram_hashes(words, min(size, len(words)))
     return np.unique(mix(grams + np.uint64(min(size, len(words)))))
 
 
+def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """The ``shingle_set`` of each text, by the distinct words of some texts at a time; none are remembered."""
+    for words, counts in split_words(texts) if len(texts) else ():
+        own = word_hashes(words.dictionary, xxhash.xxh3_64_intdigest)[words.indices.to_numpy()]
+        ends = np.cumsum(counts)
+        yield from (_set_of(own[a:b], size) for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True))
+
+
 class Sketcher:
     """Band hashes of shingle sets."""
 
@@ -105,16 +117,15 @@ def sketch(docs: DataFrame, settings: Settings, text: str = "text", keep: list[s
     """
 
     def make():
-        hashes, sketcher = WordHashes(xxhash.xxh3_64_intdigest), Sketcher(settings)
+        sketcher = Sketcher(settings)
 
         def apply(texts: pa.Array):
-            sets = [shingle_set(t.as_py(), hashes, settings.shingle) for t in texts]
-            keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-            return [
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(keys, pa.binary()),
-                list_array([sketcher.bands_of(s) for s in sets], "int64", pa.int64()),
-            ]
+            sizes, keys, bands = [], [], []
+            for own in shingle_sets(texts, settings.shingle):
+                sizes.append(len(own))
+                keys.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
+                bands.append(sketcher.bands_of(own))
+            return [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), list_array(bands, "int64", pa.int64())]
 
         return apply
 
@@ -125,10 +136,8 @@ def _shingles(docs: DataFrame, settings: Settings) -> DataFrame:
     """``docs`` (node, same, text) with the shingle sets in place of the texts."""
 
     def make():
-        hashes = WordHashes(xxhash.xxh3_64_intdigest)
-
         def apply(texts: pa.Array):
-            sets = [shingle_set(t.as_py(), hashes, settings.shingle).view(np.int64) for t in texts]
+            sets = [s.view(np.int64) for s in shingle_sets(texts, settings.shingle)]
             return [list_array(sets, "int64", pa.int64())]
 
         return apply
@@ -264,6 +273,10 @@ def _block_links(mixed: DataFrame, classes: DataFrame, sets: DataFrame, settings
         first = int(np.searchsorted(own, b)) if a != b else 0
         links = block_links(comp, found, bands, here, first, settings.percent) if a == b or 0 < first < len(own) else []
         nodes = rows["node"].combine_chunks()
+        many = sum(map(len, found)) > BLOCK_SHINGLES // 8
+        found = rows = bands = None  # noqa: F841 (large sets go back before the worker waits)
+        if many:
+            give_back()
         return pa.table({n: nodes.take(pa.array([x[k] for x in links], pa.int64())) for k, n in enumerate("uv")})
 
     schema = StructType([StructField("u", kind), StructField("v", kind)])

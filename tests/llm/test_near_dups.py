@@ -1,9 +1,11 @@
 import random
 
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from newsmill.llm import near_dups
+from newsmill.llm import common, near_dups
 from newsmill.llm.common import WordHashes
 from newsmill.llm.components import components
 
@@ -142,3 +144,13 @@ def test_only_repeated_keys_are_put_in_order(spark):
     kept = near_dups.deduplicated(more)
     assert sorted(r.doc_id for r in kept.collect()) == list(range(50))
     assert [r.text for r in kept.filter("doc_id = 7").collect()] == ["another text of row seven"]
+
+
+def test_sets_of_a_batch_are_those_of_each_text(monkeypatch):
+    """No words are remembered between batches: the sets come from the words of some texts at a time."""
+    monkeypatch.setattr(common, "SPLIT_BYTES", 60)
+    hashes = WordHashes(xxhash.xxh3_64_intdigest)
+    texts = [None, "", " \n", "One", "the quick Brown fox jumps over the lazy dog " * 3, *[f"w{i} " * i for i in range(12)]]
+    sets = list(near_dups.shingle_sets(pa.array(texts), 5))
+    assert [s.tolist() for s in sets] == [near_dups.shingle_set(t, hashes, 5).tolist() for t in texts]
+    assert list(near_dups.shingle_sets(pa.array([], pa.string()), 5)) == []
