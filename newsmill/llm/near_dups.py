@@ -24,13 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 from pyspark.sql.window import Window
 
-from newsmill.llm.common import WordHashes, arrow_columns, free_name, give_back, gram_hashes, list_array, mix, small_batches, split_words, word_hashes
+from newsmill.llm.common import WordHashes, apart, arrow_columns, free_name, give_back, gram_hashes, list_array, mix, small_batches, split_words, word_hashes
 from newsmill.llm.components import components
 from newsmill.session import materialize
 
 
-#: Keys of candidates up to this number are broadcast; beyond it the texts are dealt out by key.
-BROADCAST_ROWS = 1_000_000
 #: Pairs of the centre of a star in one task.
 PAIRS_OF_HUB = 500
 #: Members of a block, and shingles of their sets, on average at most.
@@ -286,8 +284,7 @@ def _block_links(mixed: DataFrame, classes: DataFrame, sets: DataFrame, settings
 def _links(members: DataFrame, classes: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """Each class but the smallest of its component, and the smallest: ``(u, v)``."""
     nodes = materialize(members.select("node").distinct(), "near-nodes")
-    few = nodes.count() <= BROADCAST_ROWS
-    texts = docs.join(F.broadcast(nodes) if few else nodes, "node", "left_semi").withColumn("same", F.xxhash64("text"))
+    texts = apart(docs, "node", nodes)[1].join(nodes, "node", "left_semi").withColumn("same", F.xxhash64("text"))
     sets = materialize(_shingles(texts.dropDuplicates(["node", "same"]), settings), "near-sets")
     pairs = materialize(_star_pairs(members, settings.percent), "near-pairs")
     forest = components(_confirmed(pairs, sets, settings.percent), "near-forest")
@@ -296,7 +293,7 @@ def _links(members: DataFrame, classes: DataFrame, docs: DataFrame, settings: Se
     named = members.select("bucket", "node").join(tops, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     mixed = materialize(named.join(mixed.filter("lo <> hi").select("bucket"), "bucket", "left_semi"), "near-mixed")
-    links = materialize(_block_links(mixed, classes, sets, settings), "near-links")
+    links = materialize(_block_links(mixed, apart(classes, "node", nodes)[1], sets, settings), "near-links")
     return components(links.unionByName(forest), "near-forest")
 
 
@@ -330,16 +327,19 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", setti
 
     Rows whose key is the smallest of their group stay; of rows that repeat that
     key one stays. Rows without a key all stay. Only rows that repeat a key are put
-    in order; the texts of all others are never shuffled for that.
+    in order. The keys of rows that go or repeat are looked up in a map first, so that
+    the texts of most others are never shuffled.
     """
     names, place = docs.columns, free_name(docs, "place")
     rows, kept = free_name(docs, "rows"), free_name(docs, "kept")
     by_key = near_duplicates(docs, key, text, settings).groupBy(key).agg(F.count("*").alias(rows), F.max("kept").alias(kept))
-    found = materialize(by_key.filter(F.col(kept) & F.col(key).isNotNull()).select(key, rows), "near-kept")
-    once = docs.join(found.filter(F.col(rows) == 1).select(key), key, "left_semi").select(*names)
-    repeated = found.filter(F.col(rows) > 1).select(key)
+    listed = by_key.filter(F.col(key).isNotNull() & (~F.col(kept) | (F.col(rows) > 1)))
+    listed = materialize(listed.select(key, kept), "near-listed")
+    clear, rest = apart(docs, key, listed)
+    once = clear.unionByName(rest.join(listed.select(key), key, "left_anti").select(*names))
+    repeated = listed.filter(kept).select(key)
     if not repeated.isEmpty():
         first = F.row_number().over(Window.partitionBy(key).orderBy(F.col(text).asc_nulls_last()))
-        several = docs.join(repeated, key, "left_semi").select(*names).withColumn(place, first)
+        several = rest.join(repeated, key, "left_semi").select(*names).withColumn(place, first)
         once = once.unionByName(several.filter(F.col(place) == 1).drop(place))
-    return once.unionByName(docs.filter(F.col(key).isNull()))
+    return once
