@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from newsmill.llm import bpe, decontaminate, lang_id, near_dups, pii
 from newsmill.llm.catalog import PII_KEY, RANKS
 from newsmill.llm.common import table
-from newsmill.session import work_dir
+from newsmill.session import materialize, work_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -45,9 +45,14 @@ def pseudonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, which decode to its text: one more column tells."""
+    """Token ids of every document, which decode to its text: one more column tells.
+
+    Ids are written before they are decoded. In one stage each task would hold two Python
+    workers, and Spark keeps all of them in turn for whatever runs later.
+    """
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    ids = bpe.encode(spark, docs, path, pattern)
+    ids = bpe.encode(spark, docs.select("doc_id", "lang", "source", "text"), path, pattern)
+    ids = materialize(ids, "pipeline-ids")
     back = bpe.decode(spark, ids, path, pattern)
     exact = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", exact.alias("exact"))

@@ -61,7 +61,9 @@ def _sample(labelled: DataFrame, key: str, lang: str, rows: int) -> tuple[DataFr
     if len(counts) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     spark = labelled.sparkSession
-    shares = spark.createDataFrame([(c.lang_, rows / c.n_) for c in counts], "lang_ string, share_ double")
+    # An Arrow table is read by the JVM alone; rows would start a second Python daemon on every executor, which stays.
+    share = pa.array([rows / c.n_ for c in counts], pa.float64())
+    shares = spark.createDataFrame(pa.table({"lang_": pa.array([c.lang_ for c in counts], pa.string()), "share_": share}))
     place = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(17)), F.lit(1 << 20)) / float(1 << 20)
     picked = labelled.join(F.broadcast(shares), F.col(lang) == F.col("lang_"))
     return picked.filter(place < F.col("share_")), max(1, len(counts))

@@ -43,6 +43,12 @@ def test_sample_is_bounded(spark):
     assert langs == 1 and 200 < picked.count() < 400
 
 
+def test_sample_needs_no_python_rows(spark):
+    docs = spark.range(30).select(F.col("id").alias("doc_id"), F.lit("w").alias("text"), F.lit("en").alias("lang"))
+    plan = lang_id._sample(docs, "doc_id", "lang", 300)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan
+
+
 def test_model_is_bounded(spark):
     docs = spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("wort"), F.chr(97 + F.col("id") % 26)).alias("text"), F.lit("de").alias("lang"))
     rows = lang_id.train(docs, settings=lang_id.Settings(max_items=60))

@@ -27,6 +27,14 @@ def test_stages(spark):
     assert all(r.ids == own.encode_ordinary(kept[r.doc_id]) for r in last[:20])
 
 
+def test_a_task_has_one_python_worker(spark):
+    """Workers of two evaluations in a stage are held together, and kept for all that follows."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(50)
+    for name, stage in corpus_pipeline.STAGES:
+        plan = stage(spark, docs, SF_DIR)._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("MapInArrow") <= 1, name
+
+
 def test_decisions_take_effect(spark):
     rows = [
         (1, "the words of this text are of no use", "en", "s", 5), (2, "les mots de ce texte ne servent pas", "fr", "s", 5),
