@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,26 @@ def build_encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
 
 
+def token_table(ranks: bytes) -> pa.BinaryArray:
+    """The bytes of each token at the place of its rank, null where there is none."""
+    tokens = {int(rank): base64.b64decode(token) for token, rank in (line.split() for line in ranks.splitlines() if line.strip())}
+    return pa.array([tokens.get(i) for i in range(max(tokens, default=-1) + 1)], pa.binary())
+
+
+def joined_tokens(tokens: pa.BinaryArray, lists: pa.ListArray) -> pa.BinaryArray:
+    """The bytes of the tokens of each list, null for a null list; an id without a token raises."""
+    found = tokens.take(lists.flatten())
+    if found.null_count:
+        raise KeyError("an id has no token")
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    # The tokens lie one after the other, so only the places where lists end are picked.
+    starts = np.frombuffer(found.buffers()[1], np.int32, len(found) + 1, found.offset * 4) if len(found) else np.zeros(1, np.int32)
+    offsets = starts[np.concatenate([[0], np.cumsum(lengths)])]
+    valid = pa.array(lists.is_valid().to_numpy(zero_copy_only=False)).buffers()[1] if lists.null_count else None
+    data = found.buffers()[2] or pa.py_buffer(b"")
+    return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [valid, pa.py_buffer(offsets), data])
+
+
 def safe_chunks(text: str, size: int = CHUNK) -> Iterator[str]:
     """``text`` in order, cut at safe boundaries at least ``size`` apart."""
     start = 0
@@ -94,12 +115,7 @@ def decode(spark: SparkSession, encoded: DataFrame, ranks_path: str, pattern: st
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
 
     def make():
-        encoding = build_encoding(ranks.value, pattern)
-
-        def apply(lists: pa.Array):
-            decoded = [encoding.decode_bytes(x.values.to_pylist()) if x.is_valid else None for x in lists]
-            return [pa.array(decoded, pa.binary())]
-
-        return apply
+        tokens = token_table(ranks.value)
+        return lambda lists: [joined_tokens(tokens, lists)]
 
     return arrow_columns(encoded, [ids], "decoded binary", make, keep)

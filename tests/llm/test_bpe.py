@@ -1,4 +1,5 @@
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -41,6 +42,22 @@ def test_parts_of_characters_decode(spark):
     assert bytes(rows[0].decoded) == ENCODING.decode_bytes(ids) and rows[1].decoded is None
 
 
+def test_tokens_are_joined_like_the_library():
+    tokens = bpe.token_table(bpe.read_ranks(PATH))
+    texts = ["skipped", "漢字 and more", None, "", " the end", None, "<|endoftext|>"]
+    lists = pa.array([None if t is None else ENCODING.encode_ordinary(t) for t in texts], pa.list_(pa.int32()))
+    for start in range(len(texts) + 1):
+        want = [None if t is None else t.encode() for t in texts[start:]]
+        assert bpe.joined_tokens(tokens, lists.slice(start)).to_pylist() == want
+    for bad in (len(tokens), -1, None):
+        with pytest.raises((KeyError, IndexError)):
+            bpe.joined_tokens(tokens, pa.array([[0, bad]], pa.list_(pa.int32())))
+    gap = bpe.token_table(b"YQ== 0\nYg== 2\n")
+    assert bpe.joined_tokens(gap, pa.array([[2, 0]], pa.list_(pa.int32()))).to_pylist() == [b"ba"]
+    with pytest.raises(KeyError):
+        bpe.joined_tokens(gap, pa.array([[1]], pa.list_(pa.int32())))
+
+
 def test_empty_table(spark, no_docs):
     assert bpe.encode(spark, no_docs, PATH, PATTERN).count() == 0
 
